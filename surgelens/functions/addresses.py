@@ -7,6 +7,8 @@ dotted tail and an optional zone for version 6. Anything else gives NULL.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,12 +19,20 @@ V4_TAIL = rf"^(.*:)({OCTET})\.({OCTET})\.({OCTET})\.({OCTET})\z"
 HEX_GROUPS = r"^(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,7})?\z"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often it is used.
+
+    A lambda's argument is bound at run time, so no optimizer rule copies it.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def ipv4_number(ip: Column) -> Column:
     """Dotted IPv4 as BIGINT."""
-    octets = F.split(ip, r"\.")
     total = F.lit(0).cast("bigint")
-    for i, weight in enumerate((1 << 24, 1 << 16, 1 << 8, 1)):
-        total = total + F.get(octets, F.lit(i)).try_cast("bigint") * F.lit(weight)
+    for place, weight in enumerate((1 << 24, 1 << 16, 1 << 8, 1), start=1):
+        octet = F.substring_index(F.substring_index(ip, ".", place), ".", -1)
+        total = total + octet.try_cast("bigint") * F.lit(weight)
     return F.when(ip.rlike(IPV4), total)
 
 
@@ -31,29 +41,41 @@ def _hex_pair(high: Column, low: Column) -> Column:
     return F.lower(F.hex(number))
 
 
+def _groups(text: Column) -> Column:
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ":"))
+
+
+def _six(body: Column) -> Column:
+    """32 hex digits of an address without zone and dotted tail."""
+
+    def from_sides(sides: Column) -> Column:
+        head, tail = F.get(sides, F.lit(0)), F.coalesce(F.get(sides, F.lit(1)), F.lit(""))
+        shaped = (F.size(sides) <= 2) & head.rlike(HEX_GROUPS) & tail.rlike(HEX_GROUPS)
+        parts = F.struct(F.size(sides).alias("n"), _groups(head).alias("head"), _groups(tail).alias("tail"))
+        return F.when(shaped, let(parts, from_parts))
+
+    def from_parts(p: Column) -> Column:
+        given = F.size(p["head"]) + F.size(p["tail"])
+        complete = F.when(p["n"] == 2, given <= 7).otherwise(given == 8)
+        zeros = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - given, F.lit(0)))
+        padded = F.transform(F.concat(p["head"], zeros, p["tail"]), lambda g: F.lpad(g, 4, "0"))
+        return F.when(complete, F.lower(F.array_join(padded, "")))
+
+    return let(F.split(body, "::"), from_sides)
+
+
 def ipv6_hex(ip: Column) -> Column:
-    """IPv6 as 32 hex digits."""
-    bare = F.regexp_replace(ip, r"%[^%]+\z", "")
-    part = lambda i: F.regexp_extract(bare, V4_TAIL, i)
-    body = F.when(
-        bare.rlike(V4_TAIL),
-        F.concat(part(1), _hex_pair(part(2), part(3)), F.lit(":"), _hex_pair(part(4), part(5))),
-    ).otherwise(bare)
-    sides = F.split(body, "::")
-    head, tail = F.get(sides, F.lit(0)), F.coalesce(F.get(sides, F.lit(1)), F.lit(""))
-    groups = lambda text: F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ":"))
-    head_groups, tail_groups = groups(head), groups(tail)
-    given = F.size(head_groups) + F.size(tail_groups)
-    shortened = F.size(sides) == 2
-    well_formed = (
-        (F.size(sides) <= 2)
-        & head.rlike(HEX_GROUPS)
-        & tail.rlike(HEX_GROUPS)
-        & F.when(shortened, given <= 7).otherwise(given == 8)
-    )
-    zeros = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - given, F.lit(0)))
-    padded = F.transform(F.concat(head_groups, zeros, tail_groups), lambda g: F.lpad(g, 4, "0"))
-    return F.when(well_formed, F.lower(F.array_join(padded, "")))
+    """IPv6 as 32 hex digits. Texts without a colon go no further."""
+
+    def without_tail(bare: Column) -> Column:
+        part = lambda i: F.regexp_extract(bare, V4_TAIL, i)
+        groups = F.concat(part(1), _hex_pair(part(2), part(3)), F.lit(":"), _hex_pair(part(4), part(5)))
+        return F.when(bare.rlike(V4_TAIL), groups).otherwise(bare)
+
+    def parse(bare: Column) -> Column:
+        return let(without_tail(bare), _six)
+
+    return F.when(F.contains(ip, F.lit(":")), let(F.regexp_replace(ip, r"%[^%]+\z", ""), parse))
 
 
 def hex_number(digits: Column) -> Column:

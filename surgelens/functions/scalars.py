@@ -42,8 +42,11 @@ def first_label(labels: Column) -> Column:
 
 
 def number_or_zero(text: Column) -> Column:
-    """Lenient number parsing: anything that is not a number counts as 0."""
-    number = text.try_cast("double")
+    """Lenient number parsing: anything that is not a number counts as 0.
+
+    Type suffixes, which the cast would take (``1d``), are no numbers here.
+    """
+    number = F.when(~text.rlike(r"[0-9.][dDfF]\s*\z"), text.try_cast("double"))
     return F.when(F.isnan(number), F.lit(0.0)).otherwise(F.coalesce(number, F.lit(0.0)))
 
 

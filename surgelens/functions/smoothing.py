@@ -7,6 +7,10 @@ summing to one. The bias-corrected deviation is ``sqrt(c / (1 - q))``.
 The update is linear in the past, so a stretch of points can be summarised
 without knowing what came before it and applied to any earlier state later.
 That lets long series be folded block by block in parallel.
+
+Functions take and give SQL expression text, which names columns or lambda
+variables; ``pyspark.sql.functions.expr`` turns the finished text into a column
+in one call, however many terms it has.
 """
 
 from __future__ import annotations
@@ -18,111 +22,91 @@ from pyspark.sql import functions as F
 CHUNK = 64
 
 
-def _state(n: Column, mean: Column, c: Column, q: Column) -> Column:
-    return F.struct(n.alias("n"), mean.alias("mean"), c.alias("c"), q.alias("q"))
+def double(x: float) -> str:
+    return f"{x!r}D"
+
 
+def _state(n: str, mean: str, c: str, q: str) -> str:
+    return f"named_struct('n', {n}, 'mean', {mean}, 'c', {c}, 'q', {q})"
 
-def first_state(x: Column, alpha: float) -> Column:
+
+def first_state(x: str, alpha: float) -> str:
     """State that, once fed ``x``, equals a series holding just ``x``."""
     keep = 1.0 - alpha
     q = (1.0 - alpha * alpha) / (keep * keep) if keep > 0 else 0.0
-    return _state(F.lit(0).cast("bigint"), x.cast("double"), F.lit(0.0), F.lit(q))
+    return _state("0L", f"CAST({x} AS DOUBLE)", "0D", double(q))
 
 
-def stored_state(n: Column, mean: Column, std: Column, c: Column, q: Column, alpha: float) -> Column:
-    """State of a saved baseline; a bare (mean, std) is taken as long settled."""
-    settled = alpha / (2.0 - alpha)
-    q = F.coalesce(q, F.lit(settled))
-    return _state(
-        F.coalesce(n, F.lit(2**31).cast("bigint")),
-        mean,
-        F.coalesce(c, std * std * (F.lit(1.0) - q)),
-        q,
-    )
+def stored_state(alpha: float) -> str:
+    """State of a saved baseline row; a bare (mean, std) is taken as long settled."""
+    q = f"coalesce(q, {double(alpha / (2.0 - alpha))})"
+    return _state(f"coalesce(n, {2**31}L)", "mean", f"coalesce(c, std * std * (1D - {q}))", q)
 
 
-def advance(state: Column, x: Column, alpha: float) -> Column:
-    keep = 1.0 - alpha
-    d = x - state["mean"]
+def advance(s: str, x: str, alpha: float) -> str:
+    """State after one more point."""
+    a, keep = double(alpha), double(1.0 - alpha)
+    d = f"({x} - {s}.mean)"
     return _state(
-        state["n"] + F.lit(1).cast("bigint"),
-        state["mean"] + F.lit(alpha) * d,
-        F.lit(keep) * (state["c"] + F.lit(alpha) * d * d),
-        F.lit(keep * keep) * state["q"] + F.lit(alpha * alpha),
+        f"{s}.n + 1L",
+        f"{s}.mean + {a} * {d}",
+        f"{keep} * ({s}.c + {a} * {d} * {d})",
+        f"{double((1.0 - alpha) ** 2)} * {s}.q + {double(alpha * alpha)}",
     )
 
 
-def state_std(state: Column) -> Column:
+def state_std(s: str) -> str:
     """Deviation of a state; NULL while fewer than two points were seen."""
-    usable = (state["n"] >= 2) & (state["q"] < 1.0)
-    return F.when(usable, F.sqrt(state["c"] / (F.lit(1.0) - state["q"])))
+    return f"CASE WHEN {s}.n >= 2 AND {s}.q < 1D THEN sqrt({s}.c / (1D - {s}.q)) END"
 
 
-def block_summary(points: Column, alpha: float) -> Column:
+def block_summary(points: str, alpha: float) -> str:
     """Summary of consecutive points, independent of everything before them.
 
-    Points are structs with a ``value``; they are read in place.
+    Points are structs with a ``value``; they are read in place. ``w`` is the
+    weight all points of the block have together.
     """
-    keep = 1.0 - alpha
-
-    def add(acc: Column, point: Column) -> Column:
-        x = point["value"]
-        w = F.lit(keep) * acc["w"] + F.lit(alpha)
-        d = x - acc["mean"]
-        return F.struct(
-            (acc["n"] + F.lit(1).cast("bigint")).alias("n"),
-            w.alias("w"),
-            (acc["mean"] + F.lit(alpha) / w * d).alias("mean"),
-            (F.lit(keep) * acc["c"] + F.lit(alpha * keep) * acc["w"] / w * d * d).alias("c"),
-            (F.lit(keep * keep) * acc["q"] + F.lit(alpha * alpha)).alias("q"),
-        )
-
-    empty = F.struct(
-        F.lit(0).cast("bigint").alias("n"),
-        F.lit(0.0).alias("w"),
-        F.lit(0.0).alias("mean"),
-        F.lit(0.0).alias("c"),
-        F.lit(0.0).alias("q"),
-    )
-    return F.aggregate(points, empty, add)
-
-
-def apply_block(state: Column, block: Column, alpha: float) -> Column:
+    a, keep = double(alpha), double(1.0 - alpha)
+    w, d = f"({keep} * b.w + {a})", "(p.value - b.mean)"
+    return f"""aggregate({points},
+        named_struct('n', 0L, 'w', 0D, 'mean', 0D, 'c', 0D, 'q', 0D),
+        (b, p) -> named_struct(
+            'n', b.n + 1L,
+            'w', {w},
+            'mean', b.mean + {a} / {w} * {d},
+            'c', {keep} * b.c + {double(alpha * (1.0 - alpha))} * b.w / {w} * {d} * {d},
+            'q', {double((1.0 - alpha) ** 2)} * b.q + {double(alpha * alpha)}))"""
+
+
+def apply_block(s: str, block: str, alpha: float) -> str:
     """The state after all points of a summarised block."""
-    left = F.pow(F.lit(1.0 - alpha), block["n"].cast("double"))
-    d = block["mean"] - state["mean"]
+    left = f"pow({double(1.0 - alpha)}, {block}.n)"
+    d = f"({block}.mean - {s}.mean)"
     return _state(
-        state["n"] + block["n"],
-        state["mean"] + (F.lit(1.0) - left) * d,
-        left * state["c"] + block["c"] + left * (F.lit(1.0) - left) * d * d,
-        left * left * state["q"] + block["q"],
+        f"{s}.n + {block}.n",
+        f"{s}.mean + (1D - {left}) * {d}",
+        f"{left} * {s}.c + {block}.c + {left} * (1D - {left}) * {d} * {d}",
+        f"{left} * {left} * {s}.q + {block}.q",
     )
 
 
-def final_state(points: Column, alpha: float, start: Column) -> Column:
-    return F.aggregate(points, start, lambda s, p: advance(s, p["value"], alpha))
+def apply_blocks(start: str, blocks: str, alpha: float) -> str:
+    """The state after several summarised blocks, structs with a ``summary``."""
+    return f"aggregate({blocks}, {start}, (s, b) -> {apply_block('s', 'b.summary', alpha)})"
 
 
-def all_states(points: Column, alpha: float, start: Column) -> Column:
+def final_state(points: str, alpha: float, start: str) -> str:
+    return f"aggregate({points}, {start}, (s, p) -> {advance('s', 'p.value', alpha)})"
+
+
+def all_states(points: str, alpha: float, start: str) -> str:
     """``start`` followed by the state after each point: one more than points."""
-    last = -1
-
-    def grow(acc: Column, point: Column) -> Column:
-        return F.concat(acc, F.array(advance(F.element_at(acc, last), point["value"], alpha)))
-
-    def chunk_at(i: Column) -> Column:
-        return F.slice(points, i * F.lit(CHUNK) + F.lit(1), F.lit(CHUNK))
-
-    n_chunks = F.ceil(F.size(points) / F.lit(CHUNK)).cast("int")
-    chunks = F.transform(F.sequence(F.lit(0), F.greatest(n_chunks - 1, F.lit(0))), chunk_at)
-    return F.aggregate(
-        chunks,
-        F.array(start),
-        lambda acc, part: F.concat(
-            acc,
-            F.slice(F.aggregate(part, F.array(F.element_at(acc, last)), grow), 2, CHUNK),
-        ),
-    )
+    grown = advance("element_at(acc, -1)", "p.value", alpha)
+    one_chunk = f"aggregate(chunk, array(element_at(done, -1)), (acc, p) -> concat(acc, array({grown})))"
+    chunks = f"""transform(
+        sequence(0, greatest(CAST(ceil(size({points}) / {CHUNK}) AS INT) - 1, 0)),
+        i -> slice({points}, i * {CHUNK} + 1, {CHUNK}))"""
+    return f"aggregate({chunks}, array({start}), (done, chunk) -> concat(done, slice({one_chunk}, 2, {CHUNK})))"
 
 
 def zscore(x: Column, mean: Column, std: Column) -> Column:

@@ -9,21 +9,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surgelens.functions.addresses import high_bits, hex_number, ipv4_number, ipv6_hex
+from surgelens.functions.addresses import hex_number, high_bits, ipv4_number, ipv6_hex, let
 from surgelens.session import broadcast_within
 from surgelens.sources.indicators import Indicators, Network
 
 # Lists up to this long are tested as literals instead of joined.
 LITERALS = 200
+NETWORK_LITERALS = 64
 # More distinct prefix lengths than this are widened to whole bytes.
 PREFIX_LENGTHS = 8
 
 RULES = ("cidr_rule", "country_rule", "ua_rule", "ua_regex_rule", "uri_rule", "uri_regex_rule")
 
 
+def _local_table(df: DataFrame, columns: dict[str, pa.Array]) -> DataFrame:
+    """A driver-built table the planner knows row by row, hence by size."""
+    return df.sparkSession.createDataFrame(pa.table(columns))
+
+
 def _match_exact(df: DataFrame, column: str, values: Sequence[str], label: str, out: str) -> DataFrame:
     c = F.col(column)
     hit = F.concat(F.lit(label + ":"), c)
@@ -31,7 +38,7 @@ def _match_exact(df: DataFrame, column: str, values: Sequence[str], label: str,
         found = c.isin(list(values)) if values else F.lit(False)
         return df.withColumn(out, F.when((c != "") & found, hit))
     row_bytes = 64 + 2 * max(len(v) for v in values)
-    listed = df.sparkSession.createDataFrame([(v,) for v in values if v], "_listed string")
+    listed = _local_table(df, {"_listed": pa.array([v for v in values if v], pa.string())})
     joined = df.join(broadcast_within(listed, len(values), row_bytes), c == F.col("_listed"), "left")
     return joined.withColumn(out, F.when(F.col("_listed").isNotNull(), hit)).drop("_listed")
 
@@ -82,12 +89,23 @@ def _signed(bits: int) -> int:
     return bits - (1 << 64) if bits >= 1 << 63 else bits
 
 
-def _prefix_keys(version: int, length: int, prefixed: str) -> list[Column]:
-    """The row's leading bits as one (IPv4) or two (IPv6) numbers."""
+def _prefix_keys(version: int, length: int, address: Column) -> list[Column]:
+    """The address' leading bits as one (IPv4) or two (IPv6) numbers."""
+    if version == 4:
+        return [high_bits(address, length, 32)]
+    return [high_bits(address["high"], min(length, 64), 64), high_bits(address["low"], max(length - 64, 0), 64)]
+
+
+def _address(column: str, version: int) -> Column:
+    """IPv4 as a number, IPv6 as a struct of two; NULL if it is neither."""
     if version == 4:
-        return [high_bits(F.col(prefixed), length, 32)]
-    high, low = F.col(f"{prefixed}.high"), F.col(f"{prefixed}.low")
-    return [high_bits(high, min(length, 64), 64), high_bits(low, max(length - 64, 0), 64)]
+        return ipv4_number(F.col(column))
+
+    def halves(digits: Column) -> Column:
+        high, low = F.substring(digits, 1, 16), F.substring(digits, 17, 16)
+        return F.when(digits.isNotNull(), F.struct(hex_number(high).alias("high"), hex_number(low).alias("low")))
+
+    return let(ipv6_hex(F.col(column)), halves)
 
 
 def _network_keys(version: int, length: int, bits: int) -> tuple[int, ...]:
@@ -98,54 +116,61 @@ def _network_keys(version: int, length: int, bits: int) -> tuple[int, ...]:
     return (_signed(bits >> (length - 64)), _signed(bits & ((1 << (length - 64)) - 1)))
 
 
-def _match_version(df: DataFrame, number: str, networks: Sequence[Network], version: int, out: str) -> DataFrame:
+def _first_network(address: Column, networks: Sequence[Network], version: int) -> Column:
+    """Few networks: one comparison each, in configuration order."""
+    tests = []
+    for net in networks:
+        bits = net.number >> ((32 if version == 4 else 128) - net.prefix)
+        inside = address.isNotNull()
+        for have, want in zip(
+            _prefix_keys(version, net.prefix, address), _network_keys(version, net.prefix, bits)
+        ):
+            inside = inside & (have == F.lit(want).cast("bigint"))
+        tests.append(F.when(inside, F.lit(f"CIDR:{net.label}")))
+    return F.coalesce(*tests)
+
+
+def _match_version(df: DataFrame, column: str, networks: Sequence[Network], version: int, out: str) -> DataFrame:
     width = 32 if version == 4 else 128
+    if len(networks) <= NETWORK_LITERALS:
+        return df.withColumn(out, let(_address(column, version), lambda a: _first_network(a, networks, version)))
+    number = f"_address{version}"
+    df = df.withColumn(number, _address(column, version))
     hits: list[str] = []
     for length, table in sorted(_by_prefix(networks, width).items()):
         keys = [f"_n{version}_{length}_{i}" for i in range(1 if version == 4 else 2)]
         hit = f"_hit{version}_{length}"
-        rows = [
-            (*_network_keys(version, length, bits), order, label) for bits, (order, label) in table.items()
-        ]
-        ddl = ", ".join(f"{k} bigint" for k in keys) + ", _order int, _label string"
-        nets = df.sparkSession.createDataFrame(rows, ddl).select(
+        entries = [(_network_keys(version, length, bits), *hit_of) for bits, hit_of in table.items()]
+        columns = {k: pa.array([e[0][i] for e in entries], pa.int64()) for i, k in enumerate(keys)}
+        columns["_order"] = pa.array([e[1] for e in entries], pa.int32())
+        columns["_label"] = pa.array([e[2] for e in entries], pa.string())
+        nets = _local_table(df, columns).select(
             *keys, F.struct(F.col("_order").alias("order"), F.col("_label").alias("label")).alias(hit)
         )
         condition = F.lit(True)
-        for key, bits in zip(keys, _prefix_keys(version, length, number)):
+        for key, bits in zip(keys, _prefix_keys(version, length, F.col(number))):
             condition = condition & (bits == F.col(key))
-        df = df.join(broadcast_within(nets, len(rows), 128), condition, "left").drop(*keys)
+        df = df.join(broadcast_within(nets, len(entries), 128), condition, "left").drop(*keys)
         hits.append(hit)
-    if not hits:
-        return df.withColumn(out, F.lit(None).cast("string"))
     first = F.array_min(F.array_compact(F.array(*[F.col(h) for h in hits])))["label"]
-    return df.withColumn(out, F.concat(F.lit("CIDR:"), first)).drop(*hits)
+    return df.withColumn(out, F.concat(F.lit("CIDR:"), first)).drop(number, *hits)
 
 
 def match_cidr(df: DataFrame, column: str, found: Indicators) -> DataFrame:
     """First network, in configuration order, that holds the address.
 
-    Each distinct prefix length is one hash lookup on the leading bits. Two
-    different networks of one length never overlap, so no row is multiplied.
+    A short list is compared in place. In a long one, each distinct prefix
+    length is one hash lookup on the leading bits; two different networks of
+    one length never overlap, so no row is multiplied.
     """
-    v4 = [n for n in found.networks if n.version == 4]
-    v6 = [n for n in found.networks if n.version == 6]
-    columns = df.columns
-    if v4:
-        df = _match_version(df.withColumn("_v4", ipv4_number(F.col(column))), "_v4", v4, 4, "_rule4")
-    if v6:
-        digits = ipv6_hex(F.col(column))
-        df = df.withColumn("_digits", digits).withColumn(
-            "_v6",
-            F.struct(
-                hex_number(F.substring("_digits", 1, 16)).alias("high"),
-                hex_number(F.substring("_digits", 17, 16)).alias("low"),
-            ),
-        )
-        df = _match_version(df, "_v6", v6, 6, "_rule6")
-    rules = [F.col(c) for c in ("_rule4", "_rule6") if c in df.columns]
+    rules = []
+    for version in (4, 6):
+        networks = [n for n in found.networks if n.version == version]
+        if networks:
+            rules.append(f"_rule{version}")
+            df = _match_version(df, column, networks, version, rules[-1])
     rule = F.coalesce(*rules) if rules else F.lit(None).cast("string")
-    return df.select(*[F.col(f"`{c}`") for c in columns], rule.alias("cidr_rule"))
+    return df.withColumn("cidr_rule", rule).drop(*rules)
 
 
 def match_all(

@@ -35,7 +35,7 @@ def train_baselines(points: DataFrame, params: DetectionParams, as_of: dt.dateti
         first = F.lit((moment - dt.timedelta(days=params.train_days)).isoformat()).cast("timestamp")
         points = points.where((F.col("minute") >= first) & (F.col("minute") <= end))
     tails = series_tails(points, params.alpha, params.block_minutes, span, carried=())
-    return _as_baselines(tails, F.col("post.mean"), F.coalesce(S.state_std(F.col("post")), F.lit(0.0)))
+    return _as_baselines(tails, F.col("post.mean"), F.expr(f"coalesce({S.state_std('post')}, 0D)"))
 
 
 def _as_baselines(tails: DataFrame, mean: Column, std: Column, resumable: bool = True) -> DataFrame:
@@ -75,7 +75,7 @@ def load_or_train(points: DataFrame, stored: DataFrame, params: DetectionParams)
 
 def with_stored(points: DataFrame, baselines: DataFrame, alpha: float) -> DataFrame:
     """Attach saved baselines and drop points a previous run already folded."""
-    state = S.stored_state(*[F.col(c) for c in ("n", "mean", "std", "c", "q")], alpha)
+    state = F.expr(S.stored_state(alpha))
     saved = baselines.select(
         F.struct(*KEYS).alias("series"), F.struct(state.alias("state"), "mean", "std", "last_minute").alias("stored")
     )
@@ -108,14 +108,14 @@ def _flat(rows: DataFrame, mean: Column, std: Column, score: Column) -> DataFram
 
 
 def _score_prior(rows: DataFrame, params: DetectionParams) -> DataFrame:
-    std = S.state_std(F.col("prior"))
+    std = F.expr(S.state_std("prior"))
     enough = F.col("prior.n") >= params.min_count
     score = F.when(enough, S.zscore(F.col("point.value"), F.col("prior.mean"), std))
     return _flat(rows, F.col("prior.mean"), std, score)
 
 
 def _post_update_columns(tails: DataFrame, alpha: float) -> DataFrame:
-    mean, std = F.col("post.mean"), F.coalesce(S.state_std(F.col("post")), F.lit(0.0))
+    mean, std = F.col("post.mean"), F.expr(f"coalesce({S.state_std('post')}, 0D)")
     if "stored" in tails.columns:
         mean, std = F.coalesce("stored.mean", mean), F.coalesce("stored.std", std)
     x = F.col("point.value")
@@ -170,7 +170,7 @@ def detect_anomalies(
     else:
         rows = point_states(ready, params.alpha, params.block_minutes, params.lookback_minutes)
         scored = _score_prior(rows, params)
-    fresh = _as_baselines(tails, F.col("post.mean"), F.coalesce(S.state_std(F.col("post")), F.lit(0.0)))
+    fresh = _as_baselines(tails, F.col("post.mean"), F.expr(f"coalesce({S.state_std('post')}, 0D)"))
     return Detection(top_findings(scored, params.sigma, limit), fresh)
 
 

@@ -41,7 +41,7 @@ def to_points(df: DataFrame, carried: Sequence[str] = CARRIED) -> DataFrame:
 
 def _point(carried: Sequence[str]) -> Column:
     # Points of one minute follow each other from the largest value down.
-    return F.struct("minute", (-F.col("value")).alias("falling"), "value", *carried)
+    return F.expr(f"struct({', '.join(['minute', '-value AS falling', 'value', *carried])})")
 
 
 def to_series(points: DataFrame) -> DataFrame:
@@ -88,7 +88,7 @@ def to_blocks(points: DataFrame, alpha: float, block_minutes: int, carried: Sequ
     gathered = points.groupBy("series", block).agg(
         F.sort_array(F.collect_list(_point(carried))).alias("points"), *_passed(points)
     )
-    return gathered.withColumn("summary", S.block_summary(F.col("points"), alpha))
+    return gathered.withColumn("summary", F.expr(S.block_summary("points", alpha)))
 
 
 def whole_series(points: DataFrame, carried: Sequence[str] = CARRIED) -> DataFrame:
@@ -104,9 +104,13 @@ def _flat_keys(rows: DataFrame) -> DataFrame:
     return rows.select("series.*", *[c for c in rows.columns if c != "series"])
 
 
-def _start(rows: DataFrame, head: Column, alpha: float) -> Column:
+def _start(rows: DataFrame, head: str, alpha: float) -> str:
     fresh = S.first_state(head, alpha)
-    return F.coalesce(F.col("stored")["state"], fresh) if "stored" in rows.columns else fresh
+    return f"coalesce(stored.state, {fresh})" if "stored" in rows.columns else fresh
+
+
+FIRST_VALUE = "element_at(points, 1).value"
+BUT_LAST = "slice(points, 1, size(points) - 1)"
 
 
 def series_tails(
@@ -119,32 +123,23 @@ def series_tails(
     """Per series: the newest point, the state before it and the state after it."""
     if fits_one_block(span_minutes, block_minutes):
         rows = whole_series(points, carried)
-        earlier = F.slice("points", 1, F.size("points") - 1)
-        start = _start(rows, F.element_at("points", 1)["value"], alpha)
-        prior, newest = S.final_state(earlier, alpha, start), F.element_at("points", -1)
-        states = rows.withColumns({"prior": prior, "point": newest}).withColumn(
-            "post", S.advance(F.col("prior"), F.col("point")["value"], alpha)
-        )
-        return _flat_keys(states.drop("points"))
+        prior = S.final_state(BUT_LAST, alpha, _start(rows, FIRST_VALUE, alpha))
+        states = rows.withColumns({"prior": F.expr(prior), "point": F.element_at("points", -1)})
+        return _flat_keys(states.withColumn("post", F.expr(S.advance("prior", "point.value", alpha))).drop("points"))
     blocks = to_blocks(by_series(points), alpha, block_minutes, carried)
-    part = F.struct(
-        "block",
-        F.element_at("points", 1)["value"].alias("head"),
-        "summary",
-        S.block_summary(F.slice("points", 1, F.size("points") - 1), alpha).alias("before"),
-        F.element_at("points", -1).alias("newest"),
+    part = f"""struct(block, {FIRST_VALUE} AS head, summary,
+        {S.block_summary(BUT_LAST, alpha)} AS before, element_at(points, -1) AS newest)"""
+    chained = blocks.groupBy("series").agg(
+        F.sort_array(F.collect_list(F.expr(part))).alias("parts"), *_passed(blocks)
     )
-    chained = blocks.groupBy("series").agg(F.sort_array(F.collect_list(part)).alias("parts"), *_passed(blocks))
-    carry = F.aggregate(
-        F.slice("parts", 1, F.size("parts") - 1),
-        _start(chained, F.element_at("parts", 1)["head"], alpha),
-        lambda s, b: S.apply_block(s, b["summary"], alpha),
+    carry = S.apply_blocks(
+        _start(chained, "element_at(parts, 1).head", alpha), "slice(parts, 1, size(parts) - 1)", alpha
     )
-    states = chained.withColumns({"carry": carry, "last": F.element_at("parts", -1)}).withColumns(
+    states = chained.withColumns({"carry": F.expr(carry), "last": F.element_at("parts", -1)}).withColumns(
         {
             "point": F.col("last.newest"),
-            "prior": S.apply_block(F.col("carry"), F.col("last")["before"], alpha),
-            "post": S.apply_block(F.col("carry"), F.col("last")["summary"], alpha),
+            "prior": F.expr(S.apply_block("carry", "last.before", alpha)),
+            "post": F.expr(S.apply_block("carry", "last.summary", alpha)),
         }
     )
     return _flat_keys(states.drop("parts", "carry", "last"))
@@ -153,15 +148,11 @@ def series_tails(
 def _started_blocks(points: DataFrame, alpha: float, block_minutes: int, carried: Sequence[str]) -> DataFrame:
     """Blocks with the running state at their start, from the earlier summaries."""
     blocks = to_blocks(by_series(points), alpha, block_minutes, carried)
-    head = F.element_at("points", 1)["value"]
     before = Window.partitionBy("series").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.collect_list(F.struct(head.alias("head"), "summary")).over(before)
-    first = F.coalesce(F.get("earlier", F.lit(0))["head"], head)
+    earlier = F.collect_list(F.expr(f"struct({FIRST_VALUE} AS head, summary)")).over(before)
     rows = blocks.withColumn("earlier", earlier)
-    start = F.aggregate(
-        "earlier", _start(rows, first, alpha), lambda s, b: S.apply_block(s, b["summary"], alpha)
-    )
-    return rows.withColumn("start", start)
+    first = f"coalesce(get(earlier, 0).head, {FIRST_VALUE})"
+    return rows.withColumn("start", F.expr(S.apply_blocks(_start(rows, first, alpha), "earlier", alpha)))
 
 
 def point_states(
@@ -174,19 +165,12 @@ def point_states(
     """Every point with the state before it (``prior``) and after it (``post``)."""
     if fits_one_block(span_minutes, block_minutes):
         rows = whole_series(points, carried)
-        started = rows.withColumn("start", _start(rows, F.element_at("points", 1)["value"], alpha))
+        started = rows.withColumn("start", F.expr(_start(rows, FIRST_VALUE, alpha)))
     else:
         started = _started_blocks(points, alpha, block_minutes, carried)
-    states = S.all_states(F.col("points"), alpha, F.col("start"))
-    scored = F.transform(
-        "points",
-        lambda p, i: F.struct(
-            p.alias("point"),
-            F.get(F.col("states"), i).alias("prior"),
-            F.get(F.col("states"), i + F.lit(1)).alias("post"),
-        ),
-    )
-    return started.withColumn("states", states).select("series.*", F.inline(scored))
+    scored = "transform(points, (p, i) -> struct(p AS point, get(states, i) AS prior, get(states, i + 1) AS post))"
+    states = started.withColumn("states", F.expr(S.all_states("points", alpha, "start")))
+    return states.select("series.*", F.inline(F.expr(scored)))
 
 
 def smoothed(points: DataFrame, alpha: float, block_minutes: int, span_minutes: int | None = None) -> DataFrame:
@@ -197,7 +181,7 @@ def smoothed(points: DataFrame, alpha: float, block_minutes: int, span_minutes:
         F.col("point.minute").alias("minute"),
         F.col("point.value").alias("value"),
         F.col("post.mean").alias("ewma"),
-        S.state_std(F.col("post")).alias("ewma_std"),
+        F.expr(S.state_std("post")).alias("ewma_std"),
     )
 
 

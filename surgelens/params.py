@@ -27,6 +27,8 @@ class DetectionParams:
     min_count: int = 5
     mode: str = "prior"
     scope: str = "last"
+    # Leave out the minute still running at the time of the run.
+    drop_open_minute: bool = False
     # Widest stretch of one series that is ever gathered into a single row.
     block_minutes: int = 7 * 24 * 60
 

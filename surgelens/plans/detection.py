@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 
-from surgelens.operators.hotspots import union_counts
+from surgelens.operators.hotspots import drop_open_minute, union_counts
 from surgelens.operators.indicators import tag_findings
 from surgelens.operators.scoring import Detection, detect_anomalies
 from surgelens.params import DetectionParams
@@ -15,6 +15,19 @@ from surgelens.sources.indicators import Indicators
 from surgelens.sources.sinks import write_findings
 
 
+def cycle_points(
+    waf: DataFrame, vpc: DataFrame, as_of: dt.datetime, params: DetectionParams, hotspot_limit: int | None = -1
+) -> DataFrame:
+    """The counts a cycle scores.
+
+    ``hotspot_limit`` keeps that many per source (default: the top-k
+    parameter); None keeps all of them.
+    """
+    limit = params.top_k if hotspot_limit == -1 else hotspot_limit
+    counts = union_counts(waf, vpc, as_of, params.lookback_minutes, limit, with_ua=True)
+    return drop_open_minute(counts, as_of) if params.drop_open_minute else counts
+
+
 def plan_cycle(
     waf: DataFrame,
     vpc: DataFrame,
@@ -26,12 +39,9 @@ def plan_cycle(
 ) -> Detection:
     """The lazy plan of a cycle.
 
-    ``hotspot_limit`` keeps that many counts per source (default: the top-k
-    parameter); None scores every series. Tagging comes last, so patterns run
-    over findings only, never over log rows.
+    Tagging comes last, so patterns run over findings only, never over log rows.
     """
-    limit = params.top_k if hotspot_limit == -1 else hotspot_limit
-    counts = union_counts(waf, vpc, as_of, params.lookback_minutes, limit, with_ua=True)
+    counts = cycle_points(waf, vpc, as_of, params, hotspot_limit)
     found = detect_anomalies(counts, params, baselines)
     return Detection(tag_findings(found.findings, indicators), found.baselines)
 
@@ -42,18 +52,22 @@ def run_cycle(
     as_of: dt.datetime,
     params: DetectionParams,
     store: BaselineStore,
+    points_path: str,
     findings_path: str,
     indicators: Indicators | None = None,
     hotspot_limit: int | None = -1,
 ) -> str:
-    """Run a cycle and save its findings and baselines; returns the run id.
+    """Run a cycle and save its counts, findings and baselines; returns the run id.
 
-    Ids follow ``as_of``, and both outputs replace their own directory, so a
-    cycle that was cut short can simply be run again.
+    The counts are saved first, so the logs are scanned once for both results,
+    and stay as history to train on. Ids follow ``as_of``, and all outputs
+    replace their own directory, so a cycle cut short can simply be run again.
     """
     run_id = f"{as_of:%Y%m%dT%H%M%S}"
-    stored = store.load(before=run_id)
-    found = plan_cycle(waf, vpc, as_of, params, indicators, stored, hotspot_limit)
-    write_findings(found.findings, findings_path, run_id)
+    spark = waf.sparkSession
+    points = f"{points_path.rstrip('/')}/run_id={run_id}"
+    cycle_points(waf, vpc, as_of, params, hotspot_limit).write.mode("overwrite").parquet(points)
+    found = detect_anomalies(spark.read.parquet(points), params, store.load(before=run_id))
+    write_findings(tag_findings(found.findings, indicators), findings_path, run_id)
     store.append(found.baselines, run_id)
     return run_id

@@ -27,6 +27,8 @@ def build_session(app: str = "surgelens", master: str | None = None, cpus: int =
             )
     return (
         builder.config("spark.sql.session.timeZone", "UTC")
+        # Call sites in error messages cost several calls per column.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
         .getOrCreate()

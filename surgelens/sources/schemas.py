@@ -7,67 +7,119 @@ Partition keys are strings, so that ``hr`` keeps its leading zero.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from __future__ import annotations
+
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 CORRUPT = "_corrupt_record"
 
-WAF = StructType.fromDDL(
-    """
-    timestamp BIGINT,
-    formatVersion INT,
-    webaclId STRING,
-    terminatingRule STRUCT<
-        ruleId: STRING, action: STRING,
-        ruleMatchDetails: ARRAY<STRUCT<
-            conditionType: STRING, location: STRING, matchedData: ARRAY<STRING>>>>,
-    httpRequest STRUCT<
-        clientIp: STRING, country: STRING,
-        headers: ARRAY<STRUCT<name: STRING, value: STRING>>,
-        uri: STRING, args: STRING, httpVersion: STRING,
-        httpMethod: STRING, method: STRING, requestId: STRING>,
-    httpResponse STRUCT<
-        status: INT, statusCode: INT, responseCodeSent: INT, responsecode_sent: INT>,
-    labels ARRAY<STRUCT<name: STRING>>,
-    dt STRING,
-    hr STRING
-    """
-)
+STRING, INT, LONG, DOUBLE, TIME = StringType(), IntegerType(), LongType(), DoubleType(), TimestampType()
+
+
+def _struct(**fields: DataType) -> StructType:
+    return StructType([StructField(n, t) for n, t in fields.items()])
 
-VPC = StructType.fromDDL(
-    """
-    version INT,
-    account_id STRING, `account-id` STRING,
-    interface_id STRING, `interface-id` STRING,
-    srcaddr STRING, dstaddr STRING, srcport INT, dstport INT,
-    protocol BIGINT, packets BIGINT, bytes BIGINT,
-    start BIGINT, `end` BIGINT, action STRING,
-    log_status STRING, `log-status` STRING,
-    vpc_id STRING, `vpc-id` STRING,
-    subnet_id STRING, `subnet-id` STRING,
-    instance_id STRING, `instance-id` STRING,
-    tcp_flags INT, `tcp-flags` INT,
-    type STRING,
-    pkt_srcaddr STRING, `pkt-srcaddr` STRING,
-    pkt_dstaddr STRING, `pkt-dstaddr` STRING,
-    region STRING,
-    az_id STRING, `az-id` STRING,
-    sublocation_type STRING, `sublocation-type` STRING,
-    sublocation_id STRING, `sublocation-id` STRING,
-    pkt_src_aws_service STRING, `pkt-src-aws-service` STRING,
-    pkt_dst_aws_service STRING, `pkt-dst-aws-service` STRING,
-    flow_direction STRING, `flow-direction` STRING,
-    traffic_path ARRAY<INT>, `traffic-path` ARRAY<INT>,
-    dt STRING,
-    hr STRING
-    """
+
+WAF = _struct(
+    timestamp=LONG,
+    formatVersion=INT,
+    webaclId=STRING,
+    terminatingRule=_struct(
+        ruleId=STRING,
+        action=STRING,
+        ruleMatchDetails=ArrayType(_struct(conditionType=STRING, location=STRING, matchedData=ArrayType(STRING))),
+    ),
+    httpRequest=_struct(
+        clientIp=STRING,
+        country=STRING,
+        headers=ArrayType(_struct(name=STRING, value=STRING)),
+        uri=STRING,
+        args=STRING,
+        httpVersion=STRING,
+        httpMethod=STRING,
+        method=STRING,
+        requestId=STRING,
+    ),
+    httpResponse=_struct(status=INT, statusCode=INT, responseCodeSent=INT, responsecode_sent=INT),
+    labels=ArrayType(_struct(name=STRING)),
+    dt=STRING,
+    hr=STRING,
 )
 
-HOTSPOT = StructType.fromDDL(
-    "minute TIMESTAMP, key STRING, subkey STRING, country STRING, rule_label STRING,"
-    " value DOUBLE, metric STRING, source_type STRING"
+_FLOW_FIELDS: dict[str, DataType] = {
+    "version": INT,
+    "account_id": STRING,
+    "interface_id": STRING,
+    "srcaddr": STRING,
+    "dstaddr": STRING,
+    "srcport": INT,
+    "dstport": INT,
+    "protocol": LONG,
+    "packets": LONG,
+    "bytes": LONG,
+    "start": LONG,
+    "end": LONG,
+    "action": STRING,
+    "log_status": STRING,
+    "vpc_id": STRING,
+    "subnet_id": STRING,
+    "instance_id": STRING,
+    "tcp_flags": INT,
+    "type": STRING,
+    "pkt_srcaddr": STRING,
+    "pkt_dstaddr": STRING,
+    "region": STRING,
+    "az_id": STRING,
+    "sublocation_type": STRING,
+    "sublocation_id": STRING,
+    "pkt_src_aws_service": STRING,
+    "pkt_dst_aws_service": STRING,
+    "flow_direction": STRING,
+    "traffic_path": ArrayType(INT),
+}
+
+
+def _both_spellings(fields: dict[str, DataType]) -> dict[str, DataType]:
+    out: dict[str, DataType] = {}
+    for name, kind in fields.items():
+        out[name] = kind
+        out[name.replace("_", "-")] = kind
+    return out
+
+
+VPC = _struct(**_both_spellings(_FLOW_FIELDS), dt=STRING, hr=STRING)
+
+HOTSPOT = _struct(
+    minute=TIME,
+    key=STRING,
+    subkey=STRING,
+    country=STRING,
+    rule_label=STRING,
+    value=DOUBLE,
+    metric=STRING,
+    source_type=STRING,
 )
 
-BASELINE = StructType.fromDDL(
-    "metric STRING, key STRING, subkey STRING, mean DOUBLE, std DOUBLE,"
-    " n BIGINT, c DOUBLE, q DOUBLE, last_minute TIMESTAMP, last_updated TIMESTAMP, run_id STRING"
+BASELINE = _struct(
+    metric=STRING,
+    key=STRING,
+    subkey=STRING,
+    mean=DOUBLE,
+    std=DOUBLE,
+    n=LONG,
+    c=DOUBLE,
+    q=DOUBLE,
+    last_minute=TIME,
+    last_updated=TIME,
+    run_id=STRING,
 )

@@ -86,9 +86,11 @@ def scheduled_cycles(
 
     def cycle(batch: DataFrame, number: int) -> None:
         run_id = f"{number:012d}"
-        found = detect_anomalies(batch, params, store.load(before=run_id))
+        points = to_points(batch).persist()
+        found = detect_anomalies(points, params, store.load(before=run_id))
         write_findings(tag_findings(found.findings, indicators), findings_path, run_id)
         store.append(found.baselines, run_id)
+        points.unpersist()
 
     writer = points.writeStream.foreachBatch(cycle).option("checkpointLocation", checkpoint)
     every = f"{params.every_minutes} minutes"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructType
 
 from surgelens.functions.scalars import day_label, hour_label
 
@@ -35,10 +36,11 @@ def ingest(
 
 
 def ingest_text(
-    lines: DataFrame, schema: str, path: str, errors: str, checkpoint: str, seconds: int = 300, once: bool = False
+    lines: DataFrame, schema: StructType, path: str, errors: str, checkpoint: str, seconds: int = 300, once: bool = False
 ) -> list[StreamingQuery]:
     """Parse a stream of JSON ``value`` lines; lines that do not parse go to ``errors``."""
-    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    with_text = StructType(schema.fields).add("_bad", StringType())
+    parsed = F.from_json("value", with_text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     rows = lines.select("value", parsed.alias("r"))
     bad = F.col("r").isNull() | F.col("r._bad").isNotNull()
     good_rows = rows.where(~bad).select("r.*").drop("_bad")
