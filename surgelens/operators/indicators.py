@@ -31,25 +31,27 @@ def _local_table(df: DataFrame, columns: dict[str, pa.Array]) -> DataFrame:
     return df.sparkSession.createDataFrame(pa.table(columns))
 
 
+def _exact_rule(c: Column, values: Sequence[str], label: str) -> Column:
+    found = c.isin(list(values)) if values else F.lit(False)
+    return F.when((c != "") & found, F.concat(F.lit(label + ":"), c))
+
+
 def _match_exact(df: DataFrame, column: str, values: Sequence[str], label: str, out: str) -> DataFrame:
     c = F.col(column)
-    hit = F.concat(F.lit(label + ":"), c)
     if len(values) <= LITERALS:
-        found = c.isin(list(values)) if values else F.lit(False)
-        return df.withColumn(out, F.when((c != "") & found, hit))
+        return df.withColumn(out, _exact_rule(c, values, label))
     row_bytes = 64 + 2 * max(len(v) for v in values)
     listed = _local_table(df, {"_listed": pa.array([v for v in values if v], pa.string())})
     joined = df.join(broadcast_within(listed, len(values), row_bytes), c == F.col("_listed"), "left")
-    return joined.withColumn(out, F.when(F.col("_listed").isNotNull(), hit)).drop("_listed")
+    hit = F.when(F.col("_listed").isNotNull(), F.concat(F.lit(label + ":"), c))
+    return joined.withColumn(out, hit).drop("_listed")
 
 
-def _match_patterns(df: DataFrame, column: str, patterns: Sequence[str], label: str, out: str) -> DataFrame:
+def _pattern_rule(c: Column, patterns: Sequence[str], label: str) -> Column:
     """First pattern, in order, found anywhere; later ones are not evaluated."""
-    c = F.col(column)
     # Case-insensitive over all of Unicode, with newline as the only line end.
     tests = [F.when(c.rlike("(?idU)" + p), F.lit(f"{label}:{p}")) for p in patterns]
-    first = F.coalesce(*tests) if tests else F.lit(None).cast("string")
-    return df.withColumn(out, F.when(c != "", first))
+    return F.when(c != "", F.coalesce(*tests) if tests else F.lit(None).cast("string"))
 
 
 def match_country(df: DataFrame, column: str, found: Indicators) -> DataFrame:
@@ -58,12 +60,12 @@ def match_country(df: DataFrame, column: str, found: Indicators) -> DataFrame:
 
 def match_user_agent(df: DataFrame, column: str, found: Indicators) -> DataFrame:
     exact = _match_exact(df, column, found.user_agents, "UA_Exact", "ua_rule")
-    return _match_patterns(exact, column, found.user_agent_patterns, "UA_Regex", "ua_regex_rule")
+    return exact.withColumn("ua_regex_rule", _pattern_rule(F.col(column), found.user_agent_patterns, "UA_Regex"))
 
 
 def match_uri(df: DataFrame, column: str, found: Indicators) -> DataFrame:
     exact = _match_exact(df, column, found.uris, "URI_Exact", "uri_rule")
-    return _match_patterns(exact, column, found.uri_patterns, "URI_Regex", "uri_regex_rule")
+    return exact.withColumn("uri_regex_rule", _pattern_rule(F.col(column), found.uri_patterns, "URI_Regex"))
 
 
 def _by_prefix(networks: Sequence[Network], width: int) -> dict[int, dict[int, tuple[int, str]]]:
@@ -96,16 +98,16 @@ def _prefix_keys(version: int, length: int, address: Column) -> list[Column]:
     return [high_bits(address["high"], min(length, 64), 64), high_bits(address["low"], max(length - 64, 0), 64)]
 
 
-def _address(column: str, version: int) -> Column:
+def _address(ip: Column, version: int) -> Column:
     """IPv4 as a number, IPv6 as a struct of two; NULL if it is neither."""
     if version == 4:
-        return ipv4_number(F.col(column))
+        return ipv4_number(ip)
 
     def halves(digits: Column) -> Column:
         high, low = F.substring(digits, 1, 16), F.substring(digits, 17, 16)
         return F.when(digits.isNotNull(), F.struct(hex_number(high).alias("high"), hex_number(low).alias("low")))
 
-    return let(ipv6_hex(F.col(column)), halves)
+    return let(ipv6_hex(ip), halves)
 
 
 def _network_keys(version: int, length: int, bits: int) -> tuple[int, ...]:
@@ -132,10 +134,8 @@ def _first_network(address: Column, networks: Sequence[Network], version: int) -
 
 def _match_version(df: DataFrame, column: str, networks: Sequence[Network], version: int, out: str) -> DataFrame:
     width = 32 if version == 4 else 128
-    if len(networks) <= NETWORK_LITERALS:
-        return df.withColumn(out, let(_address(column, version), lambda a: _first_network(a, networks, version)))
     number = f"_address{version}"
-    df = df.withColumn(number, _address(column, version))
+    df = df.withColumn(number, _address(F.col(column), version))
     hits: list[str] = []
     for length, table in sorted(_by_prefix(networks, width).items()):
         keys = [f"_n{version}_{length}_{i}" for i in range(1 if version == 4 else 2)]
@@ -156,6 +156,20 @@ def _match_version(df: DataFrame, column: str, networks: Sequence[Network], vers
     return df.withColumn(out, F.concat(F.lit("CIDR:"), first)).drop(number, *hits)
 
 
+def _of_version(found: Indicators, version: int) -> list[Network]:
+    return [n for n in found.networks if n.version == version]
+
+
+def _version_rule(ip: Column, networks: Sequence[Network], version: int) -> Column:
+    return let(_address(ip, version), lambda a: _first_network(a, networks, version))
+
+
+def _network_rule(ip: Column, found: Indicators) -> Column:
+    by_version = ((v, _of_version(found, v)) for v in (4, 6))
+    rules = [_version_rule(ip, networks, v) for v, networks in by_version if networks]
+    return F.coalesce(*rules) if rules else F.lit(None).cast("string")
+
+
 def match_cidr(df: DataFrame, column: str, found: Indicators) -> DataFrame:
     """First network, in configuration order, that holds the address.
 
@@ -163,14 +177,33 @@ def match_cidr(df: DataFrame, column: str, found: Indicators) -> DataFrame:
     length is one hash lookup on the leading bits; two different networks of
     one length never overlap, so no row is multiplied.
     """
+    if len(found.networks) <= NETWORK_LITERALS:
+        return df.withColumn("cidr_rule", _network_rule(F.col(column), found))
     rules = []
     for version in (4, 6):
-        networks = [n for n in found.networks if n.version == version]
+        networks = _of_version(found, version)
         if networks:
             rules.append(f"_rule{version}")
             df = _match_version(df, column, networks, version, rules[-1])
-    rule = F.coalesce(*rules) if rules else F.lit(None).cast("string")
-    return df.withColumn("cidr_rule", rule).drop(*rules)
+    return df.withColumn("cidr_rule", F.coalesce(*rules)).drop(*rules)
+
+
+def _is_short(found: Indicators) -> bool:
+    lists = (found.countries, found.user_agents, found.uris)
+    return len(found.networks) <= NETWORK_LITERALS and all(len(x) <= LITERALS for x in lists)
+
+
+def _all_rules(r: Column, found: Indicators) -> Column:
+    return F.array_compact(
+        F.array(
+            _network_rule(r["ip"], found),
+            _exact_rule(r["country"], found.countries, "Country"),
+            _exact_rule(r["ua"], found.user_agents, "UA_Exact"),
+            _pattern_rule(r["ua"], found.user_agent_patterns, "UA_Regex"),
+            _exact_rule(r["uri"], found.uris, "URI_Exact"),
+            _pattern_rule(r["uri"], found.uri_patterns, "URI_Regex"),
+        )
+    )
 
 
 def match_all(
@@ -181,16 +214,23 @@ def match_all(
     user_agent: str = "user_agent",
     uri: str = "uri",
 ) -> DataFrame:
-    """Adds ``matched`` and ``rules``: network, country, user agent, URI, in this order."""
-    columns = df.columns
-    out = match_cidr(df, ip, found)
-    out = match_country(out, country, found)
-    out = match_user_agent(out, user_agent, found)
-    out = match_uri(out, uri, found)
-    rules = F.array_compact(F.array(*[F.col(r) for r in RULES]))
-    return out.select(*[F.col(f"`{c}`") for c in columns], rules.alias("rules")).withColumn(
-        "matched", F.size("rules") > 0
-    )
+    """Adds ``matched`` and ``rules``: network, country, user agent, URI, in this order.
+
+    Short lists make one expression that reads its inputs once, so that a
+    filter on the outcome can move towards the scan without copying them.
+    """
+    if _is_short(found):
+        inputs = F.struct(
+            F.col(ip).alias("ip"), F.col(country).alias("country"), F.col(user_agent).alias("ua"), F.col(uri).alias("uri")
+        )
+        out = df.withColumn("rules", let(inputs, lambda r: _all_rules(r, found)))
+    else:
+        out = match_cidr(df, ip, found)
+        out = match_country(out, country, found)
+        out = match_user_agent(out, user_agent, found)
+        out = match_uri(out, uri, found)
+        out = out.withColumn("rules", F.array_compact(F.array(*[F.col(r) for r in RULES]))).drop(*RULES)
+    return out.withColumn("matched", F.size("rules") > 0)
 
 
 def keep_matched(df: DataFrame, found: Indicators, **columns: str) -> DataFrame:
