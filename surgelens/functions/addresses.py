@@ -84,7 +84,7 @@ def hex_number(digits: Column) -> Column:
 
 
 def high_bits(number: Column, kept: int, width: int) -> Column:
-    """The leading ``kept`` of ``width`` bits; 0 if none are kept."""
+    """The leading ``kept`` of ``width`` bits; 0 if none are kept, NULL for NULL."""
     if kept == 0:
-        return F.lit(0).cast("bigint")
+        return F.when(number.isNotNull(), F.lit(0).cast("bigint"))
     return number if kept == width else F.shiftrightunsigned(number, width - kept)

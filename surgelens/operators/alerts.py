@@ -43,7 +43,7 @@ def _shown_value(value: Column) -> Column:
 
 
 def _two_digits(number: Column) -> Column:
-    return F.coalesce(F.format_string("%.2f", number), F.lit(MISSING))
+    return F.when(number.isNull(), F.lit(MISSING)).otherwise(F.format_string("%.2f", number))
 
 
 def _named(field: str) -> Column:

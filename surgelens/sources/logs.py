@@ -13,7 +13,7 @@ def _scan(spark: SparkSession, path: str, schema: StructType, fmt: str, keep_cor
     if fmt != "json":
         return spark.read.format(fmt).schema(schema).load(path)
     if keep_corrupt:
-        schema = StructType(schema.fields).add(CORRUPT, StringType())
+        schema = StructType(list(schema.fields)).add(CORRUPT, StringType())
     return (
         spark.read.schema(schema)
         .option("mode", "PERMISSIVE")
@@ -74,14 +74,17 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def quarantined(logs: DataFrame) -> DataFrame:
-    """Lines that were not valid records (read with ``keep_corrupt=True``).
+def _parsed(logs: DataFrame) -> Column:
+    """Always true, but reads a data column: the parser fills the corrupt text
+    only while it reads other fields, and a scan of that text alone is refused."""
+    seen = F.xxhash64(F.col(logs.columns[0]))
+    return seen != F.bitwise_not(seen)
 
-    All data columns stay selected: the parser fills the corrupt text only
-    while it reads the other fields.
-    """
-    return logs.where(F.col(CORRUPT).isNotNull())
+
+def quarantined(logs: DataFrame) -> DataFrame:
+    """Lines that were not valid records (read with ``keep_corrupt=True``)."""
+    return logs.where(F.col(CORRUPT).isNotNull() & _parsed(logs))
 
 
 def well_formed(logs: DataFrame) -> DataFrame:
-    return logs.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return logs.where(F.col(CORRUPT).isNull() & _parsed(logs)).drop(CORRUPT)

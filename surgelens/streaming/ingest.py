@@ -39,7 +39,7 @@ def ingest_text(
     lines: DataFrame, schema: StructType, path: str, errors: str, checkpoint: str, seconds: int = 300, once: bool = False
 ) -> list[StreamingQuery]:
     """Parse a stream of JSON ``value`` lines; lines that do not parse go to ``errors``."""
-    with_text = StructType(schema.fields).add("_bad", StringType())
+    with_text = StructType(list(schema.fields)).add("_bad", StringType())
     parsed = F.from_json("value", with_text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     rows = lines.select("value", parsed.alias("r"))
     bad = F.col("r").isNull() | F.col("r._bad").isNotNull()
