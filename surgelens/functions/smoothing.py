@@ -60,22 +60,28 @@ def state_std(s: str) -> str:
     return f"CASE WHEN {s}.n >= 2 AND {s}.q < 1D THEN sqrt({s}.c / (1D - {s}.q)) END"
 
 
+EMPTY_BLOCK = "named_struct('n', 0L, 'w', 0D, 'mean', 0D, 'c', 0D, 'q', 0D)"
+
+
+def extend_block(b: str, x: str, alpha: float) -> str:
+    """A block's summary after one more point. ``w`` is the weight all points of
+    the block have together."""
+    a, keep = double(alpha), double(1.0 - alpha)
+    w, d = f"({keep} * {b}.w + {a})", f"({x} - {b}.mean)"
+    return f"""named_struct(
+        'n', {b}.n + 1L,
+        'w', {w},
+        'mean', {b}.mean + {a} / {w} * {d},
+        'c', {keep} * {b}.c + {double(alpha * (1.0 - alpha))} * {b}.w / {w} * {d} * {d},
+        'q', {double((1.0 - alpha) ** 2)} * {b}.q + {double(alpha * alpha)})"""
+
+
 def block_summary(points: str, alpha: float) -> str:
     """Summary of consecutive points, independent of everything before them.
 
-    Points are structs with a ``value``; they are read in place. ``w`` is the
-    weight all points of the block have together.
+    Points are structs with a ``value``; they are read in place.
     """
-    a, keep = double(alpha), double(1.0 - alpha)
-    w, d = f"({keep} * b.w + {a})", "(p.value - b.mean)"
-    return f"""aggregate({points},
-        named_struct('n', 0L, 'w', 0D, 'mean', 0D, 'c', 0D, 'q', 0D),
-        (b, p) -> named_struct(
-            'n', b.n + 1L,
-            'w', {w},
-            'mean', b.mean + {a} / {w} * {d},
-            'c', {keep} * b.c + {double(alpha * (1.0 - alpha))} * b.w / {w} * {d} * {d},
-            'q', {double((1.0 - alpha) ** 2)} * b.q + {double(alpha * alpha)}))"""
+    return f"aggregate({points}, {EMPTY_BLOCK}, (b, p) -> {extend_block('b', 'p.value', alpha)})"
 
 
 def apply_block(s: str, block: str, alpha: float) -> str:

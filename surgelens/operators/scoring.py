@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from surgelens.functions import smoothing as S
 from surgelens.operators.series import by_series, point_states, series_tails, to_points
 from surgelens.params import DetectionParams
-from surgelens.sources.baselines import KEYS
+from surgelens.sources.baselines import KEYS, newest_by_series
 
 # Fixed value: a deviation below this counts as this.
 STD_FLOOR = 1e-6
@@ -74,10 +74,15 @@ def load_or_train(points: DataFrame, stored: DataFrame, params: DetectionParams)
 
 
 def with_stored(points: DataFrame, baselines: DataFrame, alpha: float) -> DataFrame:
-    """Attach saved baselines and drop points a previous run already folded."""
-    state = F.expr(S.stored_state(alpha))
-    saved = baselines.select(
-        F.struct(*KEYS).alias("series"), F.struct(state.alias("state"), "mean", "std", "last_minute").alias("stored")
+    """Attach saved baselines and drop points a previous run already folded.
+
+    ``baselines`` may hold several runs; the newest row of a series counts.
+    """
+    state = F.expr(S.stored_state(alpha)).alias("state")
+    saved = (
+        newest_by_series(baselines)
+        .select("series", "b.*")
+        .select("series", F.struct(state, "mean", "std", "last_minute").alias("stored"))
     )
     joined = by_series(points).join(saved, "series", "left")
     seen = F.col("stored.last_minute").isNotNull() & (F.col("minute") <= F.col("stored.last_minute"))

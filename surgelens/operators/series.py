@@ -82,13 +82,20 @@ def by_series(points: DataFrame) -> DataFrame:
     return points if "series" in points.columns else keyed(points).repartition("series")
 
 
+FIRST_VALUE = "element_at(points, 1).value"
+LAST_POINT = "element_at(points, -1)"
+BUT_LAST = "slice(points, 1, size(points) - 1)"
+
+
 def to_blocks(points: DataFrame, alpha: float, block_minutes: int, carried: Sequence[str] = CARRIED) -> DataFrame:
-    """One row per series and block: sorted points and their summary."""
+    """One row per series and block: sorted points, their summary (``summary``)
+    and the summary of all but the last (``before``)."""
     block = F.floor(F.unix_seconds("minute") / F.lit(block_minutes * 60)).alias("block")
     gathered = points.groupBy("series", block).agg(
         F.sort_array(F.collect_list(_point(carried))).alias("points"), *_passed(points)
     )
-    return gathered.withColumn("summary", F.expr(S.block_summary("points", alpha)))
+    before = gathered.withColumn("before", F.expr(S.block_summary(BUT_LAST, alpha)))
+    return before.withColumn("summary", F.expr(S.extend_block("before", f"{LAST_POINT}.value", alpha)))
 
 
 def whole_series(points: DataFrame, carried: Sequence[str] = CARRIED) -> DataFrame:
@@ -109,10 +116,6 @@ def _start(rows: DataFrame, head: str, alpha: float) -> str:
     return f"coalesce(stored.state, {fresh})" if "stored" in rows.columns else fresh
 
 
-FIRST_VALUE = "element_at(points, 1).value"
-BUT_LAST = "slice(points, 1, size(points) - 1)"
-
-
 def series_tails(
     points: DataFrame,
     alpha: float,
@@ -124,11 +127,10 @@ def series_tails(
     if fits_one_block(span_minutes, block_minutes):
         rows = whole_series(points, carried)
         prior = S.final_state(BUT_LAST, alpha, _start(rows, FIRST_VALUE, alpha))
-        states = rows.withColumns({"prior": F.expr(prior), "point": F.element_at("points", -1)})
+        states = rows.withColumns({"prior": F.expr(prior), "point": F.expr(LAST_POINT)})
         return _flat_keys(states.withColumn("post", F.expr(S.advance("prior", "point.value", alpha))).drop("points"))
     blocks = to_blocks(by_series(points), alpha, block_minutes, carried)
-    part = f"""struct(block, {FIRST_VALUE} AS head, summary,
-        {S.block_summary(BUT_LAST, alpha)} AS before, element_at(points, -1) AS newest)"""
+    part = f"struct(block, {FIRST_VALUE} AS head, summary, before, {LAST_POINT} AS newest)"
     chained = blocks.groupBy("series").agg(
         F.sort_array(F.collect_list(F.expr(part))).alias("parts"), *_passed(blocks)
     )

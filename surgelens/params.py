@@ -29,8 +29,10 @@ class DetectionParams:
     scope: str = "last"
     # Leave out the minute still running at the time of the run.
     drop_open_minute: bool = False
-    # Widest stretch of one series that is ever gathered into a single row.
-    block_minutes: int = 7 * 24 * 60
+    # Distance between two points of a series, and the most points of one series
+    # that are ever gathered into a single row.
+    step_minutes: int = 1
+    block_points: int = 7 * 24 * 60
 
     def __post_init__(self) -> None:
         if not 0.0 < self.alpha <= 1.0:
@@ -43,9 +45,13 @@ class DetectionParams:
             raise ValueError(f"scope must be one of {SCOPES}")
         if self.mode == "post_update" and self.scope != "last":
             raise ValueError("post_update scores the newest point only")
-        for name in ("lookback_minutes", "every_minutes", "train_days", "top_k", "block_minutes"):
+        for name in ("lookback_minutes", "every_minutes", "train_days", "top_k", "step_minutes", "block_points"):
             if getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be positive")
 
+    @property
+    def block_minutes(self) -> int:
+        return self.step_minutes * self.block_points
+
     def with_(self, **changes) -> "DetectionParams":
         return replace(self, **changes)

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from surgelens.operators.hotspots import drop_open_minute, union_counts
 from surgelens.operators.indicators import tag_findings
 from surgelens.operators.scoring import Detection, detect_anomalies
+from surgelens.operators.series import to_points
 from surgelens.params import DetectionParams
-from surgelens.sources.baselines import BaselineStore
+from surgelens.sources.baselines import BaselineStore, of_active_series
 from surgelens.sources.indicators import Indicators
 from surgelens.sources.sinks import write_findings
 
@@ -67,7 +68,9 @@ def run_cycle(
     spark = waf.sparkSession
     points = f"{points_path.rstrip('/')}/run_id={run_id}"
     cycle_points(waf, vpc, as_of, params, hotspot_limit).write.mode("overwrite").parquet(points)
-    found = detect_anomalies(spark.read.parquet(points), params, store.load(before=run_id))
+    counts = to_points(spark.read.parquet(points))
+    stored = of_active_series(store.history(before=run_id), counts)
+    found = detect_anomalies(counts, params, stored)
     write_findings(tag_findings(found.findings, indicators), findings_path, run_id)
     store.append(found.baselines, run_id)
     return run_id

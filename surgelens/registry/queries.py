@@ -321,6 +321,8 @@ def latest_point(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- smoothing
 
 ALPHA = 0.3
+MONTH, DAY = 31 * 24 * 60, 24 * 60
+DAILY = DetectionParams(alpha=ALPHA, lookback_minutes=MONTH, step_minutes=DAY)
 
 
 def folded_sql(points: str, alpha: float = ALPHA, ties: str = "value DESC", extra: str = "", lead: str = "") -> str:
@@ -350,7 +352,7 @@ TEXT_MINUTE = "strftime(minute, '%Y-%m-%d %H:%M:%S') AS minute"
 )
 def ewma_mean(spark: SparkSession, sf: str) -> DataFrame:
     points = series.to_points(T.daily_by_user(spark, sf))
-    rows = series.smoothed(points, ALPHA, DetectionParams().block_minutes)
+    rows = series.smoothed(points, ALPHA, DAILY.block_minutes, MONTH)
     return rows.select(*KEYS, when_text("minute"), "value", rounded("ewma"))
 
 
@@ -388,7 +390,7 @@ LAST_SQL = "QUALIFY row_number() OVER (PARTITION BY metric, key, subkey ORDER BY
     {TEXT_MINUTE.replace('AS minute', 'AS last_minute')} FROM s {LAST_SQL}""",
 )
 def baseline_train(spark: SparkSession, sf: str) -> DataFrame:
-    trained = scoring.train_baselines(T.daily_by_user(spark, sf), DetectionParams(alpha=ALPHA))
+    trained = scoring.train_baselines(T.daily_by_user(spark, sf), DAILY)
     return trained.select(*KEYS, rounded("mean"), rounded("std"), when_text("last_minute"))
 
 
@@ -421,7 +423,7 @@ def _halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     FROM new LEFT JOIN old ON old.metric = new.metric AND old.key = new.key AND old.subkey = new.subkey""",
 )
 def baseline_load_or_train(spark: SparkSession, sf: str) -> DataFrame:
-    params = DetectionParams(alpha=ALPHA)
+    params = DAILY
     before, after = _halves(spark, sf)
     both = scoring.load_or_train(after, scoring.train_baselines(before, params), params)
     return both.select(*KEYS, rounded("mean"), rounded("std"), "trained")
@@ -437,7 +439,7 @@ UPSERT_SQL = f"""WITH old AS ({BEFORE_SQL} SELECT * FROM s {LAST_SQL}), new AS (
 
 @query("baseline_upsert", UPSERT_SQL)
 def baseline_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    params = DetectionParams(alpha=ALPHA)
+    params = DAILY
     before, after = (scoring.train_baselines(half, params) for half in _halves(spark, sf))
     return upsert(before, after).select(*KEYS, rounded("mean"), rounded("std"))
 
@@ -445,7 +447,7 @@ def baseline_upsert(spark: SparkSession, sf: str) -> DataFrame:
 @query("baseline_store", UPSERT_SQL)
 def baseline_store(spark: SparkSession, sf: str) -> DataFrame:
     """Two saved runs, compacted after the first, read back as one."""
-    params = DetectionParams(alpha=ALPHA)
+    params = DAILY
     before, after = (scoring.train_baselines(half, params) for half in _halves(spark, sf))
     store = BaselineStore(spark, scratch_path(spark, "baselines"))
     store.append(before, "run-1")
@@ -456,7 +458,9 @@ def baseline_store(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- detection
 
-HOURLY = DetectionParams(alpha=ALPHA, sigma=3.0, min_count=5, scope="all", lookback_minutes=31 * 24 * 60, top_k=20)
+HOURLY = DetectionParams(
+    alpha=ALPHA, sigma=3.0, min_count=5, scope="all", lookback_minutes=MONTH, step_minutes=60, top_k=20
+)
 
 PRIOR_SQL = f"""{folded_sql(T.HOURLY_SQL)}, scored AS (
       SELECT *, CASE WHEN rn > 5 THEN CASE WHEN pstd = 0 THEN 0 ELSE (value - pm) / pstd END END AS score FROM s),
@@ -492,7 +496,7 @@ def topk_anomalies(spark: SparkSession, sf: str) -> DataFrame:
     SELECT {FOUND_COLUMNS} FROM found""",
 )
 def detect_last_prior(spark: SparkSession, sf: str) -> DataFrame:
-    params = HOURLY.with_(scope="last", sigma=1.0)
+    params = HOURLY.with_(scope="last", sigma=1.0, step_minutes=DAY)
     return _found(scoring.detect_anomalies(T.daily_by_user(spark, sf), params, top_k=None).findings)
 
 
@@ -509,7 +513,7 @@ UPDATED_SQL = """updated AS (
     SELECT {FOUND_COLUMNS} FROM found WHERE abs(score) > 0.9""",
 )
 def detect_post_update(spark: SparkSession, sf: str) -> DataFrame:
-    params = DetectionParams(alpha=ALPHA, sigma=0.9, mode="post_update", lookback_minutes=31 * 24 * 60)
+    params = DAILY.with_(sigma=0.9, mode="post_update")
     return _found(scoring.detect_anomalies(T.daily_by_user(spark, sf), params, top_k=None).findings)
 
 
@@ -523,7 +527,7 @@ def detect_post_update(spark: SparkSession, sf: str) -> DataFrame:
 )
 def detect_with_stored(spark: SparkSession, sf: str) -> DataFrame:
     """All points are given; those a stored baseline has seen are skipped."""
-    params = DetectionParams(alpha=ALPHA, sigma=1.0, mode="post_update", lookback_minutes=31 * 24 * 60)
+    params = DAILY.with_(sigma=1.0, mode="post_update")
     before, _ = _halves(spark, sf)
     stored = scoring.train_baselines(before, params)
     return _found(scoring.detect_anomalies(T.daily_by_user(spark, sf), params, stored, top_k=None).findings)
@@ -536,9 +540,10 @@ def detect_with_stored(spark: SparkSession, sf: str) -> DataFrame:
 def detect_resumed(spark: SparkSession, sf: str) -> DataFrame:
     """A fold resumed from saved state finds what one unbroken fold finds."""
     hourly, split = T.hourly_by_type(spark, sf), F.lit("2024-01-16 00:00:00").cast("timestamp")
-    stored = scoring.train_baselines(hourly.where(F.col("minute") < split), HOURLY)
+    blocks = HOURLY.with_(block_points=100)
+    stored = scoring.train_baselines(hourly.where(F.col("minute") < split), blocks)
     later = hourly.where(F.col("minute") >= split)
-    return _found(scoring.detect_anomalies(later, HOURLY, stored, top_k=None).findings)
+    return _found(scoring.detect_anomalies(later, blocks, stored, top_k=None).findings)
 
 
 @query(

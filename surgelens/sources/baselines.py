@@ -18,10 +18,38 @@ KEYS = ["metric", "key", "subkey"]
 FIELDS = [n for n in BASELINE.fieldNames() if n not in KEYS]
 
 
-def newest_per_series(rows: DataFrame) -> DataFrame:
-    """Newest row by run id; combines map-side, one row per series leaves a task."""
+def completed(rows: DataFrame) -> DataFrame:
+    """Baselines from elsewhere, which may carry no more than mean and std."""
+    missing = [f for f in BASELINE.fields if f.name in FIELDS and f.name not in rows.columns]
+    return rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else rows
+
+
+def keyed_rows(rows: DataFrame) -> DataFrame:
+    return rows if "series" in rows.columns else rows.withColumn("series", F.struct(*KEYS)).drop(*KEYS)
+
+
+def newest_by_series(rows: DataFrame) -> DataFrame:
+    """Newest row by run id of each ``series`` struct, as ``b``.
+
+    Combines map-side: a task sends one row per series, however many runs it read.
+    """
     latest = F.max_by(F.struct(*FIELDS), F.struct("run_id", "last_updated"))
-    return rows.groupBy(*KEYS).agg(latest.alias("b")).select(*KEYS, "b.*")
+    return keyed_rows(completed(rows)).groupBy("series").agg(latest.alias("b"))
+
+
+def newest_per_series(rows: DataFrame) -> DataFrame:
+    return newest_by_series(rows).select("series.*", "b.*")
+
+
+def of_active_series(rows: DataFrame, active: DataFrame) -> DataFrame:
+    """Rows of series that occur in ``active``.
+
+    A cycle touches few of the series ever seen. While their keys are small
+    enough to broadcast, the other baselines never leave the scan; otherwise
+    this join's shuffle is the one that the later steps build on.
+    """
+    wanted = active.select(F.struct(*KEYS).alias("series")).distinct()
+    return keyed_rows(rows).join(wanted, "series", "left_semi")
 
 
 def upsert(stored: DataFrame, fresh: DataFrame) -> DataFrame:
@@ -42,8 +70,7 @@ class BaselineStore:
             return self.spark.createDataFrame([], BASELINE)
         return self.spark.read.schema(BASELINE).parquet(*folders)
 
-    def load(self, before: str | None = None) -> DataFrame:
-        """Newest baseline of each series, optionally only from runs before an id."""
+    def _folders(self, before: str | None) -> list[str]:
         bases = [r for r in committed(self.spark, self.base, "run_id") if before is None or r < before]
         floor = bases[-1] if bases else ""
         runs = [
@@ -51,9 +78,17 @@ class BaselineStore:
             for r in committed(self.spark, self.delta, "run_id")
             if r > floor and (before is None or r < before)
         ]
-        folders = [f"{self.base}/run_id={r}" for r in bases[-1:]] + [f"{self.delta}/run_id={r}" for r in runs]
-        rows = self._read(folders)
-        return newest_per_series(rows) if len(folders) > 1 else rows
+        return [f"{self.base}/run_id={r}" for r in bases[-1:]] + [f"{self.delta}/run_id={r}" for r in runs]
+
+    def history(self, before: str | None = None) -> DataFrame:
+        """The newest base and the deltas after it, a series once per run,
+        optionally only from runs before an id."""
+        return self._read(self._folders(before))
+
+    def load(self, before: str | None = None) -> DataFrame:
+        """Newest baseline of each series."""
+        folders = self._folders(before)
+        return newest_per_series(self._read(folders)) if len(folders) > 1 else self._read(folders)
 
     def append(self, rows: DataFrame, run_id: str) -> None:
         """Save a run's baselines. The row keeps its run id, so base rows do too."""

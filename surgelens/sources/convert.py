@@ -75,3 +75,9 @@ def expired_partitions(partitions: DataFrame, as_of: dt.date, keep_days: int) ->
     """Days older than the retention, with the rows they hold."""
     oldest = (as_of - dt.timedelta(days=keep_days)).isoformat()
     return partitions.where(F.col("dt") < oldest).groupBy("dt").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def expired_days(spark: SparkSession, path: str, as_of: dt.date, keep_days: int) -> list[str]:
+    """The same days from the folder names alone, without opening a file."""
+    oldest = (as_of - dt.timedelta(days=keep_days)).isoformat()
+    return [day for (day,) in list_partitions(spark, path, "dt") if day < oldest]

@@ -19,7 +19,7 @@ from surgelens.operators.indicators import tag_findings
 from surgelens.operators.scoring import detect_anomalies
 from surgelens.operators.series import to_points
 from surgelens.params import DetectionParams
-from surgelens.sources.baselines import KEYS, BaselineStore
+from surgelens.sources.baselines import KEYS, BaselineStore, of_active_series
 from surgelens.sources.indicators import Indicators
 from surgelens.sources.sinks import write_findings
 
@@ -87,7 +87,8 @@ def scheduled_cycles(
     def cycle(batch: DataFrame, number: int) -> None:
         run_id = f"{number:012d}"
         points = to_points(batch).persist()
-        found = detect_anomalies(points, params, store.load(before=run_id))
+        stored = of_active_series(store.history(before=run_id), points)
+        found = detect_anomalies(points, params, stored)
         write_findings(tag_findings(found.findings, indicators), findings_path, run_id)
         store.append(found.baselines, run_id)
         points.unpersist()

@@ -129,7 +129,7 @@ def test_empty_input(spark):
 
 @pytest.mark.parametrize("lookback,block", [(15, 10_080), (100_000, 10_080), (100_000, 3)])
 def test_resuming_equals_one_fold(spark, lookback, block):
-    params = BASE.with_(scope="all", sigma=0.5, lookback_minutes=lookback, block_minutes=block)
+    params = BASE.with_(scope="all", sigma=0.5, lookback_minutes=lookback, block_points=block)
     rng = random.Random(9)
     df = frame(spark, [rng.randint(1, 30) for _ in range(20)])
     early = df.where(F.substring("minute", 15, 2).cast("int") < 11)
@@ -155,8 +155,6 @@ def test_bare_stored_baseline(spark):
     stored = spark.createDataFrame(
         [("request_count", "1.1.1.1", "/a", 10.0, 2.0)], "metric string, key string, subkey string, mean double, std double"
     )
-    for name, kind in (("n", "bigint"), ("c", "double"), ("q", "double"), ("last_minute", "timestamp")):
-        stored = stored.withColumn(name, F.lit(None).cast(kind))
     got = detect_anomalies(frame(spark, [17]), BASE, stored).findings.first()
     assert got["score"] == pytest.approx(3.5)
     post = detect_anomalies(frame(spark, [17]), BASE.with_(mode="post_update", sigma=0.0), stored).findings.first()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from surgelens.functions import scalars as X
 from surgelens.operators import hotspots, slices, windows
 from surgelens.sources import logs
-from surgelens.sources.convert import convert_day, convert_new, expired_partitions, write_partitioned
+from surgelens.sources.convert import convert_day, convert_new, expired_days, expired_partitions, write_partitioned
 from surgelens.sources.schemas import VPC, WAF
 from surgelens.sources.sqljob import fill_places, run_sql, run_sql_file
 from surgelens.sources.storage import list_partitions
@@ -184,6 +184,11 @@ def test_hot_hour_is_split_over_files(spark, fresh):
     assert spark.read.parquet(path).count() == 60_000
 
 
+def test_retention_by_folder(spark, waf):
+    assert expired_days(spark, waf, AS_OF.date(), 0) == ["2023-10-26"]
+    assert expired_days(spark, waf, AS_OF.date(), 1) == []
+
+
 def test_retention(spark):
     df = spark.createDataFrame([("2023-07-01",), ("2023-07-01",), ("2023-10-20",)], "dt string")
     got = expired_partitions(df, AS_OF.date(), 90).collect()

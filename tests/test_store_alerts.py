@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from surgelens.operators import alerts
-from surgelens.sources.baselines import BaselineStore, upsert
+from surgelens.sources.baselines import BaselineStore, of_active_series, upsert
 from surgelens.sources.sinks import write_findings
 
 ROW = "metric string, key string, subkey string, mean double, std double, at string"
@@ -45,6 +45,15 @@ def test_store(spark, fresh):
         store.append(store.load(), "../x")
 
 
+def test_only_active_series_are_read_on(spark, fresh):
+    store = BaselineStore(spark, fresh("store"))
+    store.append(baselines(spark, ("a", "s", 1.0, 1.0, "2024-01-01"), ("b", "s", 2.0, 1.0, "2024-01-01")), "1")
+    store.append(baselines(spark, ("b", "s", 3.0, 1.0, "2024-01-02")), "2")
+    active = baselines(spark, ("b", "s", 0.0, 0.0, "2024-01-01"), ("c", "s", 0.0, 0.0, "2024-01-01"))
+    rows = of_active_series(store.history(), active).orderBy("run_id").collect()
+    assert [(r["series"]["key"], r["mean"], r["run_id"]) for r in rows] == [("b", 2.0, "1"), ("b", 3.0, "2")]
+
+
 def test_upsert(spark):
     old = baselines(spark, ("a", "s", 1.0, 1.0, "2024-01-01"), ("b", "s", 2.0, 1.0, "2024-01-01"))
     new = baselines(spark, ("b", "s", 3.0, 1.0, "2024-01-02"), ("c", "s", 4.0, 1.0, "2024-01-02"))
