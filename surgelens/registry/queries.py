@@ -21,6 +21,7 @@ from surgelens.sources import tables as catalog
 from surgelens.sources.baselines import KEYS, BaselineStore, upsert
 from surgelens.sources.indicators import Indicators
 from surgelens.sources.schemas import VPC, WAF
+from surgelens.sources.sinks import read_findings
 from surgelens.streaming import baseline as stream_baseline
 from surgelens.streaming import counts as stream_counts
 from surgelens.streaming import ingest as stream_ingest
@@ -842,9 +843,8 @@ def saved_cycle(spark: SparkSession, sf: str) -> DataFrame:
         run_cycle(
             waf, vpc, as_of, params, store, path + "/points", path + "/findings", LOG_INDICATORS, hotspot_limit=None
         )
-    saved = spark.read.parquet(path + "/findings")
-    run_id = F.regexp_extract(F.input_file_name(), "run_id=([0-9T]+)", 1).alias("run_id")
-    return saved.select(run_id, *KEYS, when_text("minute"), "value", rounded("score"), "mode")
+    saved = read_findings(spark, path + "/findings")
+    return saved.select("run_id", *KEYS, when_text("minute"), "value", rounded("score"), "mode")
 
 
 CAPPED_SQL = folded_sql(

@@ -123,3 +123,21 @@ BASELINE = _struct(
     last_updated=TIME,
     run_id=STRING,
 )
+
+FINDING = _struct(
+    metric=STRING,
+    key=STRING,
+    subkey=STRING,
+    minute=TIME,
+    value=DOUBLE,
+    score=DOUBLE,
+    baseline_mean=DOUBLE,
+    baseline_std=DOUBLE,
+    country=STRING,
+    ua=STRING,
+    source_type=STRING,
+    mode=STRING,
+    ioc_matches=ArrayType(STRING),
+    run_id=STRING,
+    dt=STRING,
+)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from surgelens.operators import alerts
 from surgelens.sources.baselines import BaselineStore, of_active_series, upsert
-from surgelens.sources.sinks import write_findings
+from surgelens.sources.sinks import read_findings, write_findings
 
 ROW = "metric string, key string, subkey string, mean double, std double, at string"
 FINDING = (
@@ -131,5 +131,9 @@ def test_finding_sink_is_repeatable(spark, two, fresh, fmt):
     write_findings(two, path, "1", fmt)
     write_findings(two, path, "1", fmt)
     write_findings(two.limit(1), path, "2", fmt)
-    assert spark.read.format(fmt).load(path).groupBy("run_id").count().orderBy("run_id").collect()[0]["count"] == 2
-    assert spark.read.format(fmt).load(path).count() == 3
+    saved = read_findings(spark, path, fmt)
+    assert [tuple(r) for r in saved.groupBy("run_id").count().orderBy("run_id").collect()] == [("1", 2), ("2", 1)]
+    assert {r["dt"] for r in saved.collect()} == {"2023-10-26"}
+    quiet = fresh("quiet")
+    write_findings(two.limit(0), quiet, "1", fmt)
+    assert read_findings(spark, quiet, fmt).count() == 0

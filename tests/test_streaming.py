@@ -9,6 +9,7 @@ from surgelens.operators.scoring import score_points
 from surgelens.params import DetectionParams
 from surgelens.sources.baselines import BaselineStore
 from surgelens.sources.schemas import WAF
+from surgelens.sources.sinks import read_findings
 from surgelens.streaming.baseline import scheduled_cycles, scored_stream
 from surgelens.streaming.counts import to_parquet, windowed_counts
 from surgelens.streaming.ingest import by_arrival, ingest_text
@@ -55,8 +56,8 @@ def test_scheduled_cycles(spark, fresh):
     for v in whole[1:]:
         mean = 0.7 * mean + 0.3 * v
     assert saved["mean"] == pytest.approx(mean) and saved["n"] == 6
-    found = spark.read.parquet(root + "/findings").where("value = 90").first()
-    assert found["mode"] == "high" and found["run_id"] == 1
+    found = read_findings(spark, root + "/findings").where("value = 90").first()
+    assert found["mode"] == "high" and found["run_id"] == "000000000001"
 
 
 def test_late_records(spark, fresh):
