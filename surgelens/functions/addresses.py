@@ -70,12 +70,13 @@ def ipv6_hex(ip: Column) -> Column:
     def without_tail(bare: Column) -> Column:
         part = lambda i: F.regexp_extract(bare, V4_TAIL, i)
         groups = F.concat(part(1), _hex_pair(part(2), part(3)), F.lit(":"), _hex_pair(part(4), part(5)))
-        return F.when(bare.rlike(V4_TAIL), groups).otherwise(bare)
+        return F.when(F.contains(bare, F.lit(".")) & bare.rlike(V4_TAIL), groups).otherwise(bare)
 
     def parse(bare: Column) -> Column:
         return let(without_tail(bare), _six)
 
-    return F.when(F.contains(ip, F.lit(":")), let(F.regexp_replace(ip, r"%[^%]+\z", ""), parse))
+    unzoned = F.when(F.contains(ip, F.lit("%")), F.regexp_replace(ip, r"%[^%]+\z", "")).otherwise(ip)
+    return F.when(F.contains(ip, F.lit(":")), let(unzoned, parse))
 
 
 def hex_number(digits: Column) -> Column:

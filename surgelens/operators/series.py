@@ -185,11 +185,3 @@ def smoothed(points: DataFrame, alpha: float, block_minutes: int, span_minutes:
         F.col("post.mean").alias("ewma"),
         F.expr(S.state_std("post")).alias("ewma_std"),
     )
-
-
-def densify(points: DataFrame, start: Column, end: Column) -> DataFrame:
-    """Add the silent minutes of each series as zeros (off by default)."""
-    wanted = points.select(*KEYS).distinct().select(
-        *KEYS, F.explode(F.sequence(start, end, F.expr("INTERVAL 1 MINUTE"))).alias("minute")
-    )
-    return wanted.join(points, [*KEYS, "minute"], "left").withColumn("value", F.coalesce("value", F.lit(0.0)))

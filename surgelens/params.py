@@ -23,7 +23,8 @@ class DetectionParams:
     train_days: int = 7
     alpha: float = 0.3
     sigma: float = 3.0
-    top_k: int = 100
+    # None keeps everything.
+    top_k: int | None = 100
     min_count: int = 5
     mode: str = "prior"
     scope: str = "last"
@@ -46,7 +47,8 @@ class DetectionParams:
         if self.mode == "post_update" and self.scope != "last":
             raise ValueError("post_update scores the newest point only")
         for name in ("lookback_minutes", "every_minutes", "train_days", "top_k", "step_minutes", "block_points"):
-            if getattr(self, name) <= 0:
+            value = getattr(self, name)
+            if value is not None and value <= 0:
                 raise ValueError(f"{name} must be positive")
 
     @property

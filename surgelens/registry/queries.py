@@ -838,7 +838,7 @@ def saved_cycle(spark: SparkSession, sf: str) -> DataFrame:
     waf = logs.read_waf(spark, T.landed(spark, sf, "waf"))
     vpc = logs.read_vpc(spark, T.landed(spark, sf, "vpc"))
     half = T.LOG_MINUTES // 2
-    params = CYCLE.with_(lookback_minutes=half, drop_open_minute=True, top_k=2**31 - 1)
+    params = CYCLE.with_(lookback_minutes=half, drop_open_minute=True, top_k=None)
     for as_of in (T.AS_OF - dt.timedelta(minutes=half), T.AS_OF):
         run_cycle(
             waf, vpc, as_of, params, store, path + "/points", path + "/findings", LOG_INDICATORS, hotspot_limit=None

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from surgelens.functions.scalars import day_label, hour_label
 from surgelens.session import scratch_path, utc
 from surgelens.sources.convert import write_partitioned
 
@@ -22,16 +24,16 @@ MONTH_MS = 1704067200000
 LOG_MS = 1706616000000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+_schemas: dict[tuple[str, str], StructType] = {}
 
 
-def _by_case(selector: Column, values: list[str | None]) -> Column:
-    out = F.lit(None).cast("string")
-    for i, v in enumerate(values):
-        if v is not None:
-            out = F.when(selector == i, F.lit(v)).otherwise(out)
-    return out
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Its footer is read for the schema once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    slot = (spark.sparkContext.applicationId, path)
+    if slot not in _schemas:
+        _schemas[slot] = spark.read.parquet(path).schema
+    return utc(spark).read.schema(_schemas[slot]).parquet(path)
 
 
 COUNTRIES = ["US", "KR", "RU", "KP", None]
@@ -40,6 +42,11 @@ PATHS = ["/.env", "/etc/passwd", "/search?q=Union+Select+1"]
 PORTS = [22, 80, 443, 3389]
 
 
+def _sql_case(selector: str, values: list[str | None]) -> str:
+    arms = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values) if v is not None)
+    return f"CASE {selector} {arms} END"
+
+
 def _log_columns(events: DataFrame) -> DataFrame:
     k = F.from_json("props", "k INT")["k"]
     millis = F.unix_millis(F.col("ts").cast("timestamp"))
@@ -51,7 +58,6 @@ def _log_columns(events: DataFrame) -> DataFrame:
         k.alias("k"),
         who.alias("who"),
         log_ms.alias("ms"),
-        F.timestamp_millis(log_ms).alias("at"),
         F.concat(F.lit("10.0.0."), (who + 98).cast("string")).alias("ip"),
     )
 
@@ -59,7 +65,7 @@ def _log_columns(events: DataFrame) -> DataFrame:
 def waf_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested web-request records, in the layout of the log scan."""
     e = _log_columns(table(spark, sf_dir, "events"))
-    agent = _by_case(F.col("who"), AGENTS)
+    agent = F.expr(_sql_case("who", AGENTS))
     pair = lambda n, v: F.struct(F.lit(n).alias("name"), v.alias("value"))
     host = pair("Host", F.lit("example.com"))
     headers = F.when(agent.isNotNull(), F.array(host, pair("User-Agent", agent))).otherwise(F.array(host))
@@ -67,7 +73,7 @@ def waf_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = F.when(F.col("k") < 50, F.array(label, F.struct(F.lit("second").alias("name")))).otherwise(
         F.array().cast("array<struct<name:string>>")
     )
-    path = F.coalesce(_by_case(F.col("k") % 10, PATHS), F.concat(F.lit("/"), F.col("event_type")))
+    path = F.coalesce(F.expr(_sql_case("k % 10", PATHS)), F.concat(F.lit("/"), F.col("event_type")))
     return e.select(
         F.col("ms").alias("timestamp"),
         F.lit(1).alias("formatVersion"),
@@ -77,15 +83,13 @@ def waf_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("terminatingRule"),
         F.struct(
             F.col("ip").alias("clientIp"),
-            _by_case(F.col("who"), COUNTRIES).alias("country"),
+            F.expr(_sql_case("who", COUNTRIES)).alias("country"),
             headers.alias("headers"),
             path.alias("uri"),
             F.lit("GET").alias("method"),
         ).alias("httpRequest"),
         F.struct(F.lit(200).alias("statusCode")).alias("httpResponse"),
         labels.alias("labels"),
-        F.date_format("at", "yyyy-MM-dd").alias("dt"),
-        F.date_format("at", "HH").alias("hr"),
     )
 
 
@@ -109,8 +113,6 @@ def vpc_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (start + 5).alias("end"),
         F.when(F.col("event_type") == "error", "REJECT").otherwise("ACCEPT").alias("action"),
         F.lit("OK").alias("log-status"),
-        F.date_format("at", "yyyy-MM-dd").alias("dt"),
-        F.date_format("at", "HH").alias("hr"),
     )
 
 
@@ -122,8 +124,12 @@ def landed(spark: SparkSession, sf_dir: str, kind: str) -> str:
     slot = (spark.sparkContext.applicationId, sf_dir, kind)
     if slot not in _landed:
         path = scratch_path(spark, f"{kind}-logs")
-        logs = waf_logs(spark, sf_dir) if kind == "waf" else vpc_logs(spark, sf_dir)
-        write_partitioned(logs, path, fmt="json")
+        if kind == "waf":
+            logs, at = waf_logs(spark, sf_dir), F.timestamp_millis("timestamp")
+        else:
+            logs, at = vpc_logs(spark, sf_dir), F.timestamp_seconds("start")
+        dated = logs.withColumns({"dt": day_label(at), "hr": hour_label(at)})
+        write_partitioned(dated, path, fmt="json")
         _landed[slot] = path
     return _landed[slot]
 
@@ -152,11 +158,6 @@ def daily_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _sql_case(selector: str, values: list[str | None]) -> str:
-    arms = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values) if v is not None)
-    return f"CASE {selector} {arms} END"
-
-
 LOG_SQL = f"""
 log AS (
   SELECT event_id, event_type, who, k, ms, make_timestamp(ms * 1000) AS log_time,

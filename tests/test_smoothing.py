@@ -85,10 +85,3 @@ def test_ties_fall_from_largest_to_smallest(spark):
     tail = series.series_tails(df, 0.3, 10_080).first()
     latest = series.latest_point(df).first()
     assert tail["point"]["value"] == latest["value"] == 2.0
-
-
-def test_densify_adds_silent_minutes(spark):
-    df = points_frame(spark, [("k", 0, 5), ("k", 3, 7)]).select("metric", "key", "subkey", "minute", "value")
-    start = F.timestamp_seconds(F.lit(1_700_000_000 // 60 * 60))
-    full = series.densify(df, start, start + F.expr("INTERVAL 4 MINUTES")).orderBy("minute").collect()
-    assert [r["value"] for r in full] == [5.0, 0.0, 0.0, 7.0, 0.0]
