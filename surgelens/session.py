@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -44,24 +43,32 @@ def utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_dirs: dict[str, str] = {}
+
+
+def _named_dir(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    Only a local master may fall back to a temporary folder.
+    Only a local master may fall back to a temporary folder, one per session.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = _named_dir(spark)
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="surgelens-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="surgelens-")
+    return _local_dirs[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; never reused, never cleared."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def broadcast_within(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
