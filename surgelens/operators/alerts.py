@@ -16,7 +16,21 @@ from surgelens.operators.scoring import run_summary
 from surgelens.sources.baselines import KEYS
 
 TITLE = "Log anomaly detected"
+
+# The wording of chat messages and the names of the run's metrics.
 QUIET = "No anomalies detected."
+FINDING_TEXT = """*%d. Metric:* `%s`
+*Key:* `%s`
+*Subkey:* `%s`
+*Value:* `%s`
+*Score (Sigma):* `%s` (%s)
+*Baseline Mean:* `%s`
+*Baseline StdDev:* `%s`
+"""
+SOURCE_TEXT = "*Detection Time:* {timestamp}\n*Source:* {source}"
+INDICATOR_TEXT = "*IOC Matches:* "
+METRICS = ("AnomalyCount", "MaxAnomalyScore")
+
 FIELDS = ("key", "subkey", "minute", "value", "score", "baseline_mean", "baseline_std", "metric", "mode", "ioc_matches")
 
 
@@ -52,18 +66,18 @@ def _named(field: str) -> Column:
 
 def finding_text() -> Column:
     """One finding as chat text."""
-    lines = [
-        F.concat(F.lit("*"), F.col("rank").cast("string"), F.lit(". Metric:* `"), _named("metric"), F.lit("`\n")),
-        F.concat(F.lit("*Key:* `"), _named("key"), F.lit("`\n")),
-        F.concat(F.lit("*Subkey:* `"), _named("subkey"), F.lit("`\n")),
-        F.concat(F.lit("*Value:* `"), _shown_value(F.col("finding.value")), F.lit("`\n")),
-        F.concat(
-            F.lit("*Score (Sigma):* `"), _two_digits(F.col("finding.score")), F.lit("` ("), _named("mode"), F.lit(")\n")
-        ),
-        F.concat(F.lit("*Baseline Mean:* `"), _two_digits(F.col("finding.baseline_mean")), F.lit("`\n")),
-        F.concat(F.lit("*Baseline StdDev:* `"), _two_digits(F.col("finding.baseline_std")), F.lit("`\n")),
-    ]
-    return F.concat(*lines)
+    return F.format_string(
+        FINDING_TEXT,
+        F.col("rank"),
+        _named("metric"),
+        _named("key"),
+        _named("subkey"),
+        _shown_value(F.col("finding.value")),
+        _two_digits(F.col("finding.score")),
+        _named("mode"),
+        _two_digits(F.col("finding.baseline_mean")),
+        _two_digits(F.col("finding.baseline_std")),
+    )
 
 
 def alert_rows(findings: DataFrame, top_k: int) -> DataFrame:
@@ -72,7 +86,7 @@ def alert_rows(findings: DataFrame, top_k: int) -> DataFrame:
     return ranked(findings, top_k).select(
         "rank",
         finding_text().alias("text"),
-        F.when(F.size(matches) > 0, F.concat(F.lit("*IOC Matches:* "), F.array_join(matches, ", "))).alias("ioc_text"),
+        F.when(F.size(matches) > 0, F.concat(F.lit(INDICATOR_TEXT), F.array_join(matches, ", "))).alias("ioc_text"),
     )
 
 
@@ -102,9 +116,8 @@ def chat_digest(findings: DataFrame, context: Mapping[str, str], top_k: int, tit
         ),
     )
     header = F.concat(F.lit(f"🚨 {title} ("), F.col("n").cast("string"), F.lit(" findings) 🚨"))
-    source = F.lit(
-        f"*Detection Time:* {context.get('timestamp', MISSING)}\n*Source:* {context.get('source', MISSING)}"
-    )
+    given = {name: context.get(name, MISSING) for name in ("timestamp", "source")}
+    source = F.lit(SOURCE_TEXT.format(**given))
     opening = F.array(section(header, "header", "plain_text"), section(source), divider())
     body = F.concat(F.lit('{"blocks":['), F.array_join(F.concat(opening, F.col("blocks")), ","), F.lit("]}"))
     quiet = F.to_json(F.struct(F.lit(QUIET).alias("text")))
@@ -134,9 +147,8 @@ def metric_record(
     findings: DataFrame, namespace: str, dimensions: Mapping[str, str], timestamp_ms: int
 ) -> DataFrame:
     """One embedded-metric JSON line with the run's two summary metrics."""
-    names = ("AnomalyCount", "MaxAnomalyScore")
     units = F.array(
-        *[F.struct(F.lit(n).alias("Name"), F.lit("Count").alias("Unit")) for n in names]
+        *[F.struct(F.lit(n).alias("Name"), F.lit("Count").alias("Unit")) for n in METRICS]
     )
     directive = F.struct(
         F.lit(namespace).alias("Namespace"),
@@ -148,7 +160,7 @@ def metric_record(
             F.lit(timestamp_ms).cast("bigint").alias("Timestamp"), F.array(directive).alias("CloudWatchMetrics")
         ).alias("_aws"),
         *[F.lit(v).alias(k) for k, v in dimensions.items()],
-        F.col("anomaly_count").alias(names[0]),
-        F.col("max_anomaly_score").alias(names[1]),
+        F.col("anomaly_count").alias(METRICS[0]),
+        F.col("max_anomaly_score").alias(METRICS[1]),
     )
     return run_summary(findings).select(F.to_json(record).alias("record"))

@@ -16,6 +16,9 @@ from surgelens.functions.scalars import epoch_millis_to_ts, epoch_seconds_to_ts,
 from surgelens.functions.scalars import header_value
 from surgelens.operators.slices import partition_range, within_epoch
 
+# Metric and source names.
+REQUESTS, FLOWS = "request_count", "connection_count"
+WAF, VPC = "WAF", "VPC"
 UNION_COLUMNS = ["minute", "key", "subkey", "country", "rule_label", "value", "metric", "source_type"]
 
 
@@ -52,13 +55,13 @@ def waf_counts(logs: DataFrame, as_of: dt.datetime, minutes: int, with_ua: bool
         first_label(F.col("labels")).alias("rule_label"),
     ]
     if not with_ua:
-        return count_groups(recent, keys).withColumn("metric", F.lit("request_count"))
+        return count_groups(recent, keys).withColumn("metric", F.lit(REQUESTS))
     # The smallest user agent of a group stands for it: it merges map-side.
     agent = header_value(F.col("httpRequest.headers"), "User-Agent")
     return (
         recent.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("value"), F.min(agent).alias("ua"))
-        .withColumn("metric", F.lit("request_count"))
+        .withColumn("metric", F.lit(REQUESTS))
     )
 
 
@@ -71,7 +74,7 @@ def vpc_counts(logs: DataFrame, as_of: dt.datetime, minutes: int, extra: Sequenc
         F.col("dstport").alias("subkey"),
         *extra,
     ]
-    return count_groups(recent, keys).withColumn("metric", F.lit("connection_count"))
+    return count_groups(recent, keys).withColumn("metric", F.lit(FLOWS))
 
 
 def waf_hotspots(logs: DataFrame, as_of: dt.datetime, minutes: int, top_k: int) -> DataFrame:
@@ -89,13 +92,13 @@ def union_counts(
 ) -> DataFrame:
     """Both sources in one schema; with ``top_k``, each source keeps its k largest."""
     nothing = F.lit(None).cast("string")
-    requests = waf_counts(waf, as_of, minutes, with_ua).withColumn("source_type", F.lit("WAF"))
+    requests = waf_counts(waf, as_of, minutes, with_ua).withColumn("source_type", F.lit(WAF))
     flows = vpc_counts(vpc, as_of, minutes).withColumns(
         {
             "subkey": F.col("subkey").cast("string"),
             "country": nothing,
             "rule_label": nothing,
-            "source_type": F.lit("VPC"),
+            "source_type": F.lit(VPC),
         }
     )
     columns = list(UNION_COLUMNS)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surgelens.functions.addresses import hex_number, high_bits, ipv4_number, ipv6_hex, let
+from surgelens.operators.hotspots import REQUESTS, WAF
 from surgelens.session import broadcast_within
 from surgelens.sources.indicators import Indicators, Network
 
@@ -23,6 +24,11 @@ NETWORK_LITERALS = 64
 # More distinct prefix lengths than this are widened to whole bytes.
 PREFIX_LENGTHS = 8
 
+# The prefixes of rule names.
+CIDR, COUNTRY = "CIDR", "Country"
+UA_EXACT, UA_REGEX = "UA_Exact", "UA_Regex"
+URI_EXACT, URI_REGEX = "URI_Exact", "URI_Regex"
+
 RULES = ("cidr_rule", "country_rule", "ua_rule", "ua_regex_rule", "uri_rule", "uri_regex_rule")
 
 
@@ -55,17 +61,17 @@ def _pattern_rule(c: Column, patterns: Sequence[str], label: str) -> Column:
 
 
 def match_country(df: DataFrame, column: str, found: Indicators) -> DataFrame:
-    return _match_exact(df, column, found.countries, "Country", "country_rule")
+    return _match_exact(df, column, found.countries, COUNTRY, "country_rule")
 
 
 def match_user_agent(df: DataFrame, column: str, found: Indicators) -> DataFrame:
-    exact = _match_exact(df, column, found.user_agents, "UA_Exact", "ua_rule")
-    return exact.withColumn("ua_regex_rule", _pattern_rule(F.col(column), found.user_agent_patterns, "UA_Regex"))
+    exact = _match_exact(df, column, found.user_agents, UA_EXACT, "ua_rule")
+    return exact.withColumn("ua_regex_rule", _pattern_rule(F.col(column), found.user_agent_patterns, UA_REGEX))
 
 
 def match_uri(df: DataFrame, column: str, found: Indicators) -> DataFrame:
-    exact = _match_exact(df, column, found.uris, "URI_Exact", "uri_rule")
-    return exact.withColumn("uri_regex_rule", _pattern_rule(F.col(column), found.uri_patterns, "URI_Regex"))
+    exact = _match_exact(df, column, found.uris, URI_EXACT, "uri_rule")
+    return exact.withColumn("uri_regex_rule", _pattern_rule(F.col(column), found.uri_patterns, URI_REGEX))
 
 
 def _by_prefix(networks: Sequence[Network], width: int) -> dict[int, dict[int, tuple[int, str]]]:
@@ -128,7 +134,7 @@ def _first_network(address: Column, networks: Sequence[Network], version: int) -
             _prefix_keys(version, net.prefix, address), _network_keys(version, net.prefix, bits)
         ):
             inside = inside & (have == F.lit(want).cast("bigint"))
-        tests.append(F.when(inside, F.lit(f"CIDR:{net.label}")))
+        tests.append(F.when(inside, F.lit(f"{CIDR}:{net.label}")))
     return F.coalesce(*tests)
 
 
@@ -153,7 +159,7 @@ def _match_version(df: DataFrame, column: str, networks: Sequence[Network], vers
         df = df.join(broadcast_within(nets, len(entries), 128), condition, "left").drop(*keys)
         hits.append(hit)
     first = F.array_min(F.array_compact(F.array(*[F.col(h) for h in hits])))["label"]
-    return df.withColumn(out, F.concat(F.lit("CIDR:"), first)).drop(number, *hits)
+    return df.withColumn(out, F.concat(F.lit(CIDR + ":"), first)).drop(number, *hits)
 
 
 def _of_version(found: Indicators, version: int) -> list[Network]:
@@ -197,11 +203,11 @@ def _all_rules(r: Column, found: Indicators) -> Column:
     return F.array_compact(
         F.array(
             _network_rule(r["ip"], found),
-            _exact_rule(r["country"], found.countries, "Country"),
-            _exact_rule(r["ua"], found.user_agents, "UA_Exact"),
-            _pattern_rule(r["ua"], found.user_agent_patterns, "UA_Regex"),
-            _exact_rule(r["uri"], found.uris, "URI_Exact"),
-            _pattern_rule(r["uri"], found.uri_patterns, "URI_Regex"),
+            _exact_rule(r["country"], found.countries, COUNTRY),
+            _exact_rule(r["ua"], found.user_agents, UA_EXACT),
+            _pattern_rule(r["ua"], found.user_agent_patterns, UA_REGEX),
+            _exact_rule(r["uri"], found.uris, URI_EXACT),
+            _pattern_rule(r["uri"], found.uri_patterns, URI_REGEX),
         )
     )
 
@@ -247,7 +253,7 @@ def tag_findings(findings: DataFrame, found: Indicators | None) -> DataFrame:
     """Adds ``ioc_matches`` (NULL if none). The subkey is a URI only for web requests."""
     if found is None or found.is_empty():
         return findings.withColumn("ioc_matches", F.lit(None).cast("array<string>"))
-    is_web = (F.col("source_type") == "WAF") | (F.col("source_type").isNull() & (F.col("metric") == "request_count"))
+    is_web = (F.col("source_type") == WAF) | (F.col("source_type").isNull() & (F.col("metric") == REQUESTS))
     tagged = match_all(
         findings.withColumn("_uri", F.when(is_web, F.col("subkey"))),
         found,

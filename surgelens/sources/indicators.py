@@ -7,8 +7,6 @@ import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-KINDS = ("cidr", "country", "ua", "ua_regex", "uri", "uri_regex")
-
 
 @dataclass(frozen=True)
 class Network:
