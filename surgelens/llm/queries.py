@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from surgelens.llm import linefirst
+from surgelens.llm import linefirst, positional, simhash
 from surgelens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,3 +28,26 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @query("op10_line_first_cleaning")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linefirst.assess(documents(spark, sf_dir))
+
+
+@query("op7_positional_index")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = positional.contamination(documents(spark, sf_dir), benchmark, window=10)
+    hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.after - s.first)")
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near_items"),
+    )
+
+
+@query("op6_simhash_blocks")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=3)
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
