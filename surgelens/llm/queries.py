@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgelens.llm import linefirst, positional, simhash
+from surgelens.llm import binpack, linefirst, positional, simhash
 from surgelens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,3 +51,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=3)
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query("op2_bin_completion")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binpack.pack(documents(spark, sf_dir), capacity=1024, end_id=2)
