@@ -5,10 +5,10 @@ full pieces, the first of which may be shorter. Only the number of pieces of
 each length matters for the packing: ``capacity`` numbers, however many
 documents there are. On these the driver runs bin completion: take the largest
 length left, enumerate the undominated fillings of the room beside it, and use
-the best fit as often as the numbers allow. The first dive gives the incumbent;
-a branch is cut off once its waste exceeds what an improvement could leave over.
-The search ends when the incumbent meets the lower bound, or after ``NODES``
-decisions. Each use of a filling exhausts a length, so the plan has as many
+the best fit as often as the numbers allow. A dive for each of ``PRICES`` gives
+the incumbent; then a branch is cut off once its waste exceeds what an
+improvement could leave over. The search ends when the incumbent meets the lower
+bound, or after ``NODES`` decisions. Each use of a filling exhausts a length, so the plan has as many
 entries as there are lengths, not documents.
 
 Pieces are then numbered within their length, in bounded groups, and take the
@@ -37,6 +37,7 @@ from surgelens.llm.wordpieces import BYTE_BPE, word_pieces
 # Decisions of the search after the first dive, fillings tried for one decision,
 # and pieces of one length that are numbered in one group.
 NODES = 20_000
+PRICES = (0.0, 1.0, 4.0, 16.0, 64.0, 256.0, 1024.0)
 WIDTH = 4
 GROUP_ROWS = 50_000
 
@@ -113,8 +114,9 @@ def _dominates(a: tuple[int, ...], b: tuple[int, ...]) -> bool:
     return len(b) <= 8 and fits(tuple(sorted(a)), tuple(sorted(b, reverse=True)))
 
 
-def fillings(state: _State, room: int, width: int = WIDTH) -> list[tuple[int, ...]]:
-    """The best undominated fillings of ``room``, least waste first."""
+def fillings(state: _State, room: int, width: int = WIDTH, price: float = 0.0) -> list[tuple[int, ...]]:
+    """The best undominated fillings of ``room``, least waste first; a further
+    piece counts as ``price`` of waste, for small pieces are of use later on."""
     if room <= 0 or not state.below[room]:
         return [()]
     if state.counts[room]:
@@ -150,7 +152,7 @@ def fillings(state: _State, room: int, width: int = WIDTH) -> list[tuple[int, ..
             trio.pop(0, None)
             if all(state.counts[n] >= k for n, k in trio.items()):
                 found.add(greedy(tuple(trio.elements()), room - sum(trio.elements())))
-    ranked = sorted(found, key=lambda f: (room - sum(f), len(f), [-n for n in f]))
+    ranked = sorted(found, key=lambda f: (room - sum(f) + price * len(f), len(f), [-n for n in f]))
     kept: list[tuple[int, ...]] = []
     for own in ranked:
         if len(kept) < width and not any(_dominates(better, own) for better in kept):
@@ -160,12 +162,21 @@ def fillings(state: _State, room: int, width: int = WIDTH) -> list[tuple[int, ..
 
 def complete(numbers: dict[int, int], capacity: int, nodes: int = NODES) -> list[Pattern]:
     """Bin completion: (lengths of a bin, how many such bins), few bins in all."""
+    dives = [_search(numbers, capacity, 0, price, None) for price in PRICES]
+    used = [sum(times for _, times in plan) for plan in dives]
+    best = used.index(min(used))
+    return _search(numbers, capacity, nodes, PRICES[best], dives[best])
+
+
+def _search(
+    numbers: dict[int, int], capacity: int, nodes: int, price: float, best: list[Pattern] | None
+) -> list[Pattern]:
+    """Depth first, from the incumbent ``best`` on, or one dive if there is none."""
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in numbers.items():
         counts[length] = n
     volume, bound = int((counts * np.arange(capacity + 1)).sum()), lower_bound(counts)
-    best: list[Pattern] | None = None
-    fewest = 0
+    fewest = sum(times for _, times in best or [])
     state = _State(counts)
     stack: list[tuple[list[tuple[int, ...]], Pattern | None]] = []
     plan: list[Pattern] = []
@@ -175,7 +186,7 @@ def complete(numbers: dict[int, int], capacity: int, nodes: int = NODES) -> list
         top = int(state.below[capacity])
         state.counts[top] -= 1
         state.refresh()
-        own = [(top, *f) for f in fillings(state, capacity - top, 1 if top == capacity else WIDTH)]
+        own = [(top, *f) for f in fillings(state, capacity - top, 1 if top == capacity else WIDTH, price)]
         state.counts[top] += 1
         state.refresh()
         return own[::-1]
