@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgelens.llm import binpack, linefirst, positional, simhash, splitters
+from surgelens.llm import binpack, license_join, linefirst, positional, simhash, splitters
 from surgelens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = splitters.assign(documents(spark, sf_dir), n_shards=8)
     law = F.lit("bytes").alias("law")
     return found.select("doc_id", "size", "text_crc32", law, "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op9_license_set_join")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_join.scan(documents(spark, sf_dir)).drop("blocks")
