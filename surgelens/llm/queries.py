@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgelens.llm import binpack, license_join, linefirst, positional, simhash, splitters
+from surgelens.llm import binpack, license_join, linefirst, positional, quotes, simhash, splitters
 from surgelens.llm.common import documents
+from surgelens.session import utc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,3 +69,54 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_license_set_join")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_join.scan(documents(spark, sf_dir)).drop("blocks")
+
+
+def quoting_messages(spark: SparkSession, sf_dir: str, levels: int = 3) -> DataFrame:
+    """The conversations as mail: every turn quotes up to three turns before it."""
+    turns = utc(spark).read.parquet(f"{sf_dir}/conversations.parquet")
+    turns = turns.groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
+    mail = turns.select("conv_id", "turn", "text")
+    for k in range(1, levels + 1):
+        marks = ">" * k + " "
+        quoted = F.concat(F.lit(marks), F.regexp_replace("text", "\n", "\n" + marks), F.lit("\n"))
+        earlier = turns.select("conv_id", (F.col("turn") + k).alias("turn"), quoted.alias(f"quote{k}"))
+        mail = mail.join(earlier, ["conv_id", "turn"], "left")
+    quotes = [F.coalesce(f"quote{k}", F.lit("")) for k in range(levels, 0, -1)]
+    body = F.concat(*quotes, F.lit("\n"), F.coalesce("text", F.lit("")))
+    return mail.select("conv_id", "turn", (F.col("conv_id") * 1024 + F.col("turn")).alias("id"), body.alias("text"))
+
+
+@query(
+    "op1_quotation_linking",
+    r"""
+    WITH turns AS (SELECT conv_id, turn, min(text) AS text FROM conversations GROUP BY conv_id, turn),
+    numbered AS (
+        SELECT *, conv_id * 1024 + turn AS id, regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g') AS own FROM turns),
+    -- A turn without words quotes nothing; then the turn before that one is the lowest level quoted.
+    linked AS (
+        SELECT a.id, a.own, max(b.id) AS parent_id FROM numbered a LEFT JOIN numbered b
+        ON a.conv_id = b.conv_id AND b.turn BETWEEN a.turn - 3 AND a.turn - 1 AND b.own <> '' GROUP BY a.id, a.own),
+    chains AS (
+        SELECT *, id // 1024 AS conv_id,
+            sum(CASE WHEN parent_id IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY id // 1024 ORDER BY id) AS chain
+        FROM linked)
+    SELECT id // 1024 AS conv_id, id % 1024 AS turn, id AS message_id, parent_id,
+        min(id) OVER (PARTITION BY conv_id, chain) AS root_id,
+        row_number() OVER (PARTITION BY conv_id, chain ORDER BY id) - 1 AS depth,
+        row_number() OVER (PARTITION BY conv_id, chain ORDER BY id) - 1 AS position,
+        sha256(own) AS text_sha256
+    FROM chains
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quotes.conversations(quoting_messages(spark, sf_dir))
+    return found.select(
+        F.expr("id div 1024").alias("conv_id"),
+        (F.col("id") % 1024).alias("turn"),
+        F.col("id").alias("message_id"),
+        "parent_id",
+        "root_id",
+        F.col("depth").cast("long").alias("depth"),
+        "position",
+        F.sha2(F.col("text"), 256).alias("text_sha256"),
+    )
