@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgelens.llm import binpack, license_join, linefirst, positional, quotes, simhash, splitters
+from surgelens.llm import binpack, langbits, license_join, linefirst, positional, quotes, simhash, splitters
 from surgelens.llm.common import documents
 from surgelens.session import utc
 
@@ -120,3 +120,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "position",
         F.sha2(F.col("text"), 256).alias("text_sha256"),
     )
+
+
+@query("op8_language_bits")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    model = langbits.learn(docs.filter(langbits.residue("doc_id", 4) != 2))
+    found = langbits.predict(docs, model)
+    held = (langbits.residue("doc_id", 4) == 2).alias("held_out")
+    return found.select("doc_id", held, "lang_pred", "score")
