@@ -34,12 +34,12 @@ from pyspark.sql import functions as F
 from surgelens.llm.common import raw, small_batches, stored
 from surgelens.llm.wordpieces import BYTE_BPE, word_pieces
 
-# Decisions of the search after the first dive, fillings tried for one decision,
-# and pieces of one length that are numbered in one group.
+# Decisions of the search after the dives, fillings tried for one decision, and
+# the groups that the pieces are numbered in, beside one for each length.
 NODES = 20_000
 PRICES = (0.0, 1.0, 4.0, 16.0, 64.0, 256.0, 1024.0)
 WIDTH = 4
-GROUP_ROWS = 50_000
+GROUPS = 8192
 
 Pattern = tuple[tuple[int, ...], int]
 
@@ -261,7 +261,8 @@ class Places:
 def numbered(cut: DataFrame, counts: dict[int, int], capacity: int) -> DataFrame:
     """``cut`` with ``number``, from 0 within a length. Frequent lengths are dealt
     to several groups, numbered apart and then shifted by what came before."""
-    groups = [max(1, -(-counts.get(n, 0) // GROUP_ROWS)) for n in range(1, capacity + 1)]
+    rows = max(1, sum(counts.values()) // GROUPS)
+    groups = [max(1, counts.get(n, 0) // rows) for n in range(1, capacity + 1)]
     of = F.expr(f"element_at(array({','.join(map(str, groups))}), int(length))")
     dealt = cut.withColumn("deal", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), of))
     sizes = dealt.groupBy("length", "deal").count().collect()

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surgelens.llm.common import plain_words, raw, small_batches, stored
+from surgelens.llm.common import free_name, plain_words, raw, small_batches, stored
 
 # Words of test items that are searched for at once.
 BLOCK_WORDS = 500_000
@@ -264,3 +264,18 @@ def contamination(
         found = search(index, [(i, [number[w] for w in words]) for i, words in block], window, near_terms, slop)
         parts = found if parts is None else _merged(stored(parts.unionAll(found), "matches"))
     return parts.drop("segment", "place")
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 10) -> DataFrame:
+    """``docs`` without the rows that hold a passage of a test item.
+
+    Only the ids of such documents are joined back, and a row goes if its own
+    text was hit: rows that share an id but not the text are told apart by a hash.
+    """
+    digest = lambda: F.xxhash64(F.col(f"`{text}`"))
+    name, hashed = free_name(docs, "hit_id"), free_name(docs, "hit_text")
+    own = docs.select(F.struct(F.col(f"`{doc_id}`").alias("id"), digest().alias("text_hash")).alias("row"), F.col(f"`{text}`").alias("text"))
+    found = contamination(own, benchmark, doc_id="row", window=window).filter(F.size("spans") > 0)
+    hit = stored(found.select("doc_id.id", "doc_id.text_hash").distinct(), "hits").toDF(name, hashed)
+    match = F.col(f"`{doc_id}`").eqNullSafe(F.col(name)) & (digest() == F.col(hashed))
+    return docs.join(hit, match, "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgelens.llm import binpack, langbits, license_join, linefirst, positional, quotes, simhash, splitters
+from surgelens.llm import binpack, langbits, license_join, linefirst, positional, quotes, simhash, skipchain, splitters
 from surgelens.llm.common import documents
 from surgelens.session import utc
 
@@ -129,3 +129,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langbits.predict(docs, model)
     held = (langbits.residue("doc_id", 4) == 2).alias("held_out")
     return found.select("doc_id", held, "lang_pred", "score")
+
+
+@query("op5_skip_chain_field")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = skipchain.detect(docs, skipchain.learn(docs))
+    joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    counts = [count(kind).alias(f"n_{kind}") for kind in skipchain.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
