@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgelens.llm import binpack, langbits, license_join, linefirst, positional, quotes, simhash, skipchain, splitters
+from surgelens.llm import binpack, langbits, license_join, linefirst, pitman_yor, positional, quotes, simhash, skipchain, splitters
 from surgelens.llm.common import documents
 from surgelens.session import utc
 
@@ -139,3 +139,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     counts = [count(kind).alias(f"n_{kind}") for kind in skipchain.KINDS]
     return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+@query("op3_pitman_yor")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("train", langbits.residue("doc_id", 10) != 0)
+    found = pitman_yor.score(docs)
+    held = (~F.col("train")).alias("held_out")
+    return found.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score")
