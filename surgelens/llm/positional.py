@@ -239,7 +239,7 @@ def _merged(parts: DataFrame) -> DataFrame:
         " array(named_struct('first', element_at(s, -1).first, 'after', greatest(element_at(s, -1).after, x.after))))"
         " ELSE concat(s, array(x)) END)"
     )
-    return joined.withColumn("spans", united).drop("all")
+    return joined.withColumn("spans", united).select(*key, "doc_id", "n_words", "spans", "items", "near_items")
 
 
 def contamination(

@@ -8,7 +8,7 @@ meetings below the number of keys, so the work grows as the input does.
 
 Fingerprints are made distinct first; copies cost one row. Keys that many
 distinct fingerprints share (a crowd of near copies) are cut anew on their free
-bits, again and again, until a key holds at most ``CROWD`` of them; a key whose
+bits, level by level, until a key holds at most ``CROWD`` of them; a key whose
 free bits are no more than ``max_bits`` links everything it holds. Within a key
 the sorted rows stream through a worker, which checks the distances and passes
 on a spanning forest, never all pairs. Components follow from the forests.
@@ -91,19 +91,13 @@ def blocks_for(n: int, max_bits: int) -> int:
     return blocks
 
 
-def _mask(free: list[int]) -> int:
-    """A signed 64-bit mask that clears the free bits."""
-    return int(np.uint64(2**BITS - 1 - sum(1 << b for b in free)).view(np.int64))
+def _signed(bits: list[int]) -> int:
+    """A signed 64-bit number with the given bits set."""
+    return int(np.uint64(sum(1 << b for b in bits)).view(np.int64))
 
 
-def keyed(prints: DataFrame, frees: list[list[int]], scope: str = "''") -> DataFrame:
-    """A row (key, fp) for every choice. A key names its free bits and the rest.
-
-    ``scope``: an SQL expression for the key under which the rows were cut before.
-    """
-    each = ", ".join(f"struct({i} AS i, fp & {_mask(f)}L AS rest)" for i, f in enumerate(frees))
-    rows = prints.select("fp", F.expr(scope).alias("scope"), F.explode(F.expr(f"array({each})")).alias("k"))
-    return rows.select("fp", F.concat_ws("/", "scope", F.col("k.i"), F.hex("k.rest")).alias("key"), F.col("k.i").alias("choice"))
+def _bits(mask: int) -> list[int]:
+    return [b for b in range(BITS) if mask >> b & 1]
 
 
 def forest(prints: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
@@ -122,19 +116,20 @@ def forest(prints: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
 
 
 def _forests(max_bits: int):
-    """Streams rows sorted by key; a key's rows are bounded by ``CROWD``."""
+    """Streams rows sorted by key; a key's rows are bounded by ``crowd``."""
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
         for batch in batches:
-            keys = batch.column("key").to_numpy(zero_copy_only=False)
-            prints = batch.column("fp").to_numpy()
-            cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1 if len(keys) else []
+            free, rest, prints = (batch.column(c).to_numpy() for c in ("free", "rest", "fp"))
+            cuts = np.flatnonzero((free[1:] != free[:-1]) | (rest[1:] != rest[:-1])) + 1
             edges = []
-            for own, part in zip(np.split(keys, cuts), np.split(prints, cuts)):
-                if len(own) and own[0] != key:
+            for at, part in zip([0, *cuts.tolist()], np.split(prints, cuts)):
+                if not len(part):
+                    continue
+                if (own := (int(free[at]), int(rest[at]))) != key:
                     edges += forest(np.concatenate(held), max_bits) if sum(map(len, held)) > 1 else []
-                    key, held = own[0], []
+                    key, held = own, []
                 held.append(part)
             yield _pairs(edges)
         if sum(map(len, held)) > 1:
@@ -148,31 +143,41 @@ def _pairs(edges: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    """A key is its free bits and the values of all others."""
+    return rows.select("fp", "free", F.col("fp").bitwiseAND(F.bitwise_not("free")).alias("rest"))
+
+
 def links(prints: DataFrame, max_bits: int = 3, blocks: int | None = None, crowd: int = CROWD) -> DataFrame:
     """Edges (a, b) between distinct fingerprints ``fp`` that connect exactly what
     pairs of at most ``max_bits`` differing bits connect."""
+    spark = prints.sparkSession
     blocks = blocks or blocks_for(prints.count(), max_bits)
-    rows, free_of = keyed(prints, _masks(list(range(BITS)), blocks, max_bits)), _masks(list(range(BITS)), blocks, max_bits)
-    parts = []
-    level = [(rows, free_of)]
-    while level:
-        deeper = []
-        for rows, frees in level:
-            sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.first("choice").alias("choice")).filter("n > 1")
-            sizes = stored(sizes, "block-sizes")
-            cold = rows.join(sizes.filter(f"n <= {crowd}").select("key"), "key", "left_semi").select("key", "fp")
-            parts.append(cold.repartition("key").sortWithinPartitions("key").mapInArrow(_forests(max_bits), "a long, b long"))
-            hot = sizes.filter(f"n > {crowd}")
-            choices = sorted(r["choice"] for r in hot.select("choice").distinct().collect())
-            for i in choices:
-                own = rows.filter(F.col("choice") == i).join(hot.select("key"), "key", "left_semi")
-                free = frees[i]
-                if len(free) <= max_bits:
-                    parts.append(own.join(own.groupBy("key").agg(F.min("fp").alias("a")), "key").select("a", F.col("fp").alias("b")).filter("a <> b"))
-                    continue
-                finer = _masks(free, min(len(free), max(max_bits + 3, 6)), max_bits)
-                deeper.append((keyed(own, finer, "key"), finer))
-        level = deeper
+    first = ",".join(f"{_signed(free)}L" for free in _masks(list(range(BITS)), blocks, max_bits))
+    rows = _keyed(prints.select("fp", F.explode(F.expr(f"array({first})")).alias("free")))
+    key, parts = ["free", "rest"], []
+    while True:
+        shared = stored(rows.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1"), "block-sizes")
+        cold = rows.join(shared.filter(f"n <= {crowd}").select(*key), key, "left_semi")
+        parts.append(cold.repartition(*key).sortWithinPartitions(*key).mapInArrow(_forests(max_bits), "a long, b long"))
+        hot = shared.filter(f"n > {crowd}").select(*key)
+        # As many rows as there are ways to choose runs, whatever the data.
+        frees = sorted(r["free"] for r in hot.select("free").distinct().collect())
+        if not frees:
+            break
+        crowded = rows.join(hot, key, "left_semi")
+        near = [f for f in frees if len(_bits(f % 2**BITS)) <= max_bits]
+        if near:
+            own = crowded.filter(F.col("free").isin(near))
+            parts.append(own.join(own.groupBy(*key).agg(F.min("fp").alias("a")), key).select("a", F.col("fp").alias("b")).filter("a <> b"))
+        finer = []
+        for f in set(frees) - set(near):
+            bits = _bits(f % 2**BITS)
+            finer += [(f, _signed(free)) for free in _masks(bits, min(len(bits), max_bits + 3), max_bits)]
+        if not finer:
+            break
+        table = spark.createDataFrame(finer, "free long, next long")
+        rows = stored(_keyed(crowded.join(F.broadcast(table), "free").select("fp", F.col("next").alias("free")).distinct()), "finer-blocks")
     edges = parts[0]
     for part in parts[1:]:
         edges = edges.unionAll(part)
