@@ -45,12 +45,12 @@ def raw(df: DataFrame, text: str = "text", **named: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`").alias(n) for n, c in named.items()), F.col(f"`{text}`").cast("binary").alias("text"))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write a table to the shared folder and read it back: a cut of the lineage
     that outlives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
