@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from surgelens.functions.scalars import epoch_millis_to_ts, epoch_seconds_to_ts, first_label, minute_of
 from surgelens.functions.scalars import header_value
-from surgelens.operators.slices import partition_range, within_epoch
+from surgelens.operators.slices import recent as recent_rows
 
 # Metric and source names.
 REQUESTS, FLOWS = "request_count", "connection_count"
@@ -37,16 +37,10 @@ def drop_open_minute(counts: DataFrame, as_of: dt.datetime) -> DataFrame:
     return counts.where(F.col("minute") < F.date_trunc("minute", F.lit(moment.isoformat()).cast("timestamp")))
 
 
-def _recent(logs: DataFrame, column: str, per_second: int, as_of: dt.datetime, minutes: int) -> DataFrame:
-    recent = logs.where(within_epoch(F.col(column), as_of, minutes, per_second))
-    if {"dt", "hr"} <= set(logs.columns):
-        recent = recent.where(partition_range(as_of, minutes))
-    return recent
-
-
 def waf_counts(logs: DataFrame, as_of: dt.datetime, minutes: int, with_ua: bool = False) -> DataFrame:
-    """Requests per minute, address, URI, country and first label."""
-    recent = _recent(logs, "timestamp", 1000, as_of, minutes)
+    """Requests per minute, address, URI, country and first label, and user agent
+    if wanted: every agent keeps its own count, and all combine by hash map-side."""
+    recent = recent_rows(logs, "timestamp", 1000, as_of, minutes)
     keys = [
         minute_of(epoch_millis_to_ts(F.col("timestamp"))).alias("minute"),
         F.col("httpRequest.clientIp").alias("key"),
@@ -54,20 +48,14 @@ def waf_counts(logs: DataFrame, as_of: dt.datetime, minutes: int, with_ua: bool
         F.col("httpRequest.country").alias("country"),
         first_label(F.col("labels")).alias("rule_label"),
     ]
-    if not with_ua:
-        return count_groups(recent, keys).withColumn("metric", F.lit(REQUESTS))
-    # The smallest user agent of a group stands for it: it merges map-side.
-    agent = header_value(F.col("httpRequest.headers"), "User-Agent")
-    return (
-        recent.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("value"), F.min(agent).alias("ua"))
-        .withColumn("metric", F.lit(REQUESTS))
-    )
+    if with_ua:
+        keys.append(header_value(F.col("httpRequest.headers"), "User-Agent").alias("ua"))
+    return count_groups(recent, keys).withColumn("metric", F.lit(REQUESTS))
 
 
 def vpc_counts(logs: DataFrame, as_of: dt.datetime, minutes: int, extra: Sequence[str] = ()) -> DataFrame:
     """Flows per minute, source address and target port, and any ``extra`` columns."""
-    recent = _recent(logs, "start", 1, as_of, minutes)
+    recent = recent_rows(logs, "start", 1, as_of, minutes)
     keys = [
         minute_of(epoch_seconds_to_ts(F.col("start"))).alias("minute"),
         F.col("srcaddr").alias("key"),
@@ -87,10 +75,32 @@ def vpc_hotspots(logs: DataFrame, as_of: dt.datetime, minutes: int, top_k: int)
     return top_by_value(counts, top_k, ["minute", "key", "subkey", "protocol", "action"])
 
 
+def _largest_groups(counts: DataFrame, k: int, keys: Sequence[str]) -> DataFrame:
+    """Rows of the k largest groups, whatever finer columns the rows have."""
+    if set(counts.columns) - {*keys, "value", "metric", "source_type"} == set():
+        return top_by_value(counts, k, keys)
+    best = top_by_value(counts.groupBy(*keys).agg(F.sum("value").alias("value")), k, keys)
+    best = F.broadcast(best.select(*[F.col(c).alias(f"_{c}") for c in keys]))  # k rows
+    same = [counts[c].eqNullSafe(best[f"_{c}"]) for c in keys]
+    return counts.join(best, same, "left_semi")
+
+
 def union_counts(
-    waf: DataFrame, vpc: DataFrame, as_of: dt.datetime, minutes: int, top_k: int | None, with_ua: bool = False
+    waf: DataFrame,
+    vpc: DataFrame,
+    as_of: dt.datetime,
+    minutes: int,
+    top_k: int | None,
+    with_ua: bool = False,
+    closed: bool = False,
 ) -> DataFrame:
-    """Both sources in one schema; with ``top_k``, each source keeps its k largest."""
+    """Both sources in one schema; with ``top_k``, each source keeps its k largest.
+
+    ``closed`` counts the ``minutes`` whole minutes before ``as_of``, before any
+    limit: neither the first nor the last of them is cut.
+    """
+    if closed:
+        as_of = as_of.replace(second=0, microsecond=0)
     nothing = F.lit(None).cast("string")
     requests = waf_counts(waf, as_of, minutes, with_ua).withColumn("source_type", F.lit(WAF))
     flows = vpc_counts(vpc, as_of, minutes).withColumns(
@@ -101,12 +111,14 @@ def union_counts(
             "source_type": F.lit(VPC),
         }
     )
+    if closed:
+        requests, flows = drop_open_minute(requests, as_of), drop_open_minute(flows, as_of)
     columns = list(UNION_COLUMNS)
     if with_ua:
         flows = flows.withColumn("ua", nothing)
         columns.append("ua")
     if top_k is not None:
-        requests = top_by_value(requests, top_k, ["minute", "key", "subkey", "country", "rule_label"])
+        requests = _largest_groups(requests, top_k, ["minute", "key", "subkey", "country", "rule_label"])
         flows = top_by_value(flows, top_k, ["minute", "key", "subkey"])
     return requests.select(columns).unionByName(flows.select(columns))
 

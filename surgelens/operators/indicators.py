@@ -249,8 +249,16 @@ def drop_matched(df: DataFrame, found: Indicators, **columns: str) -> DataFrame:
     return match_all(df, found, **columns).where(~F.col("matched")).drop("matched", "rules")
 
 
-def tag_findings(findings: DataFrame, found: Indicators | None) -> DataFrame:
-    """Adds ``ioc_matches`` (NULL if none). The subkey is a URI only for web requests."""
+def tag_findings(findings: DataFrame, found: Indicators | None, details: DataFrame | None = None) -> DataFrame:
+    """Adds ``ioc_matches`` (NULL if none). The subkey is a URI only for web requests.
+
+    A finding is the sum of all countries and user agents of its minute.
+    ``details``, the counts it was summed from, brings them back: every one is
+    matched, and the largest group's fill the finding's own columns. Only rows of
+    findings are looked at.
+    """
+    if details is not None:
+        return _tag_from_details(findings, found, details)
     if found is None or found.is_empty():
         return findings.withColumn("ioc_matches", F.lit(None).cast("array<string>"))
     is_web = (F.col("source_type") == WAF) | (F.col("source_type").isNull() & (F.col("metric") == REQUESTS))
@@ -263,3 +271,15 @@ def tag_findings(findings: DataFrame, found: Indicators | None) -> DataFrame:
         uri="_uri",
     )
     return tagged.withColumn("ioc_matches", F.when(F.col("matched"), F.col("rules"))).drop("_uri", "matched", "rules")
+
+
+def _tag_from_details(findings: DataFrame, found: Indicators | None, details: DataFrame) -> DataFrame:
+    at = ["metric", "key", "subkey", "minute"]
+    groups = details.join(findings.select(*at).distinct(), at, "left_semi")
+    largest = F.max(F.struct("value", "country", "ua")).alias("most")
+    shown = groups.groupBy(*at).agg(largest).select(*at, F.col("most.country").alias("country"), F.col("most.ua").alias("ua"))
+    named = findings.drop("country", "ua").join(shown, at, "left").select(*findings.columns)
+    rows = tag_findings(groups.select(*at, "country", "ua", "source_type").distinct(), found)
+    # Rule names sort as kinds do: network, country, user agent, URI.
+    rules = rows.select(*at, F.explode("ioc_matches").alias("rule")).groupBy(*at)
+    return named.join(rules.agg(F.array_sort(F.collect_set("rule")).alias("ioc_matches")), at, "left")

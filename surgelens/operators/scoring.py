@@ -27,14 +27,13 @@ def train_baselines(points: DataFrame, params: DetectionParams, as_of: dt.dateti
 
     With ``as_of``, only the last ``train_days`` count.
     """
-    points, span = to_points(points), None
+    points = to_points(points)
     if as_of is not None:
-        span = params.train_days * 24 * 60
         moment = as_of if as_of.tzinfo else as_of.replace(tzinfo=dt.timezone.utc)
         end = F.lit(moment.isoformat()).cast("timestamp")
         first = F.lit((moment - dt.timedelta(days=params.train_days)).isoformat()).cast("timestamp")
         points = points.where((F.col("minute") >= first) & (F.col("minute") <= end))
-    tails = series_tails(points, params.alpha, params.block_minutes, span, carried=())
+    tails = series_tails(points, params.alpha, params.block_minutes, carried=())
     return _as_baselines(tails, F.col("post.mean"), F.expr(f"coalesce({S.state_std('post')}, 0D)"))
 
 
@@ -106,8 +105,9 @@ def _flat(rows: DataFrame, mean: Column, std: Column, score: Column) -> DataFram
         score.alias("score"),
         mean.alias("baseline_mean"),
         std.alias("baseline_std"),
-        F.col("point.country").alias("country"),
-        F.col("point.ua").alias("ua"),
+        # A finding stands for all groups of its minute; tagging fills these in.
+        F.lit(None).cast("string").alias("country"),
+        F.lit(None).cast("string").alias("ua"),
         F.col("point.source_type").alias("source_type"),
     )
 
@@ -146,7 +146,7 @@ def score_points(points: DataFrame, params: DetectionParams, baselines: DataFram
     ready = to_points(points)
     if baselines is not None:
         ready = with_stored(ready, baselines, params.alpha)
-    rows = point_states(ready, params.alpha, params.block_minutes, params.lookback_minutes)
+    rows = point_states(ready, params.alpha, params.block_minutes)
     return _score_prior(rows, params)
 
 
@@ -164,7 +164,7 @@ def detect_anomalies(
     ready = to_points(points)
     if baselines is not None:
         ready = with_stored(ready, baselines, params.alpha)
-    tails = series_tails(ready, params.alpha, params.block_minutes, params.lookback_minutes)
+    tails = series_tails(ready, params.alpha, params.block_minutes)
     if params.mode == "post_update":
         updated = _post_update_columns(tails, params.alpha)
         mean, std = F.col("u_mean"), F.col("u_std")
@@ -173,7 +173,7 @@ def detect_anomalies(
     if params.scope == "last":
         scored = _score_prior(tails, params)
     else:
-        rows = point_states(ready, params.alpha, params.block_minutes, params.lookback_minutes)
+        rows = point_states(ready, params.alpha, params.block_minutes)
         scored = _score_prior(rows, params)
     fresh = _as_baselines(tails, F.col("post.mean"), F.expr(f"coalesce({S.state_std('post')}, 0D)"))
     return Detection(top_findings(scored, params.sigma, limit), fresh)

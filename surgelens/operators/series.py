@@ -1,5 +1,8 @@
 """Points grouped into series and folded into baseline states.
 
+A series has one point for each minute: counts of a minute that differ in country,
+label or user agent are summed before anything is folded.
+
 A long series is cut into blocks of time. Each block is gathered, sorted and
 summarised on its own, so no row ever holds more than one block of one series;
 the summaries (five numbers per block) are then chained in time order.
@@ -17,6 +20,8 @@ from surgelens.functions.scalars import number_or_zero, or_missing
 from surgelens.sources.baselines import KEYS
 
 CARRIED = ("country", "ua", "rule_label", "source_type")
+# What stays with a point once a minute's counts are summed: a metric has one source.
+KEPT = ("source_type",)
 
 
 def to_points(df: DataFrame, carried: Sequence[str] = CARRIED) -> DataFrame:
@@ -40,20 +45,21 @@ def to_points(df: DataFrame, carried: Sequence[str] = CARRIED) -> DataFrame:
 
 
 def _point(carried: Sequence[str]) -> Column:
-    # Points of one minute follow each other from the largest value down.
-    return F.expr(f"struct({', '.join(['minute', '-value AS falling', 'value', *carried])})")
+    return F.expr(f"struct({', '.join(['minute', 'value', *carried])})")
 
 
-def to_series(points: DataFrame) -> DataFrame:
-    """One row per series with its points in time order, for short spans."""
-    return points.groupBy(*KEYS).agg(F.sort_array(F.collect_list(F.struct("minute", "value"))).alias("points"))
+def per_minute(points: DataFrame) -> DataFrame:
+    """One point for each series and minute: the sum of the minute's counts."""
+    return points.groupBy(*KEYS, "minute").agg(F.sum("value").alias("value"))
 
 
 def latest_point(points: DataFrame) -> DataFrame:
-    """Newest minute and its value per series, without gathering the series."""
-    return points.groupBy(*KEYS).agg(
-        F.max("minute").alias("minute"), F.max_by("value", F.struct("minute", -F.col("value"))).alias("value")
-    )
+    """Newest minute and its sum per series, without gathering the series.
+
+    Both steps keep fixed-width buffers, so they hash and combine map-side.
+    """
+    newest = per_minute(points).groupBy(*KEYS)
+    return newest.agg(F.max("minute").alias("minute"), F.max_by("value", "minute").alias("value"))
 
 
 def _passed(points: DataFrame) -> list[Column]:
@@ -76,10 +82,14 @@ def by_series(points: DataFrame) -> DataFrame:
     """The one shuffle of a fold: later grouping by series, with or without
     block, and windows over a series' blocks stay inside this partitioning.
 
-    Points are per-minute counts, so a busy series is as long as its time span,
-    however many log rows it stands for.
+    Points are sums of a minute, made inside that partitioning, so a busy series is
+    as long as its time span, however many rows and groups it stands for.
     """
-    return points if "series" in points.columns else keyed(points).repartition("series")
+    if "series" in points.columns:
+        return points
+    dealt = keyed(points).repartition("series")
+    kept = [c for c in KEPT if c in dealt.columns]
+    return dealt.groupBy("series", "minute", *kept).agg(F.sum("value").alias("value"))
 
 
 FIRST_VALUE = "element_at(points, 1).value"
@@ -87,7 +97,7 @@ LAST_POINT = "element_at(points, -1)"
 BUT_LAST = "slice(points, 1, size(points) - 1)"
 
 
-def to_blocks(points: DataFrame, alpha: float, block_minutes: int, carried: Sequence[str] = CARRIED) -> DataFrame:
+def to_blocks(points: DataFrame, alpha: float, block_minutes: int, carried: Sequence[str] = KEPT) -> DataFrame:
     """One row per series and block: sorted points, their summary (``summary``)
     and the summary of all but the last (``before``)."""
     block = F.floor(F.unix_seconds("minute") / F.lit(block_minutes * 60)).alias("block")
@@ -98,15 +108,6 @@ def to_blocks(points: DataFrame, alpha: float, block_minutes: int, carried: Sequ
     return before.withColumn("summary", F.expr(S.extend_block("before", f"{LAST_POINT}.value", alpha)))
 
 
-def whole_series(points: DataFrame, carried: Sequence[str] = CARRIED) -> DataFrame:
-    """One row per series, for points that span no more than one block."""
-    return keyed(points).groupBy("series").agg(F.sort_array(F.collect_list(_point(carried))).alias("points"), *_passed(points))
-
-
-def fits_one_block(span_minutes: int | None, block_minutes: int) -> bool:
-    return span_minutes is not None and span_minutes <= block_minutes
-
-
 def _flat_keys(rows: DataFrame) -> DataFrame:
     return rows.select("series.*", *[c for c in rows.columns if c != "series"])
 
@@ -120,15 +121,9 @@ def series_tails(
     points: DataFrame,
     alpha: float,
     block_minutes: int,
-    span_minutes: int | None = None,
-    carried: Sequence[str] = CARRIED,
+    carried: Sequence[str] = KEPT,
 ) -> DataFrame:
     """Per series: the newest point, the state before it and the state after it."""
-    if fits_one_block(span_minutes, block_minutes):
-        rows = whole_series(points, carried)
-        prior = S.final_state(BUT_LAST, alpha, _start(rows, FIRST_VALUE, alpha))
-        states = rows.withColumns({"prior": F.expr(prior), "point": F.expr(LAST_POINT)})
-        return _flat_keys(states.withColumn("post", F.expr(S.advance("prior", "point.value", alpha))).drop("points"))
     blocks = to_blocks(by_series(points), alpha, block_minutes, carried)
     part = f"struct(block, {FIRST_VALUE} AS head, summary, before, {LAST_POINT} AS newest)"
     chained = blocks.groupBy("series").agg(
@@ -148,7 +143,12 @@ def series_tails(
 
 
 def _started_blocks(points: DataFrame, alpha: float, block_minutes: int, carried: Sequence[str]) -> DataFrame:
-    """Blocks with the running state at their start, from the earlier summaries."""
+    """Blocks with the running state at their start, from the earlier summaries.
+
+    A block gets the summaries of all blocks before it: five numbers for each
+    ``block_points`` minutes, so a year in minutes has 53. Within these bounds the
+    list is quadratic in the number of blocks, not in that of points.
+    """
     blocks = to_blocks(by_series(points), alpha, block_minutes, carried)
     before = Window.partitionBy("series").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.collect_list(F.expr(f"struct({FIRST_VALUE} AS head, summary)")).over(before)
@@ -161,23 +161,18 @@ def point_states(
     points: DataFrame,
     alpha: float,
     block_minutes: int,
-    span_minutes: int | None = None,
-    carried: Sequence[str] = CARRIED,
+    carried: Sequence[str] = KEPT,
 ) -> DataFrame:
     """Every point with the state before it (``prior``) and after it (``post``)."""
-    if fits_one_block(span_minutes, block_minutes):
-        rows = whole_series(points, carried)
-        started = rows.withColumn("start", F.expr(_start(rows, FIRST_VALUE, alpha)))
-    else:
-        started = _started_blocks(points, alpha, block_minutes, carried)
+    started = _started_blocks(points, alpha, block_minutes, carried)
     scored = "transform(points, (p, i) -> struct(p AS point, get(states, i) AS prior, get(states, i + 1) AS post))"
     states = started.withColumn("states", F.expr(S.all_states("points", alpha, "start")))
     return states.select("series.*", F.inline(F.expr(scored)))
 
 
-def smoothed(points: DataFrame, alpha: float, block_minutes: int, span_minutes: int | None = None) -> DataFrame:
+def smoothed(points: DataFrame, alpha: float, block_minutes: int) -> DataFrame:
     """Weighted mean and deviation after every point."""
-    rows = point_states(points, alpha, block_minutes, span_minutes, carried=())
+    rows = point_states(points, alpha, block_minutes, carried=())
     return rows.select(
         *KEYS,
         F.col("point.minute").alias("minute"),

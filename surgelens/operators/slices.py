@@ -60,9 +60,15 @@ def lookback(df: DataFrame, column: str, as_of: dt.datetime, minutes: int) -> Da
     return df.where((F.col(column) >= bound(start)) & (F.col(column) <= bound(end)))
 
 
+def recent(logs: DataFrame, column: str, per_second: int, as_of: dt.datetime, minutes: int) -> DataFrame:
+    """Rows of the lookback by an epoch column, and by partition where there are any."""
+    rows = logs.where(within_epoch(F.col(column), as_of, minutes, per_second))
+    return rows.where(partition_range(as_of, minutes)) if {"dt", "hr"} <= set(logs.columns) else rows
+
+
 def slice_waf(logs: DataFrame, as_of: dt.datetime, minutes: int = 120) -> DataFrame:
     """Web requests as flat rows."""
-    return logs.where(within_epoch(F.col("timestamp"), as_of, minutes, 1000)).select(
+    return recent(logs, "timestamp", 1000, as_of, minutes).select(
         epoch_millis_to_ts(F.col("timestamp")).alias("event_time"),
         F.col("httpRequest.clientIp").alias("client_ip"),
         F.col("httpRequest.country").alias("country"),
@@ -76,7 +82,7 @@ def slice_waf(logs: DataFrame, as_of: dt.datetime, minutes: int = 120) -> DataFr
 
 def slice_vpc(logs: DataFrame, as_of: dt.datetime, minutes: int = 120) -> DataFrame:
     """Network flows as flat rows."""
-    return logs.where(within_epoch(F.col("start"), as_of, minutes, 1)).select(
+    return recent(logs, "start", 1, as_of, minutes).select(
         epoch_seconds_to_ts(F.col("start")).alias("start_time"),
         epoch_seconds_to_ts(F.col("end")).alias("end_time"),
         "srcaddr",

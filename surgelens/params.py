@@ -23,15 +23,20 @@ class DetectionParams:
     train_days: int = 7
     alpha: float = 0.3
     sigma: float = 3.0
-    # None keeps everything.
+    # Findings reported; None keeps all.
     top_k: int | None = 100
+    # Counts scored of each source, the largest; None, the default, keeps all.
+    # A limit leaves holes in series and in what later runs train on.
+    hotspot_limit: int | None = None
     min_count: int = 5
     mode: str = "prior"
     scope: str = "last"
-    # Leave out the minute still running at the time of the run.
-    drop_open_minute: bool = False
+    # Score whole minutes only: a minute still running at the time of the run is
+    # left to the next one, which counts all of it.
+    drop_open_minute: bool = True
     # Distance between two points of a series, and the most points of one series
-    # that are ever gathered into a single row.
+    # that are ever gathered into a single row. A point is a minute's sum, so the
+    # second holds whatever the number of rows.
     step_minutes: int = 1
     block_points: int = 7 * 24 * 60
 
@@ -46,7 +51,7 @@ class DetectionParams:
             raise ValueError(f"scope must be one of {SCOPES}")
         if self.mode == "post_update" and self.scope != "last":
             raise ValueError("post_update scores the newest point only")
-        for name in ("lookback_minutes", "every_minutes", "train_days", "top_k", "step_minutes", "block_points"):
+        for name in ("lookback_minutes", "every_minutes", "train_days", "top_k", "hotspot_limit", "step_minutes", "block_points"):
             value = getattr(self, name)
             if value is not None and value <= 0:
                 raise ValueError(f"{name} must be positive")

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 
-from surgelens.operators.hotspots import drop_open_minute, union_counts
+from surgelens.operators.hotspots import union_counts
 from surgelens.operators.indicators import tag_findings
 from surgelens.operators.scoring import Detection, detect_anomalies
 from surgelens.operators.series import to_points
@@ -19,14 +19,14 @@ from surgelens.sources.sinks import write_findings
 def cycle_points(
     waf: DataFrame, vpc: DataFrame, as_of: dt.datetime, params: DetectionParams, hotspot_limit: int | None = -1
 ) -> DataFrame:
-    """The counts a cycle scores.
+    """The counts a cycle scores, by country, label and user agent.
 
-    ``hotspot_limit`` keeps that many per source (default: the top-k
-    parameter); None keeps all of them.
+    ``hotspot_limit`` (default: the parameter's) keeps that many per source.
     """
-    limit = params.top_k if hotspot_limit == -1 else hotspot_limit
-    counts = union_counts(waf, vpc, as_of, params.lookback_minutes, limit, with_ua=True)
-    return drop_open_minute(counts, as_of) if params.drop_open_minute else counts
+    limit = params.hotspot_limit if hotspot_limit == -1 else hotspot_limit
+    return union_counts(
+        waf, vpc, as_of, params.lookback_minutes, limit, with_ua=True, closed=params.drop_open_minute
+    )
 
 
 def plan_cycle(
@@ -42,9 +42,9 @@ def plan_cycle(
 
     Tagging comes last, so patterns run over findings only, never over log rows.
     """
-    counts = cycle_points(waf, vpc, as_of, params, hotspot_limit)
+    counts = to_points(cycle_points(waf, vpc, as_of, params, hotspot_limit))
     found = detect_anomalies(counts, params, baselines)
-    return Detection(tag_findings(found.findings, indicators), found.baselines)
+    return Detection(tag_findings(found.findings, indicators, counts), found.baselines)
 
 
 def run_cycle(
@@ -71,6 +71,6 @@ def run_cycle(
     counts = to_points(spark.read.parquet(points))
     stored = of_active_series(store.history(before=run_id), counts)
     found = detect_anomalies(counts, params, stored)
-    write_findings(tag_findings(found.findings, indicators), findings_path, run_id)
+    write_findings(tag_findings(found.findings, indicators, counts), findings_path, run_id)
     store.append(found.baselines, run_id)
     return run_id

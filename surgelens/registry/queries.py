@@ -87,7 +87,8 @@ def partition_range(spark: SparkSession, sf: str) -> DataFrame:
            'rule-' || (k % 3) AS rule_id, label FROM log""",
 )
 def slice_waf(spark: SparkSession, sf: str) -> DataFrame:
-    rows = slices.slice_waf(T.waf_logs(spark, sf), T.AS_OF, T.LOG_MINUTES)
+    files = logs.read_waf(spark, T.landed(spark, sf, "waf"))
+    rows = slices.slice_waf(files, T.AS_OF, T.LOG_MINUTES)
     return rows.withColumn("event_time", when_text("event_time"))
 
 
@@ -300,11 +301,11 @@ def feature_key(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "latest_point",
-    """SELECT metric, key, subkey, strftime(minute, '%Y-%m-%d %H:%M:%S') AS minute, value FROM (
+    """SELECT metric, key, subkey, strftime(minute, '%Y-%m-%d %H:%M:%S') AS minute, round(value, 6) AS value FROM (
       SELECT 'value' AS metric, CAST(user_id AS VARCHAR) AS key, event_type AS subkey,
-             date_trunc('minute', ts) AS minute, value,
-             row_number() OVER (PARTITION BY user_id, event_type ORDER BY date_trunc('minute', ts) DESC, value) AS rn
-      FROM events) WHERE rn = 1""",
+             date_trunc('minute', ts) AS minute, sum(value) AS value,
+             row_number() OVER (PARTITION BY user_id, event_type ORDER BY date_trunc('minute', ts) DESC) AS rn
+      FROM events GROUP BY user_id, event_type, date_trunc('minute', ts)) WHERE rn = 1""",
 )
 def latest_point(spark: SparkSession, sf: str) -> DataFrame:
     points = series.to_points(
@@ -316,7 +317,7 @@ def latest_point(spark: SparkSession, sf: str) -> DataFrame:
             "value",
         )
     )
-    return series.latest_point(points).withColumn("minute", when_text("minute"))
+    return series.latest_point(points).withColumns({"minute": when_text("minute"), "value": rounded("value")})
 
 
 # ---------------------------------------------------------------- smoothing
@@ -353,7 +354,7 @@ TEXT_MINUTE = "strftime(minute, '%Y-%m-%d %H:%M:%S') AS minute"
 )
 def ewma_mean(spark: SparkSession, sf: str) -> DataFrame:
     points = series.to_points(T.daily_by_user(spark, sf))
-    rows = series.smoothed(points, ALPHA, DAILY.block_minutes, MONTH)
+    rows = series.smoothed(points, ALPHA, DAILY.block_minutes)
     return rows.select(*KEYS, when_text("minute"), "value", rounded("ewma"))
 
 
@@ -780,21 +781,22 @@ def ioc_anti(spark: SparkSession, sf: str) -> DataFrame:
 
 CYCLE = DetectionParams(alpha=ALPHA, sigma=1.0, min_count=2, scope="all", lookback_minutes=T.LOG_MINUTES, top_k=200)
 COUNTS_SQL = """SELECT 'request_count' AS metric, ip AS key, uri AS subkey, date_trunc('minute', log_time) AS minute,
-      CAST(count(*) AS DOUBLE) AS value, country, min(ua) AS ua, label AS rule_label, 'WAF' AS source_type
-    FROM log GROUP BY ip, uri, date_trunc('minute', log_time), country, label
+      CAST(count(*) AS DOUBLE) AS value, 'WAF' AS source_type
+    FROM log GROUP BY ip, uri, date_trunc('minute', log_time)
     UNION ALL
     SELECT 'connection_count', ip, CAST(CASE event_id % 4 WHEN 0 THEN 22 WHEN 1 THEN 80 WHEN 2 THEN 443 ELSE 3389 END AS VARCHAR),
-      date_trunc('minute', log_time), CAST(count(*) AS DOUBLE), NULL, NULL, NULL, 'VPC'
+      date_trunc('minute', log_time), CAST(count(*) AS DOUBLE), 'VPC'
     FROM log GROUP BY ip, event_id % 4, date_trunc('minute', log_time)"""
-CYCLE_FOLD = folded_sql(
-    COUNTS_SQL,
-    ties="value DESC, country NULLS FIRST, ua NULLS FIRST, rule_label NULLS FIRST, source_type",
-    extra="country, ua, source_type",
-    lead=T.LOG_SQL + ",",
-)
-TAGS_SQL = f"""list_filter([{CIDR_SQL.replace('ip', 'key')}, {COUNTRY_SQL}, {UA_SQL}, {UA_REGEX_SQL},
-    CASE WHEN source_type = 'WAF' THEN {URI_SQL.replace('uri', 'subkey')} END,
-    CASE WHEN source_type = 'WAF' THEN {URI_REGEX_SQL.replace('(uri', '(subkey')} END], lambda x: x IS NOT NULL)"""
+CYCLE_FOLD = folded_sql(COUNTS_SQL, extra="source_type", lead=T.LOG_SQL + ",")
+# Every country and every agent of a finding's minute counts, not one of them.
+TAGS_SQL = f""", seen AS (
+      SELECT DISTINCT f.metric, f.key, f.subkey, f.minute, f.source_type, l.country, l.ua FROM found f LEFT JOIN log l
+      ON f.source_type = 'WAF' AND l.ip = f.key AND l.uri = f.subkey AND date_trunc('minute', l.log_time) = f.minute),
+    hits AS (SELECT metric, key, subkey, minute, unnest([{CIDR_SQL.replace('ip', 'key')}, {COUNTRY_SQL}, {UA_SQL}, {UA_REGEX_SQL},
+      CASE WHEN source_type = 'WAF' THEN {URI_SQL.replace('uri', 'subkey')} END,
+      CASE WHEN source_type = 'WAF' THEN {URI_REGEX_SQL.replace('(uri', '(subkey')} END]) AS rule FROM seen),
+    tags AS (SELECT metric, key, subkey, minute, string_agg(rule, ' & ' ORDER BY rule) AS ioc_matches
+      FROM (SELECT DISTINCT * FROM hits WHERE rule IS NOT NULL) GROUP BY metric, key, subkey, minute)"""
 
 
 CYCLE_FOUND_SQL = """, scored AS (
@@ -805,16 +807,17 @@ CYCLE_FOUND_SQL = """, scored AS (
 
 @query(
     "detection_cycle",
-    f"""{CYCLE_FOLD}{CYCLE_FOUND_SQL}
+    f"""{CYCLE_FOLD}{CYCLE_FOUND_SQL}{TAGS_SQL}
     SELECT metric, key, subkey, {TEXT_MINUTE}, value, round(score, 6) AS score, mode,
-      array_to_string({TAGS_SQL}, ' & ') AS ioc_matches FROM found""",
+      coalesce(ioc_matches, '') AS ioc_matches FROM found LEFT JOIN tags USING (metric, key, subkey, minute)""",
 )
 def detection_cycle(spark: SparkSession, sf: str) -> DataFrame:
     counts = hotspots.union_counts(
         T.waf_logs(spark, sf), T.vpc_logs(spark, sf), T.AS_OF, T.LOG_MINUTES, None, with_ua=True
     )
-    found = scoring.detect_anomalies(counts, CYCLE, top_k=None).findings
-    tagged = indicators.tag_findings(found, LOG_INDICATORS)
+    details = series.to_points(counts)
+    found = scoring.detect_anomalies(details, CYCLE, top_k=None).findings
+    tagged = indicators.tag_findings(found, LOG_INDICATORS, details)
     matches = F.coalesce(F.array_join("ioc_matches", " & "), F.lit(""))
     return tagged.select(
         *KEYS, when_text("minute"), "value", rounded("score"), "mode", matches.alias("ioc_matches")
@@ -838,34 +841,65 @@ def saved_cycle(spark: SparkSession, sf: str) -> DataFrame:
     waf = logs.read_waf(spark, T.landed(spark, sf, "waf"))
     vpc = logs.read_vpc(spark, T.landed(spark, sf, "vpc"))
     half = T.LOG_MINUTES // 2
-    params = CYCLE.with_(lookback_minutes=half, drop_open_minute=True, top_k=None)
+    params = CYCLE.with_(lookback_minutes=half, top_k=None)
     for as_of in (T.AS_OF - dt.timedelta(minutes=half), T.AS_OF):
         run_cycle(
-            waf, vpc, as_of, params, store, path + "/points", path + "/findings", LOG_INDICATORS, hotspot_limit=None
+            waf, vpc, as_of, params, store, path + "/points", path + "/findings", LOG_INDICATORS
         )
     saved = read_findings(spark, path + "/findings")
     return saved.select("run_id", *KEYS, when_text("minute"), "value", rounded("score"), "mode")
 
 
 CAPPED_SQL = folded_sql(
-    f"""SELECT * FROM (SELECT * FROM ({COUNTS_SQL.split("UNION ALL")[0]}) ORDER BY value DESC, minute, key, subkey,
-      country NULLS FIRST, rule_label NULLS FIRST LIMIT 200) UNION ALL
-    SELECT * FROM (SELECT 'connection_count' AS metric, ip AS key,
-      CAST(CASE event_id % 4 WHEN 0 THEN 22 WHEN 1 THEN 80 WHEN 2 THEN 443 ELSE 3389 END AS VARCHAR) AS subkey,
-      date_trunc('minute', log_time) AS minute, CAST(count(*) AS DOUBLE) AS value, NULL, NULL, NULL, 'VPC'
-      FROM log GROUP BY ip, event_id % 4, date_trunc('minute', log_time)
-      ORDER BY value DESC, minute, key, CAST(subkey AS INTEGER) LIMIT 200)""",
-    ties="value DESC, country NULLS FIRST, ua NULLS FIRST, rule_label NULLS FIRST, source_type",
-    extra="country, ua, source_type",
+    """SELECT metric, key, subkey, minute, sum(value) AS value, source_type FROM (
+      SELECT * FROM (SELECT 'request_count' AS metric, ip AS key, uri AS subkey, date_trunc('minute', log_time) AS minute,
+        CAST(count(*) AS DOUBLE) AS value, country, label AS rule_label, 'WAF' AS source_type FROM log
+        GROUP BY ip, uri, date_trunc('minute', log_time), country, label
+        ORDER BY value DESC, minute, key, subkey, country NULLS FIRST, rule_label NULLS FIRST LIMIT 200)
+      UNION ALL
+      SELECT * FROM (SELECT 'connection_count' AS metric, ip AS key,
+        CAST(CASE event_id % 4 WHEN 0 THEN 22 WHEN 1 THEN 80 WHEN 2 THEN 443 ELSE 3389 END AS VARCHAR) AS subkey,
+        date_trunc('minute', log_time) AS minute, CAST(count(*) AS DOUBLE) AS value, NULL, NULL, 'VPC'
+        FROM log GROUP BY ip, event_id % 4, date_trunc('minute', log_time)
+        ORDER BY value DESC, minute, key, subkey LIMIT 200)) GROUP BY metric, key, subkey, minute, source_type""",
+    extra="source_type",
     lead=T.LOG_SQL + ",",
 )
 
 
 @query("capped_cycle", f"{CAPPED_SQL}{CYCLE_FOUND_SQL} SELECT {FOUND_COLUMNS} FROM found")
 def capped_cycle(spark: SparkSession, sf: str) -> DataFrame:
-    """A cycle over the top-k hotspots of each source."""
-    found = plan_cycle(T.waf_logs(spark, sf), T.vpc_logs(spark, sf), T.AS_OF, CYCLE, LOG_INDICATORS)
-    return _found(found.findings)
+    """A cycle over the 200 largest groups of each source."""
+    params = CYCLE.with_(hotspot_limit=200, top_k=None)
+    return _found(plan_cycle(T.waf_logs(spark, sf), T.vpc_logs(spark, sf), T.AS_OF, params, LOG_INDICATORS).findings)
+
+
+# Whole minutes before 20:17, folded once whatever the runs overlap.
+NEWEST_SQL = folded_sql(
+    f"""SELECT * FROM ({COUNTS_SQL}) WHERE minute >= TIMESTAMP '2024-01-30 20:02:00' AND minute < TIMESTAMP '2024-01-30 20:22:00'""",
+    extra="source_type",
+    lead=T.LOG_SQL + ",",
+)
+
+
+@query(
+    "cycle_newest_minute",
+    f"""{NEWEST_SQL} SELECT metric, key, subkey, strftime(max(minute), '%Y-%m-%d %H:%M:%S') AS last_minute,
+    count(*) AS n, round(arg_max(m, minute), 6) AS mean FROM s GROUP BY metric, key, subkey""",
+)
+def cycle_newest_minute(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs with the default settings, five minutes apart and inside a minute:
+    together they have folded every whole minute once, with all its groups."""
+    path = scratch_path(spark, "newest")
+    store = BaselineStore(spark, path + "/baselines")
+    waf, vpc = logs.read_waf(spark, T.landed(spark, sf, "waf")), logs.read_vpc(spark, T.landed(spark, sf, "vpc"))
+    for minute in (17, 22):
+        as_of = dt.datetime(2024, 1, 30, 20, minute, 30, tzinfo=dt.timezone.utc)
+        run_cycle(waf, vpc, as_of, DetectionParams(), store, path + "/points", path + "/findings", LOG_INDICATORS)
+        store.compact()
+        store.compact()
+    kept = store.load()
+    return kept.select(*KEYS, when_text("last_minute"), "n", rounded("mean"))
 
 
 # ---------------------------------------------------------------- jobs

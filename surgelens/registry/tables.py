@@ -52,11 +52,15 @@ def _log_columns(events: DataFrame) -> DataFrame:
     millis = F.unix_millis(F.col("ts").cast("timestamp"))
     log_ms = F.call_function("div", millis - F.lit(MONTH_MS), F.lit(60)) + F.lit(LOG_MS)
     who = F.col("user_id") % 5
+    # Countries and agents differ between requests of one address and minute.
+    home, tool = F.col("event_id") % 5, F.call_function("div", F.col("event_id"), F.lit(5)) % 5
     return events.select(
         "event_id",
         "event_type",
         k.alias("k"),
         who.alias("who"),
+        home.alias("home"),
+        tool.alias("tool"),
         log_ms.alias("ms"),
         F.concat(F.lit("10.0.0."), (who + 98).cast("string")).alias("ip"),
     )
@@ -65,7 +69,7 @@ def _log_columns(events: DataFrame) -> DataFrame:
 def waf_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested web-request records, in the layout of the log scan."""
     e = _log_columns(table(spark, sf_dir, "events"))
-    agent = F.expr(_sql_case("who", AGENTS))
+    agent = F.expr(_sql_case("tool", AGENTS))
     pair = lambda n, v: F.struct(F.lit(n).alias("name"), v.alias("value"))
     host = pair("Host", F.lit("example.com"))
     headers = F.when(agent.isNotNull(), F.array(host, pair("User-Agent", agent))).otherwise(F.array(host))
@@ -83,7 +87,7 @@ def waf_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("terminatingRule"),
         F.struct(
             F.col("ip").alias("clientIp"),
-            F.expr(_sql_case("who", COUNTRIES)).alias("country"),
+            F.expr(_sql_case("home", COUNTRIES)).alias("country"),
             headers.alias("headers"),
             path.alias("uri"),
             F.lit("GET").alias("method"),
@@ -161,8 +165,8 @@ def daily_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 LOG_SQL = f"""
 log AS (
   SELECT event_id, event_type, who, k, ms, make_timestamp(ms * 1000) AS log_time,
-         '10.0.0.' || (who + 98) AS ip, {_sql_case('who', COUNTRIES)} AS country,
-         {_sql_case('who', AGENTS)} AS ua,
+         '10.0.0.' || (who + 98) AS ip, {_sql_case('event_id % 5', COUNTRIES)} AS country,
+         {_sql_case('event_id // 5 % 5', AGENTS)} AS ua,
          coalesce({_sql_case('k % 10', PATHS)}, '/' || event_type) AS uri,
          CASE WHEN k < 50 THEN 'rule:' || event_type END AS label
   FROM (SELECT event_id, event_type, user_id % 5 AS who,

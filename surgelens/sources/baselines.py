@@ -98,9 +98,15 @@ class BaselineStore:
         stamped.write.mode("overwrite").parquet(f"{self.delta}/run_id={run_id}")
 
     def compact(self) -> str | None:
-        """Fold all deltas into a new base; returns its id, None if there is none."""
+        """Fold all deltas into a new base; returns its id, None if there is none.
+
+        A base that covers the newest run stays as it is: it must not be written
+        over while it is read.
+        """
         runs = committed(self.spark, self.delta, "run_id")
         if not runs:
             return None
+        if runs[-1] in committed(self.spark, self.base, "run_id"):
+            return runs[-1]
         self.load().write.mode("overwrite").parquet(f"{self.base}/run_id={runs[-1]}")
         return runs[-1]

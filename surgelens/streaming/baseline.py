@@ -89,9 +89,11 @@ def scheduled_cycles(
         points = to_points(batch).persist()
         stored = of_active_series(store.history(before=run_id), points)
         found = detect_anomalies(points, params, stored)
-        write_findings(tag_findings(found.findings, indicators), findings_path, run_id)
-        store.append(found.baselines, run_id)
-        points.unpersist()
+        try:
+            write_findings(tag_findings(found.findings, indicators, points), findings_path, run_id)
+            store.append(found.baselines, run_id)
+        finally:
+            points.unpersist()
 
     writer = points.writeStream.foreachBatch(cycle).option("checkpointLocation", checkpoint)
     every = f"{params.every_minutes} minutes"

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from surgelens.operators import hotspots
+from surgelens.operators import hotspots, series
 from surgelens.operators.scoring import (
     detect_anomalies,
     fresh_enough,
@@ -189,6 +189,25 @@ def test_every_scored_point_is_kept(spark):
     assert [r["score"] is None for r in rows] == [True, True, False, False]
 
 
+def test_a_burst_in_one_of_a_minutes_groups_is_found(spark):
+    rows = [(f"2023-10-26T10:{i:02d}", "k", "s", 10.0 + i % 2, "request_count", "US") for i in range(10)]
+    rows += [("2023-10-26T10:10", "k", "s", n, "request_count", c) for n, c in ((1000.0, "KP"), (10.0, "US"))]
+    df = spark.createDataFrame(rows, POINT + ", country string")
+    found = detect_anomalies(df, DetectionParams()).findings.collect()
+    assert [(f["value"], f["mode"]) for f in found] == [(1010.0, "high")]
+    saved = detect_anomalies(df, DetectionParams()).baselines.first()
+    assert saved["n"] == 11
+
+
+def test_a_block_is_bounded_whatever_the_declared_lookback(spark):
+    minutes = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60).alias("minute")
+    keys = [F.lit(x).alias(n) for n, x in (("metric", "m"), ("key", "k"), ("subkey", "s"))]
+    df = spark.range(3000).select(*keys, minutes, F.lit(1.0).alias("value"))
+    blocks = series.to_blocks(series.by_series(to_points(df.unionAll(df))), 0.3, 500)
+    assert blocks.agg(F.max(F.size("points"))).first()[0] <= 500
+    assert detect_anomalies(df.unionAll(df), DetectionParams(block_points=500)).baselines.first()["n"] == 3000
+
+
 def test_open_minute(spark):
     df = spark.createDataFrame([("2023-10-26 10:00:00", 1), ("2023-10-26 10:01:00", 1)], "m string, value int")
     df = df.withColumn("minute", F.col("m").cast("timestamp"))

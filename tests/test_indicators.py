@@ -157,6 +157,18 @@ def test_tagging(spark, known):
         assert [r["ioc_matches"] for r in indicators.tag_findings(df, none).collect()] == [None] * 3
 
 
+def test_every_agent_of_a_minute_is_matched(spark):
+    minute = "2024-01-01 00:00:00"
+    rows = [("request_count", "1.1.1.1", "/", minute, 5.0, c, a, "WAF") for c, a in (("US", "Mozilla/5.0"), ("US", "sqlmap/1.5"), ("KP", None))]
+    schema = "metric string, key string, subkey string, minute string, value double, country string, ua string, source_type string"
+    details = spark.createDataFrame(rows, schema)
+    findings = details.limit(1).withColumn("country", F.lit(None).cast("string")).withColumn("ua", F.lit(None).cast("string"))
+    found = Indicators.from_config({"country": ["KP"], "regex": {"ua": ["sqlmap"]}})
+    got = indicators.tag_findings(findings, found, details).first()
+    assert got["ioc_matches"] == ["Country:KP", "UA_Regex:sqlmap"] and got["country"] in ("US", "KP")
+    assert indicators.tag_findings(findings, None, details).first()["ioc_matches"] is None
+
+
 def test_loading(tmp_path):
     path = tmp_path / "ioc.yml"
     path.write_text("cidrs: ['1.2.3.4', '10.0.0.0/8']\nregex:\n  uri: ['(?i)xss']\n")

@@ -58,6 +58,24 @@ def test_counts_combine_before_their_one_shuffle(events):
     assert "TakeOrderedAndProject" in top and "rangepartitioning" not in top
 
 
+def test_agents_are_counted_by_hash_and_without_a_sort(spark, fresh):
+    path = fresh("requests")
+    one = (1706658300000, ("1.2.3.4", "US", [("User-Agent", "x")], "/", "GET"), [("a",)])
+    kind = "struct<clientIp:string,country:string,headers:array<struct<name:string,value:string>>,uri:string,method:string>"
+    spark.createDataFrame([one], f"timestamp long, httpRequest {kind}, labels array<struct<name:string>>").write.parquet(path)
+    p = plan(hotspots.waf_counts(spark.read.parquet(path), AS_OF, 15, with_ua=True))
+    assert "HashAggregate" in p and "SortAggregate" not in p and "Sort [" not in p
+
+
+def test_views_read_only_their_partitions(spark, fresh):
+    path = fresh("dated")
+    columns = "start end srcaddr dstaddr srcport dstport protocol packets bytes action log_status".split()
+    rows = spark.range(3).select(*[F.col("id").alias(c) for c in columns], F.lit("2024-01-30").alias("dt"), F.lit("23").alias("hr"))
+    rows.write.partitionBy("dt", "hr").parquet(path)
+    p = plan(slices.slice_vpc(spark.read.schema(rows.schema).parquet(path), AS_OF, 60))
+    assert "PartitionFilters: []" not in p and "dt#" in p.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
 def points(events):
     counted = hotspots.count_groups(events, [F.date_trunc("hour", "ts").alias("minute"), "key"])
     return counted.withColumn("metric", F.lit("count"))
