@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgelens.llm import binpack, langbits, license_join, linefirst, pitman_yor, positional, quotes, simhash, skipchain, splitters
+from surgelens.llm import binpack, langbits, license_join, linefirst, oracles, pitman_yor, positional
+from surgelens.llm import quotes, simhash, skipchain, splitters
 from surgelens.llm.common import documents
 from surgelens.session import utc
 
@@ -26,12 +27,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-@query("op10_line_first_cleaning")
+@query("op10_line_first_cleaning", oracles.LINE_FIRST)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linefirst.assess(documents(spark, sf_dir))
 
 
-@query("op7_positional_index")
+@query("op7_positional_index", oracles.POSITIONAL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = positional.contamination(documents(spark, sf_dir), benchmark, window=10)
@@ -66,7 +67,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", law, "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-@query("op9_license_set_join")
+@query("op9_license_set_join", oracles.LICENSES)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_join.scan(documents(spark, sf_dir)).drop("blocks")
 
