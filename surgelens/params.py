@@ -21,6 +21,8 @@ class DetectionParams:
     lookback_minutes: int = 15
     every_minutes: int = 5
     train_days: int = 7
+    # Runs whose baselines may lie open before a cycle folds them into a new base.
+    compact_every: int = 12
     alpha: float = 0.3
     sigma: float = 3.0
     # Findings reported; None keeps all.
@@ -51,7 +53,7 @@ class DetectionParams:
             raise ValueError(f"scope must be one of {SCOPES}")
         if self.mode == "post_update" and self.scope != "last":
             raise ValueError("post_update scores the newest point only")
-        for name in ("lookback_minutes", "every_minutes", "train_days", "top_k", "hotspot_limit", "step_minutes", "block_points"):
+        for name in ("lookback_minutes", "every_minutes", "train_days", "top_k", "hotspot_limit", "compact_every", "step_minutes", "block_points"):
             value = getattr(self, name)
             if value is not None and value <= 0:
                 raise ValueError(f"{name} must be positive")

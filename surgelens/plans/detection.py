@@ -5,7 +5,9 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from surgelens.operators.alerts import alert_document, metric_record
 from surgelens.operators.hotspots import union_counts
 from surgelens.operators.indicators import tag_findings
 from surgelens.operators.scoring import Detection, detect_anomalies
@@ -13,7 +15,11 @@ from surgelens.operators.series import to_points
 from surgelens.params import DetectionParams
 from surgelens.sources.baselines import BaselineStore, of_active_series
 from surgelens.sources.indicators import Indicators
-from surgelens.sources.sinks import write_findings
+from surgelens.sources.sinks import read_findings, write_findings
+
+# Namespace of the summary metrics, and findings in an alert if all are reported.
+NAMESPACE = "surgelens"
+ALERTED = 100
 
 
 def cycle_points(
@@ -57,9 +63,13 @@ def run_cycle(
     findings_path: str,
     indicators: Indicators | None = None,
     hotspot_limit: int | None = -1,
+    alerts_path: str | None = None,
 ) -> str:
     """Run a cycle and save its counts, findings and baselines; returns the run id.
 
+    With ``alerts_path``, the alert document and the summary metric of the saved
+    findings are written below it.
+
     The counts are saved first, so the logs are scanned once for both results,
     and stay as history to train on. Ids follow ``as_of``, and all outputs
     replace their own directory, so a cycle cut short can simply be run again.
@@ -73,4 +83,20 @@ def run_cycle(
     found = detect_anomalies(counts, params, stored)
     write_findings(tag_findings(found.findings, indicators, counts), findings_path, run_id)
     store.append(found.baselines, run_id)
+    if store.open_runs() >= params.compact_every:
+        store.compact()
+    if alerts_path is not None:
+        saved = read_findings(spark, findings_path).where(F.col("run_id") == run_id).drop("run_id")
+        render(saved, alerts_path, run_id, as_of, params)
     return run_id
+
+
+def render(findings: DataFrame, path: str, run_id: str, as_of: dt.datetime, params: DetectionParams) -> None:
+    """Write a run's alert document and metric record as one line of JSON each."""
+    moment = as_of if as_of.tzinfo else as_of.replace(tzinfo=dt.timezone.utc)
+    limit = params.top_k or ALERTED
+    document = alert_document(findings, {"run_id": run_id}, f"{moment:%Y-%m-%dT%H:%M:%SZ}", limit)
+    metric = metric_record(findings, NAMESPACE, {"run_id": run_id}, int(moment.timestamp() * 1000))
+    root = path.rstrip("/")
+    document.select(F.col("message").alias("value")).write.mode("overwrite").text(f"{root}/alerts/run_id={run_id}")
+    metric.select(F.col("record").alias("value")).write.mode("overwrite").text(f"{root}/metrics/run_id={run_id}")

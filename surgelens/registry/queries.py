@@ -4,6 +4,7 @@ to the SQL that gives the same rows; times are text and doubles are rounded."""
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from surgelens.functions import scalars as X
 from surgelens.functions.smoothing import zscore
 from surgelens.operators import alerts, hotspots, indicators, scoring, series, slices, windows
+from surgelens.operators.alerts import METRICS
 from surgelens.params import DetectionParams
 from surgelens.plans.detection import plan_cycle, run_cycle
 from surgelens.registry import tables as T
@@ -19,7 +21,7 @@ from surgelens.session import scratch_path
 from surgelens.sources import convert, logs, sqljob
 from surgelens.sources import tables as catalog
 from surgelens.sources.baselines import KEYS, BaselineStore, upsert
-from surgelens.sources.indicators import Indicators
+from surgelens.sources.indicators import Indicators, load_indicators
 from surgelens.sources.schemas import VPC, WAF
 from surgelens.sources.sinks import read_findings
 from surgelens.streaming import baseline as stream_baseline
@@ -642,15 +644,16 @@ def alert_document(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- indicators
 
-LOG_INDICATORS = Indicators.from_config(
-    {
-        "cidrs": ["192.168.0.0/16", "10.0.0.100/32", "10.0.0.98/31", "2001:db8::/32"],
-        "country": ["KP", "RU"],
-        "ua": ["masscan", "ZGrab"],
-        "uri": ["/.env", "/purchase"],
-        "regex": {"ua": ["(?i)sqlmap", "(?i)curl|wget"], "uri": ["/etc/passwd", "(?i)UNION.*SELECT"]},
-    }
-)
+LOG_CONFIG = {
+    "cidrs": ["192.168.0.0/16", "10.0.0.100/32", "10.0.0.98/31", "2001:db8::/32"],
+    "country": ["KP", "RU"],
+    "ua": ["masscan", "ZGrab"],
+    "uri": ["/.env", "/purchase"],
+    "regex": {"ua": ["(?i)sqlmap", "(?i)curl|wget"], "uri": ["/etc/passwd", "(?i)UNION.*SELECT"]},
+}
+LOG_INDICATORS = Indicators.from_config(LOG_CONFIG)
+# JSON is YAML as well.
+LOG_INDICATORS_YAML = json.dumps(LOG_CONFIG)
 CIDR_SQL = """CASE WHEN ip = '10.0.0.100' THEN 'CIDR:10.0.0.100/32'
     WHEN CAST(split_part(ip, '.', 4) AS INTEGER) BETWEEN 98 AND 99 THEN 'CIDR:10.0.0.98/31' END"""
 COUNTRY_SQL = "CASE WHEN country IN ('KP', 'RU') THEN 'Country:' || country END"
@@ -681,15 +684,26 @@ def ioc_exact(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "ioc_uri_list",
-    """SELECT doc_id, label.quality, CASE WHEN source IN (SELECT split_part(split_part(url, '//', 2), '/', 1) FROM pages)
-    OR lang IN ('en', 'de') THEN 'Country:' || lang END AS country_rule
-    FROM documents LEFT JOIN labels AS label USING (doc_id)""",
+    """SELECT page_id, CASE WHEN url IN (SELECT url FROM pages WHERE length(html) > 2000) THEN 'URI_Exact:' || url END
+    AS uri_rule FROM pages""",
 )
 def ioc_uri_list(spark: SparkSession, sf: str) -> DataFrame:
-    """A list too long for literals goes through the join instead."""
-    listed = Indicators(countries=("en", "de", *[f"x{i}" for i in range(indicators.LITERALS)]))
-    documents = T.table(spark, sf, "documents").join(T.table(spark, sf, "labels"), "doc_id", "left")
-    return indicators.match_country(documents, "lang", listed).select("doc_id", "quality", "country_rule")
+    """The addresses of long pages as a list, which is too long for literals: a join."""
+    pages = T.table(spark, sf, "pages")
+    listed = pages.where(F.length("html") > 2000).select("url").distinct().toArrow().column("url").to_pylist()
+    return indicators.match_uri(pages, "url", Indicators(uris=tuple(sorted(listed)))).select("page_id", "uri_rule")
+
+
+@query(
+    "ioc_load",
+    f"WITH {T.LOG_SQL}, r AS (SELECT *, {RULES_SQL} AS rules FROM log) SELECT {REQUEST_SQL}, array_to_string(rules, ' & ') AS rules FROM r",
+)
+def ioc_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Indicators from a file in the shared folder, read through its file system."""
+    path = scratch_path(spark, "indicators")
+    spark.createDataFrame([(LOG_INDICATORS_YAML,)], "value string").write.text(path)
+    rows = indicators.match_all(_requests(spark, sf), load_indicators(path, spark))
+    return rows.withColumn("rules", F.array_join("rules", " & ")).drop("matched")
 
 
 @query("ioc_country", f"WITH {T.LOG_SQL} SELECT {REQUEST_SQL}, {COUNTRY_SQL} AS country_rule FROM log")
@@ -850,6 +864,31 @@ def saved_cycle(spark: SparkSession, sf: str) -> DataFrame:
     return saved.select("run_id", *KEYS, when_text("minute"), "value", rounded("score"), "mode")
 
 
+@query(
+    "cycle_alerts",
+    f"""{CYCLE_FOLD}{CYCLE_FOUND_SQL} SELECT CAST(n AS VARCHAR) || ' findings' AS subject, least(n, 100) AS n_listed, n AS n_metric
+    FROM (SELECT count(*) AS n FROM found)""",
+)
+def cycle_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """The alert document and the metric that a cycle writes for its findings."""
+    path = scratch_path(spark, "alerts")
+    waf, vpc = logs.read_waf(spark, T.landed(spark, sf, "waf")), logs.read_vpc(spark, T.landed(spark, sf, "vpc"))
+    params = CYCLE.with_(top_k=None)
+    store = BaselineStore(spark, path + "/baselines")
+    run_cycle(
+        waf, vpc, T.AS_OF, params, store, path + "/points", path + "/findings", LOG_INDICATORS, alerts_path=path
+    )
+    alert, metric = spark.read.text(path + "/alerts"), spark.read.text(path + "/metrics")
+    document = F.from_json("value", "subject STRING, findings ARRAY<STRUCT<metric: STRING>>")
+    told = alert.select(document.alias("d"), F.lit(1).alias("one"))
+    n = F.from_json("value", f"{METRICS[0]} BIGINT")[METRICS[0]]
+    return told.join(metric.select(n.alias("n_metric"), F.lit(1).alias("one")), "one").select(
+        F.concat("n_metric", F.lit(" findings")).alias("subject"),
+        F.size("d.findings").cast("bigint").alias("n_listed"),
+        "n_metric",
+    )
+
+
 CAPPED_SQL = folded_sql(
     """SELECT metric, key, subkey, minute, sum(value) AS value, source_type FROM (
       SELECT * FROM (SELECT 'request_count' AS metric, ip AS key, uri AS subkey, date_trunc('minute', log_time) AS minute,
@@ -963,8 +1002,13 @@ def convert_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     CAST(sum(k) * 100 AS BIGINT) AS bytes FROM log GROUP BY ALL""",
 )
 def convert_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    """Converting again adds only partitions the target lacks: here none."""
-    source, target = T.landed(spark, sf, "vpc"), scratch_path(spark, "vpc-parquet")
+    """Hours that get a late file are converted again, whole; others stay."""
+    source, target = scratch_path(spark, "vpc-late"), scratch_path(spark, "vpc-parquet")
+    flows = spark.read.schema(VPC).json(T.landed(spark, sf, "vpc"))
+    early = F.col("packets") < 60
+    convert.write_partitioned(flows.where(early), source, fmt="json")
+    convert.convert_new(spark, logs.read_vpc, source, target)
+    convert.write_partitioned(flows.where(~early), source, fmt="json")
     convert.convert_new(spark, logs.read_vpc, source, target)
     convert.convert_new(spark, logs.read_vpc, source, target)
     files = logs.read_vpc(spark, target, "parquet")
@@ -1079,7 +1123,7 @@ def stream_cycles(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "stream_ingest",
-    """SELECT CASE WHEN k % 10 = 9 THEN 'error' ELSE 'record' END AS landed, count(*) AS n_rows
+    """SELECT CASE WHEN k % 10 = 9 THEN 'error' ELSE 'record' END AS landed, count(*) AS n_rows, 0 AS n_changed
     FROM (SELECT CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events) GROUP BY ALL""",
 )
 def stream_land(spark: SparkSession, sf: str) -> DataFrame:
@@ -1092,6 +1136,8 @@ def stream_land(spark: SparkSession, sf: str) -> DataFrame:
     )
     for one in started:
         one.awaitTermination()
-    records = logs.read_waf(spark, path + "/records").select(F.lit("record").alias("landed"))
-    errors = spark.read.schema("value STRING, dt STRING, hr STRING").json(path + "/errors").select(F.lit("error").alias("landed"))
-    return records.unionByName(errors).groupBy("landed").agg(F.count(F.lit(1)).alias("n_rows"))
+    landed = [spark.read.text(f"{path}/{k}s").select("value", F.lit(k).alias("landed")) for k in ("record", "error")]
+    whole = landed[0].unionAll(landed[1])
+    known = spark.read.text(path + "/lines").select("value", F.lit(1).alias("known")).distinct()
+    changed = F.sum(F.when(F.col("known").isNull(), 1).otherwise(0)).cast("int").alias("n_changed")
+    return whole.join(known, "value", "left").groupBy("landed").agg(F.count(F.lit(1)).alias("n_rows"), changed)

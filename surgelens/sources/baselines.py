@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surgelens.sources.schemas import BASELINE
-from surgelens.sources.storage import committed
+from surgelens.sources.storage import committed, exists
 
 KEYS = ["metric", "key", "subkey"]
 FIELDS = [n for n in BASELINE.fieldNames() if n not in KEYS]
@@ -95,7 +95,18 @@ class BaselineStore:
         if not run_id or not all(ch.isalnum() or ch in "-_." for ch in run_id):
             raise ValueError("run ids are letters, digits, '-', '_' and '.'")
         stamped = rows.withColumn("run_id", F.lit(run_id)).select(*BASELINE.fieldNames())
-        stamped.write.mode("overwrite").parquet(f"{self.delta}/run_id={run_id}")
+        self._save(stamped, self.delta, run_id)
+
+    def _save(self, rows: DataFrame, folder: str, run_id: str) -> None:
+        """Write a run's folder. Reads know finished ones by their marker, so a cluster
+        that writes none would lose them silently: that is an error."""
+        rows.write.mode("overwrite").parquet(f"{folder}/run_id={run_id}")
+        if not exists(self.spark, f"{folder}/run_id={run_id}/_SUCCESS"):
+            raise RuntimeError("baselines need _SUCCESS markers; set mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+    def open_runs(self) -> int:
+        """How many runs the newest base doesn't cover."""
+        return sum("/delta/" in f for f in self._folders(None))
 
     def compact(self) -> str | None:
         """Fold all deltas into a new base; returns its id, None if there is none.
@@ -108,5 +119,5 @@ class BaselineStore:
             return None
         if runs[-1] in committed(self.spark, self.base, "run_id"):
             return runs[-1]
-        self.load().write.mode("overwrite").parquet(f"{self.base}/run_id={runs[-1]}")
+        self._save(self.load(), self.base, runs[-1])
         return runs[-1]

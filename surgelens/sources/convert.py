@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgelens.sources.storage import list_partitions
+from surgelens.sources.storage import file_times, list_partitions
 
 # Columnar files of about this many rows; a larger hour is split over several.
 ROWS_PER_FILE = 5_000_000
@@ -63,9 +63,12 @@ def convert_day(
 def convert_new(
     spark: SparkSession, read: Callable[[SparkSession, str], DataFrame], source: str, target: str
 ) -> int:
-    """Convert the partitions the target does not have yet; returns how many."""
-    done = set(list_partitions(spark, target, "dt", "hr"))
-    pairs = [p for p in list_partitions(spark, source, "dt", "hr") if p not in done]
+    """Convert the partitions that the target lacks, or that got files since it was
+    written; returns how many. Such an hour is rewritten whole, so late files count
+    and a repeated run adds nothing."""
+    done = file_times(spark, target, "dt", "hr")
+    grown = lambda hour, newest: hour not in done or newest >= done[hour][0]
+    pairs = sorted(hour for hour, (_, newest) in file_times(spark, source, "dt", "hr").items() if grown(hour, newest))
     if pairs:
         write_partitioned(read(spark, source).where(in_partitions(pairs)), target, "replace")
     return len(pairs)

@@ -7,6 +7,8 @@ import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.sql import SparkSession
+
 
 @dataclass(frozen=True)
 class Network:
@@ -60,9 +62,14 @@ class Indicators:
         )
 
 
-def load_indicators(path: str) -> Indicators:
-    """Read a YAML indicator file. A missing or broken file raises."""
+def load_indicators(path: str, spark: SparkSession | None = None) -> Indicators:
+    """Read a YAML indicator file. A missing or broken file raises.
+
+    With a session, the file is read through the file system its path belongs to.
+    """
     import yaml
 
+    if spark is not None:
+        return Indicators.from_config(yaml.safe_load(spark.read.text(path, wholetext=True).first()["value"]) or {})
     with open(path, encoding="utf-8") as f:
         return Indicators.from_config(yaml.safe_load(f) or {})

@@ -3,9 +3,9 @@
 JSON field names are matched case-sensitively, so fields carry the spelling the
 logs use. Where writers differ, both spellings are read and merged afterwards.
 Partition keys are strings, so that ``hr`` keeps its leading zero.
-"""
 
-from __future__ import annotations
+Fixed values: field names are those of the public log formats.
+"""
 
 from __future__ import annotations
 
@@ -99,17 +99,6 @@ def _both_spellings(fields: dict[str, DataType]) -> dict[str, DataType]:
 
 VPC = _struct(**_both_spellings(_FLOW_FIELDS), dt=STRING, hr=STRING)
 
-HOTSPOT = _struct(
-    minute=TIME,
-    key=STRING,
-    subkey=STRING,
-    country=STRING,
-    rule_label=STRING,
-    value=DOUBLE,
-    metric=STRING,
-    source_type=STRING,
-)
-
 BASELINE = _struct(
     metric=STRING,
     key=STRING,

@@ -1,8 +1,4 @@
-"""Directory listings through the Hadoop file system the path belongs to.
-
-Only directory names are listed, never data files, so the result is as long as
-the number of partitions or runs.
-"""
+"""Directory listings through the Hadoop file system the path belongs to."""
 
 from __future__ import annotations
 
@@ -37,6 +33,18 @@ def list_partitions(spark: SparkSession, path: str, *keys: str) -> list[tuple[st
     return sorted(found)
 
 
+def file_times(spark: SparkSession, path: str, *keys: str) -> dict[tuple[str, ...], tuple[int, int]]:
+    """When the oldest and the newest data file of every partition was written."""
+    pattern = "/".join([path.rstrip("/"), *[f"{k}=*" for k in keys], "[!_.]*"])
+    found: dict[tuple[str, ...], tuple[int, int]] = {}
+    for status in _matches(spark, pattern):
+        parts = status.getPath().getParent().toString().split("/")[-len(keys):]
+        slot, time = tuple(unquote(p.split("=", 1)[1]) for p in parts), status.getModificationTime()
+        old, new = found.get(slot, (time, time))
+        found[slot] = (min(old, time), max(new, time))
+    return found
+
+
 def committed(spark: SparkSession, path: str, key: str) -> list[str]:
     """Values of ``key`` whose directory holds a finished write, sorted."""
     pattern = f"{path.rstrip('/')}/{key}=*/_SUCCESS"

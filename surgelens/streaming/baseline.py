@@ -7,11 +7,12 @@ every micro-batch against the saved baselines.
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -22,6 +23,7 @@ from surgelens.params import DetectionParams
 from surgelens.sources.baselines import KEYS, BaselineStore, of_active_series
 from surgelens.sources.indicators import Indicators
 from surgelens.sources.sinks import write_findings
+from surgelens.sources.storage import exists
 
 STATE = "n bigint, mean double, c double, q double, last_minute timestamp"
 SCORED = (
@@ -33,20 +35,23 @@ SCORED = (
 def scored_stream(points: DataFrame, params: DetectionParams) -> DataFrame:
     """Every point of a stream with its score against the state before it.
 
-    A micro-batch hands a series its points in pieces; only (minute, value)
-    pairs of the current batch are held, sorted and folded. Points at or before
-    the newest folded minute are skipped. State per series is five numbers.
+    A micro-batch hands a series its points in pieces; a minute's values are summed
+    piece by piece, so a batch holds one number for each of its minutes. Minutes
+    must be closed when they come, as those of ``windowed_counts`` are: rows at or
+    before the newest folded minute are too late and left out. State per series
+    is five numbers, kept without a time limit.
     """
     alpha, keep, min_count = params.alpha, 1.0 - params.alpha, params.min_count
 
     def fold(key: tuple, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        batch = pd.concat([p[["minute", "value"]] for p in pieces], ignore_index=True)
+        sums = pd.Series(dtype="float64")
+        for piece in pieces:
+            sums = sums.add(piece.groupby("minute")["value"].sum(), fill_value=0.0)
         n, mean, c, q, last = state.get if state.exists else (0, None, 0.0, 1.0, None)
         if last is not None:
-            batch = batch[batch["minute"] > pd.Timestamp(last)]
-        batch = batch.sort_values(["minute", "value"], ascending=[True, False])
+            sums = sums[sums.index > pd.Timestamp(last)]
         out = []
-        for minute, x in zip(batch["minute"], batch["value"]):
+        for minute, x in sums.sort_index().items():
             std = math.sqrt(c / (1.0 - q)) if n >= 2 and q < 1.0 else None
             score = None
             if std is not None and n >= min_count:
@@ -69,6 +74,15 @@ def scored_stream(points: DataFrame, params: DetectionParams) -> DataFrame:
     )
 
 
+def first_start(spark: SparkSession, checkpoint: str) -> str:
+    """When the stream of a checkpoint first started; kept in a folder beside it."""
+    path = f"{checkpoint.rstrip('/')}-since"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        now = dt.datetime.now(dt.timezone.utc)
+        spark.createDataFrame([(f"{now:%Y%m%dT%H%M%S%f}",)], "value string").write.mode("overwrite").text(path)
+    return spark.read.text(path).first()["value"]
+
+
 def scheduled_cycles(
     points: DataFrame,
     params: DetectionParams,
@@ -80,12 +94,14 @@ def scheduled_cycles(
 ) -> StreamingQuery:
     """Detection on every micro-batch of hotspot rows, each on the saved baselines.
 
-    Run ids follow the batch number: a batch replayed after a failure reads the
-    baselines from before itself and replaces its own outputs.
+    Run ids are the stream's first start and the batch number: a batch replayed
+    after a failure reads the baselines from before itself and replaces its own
+    outputs, and a stream with a new checkpoint sorts after all earlier ones.
     """
+    since = first_start(points.sparkSession, checkpoint)
 
     def cycle(batch: DataFrame, number: int) -> None:
-        run_id = f"{number:012d}"
+        run_id = f"{since}-{number:012d}"
         points = to_points(batch).persist()
         stored = of_active_series(store.history(before=run_id), points)
         found = detect_anomalies(points, params, stored)

@@ -18,13 +18,14 @@ def by_arrival(records: DataFrame) -> DataFrame:
 def ingest(
     records: DataFrame, path: str, checkpoint: str, seconds: int = 300, once: bool = False
 ) -> StreamingQuery:
-    """Write a stream of records as gzip JSON every ``seconds``; ``once`` drains it.
+    """Write a stream of records as gzip files every ``seconds``; ``once`` drains it.
 
-    Failed batches leave no files: the sink's log names complete ones only.
+    Lines of text (one column, ``value``) are kept as they came, other records
+    become JSON. Failed batches leave no files: the sink's log names complete ones.
     """
     writer = (
         by_arrival(records)
-        .writeStream.format("json")
+        .writeStream.format("text" if records.columns == ["value"] else "json")
         .option("compression", "gzip")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
@@ -38,13 +39,13 @@ def ingest(
 def ingest_text(
     lines: DataFrame, schema: StructType, path: str, errors: str, checkpoint: str, seconds: int = 300, once: bool = False
 ) -> list[StreamingQuery]:
-    """Parse a stream of JSON ``value`` lines; lines that do not parse go to ``errors``."""
+    """Land a stream of JSON ``value`` lines unchanged; lines that do not parse go to
+    ``errors``. Parsing only routes them: fields outside ``schema`` stay in the line."""
     with_text = StructType(list(schema.fields)).add("_bad", StringType())
     parsed = F.from_json("value", with_text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     rows = lines.select("value", parsed.alias("r"))
     bad = F.col("r").isNull() | F.col("r._bad").isNotNull()
-    good_rows = rows.where(~bad).select("r.*").drop("_bad")
-    bad_rows = rows.where(bad).select("value")
+    good_rows, bad_rows = rows.where(~bad).select("value"), rows.where(bad).select("value")
     return [
         ingest(good_rows, path, checkpoint + "/records", seconds, once),
         ingest(bad_rows, errors, checkpoint + "/errors", seconds, once),

@@ -149,6 +149,17 @@ def test_sliding_counts_equal_the_window_function(spark):
         windows.sliding_counts(df, F.col("ts"), ["k"], 15, 4)
 
 
+def test_a_late_file_has_its_hour_converted_again(spark, waf, fresh):
+    source, out = fresh("late"), fresh("late-parquet")
+    rows = logs.read_waf(spark, waf)
+    write_partitioned(rows, source, fmt="json")
+    hours = convert_new(spark, logs.read_waf, source, out)
+    assert hours == 3 and convert_new(spark, logs.read_waf, source, out) == 0
+    write_partitioned(rows.where("hr = '23'").limit(1), source, fmt="json")
+    assert convert_new(spark, logs.read_waf, source, out) == 1
+    assert logs.read_waf(spark, out, "parquet").count() == rows.count() + 1
+
+
 def test_conversion(spark, waf, fresh):
     out = fresh("parquet")
     assert convert_day(spark, logs.read_waf, waf, out, "2023-10-26") == 2

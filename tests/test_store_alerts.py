@@ -35,6 +35,7 @@ def test_store(spark, fresh):
     assert means(store.load()) == {"a/b": 105.0, "b": 1.0}
     assert means(store.load(before="2")) == {"a/b": 100.5, "b": 1.0}
     assert store.compact() == "2"
+    assert store.compact() == "2" and store.open_runs() == 0
     assert means(store.load()) == {"a/b": 105.0, "b": 1.0}
     store.append(baselines(spark, ("b", "s", 7.0, 1.0, "2024-01-03")), "3")
     store.append(baselines(spark, ("b", "s", 8.0, 1.0, "2024-01-03")), "3")
