@@ -1,6 +1,6 @@
 """Headline queries at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``; prints one JSON line.
 
-Each time is the median of ``$BENCH_RUNS`` runs (default 3) after one warm-up.
+Each time is the median of ``$BENCH_RUNS`` runs (default 5) after one warm-up.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session("surgelens-bench", master=f"local[{cpus}]", cpus=cpus)
     spark.sparkContext.setLogLevel("ERROR")
