@@ -23,6 +23,9 @@ LITERALS = 200
 NETWORK_LITERALS = 64
 # More distinct prefix lengths than this are widened to whole bytes.
 PREFIX_LENGTHS = 8
+# Parts that a value's rows are spread over where a list is too long to broadcast.
+SALTS = 16
+# All of these choose between plans; the results are the same.
 
 # The prefixes of rule names.
 CIDR, COUNTRY = "CIDR", "Country"
@@ -42,15 +45,48 @@ def _exact_rule(c: Column, values: Sequence[str], label: str) -> Column:
     return F.when((c != "") & found, F.concat(F.lit(label + ":"), c))
 
 
-def _match_exact(df: DataFrame, column: str, values: Sequence[str], label: str, out: str) -> DataFrame:
+def _look_up(df: DataFrame, listed: DataFrame, keys: dict[str, Column], size: int) -> DataFrame:
+    """Left join with a list of distinct keys, given its bytes.
+
+    Inside the broadcast bound no row moves. Beyond it both sides are shuffled by
+    key and a salt, which follows from the whole row: rows that share one
+    frequent value, or have none, are spread over ``SALTS`` tasks.
+    """
+    hinted = broadcast_within(listed, 1, size)
+    matches = F.lit(True)
+    for name, have in keys.items():
+        matches = matches & (have == F.col(name))
+    if hinted is listed:
+        hashed = [F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+        df = df.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(SALTS).cast("bigint")))
+        salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+        hinted = listed.withColumn("_salt_of_list", F.explode(salts))
+        matches = matches & (F.col("_salt") == F.col("_salt_of_list"))
+    return df.join(hinted, matches, "left").drop(*keys, "_salt", "_salt_of_list")
+
+
+def _match_listed(df: DataFrame, column: str, listed: DataFrame, size: int, label: str, out: str) -> DataFrame:
     c = F.col(column)
+    joined = _look_up(df, listed.withColumn("_is_listed", F.lit(True)), {"_listed": c}, size)
+    return joined.withColumn(out, F.when(F.col("_is_listed"), F.concat(F.lit(label + ":"), c))).drop("_is_listed")
+
+
+def _match_exact(df: DataFrame, column: str, values: Sequence[str], label: str, out: str) -> DataFrame:
     if len(values) <= LITERALS:
-        return df.withColumn(out, _exact_rule(c, values, label))
-    row_bytes = 64 + 2 * max(len(v) for v in values)
-    listed = _local_table(df, {"_listed": pa.array([v for v in values if v], pa.string())})
-    joined = df.join(broadcast_within(listed, len(values), row_bytes), c == F.col("_listed"), "left")
-    hit = F.when(F.col("_listed").isNotNull(), F.concat(F.lit(label + ":"), c))
-    return joined.withColumn(out, hit).drop("_listed")
+        return df.withColumn(out, _exact_rule(F.col(column), values, label))
+    listed = _local_table(df, {"_listed": pa.array(list(dict.fromkeys(v for v in values if v)), pa.string())})
+    return _match_listed(df, column, listed, sum(64 + 2 * len(v) for v in values), label, out)
+
+
+def match_uri_table(df: DataFrame, column: str, listed: DataFrame) -> DataFrame:
+    """Adds ``uri_rule`` from a table of URIs (its first column), however long.
+
+    The list is measured, in one pass of its own, and never comes to the driver.
+    """
+    uri = F.col(listed.columns[0])
+    distinct = listed.where(uri != "").select(uri.alias("_listed")).distinct()
+    size = distinct.agg(F.sum(64 + F.octet_length("_listed"))).first()[0] or 0
+    return _match_listed(df, column, distinct, size, URI_EXACT, "uri_rule")
 
 
 def _pattern_rule(c: Column, patterns: Sequence[str], label: str) -> Column:
@@ -74,22 +110,19 @@ def match_uri(df: DataFrame, column: str, found: Indicators) -> DataFrame:
     return exact.withColumn("uri_regex_rule", _pattern_rule(F.col(column), found.uri_patterns, URI_REGEX))
 
 
-def _by_prefix(networks: Sequence[Network], width: int) -> dict[int, dict[int, tuple[int, str]]]:
-    """Leading bits of each network, grouped by prefix length.
+def _by_prefix(networks: Sequence[Network]) -> dict[int, list[Network]]:
+    """Distinct networks, the earlier of equal ones, by prefix length.
 
-    With many distinct lengths, networks are spelled out at the next whole byte,
-    which bounds the number of joins. Equal prefixes keep the earlier network.
+    Many distinct lengths are widened to the next whole byte, which bounds the
+    number of joins.
     """
-    lengths = {n.prefix for n in networks}
-    widen = len(lengths) > PREFIX_LENGTHS
-    tables: dict[int, dict[int, tuple[int, str]]] = {}
-    for net in networks:
-        length = -(-net.prefix // 8) * 8 if widen else net.prefix
-        first = net.number >> (width - length)
-        table = tables.setdefault(length, {})
-        for bits in range(first, first + (1 << (length - net.prefix))):
-            if bits not in table or net.order < table[bits][0]:
-                table[bits] = (net.order, net.label)
+    widen = len({n.prefix for n in networks}) > PREFIX_LENGTHS
+    distinct: dict[tuple[int, int], Network] = {}
+    for net in sorted(networks, key=lambda n: n.order):
+        distinct.setdefault((net.number, net.prefix), net)
+    tables: dict[int, list[Network]] = {}
+    for net in distinct.values():
+        tables.setdefault(-(-net.prefix // 8) * 8 if widen else net.prefix, []).append(net)
     return tables
 
 
@@ -138,26 +171,37 @@ def _first_network(address: Column, networks: Sequence[Network], version: int) -
     return F.coalesce(*tests)
 
 
-def _match_version(df: DataFrame, column: str, networks: Sequence[Network], version: int, out: str) -> DataFrame:
+def _prefix_table(
+    df: DataFrame, networks: Sequence[Network], version: int, length: int, keys: Sequence[str], hit: str
+) -> DataFrame:
+    """Leading bits and first network of each; shorter prefixes are spelled out by Spark."""
     width = 32 if version == 4 else 128
+    firsts = [_network_keys(version, length, n.number >> (width - length)) for n in networks]
+    columns = {k: pa.array([f[i] for f in firsts], pa.int64()) for i, k in enumerate(keys)}
+    columns["_more"] = pa.array([(1 << (length - n.prefix)) - 1 for n in networks], pa.int64())
+    columns["_order"] = pa.array([n.order for n in networks], pa.int32())
+    columns["_label"] = pa.array([n.label for n in networks], pa.string())
+    nets = _local_table(df, columns)
+    network = F.struct(F.col("_order").alias("order"), F.col("_label").alias("label"))
+    if all(n.prefix == length for n in networks):
+        return nets.select(*keys, network.alias(hit))
+    # A network spans at most a byte's worth of one number, and never its sign.
+    growing = keys[0] if length <= 64 else keys[1]
+    step = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_more")))
+    spelled = nets.withColumn("_step", step).withColumn(growing, F.col(growing) + F.col("_step"))
+    return spelled.groupBy(*keys).agg(F.min(network).alias(hit))
+
+
+def _match_version(df: DataFrame, column: str, networks: Sequence[Network], version: int, out: str) -> DataFrame:
     number = f"_address{version}"
     df = df.withColumn(number, _address(F.col(column), version))
     hits: list[str] = []
-    for length, table in sorted(_by_prefix(networks, width).items()):
+    for length, listed in sorted(_by_prefix(networks).items()):
         keys = [f"_n{version}_{length}_{i}" for i in range(1 if version == 4 else 2)]
-        hit = f"_hit{version}_{length}"
-        entries = [(_network_keys(version, length, bits), *hit_of) for bits, hit_of in table.items()]
-        columns = {k: pa.array([e[0][i] for e in entries], pa.int64()) for i, k in enumerate(keys)}
-        columns["_order"] = pa.array([e[1] for e in entries], pa.int32())
-        columns["_label"] = pa.array([e[2] for e in entries], pa.string())
-        nets = _local_table(df, columns).select(
-            *keys, F.struct(F.col("_order").alias("order"), F.col("_label").alias("label")).alias(hit)
-        )
-        condition = F.lit(True)
-        for key, bits in zip(keys, _prefix_keys(version, length, F.col(number))):
-            condition = condition & (bits == F.col(key))
-        df = df.join(broadcast_within(nets, len(entries), 128), condition, "left").drop(*keys)
-        hits.append(hit)
+        hits.append(f"_hit{version}_{length}")
+        nets = _prefix_table(df, listed, version, length, keys, hits[-1])
+        size = 128 * sum(1 << (length - n.prefix) for n in listed)
+        df = _look_up(df, nets, dict(zip(keys, _prefix_keys(version, length, F.col(number)))), size)
     first = F.array_min(F.array_compact(F.array(*[F.col(h) for h in hits])))["label"]
     return df.withColumn(out, F.concat(F.lit(CIDR + ":"), first)).drop(number, *hits)
 

@@ -17,7 +17,7 @@ from surgelens.operators.alerts import METRICS
 from surgelens.params import DetectionParams
 from surgelens.plans.detection import plan_cycle, run_cycle
 from surgelens.registry import tables as T
-from surgelens.session import scratch_path
+from surgelens.session import broadcast_within, scratch_path
 from surgelens.sources import convert, logs, sqljob
 from surgelens.sources import tables as catalog
 from surgelens.sources.baselines import KEYS, BaselineStore, upsert
@@ -378,8 +378,12 @@ def ewma_std(spark: SparkSession, sf: str) -> DataFrame:
 )
 def zscore_query(spark: SparkSession, sf: str) -> DataFrame:
     events = T.table(spark, sf, "events")
+    path = scratch_path(spark, "types")
     per_type = events.groupBy("event_type").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
-    scored = events.join(per_type, "event_type").withColumn(
+    per_type.write.parquet(path)
+    saved = spark.read.schema(per_type.schema).parquet(path)
+    size = saved.agg(F.sum(64 + F.octet_length("event_type"))).first()[0] or 0
+    scored = events.join(broadcast_within(saved, 1, size), "event_type").withColumn(
         "score", zscore(F.col("value"), F.col("mean"), F.col("std"))
     )
     return scored.select("event_id", rounded("score"))
@@ -690,8 +694,9 @@ def ioc_exact(spark: SparkSession, sf: str) -> DataFrame:
 def ioc_uri_list(spark: SparkSession, sf: str) -> DataFrame:
     """The addresses of long pages as a list, which is too long for literals: a join."""
     pages = T.table(spark, sf, "pages")
-    listed = pages.where(F.length("html") > 2000).select("url").distinct().toArrow().column("url").to_pylist()
-    return indicators.match_uri(pages, "url", Indicators(uris=tuple(sorted(listed)))).select("page_id", "uri_rule")
+    return indicators.match_uri_table(pages, "url", pages.where(F.length("html") > 2000).select("url")).select(
+        "page_id", "uri_rule"
+    )
 
 
 @query(
