@@ -20,7 +20,11 @@ class DetectionParams:
 
     lookback_minutes: int = 15
     every_minutes: int = 5
+    # Days of saved counts that baselines are trained from.
     train_days: int = 7
+    # Saved baselines not updated for this many days, and missing ones, are trained
+    # from the counts that earlier cycles saved; None: baselines never age.
+    max_age_days: int | None = None
     # Runs whose baselines may lie open before a cycle folds them into a new base.
     compact_every: int = 12
     alpha: float = 0.3
@@ -53,7 +57,7 @@ class DetectionParams:
             raise ValueError(f"scope must be one of {SCOPES}")
         if self.mode == "post_update" and self.scope != "last":
             raise ValueError("post_update scores the newest point only")
-        for name in ("lookback_minutes", "every_minutes", "train_days", "top_k", "hotspot_limit", "compact_every", "step_minutes", "block_points"):
+        for name in ("lookback_minutes", "every_minutes", "train_days", "max_age_days", "top_k", "hotspot_limit", "compact_every", "step_minutes", "block_points"):
             value = getattr(self, name)
             if value is not None and value <= 0:
                 raise ValueError(f"{name} must be positive")

@@ -4,22 +4,25 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surgelens.operators.alerts import alert_document, metric_record
 from surgelens.operators.hotspots import union_counts
 from surgelens.operators.indicators import tag_findings
-from surgelens.operators.scoring import Detection, detect_anomalies
+from surgelens.operators.scoring import Detection, detect_anomalies, fresh_enough, train_baselines
 from surgelens.operators.series import to_points
 from surgelens.params import DetectionParams
-from surgelens.sources.baselines import BaselineStore, of_active_series
+from surgelens.sources.baselines import KEYS, BaselineStore, keyed_rows, of_active_series
 from surgelens.sources.indicators import Indicators
 from surgelens.sources.sinks import read_findings, write_findings
+from surgelens.sources.storage import committed
 
 # Namespace of the summary metrics, and findings in an alert if all are reported.
 NAMESPACE = "surgelens"
 ALERTED = 100
+# Run ids are a cycle's ``as_of``, as Python and Spark write it.
+RUN_ID, RUN_ID_TIME = "%Y%m%dT%H%M%S", "yyyyMMdd'T'HHmmss"
 
 
 def cycle_points(
@@ -53,6 +56,38 @@ def plan_cycle(
     return Detection(tag_findings(found.findings, indicators, counts), found.baselines)
 
 
+def saved_counts(
+    spark: SparkSession, points_path: str, as_of: dt.datetime, params: DetectionParams
+) -> DataFrame | None:
+    """Counts saved by the cycles of the last ``train_days``, found by folder name.
+
+    Lookbacks overlap; a group's newest count of a minute is the one that stays.
+    None if there is no such cycle.
+    """
+    root = points_path.rstrip("/")
+    oldest, now = f"{as_of - dt.timedelta(days=params.train_days):{RUN_ID}}", f"{as_of:{RUN_ID}}"
+    runs = [f"{root}/run_id={r}" for r in committed(spark, root, "run_id") if oldest <= r < now]
+    if not runs:
+        return None
+    rows = spark.read.option("basePath", root).parquet(*runs)
+    groups = [c for c in rows.columns if c not in ("value", "run_id")]
+    run = F.unix_timestamp(F.col("run_id").cast("string"), RUN_ID_TIME)
+    return rows.groupBy(*groups).agg(F.max_by("value", run).alias("value"))
+
+
+def refreshed(
+    stored: DataFrame, counts: DataFrame, earlier: DataFrame | None, as_of: dt.datetime, params: DetectionParams
+) -> DataFrame:
+    """``stored`` without stale baselines; series of ``counts`` that then lack one get
+    one trained from ``earlier`` counts."""
+    fresh = fresh_enough(stored, as_of, params.max_age_days)
+    if earlier is None:
+        return fresh
+    wanted = counts.select(F.struct(*KEYS).alias("series")).distinct().join(fresh.select("series"), "series", "left_anti")
+    points = to_points(earlier).withColumn("series", F.struct(*KEYS)).join(wanted, "series", "left_semi").drop("series")
+    return fresh.unionByName(keyed_rows(train_baselines(points, params, as_of)))
+
+
 def run_cycle(
     waf: DataFrame,
     vpc: DataFrame,
@@ -71,15 +106,17 @@ def run_cycle(
     findings are written below it.
 
     The counts are saved first, so the logs are scanned once for both results,
-    and stay as history to train on. Ids follow ``as_of``, and all outputs
+    and stay as history to train on (``max_age_days``). Ids follow ``as_of``, and all outputs
     replace their own directory, so a cycle cut short can simply be run again.
     """
-    run_id = f"{as_of:%Y%m%dT%H%M%S}"
+    run_id = f"{as_of:{RUN_ID}}"
     spark = waf.sparkSession
     points = f"{points_path.rstrip('/')}/run_id={run_id}"
     cycle_points(waf, vpc, as_of, params, hotspot_limit).write.mode("overwrite").parquet(points)
     counts = to_points(spark.read.parquet(points))
     stored = of_active_series(store.history(before=run_id), counts)
+    if params.max_age_days is not None:
+        stored = refreshed(stored, counts, saved_counts(spark, points_path, as_of, params), as_of, params)
     found = detect_anomalies(counts, params, stored)
     write_findings(tag_findings(found.findings, indicators, counts), findings_path, run_id)
     store.append(found.baselines, run_id)

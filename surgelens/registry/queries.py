@@ -869,6 +869,31 @@ def saved_cycle(spark: SparkSession, sf: str) -> DataFrame:
     return saved.select("run_id", *KEYS, when_text("minute"), "value", rounded("score"), "mode")
 
 
+@query(
+    "cycle_trained_from_history",
+    f"""{CYCLE_FOLD}{CYCLE_FOUND_SQL}
+    SELECT CASE WHEN minute < TIMESTAMP '2024-01-30 17:00:00' THEN '20240130T170000'
+      WHEN minute < TIMESTAMP '2024-01-30 18:00:00' THEN '20240130T180000' ELSE '20240131T000000' END AS run_id,
+      metric, key, subkey, {TEXT_MINUTE}, value, round(score, 6) AS score, mode FROM found""",
+)
+def cycle_trained_from_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Three cycles, the last with an empty baseline store.
+
+    It trains from the counts that the first two saved, which overlap, and so finds
+    what it would have found with their baselines.
+    """
+    path = scratch_path(spark, "trained")
+    waf, vpc = logs.read_waf(spark, T.landed(spark, sf, "waf")), logs.read_vpc(spark, T.landed(spark, sf, "vpc"))
+    half = T.LOG_MINUTES // 2
+    params = CYCLE.with_(lookback_minutes=half, top_k=None, max_age_days=7)
+    kept, lost = BaselineStore(spark, path + "/baselines"), BaselineStore(spark, path + "/other")
+    for minutes, store in ((half + 60, kept), (half, kept), (0, lost)):
+        as_of = T.AS_OF - dt.timedelta(minutes=minutes)
+        run_cycle(waf, vpc, as_of, params, store, path + "/points", path + "/findings")
+    saved = read_findings(spark, path + "/findings")
+    return saved.select("run_id", *KEYS, when_text("minute"), "value", rounded("score"), "mode")
+
+
 @query(
     "cycle_alerts",
     f"""{CYCLE_FOLD}{CYCLE_FOUND_SQL} SELECT CAST(n AS VARCHAR) || ' findings' AS subject, least(n, 100) AS n_listed, n AS n_metric
@@ -1026,8 +1051,13 @@ def convert_incremental(spark: SparkSession, sf: str) -> DataFrame:
     GROUP BY strftime(ts, '%Y-%m-%d')""",
 )
 def retention(spark: SparkSession, sf: str) -> DataFrame:
-    events = T.table(spark, sf, "events").withColumn("dt", F.date_format("ts", "yyyy-MM-dd"))
-    return convert.expired_partitions(events, T.AS_OF.date(), 10)
+    """Events landed by day; only folders of expired days are opened, and no column is read."""
+    path = scratch_path(spark, "by-day")
+    dated = T.table(spark, sf, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("dt"))
+    dated.hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
+    days = convert.expired_days(spark, path, T.AS_OF.date(), 10)
+    landed = spark.read.schema("event_id bigint, dt string").parquet(path)
+    return convert.expired_partitions(landed.where(F.col("dt").isin(days)), T.AS_OF.date(), 10)
 
 
 # ---------------------------------------------------------------- streams

@@ -180,3 +180,41 @@ def test_loading(tmp_path):
     for bad in ({"cidrs": ["10.0.0.1/8"]}, {"regex": {"ua": ["("]}}):
         with pytest.raises(Exception):
             Indicators.from_config(bad)
+
+
+def test_frequent_and_missing_values_beyond_the_bound(spark, monkeypatch):
+    """Joins that may not broadcast: a third of the rows share a value, a third have none."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(900):
+        ip = ["203.0.113.7", None, f"198.18.{rng.randrange(4)}.{rng.randrange(256)}", "fd00:5::" + hex(i)[2:]][rng.randrange(4)]
+        uri = ["/hot", None, f"/u{rng.randrange(400)}", ""][rng.randrange(4)]
+        rows.append((i, ip, uri))
+    df = spark.createDataFrame(rows, "n int, client_ip string, uri string").repartition(5)
+    nets = ["203.0.113.0/29", "203.0.113.0/24", "198.18.1.0/25", "198.18.0.0/15", "fd00:5::100/121", "fd00:5::/67", "fd00::/9"]
+    nets += [f"10.{i}.{i}.0/{length}" for i in range(70) for length in (24, 25, 27)] + ["198.18.1.0/25"]
+    found = Indicators.from_config({"cidrs": nets, "uri": ["/hot", "/hot"] + [f"/u{i}" for i in range(0, 400, 2)]})
+    expected = {}
+    parsed = [ipaddress.ip_network(n) for n in nets]
+    for n, ip, uri in rows:
+        address = ipaddress.ip_address(ip) if ip else None
+        first = next((f"CIDR:{net}" for net in parsed if address is not None and address in net), None)
+        expected[n] = (first, f"URI_Exact:{uri}" if uri and uri in found.uris else None)
+
+    def got():
+        out = indicators.match_uri(indicators.match_cidr(df, "client_ip", found), "uri", found)
+        return {r["n"]: (r["cidr_rule"], r["uri_rule"]) for r in out.collect()}
+
+    assert got() == expected
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr("surgelens.session.BROADCAST_BYTES", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert got() == expected
+        listed = spark.createDataFrame([("/hot",), ("/hot",), (None,), ("",), ("/u4",)], "u string")
+        by_table = indicators.match_uri_table(df, "uri", listed).collect()
+        assert len(by_table) == len(rows)
+        assert {r["uri_rule"] for r in by_table} <= {None, "URI_Exact:/hot", "URI_Exact:/u4"}
+        assert all((r["uri_rule"] is not None) == (r["uri"] in ("/hot", "/u4")) for r in by_table)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
