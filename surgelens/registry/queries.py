@@ -992,23 +992,25 @@ def sql_job(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "external_tables",
-    f"""WITH {T.LOG_SQL} SELECT 'waf' AS source, strftime(log_time, '%H') AS hr, count(*) AS n_rows, count(ua) AS n_named
-    FROM log GROUP BY ALL UNION ALL
-    SELECT 'vpc', strftime(log_time, '%H'), count(*), count(*) FROM log GROUP BY ALL""",
+    f"""WITH {T.LOG_SQL} SELECT 'waf' AS source, strftime(log_time, '%H') AS hr, count(*) AS n_rows, count(ua) AS n_named,
+      count(*) AS n_merged FROM log GROUP BY ALL UNION ALL
+    SELECT 'vpc', strftime(log_time, '%H'), count(*), count(*), count(*) FROM log GROUP BY ALL""",
 )
 def external_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """Both logs as catalog tables in a database of their own, queried by name."""
+    """Both logs as catalog tables in a database of their own, read by the names of their merged views."""
     root = scratch_path(spark, "catalog")
     database = "logs_" + root[-8:]
     catalog.create_database(spark, database, root)
     for name, schema in (("waf", WAF), ("vpc", VPC)):
-        catalog.register_external(spark, database, f"{name}_logs", schema, T.landed(spark, sf, name))
+        catalog.register_external(spark, database, f"{name}_raw", schema, T.landed(spark, sf, name))
+        catalog.register_merged(spark, database, f"{name}_logs", f"{name}_raw", name)
     text = """
     SELECT 'waf' AS source, hr, count(*) AS n_rows,
-           count_if(exists(httpRequest.headers, h -> h.name = 'User-Agent')) AS n_named
+           count_if(exists(httpRequest.headers, h -> h.name = 'User-Agent')) AS n_named,
+           count_if(httpRequest.httpMethod = 'GET' AND httpResponse.status = 200) AS n_merged
     FROM ${database}.waf_logs WHERE dt >= :day GROUP BY hr
     UNION ALL
-    SELECT 'vpc', hr, count(*), count(`account-id`) FROM ${database}.vpc_logs WHERE dt >= :day GROUP BY hr"""
+    SELECT 'vpc', hr, count(*), count(account_id), count(log_status) FROM ${database}.vpc_logs WHERE dt >= :day GROUP BY hr"""
     return sqljob.run_sql(spark, text, args={"day": "2024-01-30"}, places={"database": database})
 
 

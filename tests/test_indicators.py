@@ -9,12 +9,12 @@ from surgelens.operators import indicators
 from surgelens.sources.indicators import Indicators, load_indicators
 
 CONFIG = {
-    "cidrs": ["192.168.1.0/24"],
-    "asn": ["AS15169"],
-    "country": ["KP"],
-    "ua": ["BadBot"],
-    "uri": ["/bad-path"],
-    "regex": {"ua": ["(?i)sqlmap"], "uri": ["/etc/passwd", "(?i)SELECT.*FROM"]},
+    "cidrs": ["172.29.6.0/24"],
+    "asn": ["AS64500"],
+    "country": ["ZW"],
+    "ua": ["Gullprobe"],
+    "uri": ["/tern-nest"],
+    "regex": {"ua": ["(?i)nestscan"], "uri": ["/var/keyring", "(?i)UNION.*INTO"]},
 }
 RECORD = "client_ip string, country string, user_agent string, uri string"
 
@@ -43,23 +43,23 @@ def known(request):
 
 
 CASES = [
-    (("192.168.1.100", None, None, None), ["CIDR:192.168.1.0/24"]),
+    (("172.29.6.100", None, None, None), ["CIDR:172.29.6.0/24"]),
     (("10.0.0.1", "US", "Mozilla", "/good-path"), []),
-    ((None, None, None, "/etc/passwd"), ["URI_Regex:/etc/passwd"]),
-    ((None, None, None, "/path?query=SELECT%20*%20FROM%20users"), ["URI_Regex:(?i)SELECT.*FROM"]),
-    ((None, None, None, "/bad-path"), ["URI_Exact:/bad-path"]),
-    ((None, None, "sqlmap/1.5", None), ["UA_Regex:(?i)sqlmap"]),
-    ((None, None, "BadBot", None), ["UA_Exact:BadBot"]),
-    ((None, "KP", None, None), ["Country:KP"]),
-    ((None, "kp", "badbot", "/BAD-PATH"), []),
+    ((None, None, None, "/var/keyring"), ["URI_Regex:/var/keyring"]),
+    ((None, None, None, "/path?query=UNION%20*%20INTO%20users"), ["URI_Regex:(?i)UNION.*INTO"]),
+    ((None, None, None, "/tern-nest"), ["URI_Exact:/tern-nest"]),
+    ((None, None, "nestscan/1.5", None), ["UA_Regex:(?i)nestscan"]),
+    ((None, None, "Gullprobe", None), ["UA_Exact:Gullprobe"]),
+    ((None, "ZW", None, None), ["Country:ZW"]),
+    ((None, "zw", "gullprobe", "/TERN-NEST"), []),
     (("256.1.1.1", "", "", ""), []),
     (("010.0.0.1", None, None, None), []),
     (
-        ("192.168.1.7", "KP", "BadBot sqlmap", "/bad-path/etc/passwd"),
-        ["CIDR:192.168.1.0/24", "Country:KP", "UA_Regex:(?i)sqlmap", "URI_Regex:/etc/passwd"],
+        ("172.29.6.7", "ZW", "Gullprobe nestscan", "/tern-nest/var/keyring"),
+        ["CIDR:172.29.6.0/24", "Country:ZW", "UA_Regex:(?i)nestscan", "URI_Regex:/var/keyring"],
     ),
-    ((None, None, None, "/ETC/PASSWD"), ["URI_Regex:/etc/passwd"]),
-    ((None, None, None, "select\nfrom"), []),
+    ((None, None, None, "/VAR/KEYRING"), ["URI_Regex:/var/keyring"]),
+    ((None, None, None, "union\ninto"), []),
 ]
 
 
@@ -142,16 +142,16 @@ def test_first_network_in_order(spark, many):
 
 def test_tagging(spark, known):
     rows = [
-        ("request_count", "192.168.1.3", "/bad-path", "KP", "BadBot", "WAF"),
-        ("connection_count", "192.168.1.3", "/bad-path", None, None, "VPC"),
+        ("request_count", "172.29.6.3", "/tern-nest", "ZW", "Gullprobe", "WAF"),
+        ("connection_count", "172.29.6.3", "/tern-nest", None, None, "VPC"),
         ("request_count", "8.8.8.8", "/", "US", None, None),
     ]
     df = spark.createDataFrame(rows, "metric string, key string, subkey string, country string, ua string, source_type string")
     tagged = {(r["metric"], r["key"]): r["ioc_matches"] for r in indicators.tag_findings(df, known).collect()}
-    assert tagged[("request_count", "192.168.1.3")] == [
-        "CIDR:192.168.1.0/24", "Country:KP", "UA_Exact:BadBot", "URI_Exact:/bad-path",
+    assert tagged[("request_count", "172.29.6.3")] == [
+        "CIDR:172.29.6.0/24", "Country:ZW", "UA_Exact:Gullprobe", "URI_Exact:/tern-nest",
     ]
-    assert tagged[("connection_count", "192.168.1.3")] == ["CIDR:192.168.1.0/24"]
+    assert tagged[("connection_count", "172.29.6.3")] == ["CIDR:172.29.6.0/24"]
     assert tagged[("request_count", "8.8.8.8")] is None
     for none in (None, Indicators()):
         assert [r["ioc_matches"] for r in indicators.tag_findings(df, none).collect()] == [None] * 3
@@ -159,13 +159,13 @@ def test_tagging(spark, known):
 
 def test_every_agent_of_a_minute_is_matched(spark):
     minute = "2024-01-01 00:00:00"
-    rows = [("request_count", "1.1.1.1", "/", minute, 5.0, c, a, "WAF") for c, a in (("US", "Mozilla/5.0"), ("US", "sqlmap/1.5"), ("KP", None))]
+    rows = [("request_count", "1.1.1.1", "/", minute, 5.0, c, a, "WAF") for c, a in (("US", "Mozilla/5.0"), ("US", "nestscan/1.5"), ("ZW", None))]
     schema = "metric string, key string, subkey string, minute string, value double, country string, ua string, source_type string"
     details = spark.createDataFrame(rows, schema)
     findings = details.limit(1).withColumn("country", F.lit(None).cast("string")).withColumn("ua", F.lit(None).cast("string"))
-    found = Indicators.from_config({"country": ["KP"], "regex": {"ua": ["sqlmap"]}})
+    found = Indicators.from_config({"country": ["ZW"], "regex": {"ua": ["nestscan"]}})
     got = indicators.tag_findings(findings, found, details).first()
-    assert got["ioc_matches"] == ["Country:KP", "UA_Regex:sqlmap"] and got["country"] in ("US", "KP")
+    assert got["ioc_matches"] == ["Country:ZW", "UA_Regex:nestscan"] and got["country"] in ("US", "ZW")
     assert indicators.tag_findings(findings, None, details).first()["ioc_matches"] is None
 
 

@@ -26,7 +26,7 @@ def write_lines(root, day, hour, lines, name="part.json.gz"):
         f.write("\n".join(x if isinstance(x, str) else json.dumps(x) for x in lines) + "\n")
 
 
-def request(second, ip="10.0.0.100", uri="/attack/path", labels=(), agent="BadBot/1.0", ms=0, **more):
+def request(second, ip="10.0.0.77", uri="/kelp/dock", labels=(), agent="Gullprobe/3.2", ms=0, **more):
     headers = [{"name": "Host", "value": "h"}]
     if agent:
         headers.append({"name": "User-Agent", "value": agent})
@@ -44,7 +44,7 @@ def request(second, ip="10.0.0.100", uri="/attack/path", labels=(), agent="BadBo
 def flow(second, dashed, port=443, action="ACCEPT"):
     join = "-" if dashed else "_"
     return {
-        "version": 2, f"account{join}id": "1", f"interface{join}id": "eni", "srcaddr": "172.31.0.1", "dstaddr": "10.0.0.1",
+        "version": 2, f"account{join}id": "1", f"interface{join}id": "eni", "srcaddr": "172.20.4.9", "dstaddr": "10.0.0.1",
         "srcport": 1025, "dstport": port, "protocol": 6, "packets": 1, "bytes": 10, "start": MIDNIGHT + second,
         "end": MIDNIGHT + second + 5, "action": action, f"log{join}status": "OK",
     }
@@ -106,7 +106,7 @@ def test_lookback_across_midnight(spark, waf, vpc):
 
 def test_slices(spark, waf, vpc):
     rows = slices.slice_waf(logs.read_waf(spark, waf), AS_OF, 120).orderBy("event_time").collect()
-    assert [r["user_agent"] for r in rows] == ["BadBot/1.0"] * 3 + [None] + ["BadBot/1.0"] * 2
+    assert [r["user_agent"] for r in rows] == ["Gullprobe/3.2"] * 3 + [None] + ["Gullprobe/3.2"] * 2
     assert rows[1]["event_time"].second == 0 and rows[2]["label"] == "a" and rows[0]["label"] is None
     assert rows[0]["rule_action"] == "ALLOW"
     slices.register_views(logs.read_waf(spark, waf), logs.read_vpc(spark, vpc), AS_OF)

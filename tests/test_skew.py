@@ -24,8 +24,8 @@ def requests():
     for i in range(6000):
         hot = i % 3 == 0
         second = START + (rng.randrange(60) + 40 * 60 if hot and rng.random() < 0.5 else rng.randrange(3600))
-        ip = "10.0.0.100" if hot else f"10.0.{rng.randrange(4)}.{rng.randrange(8)}"
-        rows.append((second, ip, "/attack/path" if hot else rng.choice(["/", "/a", "/b"])))
+        ip = "10.0.0.77" if hot else f"10.0.{rng.randrange(4)}.{rng.randrange(8)}"
+        rows.append((second, ip, "/kelp/dock" if hot else rng.choice(["/", "/a", "/b"])))
     return rows
 
 
@@ -80,16 +80,16 @@ def test_findings(logs, requests, block_points):
     found = detect_anomalies(counts, params, top_k=None).findings
     got = {((r["key"], r["subkey"]), r["m"]): r["score"] for r in found.withColumn("m", F.unix_seconds("minute")).collect()}
     want = brute_force(requests, 0.3, 5, 2.0)
-    assert (("10.0.0.100", "/attack/path"), START + 2400) in want
+    assert (("10.0.0.77", "/kelp/dock"), START + 2400) in want
     assert got == {k: pytest.approx(v) for k, v in want.items()}
 
 
 def test_matching_keeps_every_row(logs, requests):
     flat = logs.select(F.col("httpRequest.clientIp").alias("ip"))
-    networks = [f"10.{i}.0.0/16" for i in range(1, 120)] + ["10.0.0.100/32", "10.0.2.0/24"]
+    networks = [f"10.{i}.0.0/16" for i in range(1, 120)] + ["10.0.0.77/32", "10.0.2.0/24"]
     got = indicators.match_cidr(flat, "ip", Indicators.from_config({"cidrs": networks})).groupBy("cidr_rule").count()
     want = Counter(
-        "CIDR:10.0.0.100/32" if ip == "10.0.0.100" else "CIDR:10.0.2.0/24" if ip.startswith("10.0.2.") else None
+        "CIDR:10.0.0.77/32" if ip == "10.0.0.77" else "CIDR:10.0.2.0/24" if ip.startswith("10.0.2.") else None
         for _, ip, _ in requests
     )
     assert {r["cidr_rule"]: r["count"] for r in got.collect()} == want
