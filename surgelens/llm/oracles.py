@@ -136,3 +136,38 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(sums.n, 0) A
   CASE WHEN sums.n > 0 THEN CAST(1 AS DOUBLE) ELSE coalesce(share, CAST(0 AS DOUBLE)) END AS score
 FROM w LEFT JOIN sums USING (r) LEFT JOIN best USING (r) LEFT JOIN base_list USING (r) LEFT JOIN all_list USING (r)
 """
+
+
+# CRC-32 bit by bit, over the bits of the decimal id, the lowest first.
+_BITS = (
+    "flatten(list_transform(range(1, length(CAST(c AS VARCHAR)) + 1), lambda i: list_transform(range(8),"
+    " lambda b: (ascii(substr(CAST(c AS VARCHAR), i, 1)) >> b) & 1)))"
+)
+_CRC = (
+    f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {_BITS}),"
+    " lambda a, b: xor(a >> 1, 3988292384 * (xor(a, b) & 1))), 4294967295)"
+)
+
+PREFIX_TRIE = f"""
+WITH t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, text) AS seq, {_CRC} % 6 AS h FROM t GROUP BY c),
+built AS (
+  SELECT a.c, list_concat(coalesce(b.seq[1:a.h], []), a.seq[a.h + 1:]) AS seq
+  FROM own a LEFT JOIN own b ON b.c = a.c - a.c % 100),
+member AS (SELECT c, d, seq[1:d] AS prefix, len(seq) = d AS ended FROM (SELECT *, unnest(range(len(seq) + 1)) AS d FROM built)),
+node AS (
+  SELECT prefix, d, min(c) AS conv_id, count(*) AS n,
+    coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ended), '') AS ends FROM member GROUP BY prefix, d),
+kids AS (SELECT prefix[1:d - 1] AS prefix, d - 1 AS d, count(*) AS n FROM node WHERE d > 0 GROUP BY 1, 2),
+valued AS (
+  SELECT node.*, coalesce(kids.n, 0) AS n_children, CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END AS leaf,
+    CASE WHEN node.d = 0 THEN 0 ELSE (node.n - 1) * length(prefix[len(prefix)].text) END AS saved
+  FROM node LEFT JOIN kids USING (prefix, d)),
+totals AS (
+  SELECT prefix[1:a] AS prefix, a AS d, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(d + 1)) AS a FROM valued) GROUP BY 1, 2)
+SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(v.n AS BIGINT) AS n_convs,
+  CAST(v.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM valued v JOIN totals USING (prefix, d) LEFT JOIN node p ON v.d > 0 AND p.d = v.d - 1 AND p.prefix = v.prefix[1:v.d - 1]
+"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgelens.llm import binpack, langbits, license_join, linefirst, oracles, pitman_yor, positional
-from surgelens.llm import quotes, simhash, skipchain, splitters
+from surgelens.llm import binpack, langbits, license_join, linefirst, oracles, pitman_yor, positional, prefix_trie
+from surgelens.llm import quotes, repair, rulefit, simhash, skipchain, splitters
 from surgelens.llm.common import documents
 from surgelens.session import utc
 
@@ -148,3 +148,25 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pitman_yor.score(docs)
     held = (~F.col("train")).alias("held_out")
     return found.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return utc(spark).read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+
+
+@query("op11_grammar_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations(spark, sf_dir)
+    return repair.repair(repair.damaged(rows), rows)
+
+
+@query("op12_rule_ensemble")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    found = rulefit.classify(documents(spark, sf_dir), labels, langbits.residue("doc_id", 5) != 0, least=0.3)
+    return found.select("doc_id", (~F.col("train")).alias("held_out"), "score", "predicted")
+
+
+@query("op13_prefix_trie", oracles.PREFIX_TRIE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(conversations(spark, sf_dir))
