@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -155,26 +156,32 @@ def detect_anomalies(
     params: DetectionParams,
     baselines: DataFrame | None = None,
     top_k: int | None = -1,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> Detection:
     """Findings, strongest first, and the new baseline of every series seen.
 
-    ``top_k`` defaults to the parameter's; None keeps all findings.
+    ``top_k`` defaults to the parameter's; None keeps all findings. Both results
+    fold the points anew when they are used, unless ``keep`` (a table and a name
+    to the table to go on with) writes the fold down for both.
     """
     limit = params.top_k if top_k == -1 else top_k
     ready = to_points(points)
     if baselines is not None:
         ready = with_stored(ready, baselines, params.alpha)
-    tails = series_tails(ready, params.alpha, params.block_minutes)
+    if keep is not None and params.scope == "all":
+        rows = keep(point_states(ready, params.alpha, params.block_minutes), "states")
+        newest = F.max_by(F.struct("point", "post"), "point.minute").alias("newest")
+        tails = rows.groupBy(*KEYS).agg(newest).select(*KEYS, "newest.*")
+    else:
+        tails = series_tails(ready, params.alpha, params.block_minutes)
+        tails = tails if keep is None else keep(tails, "tails")
+        rows = point_states(ready, params.alpha, params.block_minutes) if params.scope == "all" else tails
     if params.mode == "post_update":
         updated = _post_update_columns(tails, params.alpha)
         mean, std = F.col("u_mean"), F.col("u_std")
         scored = _flat(updated, mean, std, (F.col("point.value") - mean) / std)
         return Detection(top_findings(scored, params.sigma, limit), _as_baselines(updated, mean, std, resumable=False))
-    if params.scope == "last":
-        scored = _score_prior(tails, params)
-    else:
-        rows = point_states(ready, params.alpha, params.block_minutes)
-        scored = _score_prior(rows, params)
+    scored = _score_prior(rows, params)
     fresh = _as_baselines(tails, F.col("post.mean"), F.expr(f"coalesce({S.state_std('post')}, 0D)"))
     return Detection(top_findings(scored, params.sigma, limit), fresh)
 

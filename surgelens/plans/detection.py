@@ -13,6 +13,7 @@ from surgelens.operators.indicators import tag_findings
 from surgelens.operators.scoring import Detection, detect_anomalies, fresh_enough, train_baselines
 from surgelens.operators.series import to_points
 from surgelens.params import DetectionParams
+from surgelens.session import written
 from surgelens.sources.baselines import KEYS, BaselineStore, keyed_rows, of_active_series
 from surgelens.sources.indicators import Indicators
 from surgelens.sources.sinks import read_findings, write_findings
@@ -47,13 +48,25 @@ def plan_cycle(
     baselines: DataFrame | None = None,
     hotspot_limit: int | None = -1,
 ) -> Detection:
-    """The lazy plan of a cycle.
+    """A cycle that saves nothing but its own steps; see ``detect_and_tag``."""
+    counts = written(cycle_points(waf, vpc, as_of, params, hotspot_limit), "counts")
+    return detect_and_tag(to_points(counts), params, indicators, baselines)
 
-    Tagging comes last, so patterns run over findings only, never over log rows.
+
+def detect_and_tag(
+    counts: DataFrame,
+    params: DetectionParams,
+    indicators: Indicators | None = None,
+    baselines: DataFrame | None = None,
+) -> Detection:
+    """Tagged findings and new baselines of saved counts, which are folded once.
+
+    The fold is written down, as both results read it; so are the findings, which
+    tagging reads three times. Patterns run over findings only, never over counts.
     """
-    counts = to_points(cycle_points(waf, vpc, as_of, params, hotspot_limit))
-    found = detect_anomalies(counts, params, baselines)
-    return Detection(tag_findings(found.findings, indicators, counts), found.baselines)
+    found = detect_anomalies(counts, params, baselines, keep=written)
+    findings = written(found.findings, "untagged")
+    return Detection(tag_findings(findings, indicators, counts), found.baselines)
 
 
 def saved_counts(
@@ -105,7 +118,7 @@ def run_cycle(
     With ``alerts_path``, the alert document and the summary metric of the saved
     findings are written below it.
 
-    The counts are saved first, so the logs are scanned once for both results,
+    The counts are saved first, so the logs are scanned once for all results,
     and stay as history to train on (``max_age_days``). Ids follow ``as_of``, and all outputs
     replace their own directory, so a cycle cut short can simply be run again.
     """
@@ -117,8 +130,8 @@ def run_cycle(
     stored = of_active_series(store.history(before=run_id), counts)
     if params.max_age_days is not None:
         stored = refreshed(stored, counts, saved_counts(spark, points_path, as_of, params), as_of, params)
-    found = detect_anomalies(counts, params, stored)
-    write_findings(tag_findings(found.findings, indicators, counts), findings_path, run_id)
+    found = detect_and_tag(counts, params, indicators, stored)
+    write_findings(found.findings, findings_path, run_id)
     store.append(found.baselines, run_id)
     if store.open_runs() >= params.compact_every:
         store.compact()

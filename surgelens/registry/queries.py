@@ -15,9 +15,9 @@ from surgelens.functions.smoothing import zscore
 from surgelens.operators import alerts, hotspots, indicators, scoring, series, slices, windows
 from surgelens.operators.alerts import METRICS
 from surgelens.params import DetectionParams
-from surgelens.plans.detection import plan_cycle, run_cycle
+from surgelens.plans.detection import detect_and_tag, plan_cycle, run_cycle
 from surgelens.registry import tables as T
-from surgelens.session import broadcast_within, scratch_path
+from surgelens.session import broadcast_within, scratch_path, written
 from surgelens.sources import convert, logs, sqljob
 from surgelens.sources import tables as catalog
 from surgelens.sources.baselines import KEYS, BaselineStore, upsert
@@ -834,9 +834,8 @@ def detection_cycle(spark: SparkSession, sf: str) -> DataFrame:
     counts = hotspots.union_counts(
         T.waf_logs(spark, sf), T.vpc_logs(spark, sf), T.AS_OF, T.LOG_MINUTES, None, with_ua=True
     )
-    details = series.to_points(counts)
-    found = scoring.detect_anomalies(details, CYCLE, top_k=None).findings
-    tagged = indicators.tag_findings(found, LOG_INDICATORS, details)
+    details = series.to_points(written(counts, "counts"))
+    tagged = detect_and_tag(details, CYCLE.with_(top_k=None), LOG_INDICATORS).findings
     matches = F.coalesce(F.array_join("ioc_matches", " & "), F.lit(""))
     return tagged.select(
         *KEYS, when_text("minute"), "value", rounded("score"), "mode", matches.alias("ioc_matches")

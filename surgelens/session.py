@@ -71,6 +71,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of its own below the shared folder: what several later
+    steps read is worked out once, and outlives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_within(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """Hint a broadcast only if the known size is inside the bound.
 

@@ -16,10 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from surgelens.operators.indicators import tag_findings
-from surgelens.operators.scoring import detect_anomalies
 from surgelens.operators.series import to_points
 from surgelens.params import DetectionParams
+from surgelens.plans.detection import detect_and_tag
 from surgelens.sources.baselines import KEYS, BaselineStore, of_active_series
 from surgelens.sources.indicators import Indicators
 from surgelens.sources.sinks import write_findings
@@ -104,9 +103,9 @@ def scheduled_cycles(
         run_id = f"{since}-{number:012d}"
         points = to_points(batch).persist()
         stored = of_active_series(store.history(before=run_id), points)
-        found = detect_anomalies(points, params, stored)
         try:
-            write_findings(tag_findings(found.findings, indicators, points), findings_path, run_id)
+            found = detect_and_tag(points, params, indicators, stored)
+            write_findings(found.findings, findings_path, run_id)
             store.append(found.baselines, run_id)
         finally:
             points.unpersist()

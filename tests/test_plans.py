@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from surgelens.operators import hotspots, indicators, series, slices, windows
 from surgelens.operators.scoring import detect_anomalies
 from surgelens.params import DetectionParams
+from surgelens.plans.detection import detect_and_tag
 from surgelens.sources.indicators import Indicators
 
 AS_OF = dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)
@@ -134,3 +135,18 @@ def test_large_lists_are_not_broadcast(events, monkeypatch):
         assert df.where("country_rule IS NOT NULL").count() == events.where("cast(substring(key, 8) AS INT) >= 3").count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_cycle_reads_its_counts_and_findings_not_the_logs(spark, fresh):
+    path = fresh("counts")
+    rows = spark.range(400).selectExpr(
+        "'request_count' AS metric", "concat('10.0.0.', id % 5) AS key", "'/a' AS subkey", "id % 5 * 1.0 + id AS value",
+        "timestamp_seconds(1706659200 + id * 60) AS minute", "'US' AS country", "'x' AS ua", "'WAF' AS source_type",
+    )
+    rows.write.parquet(path)
+    found = detect_and_tag(series.to_points(spark.read.parquet(path)), LONG.with_(sigma=0.5, top_k=None), Indicators.from_config({"country": ["US"]}))
+    p = plan(found.findings)
+    # Details twice, the written findings thrice; the fold's windows are behind the written table.
+    assert p.count("FileScan parquet") <= 5 and "Window" not in p and "counts-" in p and "untagged-" in p
+    assert plan(found.baselines).count("FileScan parquet") == 1 and "states-" in plan(found.baselines)
+    assert found.findings.where("ioc_matches IS NOT NULL").count() == found.findings.count() > 0
