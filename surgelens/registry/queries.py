@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from surgelens.functions import scalars as X
 from surgelens.functions.smoothing import zscore
-from surgelens.operators import alerts, hotspots, indicators, scoring, series, slices, windows
+from surgelens.operators import alerts, changes, hotspots, indicators, scoring, series, slices, windows
 from surgelens.operators.alerts import METRICS
 from surgelens.params import DetectionParams
 from surgelens.plans.detection import detect_and_tag, plan_cycle, run_cycle
@@ -554,6 +554,30 @@ def detect_resumed(spark: SparkSession, sf: str) -> DataFrame:
     return _found(scoring.detect_anomalies(later, blocks, stored, top_k=None).findings)
 
 
+# Hourly counts of each type against its own mean and deviation; a step is in deviations.
+CHANGES = changes.ChangeParams(drift=0.25, limit=2.0, block_minutes=7 * 24 * 60)
+
+
+@query(
+    "cusum_alarms",
+    f"""WITH RECURSIVE p AS ({T.HOURLY_SQL}),
+    z AS (SELECT *, (value - avg(value) OVER k) / stddev_samp(value) OVER k AS z, row_number() OVER (PARTITION BY key ORDER BY minute) AS rn
+      FROM p WINDOW k AS (PARTITION BY key)),
+    sums AS (
+      SELECT metric, key, subkey, minute, value, rn, z - 0.25 AS r_up, -z - 0.25 AS r_down FROM z WHERE rn = 1
+      UNION ALL
+      SELECT z.metric, z.key, z.subkey, z.minute, z.value, z.rn,
+        CASE WHEN r_up > 2 THEN 0 ELSE greatest(0, r_up) END + z.z - 0.25, CASE WHEN r_down > 2 THEN 0 ELSE greatest(0, r_down) END - z.z - 0.25
+      FROM sums JOIN z ON z.key = sums.key AND z.rn = sums.rn + 1)
+    SELECT metric, key, subkey, {TEXT_MINUTE}, value,
+      CASE WHEN r_up > 2 AND r_down > 2 THEN 'both' WHEN r_up > 2 THEN 'up' ELSE 'down' END AS alarm,
+      round(greatest(r_up, r_down), 6) AS reached FROM sums WHERE r_up > 2 OR r_down > 2""",
+)
+def cusum_alarms(spark: SparkSession, sf: str) -> DataFrame:
+    found = changes.change_alarms(T.hourly_by_type(spark, sf), CHANGES)
+    return found.select(*KEYS, when_text("minute"), "value", "alarm", rounded("reached"))
+
+
 @query(
     "run_summary",
     f"""{PRIOR_SQL} SELECT count(*) AS anomaly_count, round(coalesce(max(abs(score)), 0), 6) AS max_anomaly_score
