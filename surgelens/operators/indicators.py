@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from surgelens.functions.addresses import hex_number, high_bits, ipv4_number, ipv6_hex, let
 from surgelens.operators.hotspots import REQUESTS, WAF
-from surgelens.session import broadcast_within
+from surgelens.session import broadcast_within, written
 from surgelens.sources.indicators import Indicators, Network
 
 # Lists up to this long are tested as literals instead of joined.
@@ -25,12 +25,15 @@ NETWORK_LITERALS = 64
 PREFIX_LENGTHS = 8
 # Parts that a value's rows are spread over where a list is too long to broadcast.
 SALTS = 16
+# Leading bits that name a block of addresses when ranges are looked up.
+BLOCK_BITS = 16
 # All of these choose between plans; the results are the same.
 
 # The prefixes of rule names.
 CIDR, COUNTRY = "CIDR", "Country"
 UA_EXACT, UA_REGEX = "UA_Exact", "UA_Regex"
 URI_EXACT, URI_REGEX = "URI_Exact", "URI_Regex"
+ASN = "ASN"
 
 RULES = ("cidr_rule", "country_rule", "ua_rule", "ua_regex_rule", "uri_rule", "uri_regex_rule")
 
@@ -110,6 +113,41 @@ def match_uri(df: DataFrame, column: str, found: Indicators) -> DataFrame:
     return exact.withColumn("uri_regex_rule", _pattern_rule(F.col(column), found.uri_patterns, URI_REGEX))
 
 
+def match_asn(df: DataFrame, column: str, found: Indicators) -> DataFrame:
+    return _match_exact(df, column, found.asns, ASN, "asn_rule")
+
+
+def with_asn(df: DataFrame, column: str, ranges: DataFrame, out: str = "asn") -> DataFrame:
+    """Adds the autonomous system whose range holds the IPv4 address in ``column``.
+
+    ``ranges`` has ``first`` and ``last`` (addresses as numbers, both included) and
+    ``asn``, and its ranges don't overlap; if they do, the one that starts last
+    counts. Addresses outside all ranges, of version 6, or malformed get NULL.
+
+    Each distinct address is looked up once, whatever share of the rows it has:
+    within the ``2^(32 - BLOCK_BITS)`` addresses of a block, addresses and range starts are
+    sorted and an address takes the start before it. A range is listed once for
+    each block it touches, at most the number of blocks more rows than ranges.
+    """
+    bits = 32 - BLOCK_BITS
+    address = ipv4_number(F.col("_ip")).alias("_at")
+    asked = df.select(F.col(column).alias("_ip")).where(F.col(column).isNotNull()).distinct()
+    asked = asked.select("_ip", address).where("_at IS NOT NULL")
+    asked = asked.select("_ip", "_at", F.shiftright("_at", bits).alias("_block"), F.lit(None).cast("struct<last:bigint,asn:string>").alias("_range"))
+    held = F.struct(F.col("last").cast("bigint").alias("last"), F.col("asn").cast("string").alias("asn")).alias("_range")
+    whole = ranges.where("first <= last").select(F.col("first").cast("bigint").alias("_at"), F.col("last").cast("bigint").alias("_last"), held)
+    blocks = F.sequence(F.shiftright("_at", bits), F.shiftright("_last", bits))
+    starts = whole.withColumn("_block", F.explode(blocks)).select(
+        F.lit(None).cast("string").alias("_ip"), F.greatest("_at", F.shiftleft("_block", bits)).alias("_at"), "_block", "_range"
+    )
+    # At one address, the range that starts there comes first.
+    before = F.expr("last(_range, true) OVER (PARTITION BY _block ORDER BY _at, _ip NULLS FIRST ROWS UNBOUNDED PRECEDING)")
+    found = starts.unionByName(asked).withColumn("_range", before).where("_ip IS NOT NULL AND _at <= _range.last")
+    table = written(found.select(F.col("_ip").alias("_listed"), F.col("_range.asn").alias(out)), "asn")
+    rows = table.count()
+    return _look_up(df, table, {"_listed": F.col(column)}, rows * 96)
+
+
 def _by_prefix(networks: Sequence[Network]) -> dict[int, list[Network]]:
     """Distinct networks, the earlier of equal ones, by prefix length.
 
@@ -263,8 +301,10 @@ def match_all(
     country: str = "country",
     user_agent: str = "user_agent",
     uri: str = "uri",
+    asn: str | None = None,
 ) -> DataFrame:
-    """Adds ``matched`` and ``rules``: network, country, user agent, URI, in this order.
+    """Adds ``matched`` and ``rules``: network, country, user agent, URI, in this order,
+    then the autonomous system, for rows that have a column ``asn`` (see ``with_asn``).
 
     Short lists make one expression that reads its inputs once, so that a
     filter on the outcome can move towards the scan without copying them.
@@ -280,6 +320,9 @@ def match_all(
         out = match_user_agent(out, user_agent, found)
         out = match_uri(out, uri, found)
         out = out.withColumn("rules", F.array_compact(F.array(*[F.col(r) for r in RULES]))).drop(*RULES)
+    if asn is not None and found.asns:
+        out = match_asn(out, asn, found)
+        out = out.withColumn("rules", F.array_compact(F.concat("rules", F.array("asn_rule")))).drop("asn_rule")
     return out.withColumn("matched", F.size("rules") > 0)
 
 

@@ -794,6 +794,32 @@ def ioc_cidr_v6(spark: SparkSession, sf: str) -> DataFrame:
     return indicators.match_cidr(rows, "ip", Indicators.from_config({"cidrs": V6_NETS})).drop("ip")
 
 
+AS_CONFIG = {"asn": ["AS64515", "AS64580", "AS64600"]}
+AS_RANGES_SQL = """SELECT p_partkey * 20000 AS first, p_partkey * 20000 + 19999 - p_partkey % 7 * 1000 AS last,
+    'AS' || (64512 + p_partkey % 97) AS asn FROM part"""
+
+
+@query(
+    "ioc_asn",
+    f"""WITH r AS ({AS_RANGES_SQL}), e AS (SELECT event_id, event_id * 2654435761 % 67108864 AS n FROM events)
+    SELECT event_id, (n // 16777216) || '.' || (n // 65536 % 256) || '.' || (n // 256 % 256) || '.' || (n % 256) AS ip, asn,
+      CASE WHEN asn IN ('AS64515', 'AS64580', 'AS64600') THEN 'ASN:' || asn END AS asn_rule
+    FROM e LEFT JOIN r ON n BETWEEN first AND last""",
+)
+def ioc_asn(spark: SparkSession, sf: str) -> DataFrame:
+    """The autonomous system of every event's address, and the listed ones among them."""
+    part = F.col("p_partkey")
+    ranges = T.table(spark, sf, "part").select(
+        (part * 20000).alias("first"),
+        (part * 20000 + 19999 - part % 7 * 1000).alias("last"),
+        F.concat(F.lit("AS"), (part % 97 + 64512).cast("string")).alias("asn"),
+    )
+    n = F.expr("event_id * 2654435761 % 67108864")
+    octets = [F.shiftright(n, 24), F.shiftright(n, 16) % 256, F.shiftright(n, 8) % 256, n % 256]
+    rows = T.table(spark, sf, "events").select("event_id", F.concat_ws(".", *[o.cast("string") for o in octets]).alias("ip"))
+    return indicators.match_asn(indicators.with_asn(rows, "ip", ranges), "asn", Indicators.from_config(AS_CONFIG))
+
+
 @query(
     "ioc_combined",
     f"""WITH {T.LOG_SQL}, r AS (SELECT *, {RULES_SQL} AS rules FROM log)

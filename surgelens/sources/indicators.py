@@ -1,4 +1,4 @@
-"""Indicator sets: network ranges, countries, user agents and URIs."""
+"""Indicator sets: network ranges, autonomous systems, countries, user agents and URIs."""
 
 from __future__ import annotations
 
@@ -29,6 +29,7 @@ class Indicators:
     uris: tuple[str, ...] = ()
     user_agent_patterns: tuple[str, ...] = ()
     uri_patterns: tuple[str, ...] = ()
+    asns: tuple[str, ...] = ()
 
     @classmethod
     def from_config(cls, config: Mapping) -> "Indicators":
@@ -46,7 +47,11 @@ class Indicators:
             uris=texts(config.get("uri")),
             user_agent_patterns=texts(patterns.get("ua")),
             uri_patterns=texts(patterns.get("uri")),
+            asns=texts(config.get("asn")),
         )
+        for asn in found.asns:
+            if not re.fullmatch("AS[0-9]{1,10}", asn):
+                raise ValueError(f"not an autonomous system: {asn!r}")
         for pattern in found.user_agent_patterns + found.uri_patterns:
             re.compile(pattern)
         return found
@@ -59,6 +64,7 @@ class Indicators:
             or self.uris
             or self.user_agent_patterns
             or self.uri_patterns
+            or self.asns
         )
 
 

@@ -218,3 +218,52 @@ def test_frequent_and_missing_values_beyond_the_bound(spark, monkeypatch):
         assert all((r["uri_rule"] is not None) == (r["uri"] in ("/hot", "/u4")) for r in by_table)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_asn_ranges_match_brute_force(spark):
+    import random
+
+    rnd = random.Random(6)
+    cuts = sorted(rnd.sample(range(0, 1 << 32, 256), 400)) + [(1 << 32) - 1]
+    ranges, at = [], 0
+    for cut in cuts:
+        if rnd.random() < 0.7:
+            ranges.append((at, cut - rnd.choice([0, 1, 200]) if cut - 200 > at else cut, f"AS{rnd.randint(1, 9)}"))
+        at = cut + 1
+    ranges += [(10, 5, "AS99")]
+    numbers = [rnd.randrange(1 << 32) for _ in range(800)] + [n for a, b, _ in ranges[:200] for n in (a, b, b + 1) if n < 1 << 32]
+    texts = [".".join(str(n >> s & 255) for s in (24, 16, 8, 0)) for n in numbers] + [None, "", "1.2.3", "::1", "01.2.3.4"]
+    texts += texts[:1] * 1500  # one address has most rows
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "id int, ip string, last string").repartition(4)
+    table = spark.createDataFrame(ranges, "first long, last long, asn string")
+
+    def owner(text):
+        try:
+            n = int(ipaddress.IPv4Address(text))
+        except ValueError:
+            return None
+        return next((asn for a, b, asn in ranges if a <= n <= b), None)
+
+    got = {r["id"]: r["asn"] for r in indicators.with_asn(df, "ip", table).collect()}
+    assert got == {i: owner(t) if t else None for i, t in enumerate(texts)} and len(set(got.values())) > 5
+
+
+def test_asn_lookup_keeps_rows_in_place(spark, monkeypatch):
+    from test_plans import plan, shuffles
+
+    df = spark.range(300).selectExpr("id", "'10.0.0.' || id % 200 AS ip")
+    ranges = spark.createDataFrame([(10 << 24, (10 << 24) + 99, "AS1"), ((10 << 24) + 150, 11 << 24, "AS2")], "first long, last long, asn string")
+    found = indicators.with_asn(df, "ip", ranges)
+    assert shuffles(found) == 0 and "CartesianProduct" not in plan(found) and "BroadcastNestedLoopJoin" not in plan(found)
+    listed = Indicators.from_config({"asn": ["AS2"], "country": ["x"]})
+    assert indicators.match_asn(found, "asn", listed).where("asn_rule = 'ASN:AS2'").count() == 50
+    rules = indicators.match_all(found.withColumn("c", F.lit("x")), listed, ip="ip", country="c", user_agent="c", uri="c", asn="asn")
+    assert {tuple(r["rules"]) for r in rules.collect()} == {("Country:x",), ("Country:x", "ASN:AS2")}
+    monkeypatch.setattr("surgelens.session.BROADCAST_BYTES", 10)
+    beyond = indicators.with_asn(df, "ip", ranges)
+    assert sorted(map(str, beyond.collect())) == sorted(map(str, found.collect()))
+
+
+def test_bad_asn_raises():
+    with pytest.raises(ValueError):
+        Indicators.from_config({"asn": ["12345"]})
