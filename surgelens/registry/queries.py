@@ -1227,3 +1227,36 @@ def stream_land(spark: SparkSession, sf: str) -> DataFrame:
     known = spark.read.text(path + "/lines").select("value", F.lit(1).alias("known")).distinct()
     changed = F.sum(F.when(F.col("known").isNull(), 1).otherwise(0)).cast("int").alias("n_changed")
     return whole.join(known, "value", "left").groupBy("landed").agg(F.count(F.lit(1)).alias("n_rows"), changed)
+
+
+# Every seventh event is delivered a week late; deliveries come in batches of a week.
+ARRIVAL_SQL = "ts + CASE WHEN event_id % 7 = 0 THEN INTERVAL 7 DAY ELSE INTERVAL 0 DAY END"
+BATCH_SQL = f"(epoch_us({ARRIVAL_SQL}) - {T.MONTH_MS} * 1000) // 604800000000"
+
+
+@query(
+    "stream_accounted",
+    f"""WITH e AS (SELECT *, {BATCH_SQL} AS b FROM events),
+    seen AS (SELECT b, max(max(ts)) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM e GROUP BY b),
+    split AS (SELECT e.*, coalesce(ts < newest - INTERVAL 15 MINUTE, false) AS late FROM e JOIN seen USING (b))
+    SELECT CASE WHEN late THEN 'late' WHEN date_trunc('hour', ts) + INTERVAL 1 HOUR <= {CLOSED_SQL} THEN 'closed' ELSE 'open' END AS kind,
+      strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS value
+    FROM split GROUP BY ALL""",
+)
+def stream_accounted(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly counts of events that come out of order, and what came too late."""
+    path = scratch_path(spark, "stream-accounted")
+    late = F.expr("CASE WHEN event_id % 7 = 0 THEN 7 ELSE 0 END")
+    micros = F.unix_micros(F.col("ts").cast("timestamp")) + late * 86_400_000_000 - T.MONTH_MS * 1000
+    events = T.table(spark, sf, "events")
+    week = F.call_function("div", micros, F.lit(604_800_000_000))
+    weeks = [r[0] for r in events.select(week.alias("w")).distinct().orderBy("w").collect()]
+    for w in weeks:
+        events.where(week == w).write.mode("append").parquet(path + "/landed")
+        stream = spark.readStream.schema(events.schema).parquet(path + "/landed")
+        stream_counts.accounted_counts(stream, "ts", ["event_type"], path, path + "/checkpoint", "1 hour").awaitTermination()
+    hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
+    refused = stream_counts.late_rows(spark, path).groupBy(hour.alias("window_start"), "event_type").agg(F.count(F.lit(1)).alias("value"))
+    kinds = {"closed": stream_counts.closed_counts(spark, path), "open": stream_counts.open_counts(spark, path), "late": refused}
+    parts = [df.select(F.lit(k).alias("kind"), when_text("window_start"), "event_type", "value") for k, df in kinds.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from surgelens.operators.series import to_points
 from surgelens.params import DetectionParams
@@ -24,53 +24,82 @@ from surgelens.sources.indicators import Indicators
 from surgelens.sources.sinks import write_findings
 from surgelens.sources.storage import exists
 
-STATE = "n bigint, mean double, c double, q double, last_minute timestamp"
 SCORED = (
     "metric string, key string, subkey string, minute timestamp, value double,"
     " score double, baseline_mean double, baseline_std double"
 )
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def scored_stream(points: DataFrame, params: DetectionParams) -> DataFrame:
-    """Every point of a stream with its score against the state before it.
+class SeriesScorer(StatefulProcessor):
+    """Folds the closed minutes of one series into five numbers.
 
-    A micro-batch hands a series its points in pieces; a minute's values are summed
-    piece by piece, so a batch holds one number for each of its minutes. Minutes
-    must be closed when they come, as those of ``windowed_counts`` are: rows at or
-    before the newest folded minute are too late and left out. State per series
-    is five numbers, kept without a time limit.
+    The state goes once the stream's time is ``idle_minutes`` past its last
+    minute: a timer is kept for the newest minute only.
     """
-    alpha, keep, min_count = params.alpha, 1.0 - params.alpha, params.min_count
 
-    def fold(key: tuple, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def __init__(self, alpha: float, min_count: int, idle_minutes: int):
+        self.alpha, self.min_count, self.idle_ms = alpha, min_count, idle_minutes * 60_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("series", "n bigint, mean double, c double, q double, last bigint")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         sums = pd.Series(dtype="float64")
-        for piece in pieces:
+        for piece in rows:
             sums = sums.add(piece.groupby("minute")["value"].sum(), fill_value=0.0)
-        n, mean, c, q, last = state.get if state.exists else (0, None, 0.0, 1.0, None)
-        if last is not None:
-            sums = sums[sums.index > pd.Timestamp(last)]
-        out = []
+        n, mean, c, q, last = self.state.get() if self.state.exists() else (0, 0.0, 0.0, 1.0, None)
+        known, keep, out = last, 1.0 - self.alpha, []
+        if last is not None and last + self.idle_ms <= timerValues.getCurrentWatermarkInMs():
+            # Its timer is due in this batch: what comes now comes after it.
+            n, mean, c, q, last = 0, 0.0, 0.0, 1.0, None
         for minute, x in sums.sort_index().items():
+            at = minute.value // 1_000_000
+            if last is not None and at <= last:
+                continue
             std = math.sqrt(c / (1.0 - q)) if n >= 2 and q < 1.0 else None
             score = None
-            if std is not None and n >= min_count:
+            if std is not None and n >= self.min_count:
                 score = (x - mean) / std if std else 0.0
             out.append((*key, minute, x, score, mean if n else None, std))
             if n == 0:
                 mean = x
             else:
                 d = x - mean
-                mean, c, q = mean + alpha * d, keep * (c + alpha * d * d), keep * keep * q + alpha * alpha
-            n, last = n + 1, minute
-        if n:
-            state.update((n, mean, c, q, last))
-        names = [*KEYS, "minute", "value", "score", "baseline_mean", "baseline_std"]
-        yield pd.DataFrame(out, columns=names)
-
-    ready = to_points(points, carried=()).select(*KEYS, "minute", "value")
-    return ready.groupBy(*KEYS).applyInPandasWithState(
-        fold, SCORED, STATE, "append", GroupStateTimeout.NoTimeout
-    )
+                mean, c, q = mean + self.alpha * d, keep * (c + self.alpha * d * d), keep * keep * q + self.alpha**2
+            n, last = n + 1, at
+        if last is not None and last != known:
+            if known is not None:
+                self.handle.deleteTimer(known + self.idle_ms)
+            self.handle.registerTimer(last + self.idle_ms)
+            self.state.update((n, float(mean), float(c), float(q), last))
+        yield pd.DataFrame(out, columns=[*KEYS, "minute", "value", "score", "baseline_mean", "baseline_std"])
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def scored_stream(points: DataFrame, params: DetectionParams, idle_minutes: int = 7 * 24 * 60, late: str = "0 minutes") -> DataFrame:
+    """Every point of a stream with its score against the state before it.
+
+    A micro-batch hands a series its points in pieces; a minute's values are summed
+    piece by piece, so a batch holds one number for each of its minutes. Minutes
+    must be closed when they come, as those of ``windowed_counts`` are: rows at or
+    before a series' newest folded minute, or more than ``late`` behind the
+    stream's newest at the end of the batch before, are too late and left out
+    (``accounted_counts`` keeps such rows). State per series is five numbers and
+    goes ``idle_minutes`` after the series' last one; a series that comes back
+    later starts anew. The state store is RocksDB, so it needn't fit in memory.
+    """
+    points.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    ready = to_points(points, carried=()).select(*KEYS, "minute", "value").withWatermark("minute", late)
+    scorer = SeriesScorer(params.alpha, params.min_count, idle_minutes)
+    return ready.groupBy(*KEYS).transformWithStateInPandas(scorer, SCORED, "Append", "EventTime")
 
 
 def first_start(spark: SparkSession, checkpoint: str) -> str:

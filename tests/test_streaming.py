@@ -11,7 +11,8 @@ from surgelens.sources.baselines import BaselineStore
 from surgelens.sources.schemas import WAF
 from surgelens.sources.sinks import read_findings
 from surgelens.streaming.baseline import scheduled_cycles, scored_stream
-from surgelens.streaming.counts import to_parquet, windowed_counts
+from surgelens.sources.storage import committed
+from surgelens.streaming.counts import MARK, accounted_counts, closed_counts, late_rows, open_counts, to_parquet, windowed_counts
 from surgelens.streaming.ingest import by_arrival, ingest_text
 
 PARAMS = DetectionParams(min_count=2, sigma=1.0, scope="all")
@@ -43,6 +44,21 @@ def test_state_outlives_the_batch(spark, fresh):
         assert g["score"] == (None if w["score"] is None else pytest.approx(w["score"]))
 
 
+def test_idle_series_lose_their_state(spark, fresh):
+    root = fresh("idle")
+    source = root + "/in"
+    for first, key, values in ((0, "gone", [10, 12, 11]), (0, "live", [10, 12, 11]), (30, "live", [11]), (31, "gone", [10, 13]), (32, "live", [12])):
+        batch(spark, source, first, values, key)
+        points = spark.readStream.schema(SCHEMA).parquet(source)
+        to_parquet(scored_stream(points, PARAMS, idle_minutes=20, late="5 minutes"), root + "/out", root + "/check").awaitTermination()
+    got = {(r["key"], r["minute"].minute): r["baseline_mean"] for r in spark.read.parquet(root + "/out").collect()}
+    # The series that was away for more than 20 minutes starts anew; the one seen at 30 lives on.
+    assert got["gone", 31] is None and got["gone", 32] == 10.0
+    assert got["live", 32] is not None and got["live", 32] != 12.0
+    rows = spark.read.format("statestore").option("path", root + "/check").option("stateVarName", "series").load()
+    assert rows.count() == 2
+
+
 def test_scheduled_cycles(spark, fresh):
     root = fresh("cycles")
     store = BaselineStore(spark, root + "/baselines")
@@ -76,6 +92,49 @@ def test_late_records(spark, fresh):
     assert got == {"10:00": 2, "10:01": 1, "10:18": 1, "10:20": 1, "10:40": 1}
 
 
+def test_every_row_is_counted_or_refused(spark, fresh):
+    root = fresh("accounted")
+    landed = []
+
+    def land(*minutes):
+        rows = [(None if m is None else dt.datetime(2024, 1, 1, 10) + dt.timedelta(minutes=m), "a" if i % 2 else None, i) for i, m in enumerate(minutes)]
+        landed.extend(rows)
+        spark.createDataFrame(rows, "ts timestamp, k string, batch int").withColumnRenamed("batch", "extra").coalesce(1).write.mode("append").parquet(root + "/in")
+        stream = spark.readStream.schema("ts timestamp, k string, extra int").parquet(root + "/in")
+        accounted_counts(stream, "ts", ["k"], root, root + "/check").awaitTermination()
+
+    land(0, 0, 1, 20, None)
+    land(4.9, 5, 18, 40, 0)
+    land(24.5, 25, 80)
+    land(None)
+    late = {(r["ts"].minute if r["ts"] else None, r["batch"]) for r in late_rows(spark, root).collect()}
+    assert late == {(None, 0), (4, 1), (0, 1), (24, 2), (None, 3)}
+    closed = {(f"{r['window_start']:%H:%M}", r["k"]): r["value"] for r in closed_counts(spark, root).collect()}
+    left = {(f"{r['window_start']:%H:%M}", r["k"]): r["value"] for r in open_counts(spark, root).collect()}
+    assert left == {("11:20", None): 1} and not closed.keys() & left.keys()
+    assert closed[("10:25", "a")] == 1 and closed[("10:00", None)] == 1 and closed[("10:00", "a")] == 1
+    assert sum(closed.values()) + sum(left.values()) + late_rows(spark, root).count() == len(landed)
+    marks = spark.read.schema(MARK).parquet(*[f"{root}/marks/batch={b}" for b in committed(spark, root + "/marks", "batch")]).collect()
+    assert sum(m["n_rows"] for m in marks) == len(landed) and sum(m["n_late"] for m in marks) == late_rows(spark, root).count()
+
+
+def test_a_repeated_batch_counts_once(spark, fresh):
+    root = fresh("repeated")
+    rows = [(dt.datetime(2024, 1, 1, 10, m), "a") for m in (0, 1, 30)]
+    for k, part in enumerate((rows, rows[:2] + rows[2:])):
+        spark.createDataFrame(part, "ts timestamp, k string").coalesce(1).write.mode("append").parquet(root + "/in")
+        stream = spark.readStream.schema("ts timestamp, k string").parquet(root + "/in")
+        accounted_counts(stream, "ts", ["k"], root, root + "/check").awaitTermination()
+        if k == 1:
+            want = sorted(map(str, closed_counts(spark, root).collect())), sorted(map(str, open_counts(spark, root).collect()))
+    # The commit of the last batch is lost, as if the driver had died before it.
+    for name in ("1", ".1.crc"):
+        os.rename(f"{root}/check/commits/{name}", f"{root}/lost{name}")
+    accounted_counts(stream, "ts", ["k"], root, root + "/check").awaitTermination()
+    assert (sorted(map(str, closed_counts(spark, root).collect())), sorted(map(str, open_counts(spark, root).collect()))) == want
+    assert late_rows(spark, root).count() == 2
+
+
 def test_ingest_by_arrival(spark, fresh):
     root = fresh("ingest")
     os.makedirs(root + "/lines")
