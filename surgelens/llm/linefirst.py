@@ -9,13 +9,18 @@ A line (between ``\\n``) with a word fails if
                are more than twice as many as a-z;
   stuttering   it has six words or more and over a third of them repeat the word before;
   boilerplate  it holds one of the fixed phrases of site furniture, in any case of A-Z;
-  unfinished   it has eight words or more and none of them ends in closing punctuation.
+  unfinished   it has eight words or more, and neither in it nor in the lines after it,
+               up to the next line without words, does a word end in closing
+               punctuation; lines in Thai or Lao, which have no such marks, never fail.
+A sentence may thus run over any number of lines, as in text that was wrapped.
 Lines without words are neither judged nor counted. A document is rejected by
 the base figures (under 20 words, or over 30 % of its words in 8-word windows
 that occur twice), or if the lines left hold less than half of its bytes.
 
 Null and empty texts have no words and are rejected. Equal rows get equal
-verdicts. Texts are judged whole; a batch holds a bounded number of bytes.
+verdicts, and null ids stay null. Texts are judged whole; a batch holds a bounded
+number of bytes. An empty table gives no rows; other columns, whatever their
+names, are kept by ``clean`` and not read by ``assess``.
 """
 
 from __future__ import annotations
@@ -50,7 +55,14 @@ PHRASES = [
     "share on twitter",
     "powered by wordpress",
 ]
-ENDINGS = [".", "!", "?", "…", ":", ";", '"', "'", ")", "]", "”", "’", "»", "。"]
+# Marks that close a sentence, in any script that has such marks, and what may follow them.
+ENDINGS = [
+    *".!?…:;\"')]}",
+    *"”’»›」』）】",
+    *"։؟۔܀܁܂।॥၊။።፧፨᙮᠃᠉។៕།༎。！？．｡：；‼‽⁇⁈⁉",
+]
+# First and last letter of the scripts that part sentences by spaces alone: Thai and Lao.
+UNMARKED = ("\u0e01", "\u0eff")
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -60,6 +72,7 @@ _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 _PHRASE = re.compile("|".join(re.escape(p) for p in PHRASES).encode())
 _ENDINGS = tuple(e.encode() for e in ENDINGS)
+_UNMARKED = re.compile(b"\xe0(?:\xb8[\x81-\xbf]|[\xb9-\xbb][\x80-\xbf])")
 _SEPARATORS = frozenset(SEPARATORS)
 
 SCHEMA = (
@@ -99,8 +112,13 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     return int(np.count_nonzero(np.cumsum(change)[:-1]))
 
 
-def failing(line: bytes, words: list[bytes], size: int) -> bool:
-    """Whether a line fails on its own. ``size``: its bytes without white space."""
+def ended(words: list[bytes]) -> bool:
+    return words[-1].endswith(_ENDINGS) or any(w.endswith(_ENDINGS) for w in words)
+
+
+def failing(line: bytes, words: list[bytes], size: int, finished: bool) -> bool:
+    """Whether a line fails. ``size``: its bytes without white space; ``finished``:
+    it or a later line of its paragraph has closing punctuation."""
     n = len(words)
     if 10 * (len(line) - len(line.translate(None, SYMBOLS))) > size:
         return True
@@ -112,7 +130,7 @@ def failing(line: bytes, words: list[bytes], size: int) -> bool:
             return True
         if n >= 6 and 3 * sum(map(bytes.__eq__, words[1:], words)) > n:
             return True
-        if n >= 8 and not words[-1].endswith(_ENDINGS) and not any(w.endswith(_ENDINGS) for w in words):
+        if n >= 8 and not finished and not _UNMARKED.search(line):
             return True
     return _PHRASE.search(line.lower()) is not None
 
@@ -127,8 +145,12 @@ def judge(text: bytes | None, with_text: bool = False) -> tuple:
     seen: set[bytes] = set()
     lines = bad = dups = left = 0
     good: list[bytes] = []
-    for line in text.split(b"\n"):
-        own = line.split()
+    cut = [(line, line.split()) for line in text.split(b"\n")]
+    finished, later = [False] * len(cut), False
+    for i in range(len(cut) - 1, -1, -1):
+        own = cut[i][1]
+        finished[i] = later = bool(own) and (later or ended(own))
+    for (line, own), done in zip(cut, finished):
         if not own:
             continue
         lines += 1
@@ -136,7 +158,7 @@ def judge(text: bytes | None, with_text: bool = False) -> tuple:
         if line in seen:
             dups += 1
             bad += 1
-        elif failing(line, own, size):
+        elif failing(line, own, size, done):
             seen.add(line)
             bad += 1
         else:

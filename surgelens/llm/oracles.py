@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from surgelens.llm.license_join import PHRASES as LICENSE_PHRASES
 from surgelens.llm.license_join import TEMPLATES, THRESHOLD, template_words
-from surgelens.llm.linefirst import ENDINGS, MAX_REPEAT_PERCENT, MIN_WORDS, PHRASES, SEPARATORS, WINDOW
+from surgelens.llm.linefirst import ENDINGS, MAX_REPEAT_PERCENT, MIN_WORDS, PHRASES, SEPARATORS, UNMARKED, WINDOW
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACED = r"[^\x20\x09-\x0D]+"
@@ -33,19 +33,27 @@ win AS (SELECT r, i, {ahead(WINDOW)} AS win FROM pos WINDOW p AS (PARTITION BY r
 twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS n FROM win WHERE win IS NOT NULL) WHERE n > 1),
 repeats AS (SELECT r, count(DISTINCT i + k) AS n FROM (SELECT r, i, unnest(range({WINDOW})) AS k FROM twice) GROUP BY r),
 cut AS (SELECT r, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS n FROM d),
+-- A paragraph ends at a line without words; what follows it in there can finish a line.
+marked AS (
+  SELECT r, n, line, regexp_matches(line, '{SPACED}') AS filled,
+    len(list_filter(regexp_extract_all(line, '{SPACED}'), lambda x: right(x, 1) IN ({quoted(ENDINGS)}))) > 0 AS ended FROM cut),
+paragraphs AS (SELECT *, sum(CASE WHEN filled THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY n) AS paragraph FROM marked),
+closed AS (
+  SELECT r, n, line, coalesce(bool_or(ended) OVER (PARTITION BY r, paragraph ORDER BY n DESC), false) AS finished
+  FROM paragraphs WHERE filled),
 lines AS (
-  SELECT r, line, row_number() OVER (PARTITION BY r, line ORDER BY n) > 1 AS dup,
+  SELECT r, line, finished, row_number() OVER (PARTITION BY r, line ORDER BY n) > 1 AS dup,
     regexp_extract_all(line, '{SPACED}') AS ws, strlen(regexp_replace(line, '{BLANKS}', '', 'g')) AS size,
     strlen(line) - strlen(regexp_replace(line, '[#*$%&|<>]', '', 'g')) AS symbols,
     strlen(line) - strlen(regexp_replace(line, '[A-Z]', '', 'g')) AS upper,
     strlen(line) - strlen(regexp_replace(line, '[a-z]', '', 'g')) AS lower
-  FROM cut WHERE regexp_matches(line, '{SPACED}')),
+  FROM closed),
 judged AS (
   SELECT r, dup, size, dup OR 10 * symbols > size
     OR 5 * len(list_filter(ws, lambda x: x IN ({quoted([s.decode() for s in SEPARATORS])}))) >= len(ws)
     OR (len(ws) >= 4 AND 4 * upper > size AND upper > 2 * lower)
     OR (len(ws) >= 6 AND 3 * len(list_filter(range(1, len(ws)), lambda i: ws[i] = ws[i + 1])) > len(ws))
-    OR (len(ws) >= 8 AND len(list_filter(ws, lambda x: right(x, 1) IN ({quoted(ENDINGS)}))) = 0)
+    OR (len(ws) >= 8 AND NOT finished AND NOT regexp_matches(line, '[{UNMARKED[0]}-{UNMARKED[1]}]'))
     OR regexp_matches({low('line')}, '{"|".join(PHRASES)}') AS bad
   FROM lines),
 totals AS (
@@ -68,7 +76,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 POSITIONAL = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({low("coalesce(text, '')")}, '{PLAIN}') AS words FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({low('text')}, '{PLAIN}') AS words
-  FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+  FROM benchmark WHERE text IS NOT NULL),
 bw AS (SELECT item, words, unnest(range(1, greatest(1, len(words) - 9) + 1)) AS i FROM b WHERE len(words) > 0),
 bwin AS (SELECT DISTINCT item, array_to_string(words[i:i + 9], ' ') AS win, least(10, len(words)) AS n FROM bw),
 pos AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d),
@@ -76,11 +84,11 @@ near AS (SELECT r, i, list(word) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CU
 grams AS (SELECT r, i, n, array_to_string(ws[1:n], ' ') AS win FROM near, (SELECT DISTINCT n FROM bwin) WHERE len(ws) >= n),
 occ AS (SELECT r, i, n, item FROM grams JOIN bwin USING (win, n)),
 hit AS (SELECT r, count(DISTINCT i + k) AS n_hit FROM (SELECT r, i, unnest(range(n)) AS k FROM occ) GROUP BY r),
-items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT r, item FROM occ) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT r, item FROM occ WHERE item IS NOT NULL) GROUP BY r),
 counts AS (SELECT word, count(*) AS n FROM pos GROUP BY word),
 terms AS (
   SELECT item, word, n, row_number() OVER (PARTITION BY item ORDER BY n, word) AS k
-  FROM (SELECT DISTINCT item, unnest(words) AS word FROM b) LEFT JOIN counts USING (word)
+  FROM (SELECT DISTINCT item, unnest(words) AS word FROM b WHERE item IS NOT NULL) LEFT JOIN counts USING (word)
   QUALIFY row_number() OVER (PARTITION BY item ORDER BY coalesce(n, 0), word) <= 4),
 rare AS (SELECT item, word, k, count(*) OVER (PARTITION BY item) AS most FROM terms
   QUALIFY count(n) OVER (PARTITION BY item) = count(*) OVER (PARTITION BY item)),

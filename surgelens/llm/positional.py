@@ -13,7 +13,10 @@ Test items are taken in blocks of about ``BLOCK_WORDS`` words, the only thing
 that is gathered and sent to the tasks; their number is not limited.
 
 Null and empty texts have no words and no hits; items without words never match.
-Repeated rows are searched one by one. Null item ids are left out of the lists.
+Repeated rows are searched one by one. An item without an id is searched for like
+any other, so its words are hit; it is only left out of the lists of ids. Empty
+tables give no rows, or rows without hits. Texts of any length are indexed whole,
+and other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -105,8 +108,8 @@ def term_counts(index: DataFrame) -> dict[int, int]:
     return {r["terms"]: r["n"] for r in found}
 
 
-def _windows(items: list[tuple[str, list[int]]], window: int) -> dict[tuple[int, ...], set[str]]:
-    found: dict[tuple[int, ...], set[str]] = defaultdict(set)
+def _windows(items: list[tuple[str | None, list[int]]], window: int) -> dict[tuple[int, ...], set]:
+    found: dict[tuple[int, ...], set] = defaultdict(set)
     for item, ids in items:
         for i in range(max(1, len(ids) - window + 1) if ids else 0):
             found[tuple(ids[i : i + window])].add(item)
@@ -122,11 +125,11 @@ def search(index: DataFrame, items: list[tuple[str, list[int]]], window: int, ne
     for ids, owners in sorted(_windows(items, window).items()):
         if all(t in counts for t in ids):
             order = sorted(range(len(ids)), key=lambda i: (counts[ids[i]], i))
-            plan.append((ids, order, sorted(owners)))
+            plan.append((ids, order, sorted(o for o in owners if o is not None)))
     near = []
     for item, ids in items:
         rare = sorted(set(ids), key=lambda t: rarity(t) if t in counts else (0, t))[:near_terms]
-        if rare and all(t in counts for t in rare):
+        if item is not None and rare and all(t in counts for t in rare):
             near.append((rare, item))
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +223,7 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple[str, list[bytes]]]]:
     n = -(-whole // (4 * BLOCK_WORDS)) or 1
     for k in range(n):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else items
-        yield [(r["item_id"], plain_words(bytes(r["text"]))) for r in own.collect() if r["text"] is not None and r["item_id"] is not None]
+        yield [(r["item_id"], plain_words(bytes(r["text"]))) for r in own.collect() if r["text"] is not None]
 
 
 def _merged(parts: DataFrame) -> DataFrame:

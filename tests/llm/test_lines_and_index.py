@@ -63,13 +63,47 @@ def test_figures_match_brute_force(spark, odd):
 )
 def test_bad_lines(line):
     raw = line.encode()
-    assert linefirst.failing(raw, raw.split(), len(raw.translate(None, b" ")))
+    assert linefirst.failing(raw, raw.split(), len(raw.translate(None, b" ")), linefirst.ended(raw.split()))
 
 
 def test_good_lines():
     for line in ("A plain sentence, with a comma.", "Titel", "¿Qué pasa en la calle de la casa ahora?", "USA и СССР в прошлом веке."):
         raw = line.encode()
-        assert not linefirst.failing(raw, raw.split(), len(raw.translate(None, b" ")))
+        assert not linefirst.failing(raw, raw.split(), len(raw.translate(None, b" ")), linefirst.ended(raw.split()))
+
+
+PROSE = (
+    "The harbour was quiet that morning, and the boats lay still on the water while the fog came in from the west. "
+    "Nobody had seen the keeper since the storm, so two of the older men rowed out to the light to look for him. "
+    "They found the lamp trimmed and the log written up to the evening before, but the chair by the stove was empty. "
+) * 3
+
+
+@pytest.mark.parametrize("columns", [30, 80, 200])
+def test_wrapped_prose_is_left_alone(columns):
+    import textwrap
+
+    sentences = {s: i for i, s in enumerate(PROSE.split(". "))}
+    text = ". ".join(f"{i} {s}" for s, i in sentences.items())
+    wrapped = "\n".join(textwrap.wrap(text, columns))
+    got = dict(zip(linefirst._FIELDS, linefirst.judge(wrapped.encode(), True)))
+    assert got["kept"] and got["n_bad_lines"] == 0 and got["cleaned"] == wrapped.encode()
+
+
+def test_clean_text_of_other_scripts_is_left_alone():
+    hindi = "\n".join(f"यह {i} एक साफ़ वाक्य है जो हिन्दी में ठीक से लिखा गया है।" for i in range(20))
+    arabic = "\n".join(f"هل كتبت {i} هذه الجملة النظيفة بشكل صحيح باللغة العربية اليوم؟" for i in range(20))
+    thai = "\n".join(f"นี่ คือ {i} ประโยค ที่ สะอาด และ เขียน ถูกต้อง ใน ภาษา ไทย" for i in range(20))
+    for text in (hindi, arabic, thai):
+        got = dict(zip(linefirst._FIELDS, linefirst.judge(text.encode())))
+        assert got["n_bad_lines"] == 0 and got["kept"] == (not got["base_failed"])
+
+
+def test_a_list_without_any_mark_is_unfinished():
+    lines = [f"{i} one two three four five six seven eight" for i in range(5)]
+    assert dict(zip(linefirst._FIELDS, linefirst.judge("\n".join(lines).encode())))["n_bad_lines"] == 5
+    ended = "\n".join([*lines, "The end.", "", "a b c d e f g h"])
+    assert dict(zip(linefirst._FIELDS, linefirst.judge(ended.encode())))["n_bad_lines"] == 1
 
 
 def test_clean_takes_lines_out_and_keeps_columns(spark, odd, none):
@@ -99,7 +133,7 @@ def hits(docs, items, window):
     for item, text in items:
         words = WORD.findall(low(text))
         for k in range(max(1, len(words) - window + 1) if words else 0):
-            windows.setdefault(tuple(words[k : k + window]), set()).add(str(item))
+            windows.setdefault(tuple(words[k : k + window]), set()).update([] if item is None else [str(item)])
     out = []
     for i, text in docs:
         words, hit, own = WORD.findall(low(text)), set(), set()
@@ -123,7 +157,7 @@ def test_hits_match_brute_force(spark, odd):
     assert rows(P.contamination(df, bench)) == hits(docs_of(df), items, 10)
     own = [(1, "that ends well. It has"), (2, None), (3, ""), (4, "and12 word35 AND0, word36"), (5, "é ü ñ 日本"), (None, "text that")]
     few = spark.createDataFrame(own, "item_id long, text string")
-    assert rows(P.contamination(odd, few, window=3)) == hits(docs_of(odd), own[:-1], 3)
+    assert rows(P.contamination(odd, few, window=3)) == hits(docs_of(odd), own, 3)
 
 
 def test_blocks_of_items_are_merged(spark, odd, monkeypatch):
@@ -149,6 +183,10 @@ def test_uncontaminated(spark, odd, none):
     assert sorted(map(str, docs_of(left))) == sorted(str(d) for d in docs_of(odd) if "ends well" not in (d[1] or ""))
     assert P.uncontaminated(none, items).count() == 0
     assert P.uncontaminated(odd, items.filter("false")).count() == odd.count()
+    nameless = spark.createDataFrame([(None, "that ends well it has")], "item_id long, text string")
+    assert P.uncontaminated(odd, nameless).count() == left.count() < odd.count()
+    spans = P.contamination(odd, nameless).filter("size(spans) > 0")
+    assert spans.count() > 0 and spans.filter("size(items) > 0 OR size(near_items) > 0").count() == 0
 
 
 # ------------------------------------------------------------ license join
