@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from surgelens.llm import binpack, langbits, license_join, linefirst, oracles, pitman_yor, positional, prefix_trie
 from surgelens.llm import quotes, repair, rulefit, simhash, skipchain, splitters
-from surgelens.llm.common import documents
+from surgelens.llm.common import documents, stored
 from surgelens.session import utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,48 +72,54 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_join.scan(documents(spark, sf_dir)).drop("blocks")
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return utc(spark).read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+
+
 def quoting_messages(spark: SparkSession, sf_dir: str, levels: int = 3) -> DataFrame:
-    """The conversations as mail: every turn quotes up to three turns before it."""
-    turns = utc(spark).read.parquet(f"{sf_dir}/conversations.parquet")
-    turns = turns.groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
-    mail = turns.select("conv_id", "turn", "text")
+    """The conversations as mail: every turn quotes up to three turns before it.
+
+    All rows are messages, numbered by conversation, turn, role and text; rows
+    without a conversation quote nothing.
+    """
+    turns = quotes.numbered_messages(conversations(spark, sf_dir), ["conv_id", "turn", "role", "text"])
+    mail = turns
     for k in range(1, levels + 1):
         marks = ">" * k + " "
         quoted = F.concat(F.lit(marks), F.regexp_replace("text", "\n", "\n" + marks), F.lit("\n"))
-        earlier = turns.select("conv_id", (F.col("turn") + k).alias("turn"), quoted.alias(f"quote{k}"))
-        mail = mail.join(earlier, ["conv_id", "turn"], "left")
-    quotes = [F.coalesce(f"quote{k}", F.lit("")) for k in range(levels, 0, -1)]
-    body = F.concat(*quotes, F.lit("\n"), F.coalesce("text", F.lit("")))
-    return mail.select("conv_id", "turn", (F.col("conv_id") * 1024 + F.col("turn")).alias("id"), body.alias("text"))
+        # Messages of a conversation have numbers in a row.
+        earlier = turns.select(F.col("conv_id").alias("_conv"), (F.col("id") + k).alias("_id"), quoted.alias(f"quote{k}"))
+        mail = mail.join(earlier, (F.col("id") == F.col("_id")) & (F.col("conv_id") == F.col("_conv")), "left").drop("_conv", "_id")
+    above = [F.coalesce(f"quote{k}", F.lit("")) for k in range(levels, 0, -1)]
+    body = F.concat(*above, F.lit("\n"), F.coalesce("text", F.lit("")))
+    return stored(mail.select("conv_id", "turn", "id", body.alias("text")), "mail")
 
 
 @query(
     "op1_quotation_linking",
     r"""
-    WITH turns AS (SELECT conv_id, turn, min(text) AS text FROM conversations GROUP BY conv_id, turn),
-    numbered AS (
-        SELECT *, conv_id * 1024 + turn AS id, regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g') AS own FROM turns),
+    WITH numbered AS (
+        SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id NULLS FIRST, turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS id,
+            regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g') AS own FROM conversations),
     -- A turn without words quotes nothing; then the turn before that one is the lowest level quoted.
     linked AS (
-        SELECT a.id, a.own, max(b.id) AS parent_id FROM numbered a LEFT JOIN numbered b
-        ON a.conv_id = b.conv_id AND b.turn BETWEEN a.turn - 3 AND a.turn - 1 AND b.own <> '' GROUP BY a.id, a.own),
-    chains AS (
-        SELECT *, id // 1024 AS conv_id,
-            sum(CASE WHEN parent_id IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY id // 1024 ORDER BY id) AS chain
-        FROM linked)
-    SELECT id // 1024 AS conv_id, id % 1024 AS turn, id AS message_id, parent_id,
-        min(id) OVER (PARTITION BY conv_id, chain) AS root_id,
-        row_number() OVER (PARTITION BY conv_id, chain ORDER BY id) - 1 AS depth,
-        row_number() OVER (PARTITION BY conv_id, chain ORDER BY id) - 1 AS position,
+        SELECT a.conv_id, a.turn, a.id, a.own, max(b.id) AS parent_id FROM numbered a LEFT JOIN numbered b
+        ON a.conv_id = b.conv_id AND b.id BETWEEN a.id - 3 AND a.id - 1 AND b.own <> '' GROUP BY ALL),
+    chains AS (SELECT *, sum(CASE WHEN parent_id IS NULL THEN 1 ELSE 0 END) OVER (ORDER BY id) AS chain FROM linked)
+    SELECT conv_id, turn, id AS message_id, parent_id,
+        min(id) OVER (PARTITION BY chain) AS root_id,
+        row_number() OVER (PARTITION BY chain ORDER BY id) - 1 AS depth,
+        row_number() OVER (PARTITION BY chain ORDER BY id) - 1 AS position,
         sha256(own) AS text_sha256
     FROM chains
     """,
 )
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = quotes.conversations(quoting_messages(spark, sf_dir))
-    return found.select(
-        F.expr("id div 1024").alias("conv_id"),
-        (F.col("id") % 1024).alias("turn"),
+    mail = quoting_messages(spark, sf_dir)
+    found = quotes.conversations(mail)
+    return mail.select("conv_id", "turn", "id").join(found, "id").select(
+        "conv_id",
+        "turn",
         F.col("id").alias("message_id"),
         "parent_id",
         "root_id",
@@ -150,10 +156,6 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return utc(spark).read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
-
-
 @query("op11_grammar_repair")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conversations(spark, sf_dir)

@@ -15,8 +15,11 @@ messages hold is thus dealt over up to ``STRETCHES`` groups, and every quoted
 passage yields one row.
 
 Only DataFrame and SQL functions are used. Message ids are whole numbers in the
-order of sending. Rows that repeat an id are one message (its least text). Rows
-without an id come back without links. A null or empty text has no passages.
+order of sending; ``numbered_messages`` gives such numbers to rows that have none.
+Rows that repeat an id are one message (its least text). Rows without an id come
+back without links. A null or empty text has no passages. Equal passages are
+linked to the latest message before. Texts of any length are cut whole into lines.
+An empty table gives no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -25,13 +28,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surgelens.llm.common import stored
+from surgelens.llm.ordering import looked_up, numbered
+from surgelens.llm.splitters import rank_in
 
-# Parts of the message order that are sorted apart.
+# Parts of the message order that are sorted apart, each with about as many messages.
 STRETCHES = 4096
 
 _MARKS = r"^(?:>[ \\t]?)+"
 
 
+def numbered_messages(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` with ``id``, from 0 in the order of ``order`` (nulls first): each row is
+    a message of its own, however many share a key or are equal."""
+    whole = numbered(rows.withColumn("_all", F.lit(0)), "_all", order, ["_all", *rows.columns], "messages")
+    return stored(whole.withColumnRenamed("pos", "id").drop("at", "_all"), "messages")
+
+
 def lines(messages: DataFrame) -> DataFrame:
     """id, line, level, body of every line of every text."""
     each = messages.select("id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\r?\n")).alias("line", "raw"))
@@ -56,13 +68,18 @@ def passages(cut: DataFrame) -> DataFrame:
     )
 
 
-def _stretched(df: DataFrame, bounds: tuple[int, int]) -> DataFrame:
-    low, high = bounds
-    width = (high - low) // STRETCHES + 1
-    return df.withColumn("stretch", F.expr(f"(id - {low}L) div {width}L"))
+def stretch_bounds(named: DataFrame) -> list[int]:
+    """Ids that part the messages into about equal stretches, wherever ids lie."""
+    shares = [i / STRETCHES for i in range(1, STRETCHES)]
+    found = named.agg(F.percentile_approx("id", shares, 10 * STRETCHES)).first()[0]
+    return sorted(set(found or []))
+
+
+def _stretched(df: DataFrame, bounds: list[int]) -> DataFrame:
+    return df.withColumn("stretch", rank_in(bounds, "id"))
 
 
-def linked(found: DataFrame, bounds: tuple[int, int]) -> DataFrame:
+def linked(found: DataFrame, bounds: list[int]) -> DataFrame:
     """id, level, length, target: every quoted passage with an earlier original."""
     own = F.when(F.col("level") == 0, F.col("id"))
     rows = _stretched(found, bounds).withColumn("own", own)
@@ -87,22 +104,23 @@ def parents(links: DataFrame) -> DataFrame:
 def roots(tree: DataFrame) -> DataFrame:
     """id, root_id, depth from (id, parent_id): each round doubles the steps taken.
 
-    Rows that have reached a root rest, so a root with very many replies is no
-    key of any join.
+    Rows that have reached a root rest. A message with very many replies is looked
+    up by broadcast, so no task gets all of them.
     """
     top = tree.filter("parent_id IS NULL").select("id", F.col("id").alias("up"), F.lit(0).alias("depth"), F.lit(True).alias("done"))
     step = tree.filter("parent_id IS NOT NULL")
-    held = step.join(top.select(F.col("id").alias("parent_id"), "done"), "parent_id", "left")
+    tops = stored(top.select(F.col("id").alias("parent_id"), "done"), "tops")
+    held = looked_up(step, tops, "parent_id", "left")
     state = held.select("id", F.col("parent_id").alias("up"), F.lit(1).alias("depth"), F.coalesce("done", F.lit(False)).alias("done"))
     state = stored(state, "ancestors")
     while not (open_ := state.filter("NOT done")).isEmpty():
         above = state.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("done").alias("end"))
-        moved = open_.join(above, "up").select("id", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), F.col("end").alias("done"))
+        moved = looked_up(open_, above, "up").select("id", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), F.col("end").alias("done"))
         state = stored(state.filter("done").unionAll(moved), "ancestors")
     return top.unionAll(state).select("id", F.col("up").alias("root_id"), "depth")
 
 
-def ordered(members: DataFrame, bounds: tuple[int, int]) -> DataFrame:
+def ordered(members: DataFrame, bounds: list[int]) -> DataFrame:
     """``members`` with ``position``, from 0 in each conversation, in reply order."""
     rows = _stretched(members, bounds)
     counts = rows.groupBy("root_id", "stretch").count()
@@ -125,8 +143,7 @@ def conversations(messages: DataFrame, message_id: str = "id", text: str = "text
     own = messages.select(F.col(f"`{message_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     named = own.filter("id IS NOT NULL").groupBy("id").agg(F.min("text").alias("text"))
     cut = stored(lines(named), "lines")
-    low, high = named.agg(F.min("id"), F.max("id")).first()
-    bounds = (low or 0, high or 0)
+    bounds = stretch_bounds(named)
     links = parents(linked(stored(passages(cut), "passages"), bounds))
     tree = stored(named.select("id").join(links, "id", "left"), "replies")
     members = ordered(roots(tree), bounds)

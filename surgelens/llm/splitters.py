@@ -3,9 +3,12 @@
 A record's key is the hash of its text. Size-weighted samples of the keys give
 quantile boundaries that cut the keys into many ranges of about equal bytes. A
 range that got overfull holds a frequent key; such a key becomes a group of its
-own and is subdivided by its ids. Exact byte counts of all ranges and groups, a
-bounded number, then say which shard each goes to, the largest first. A frequent
-text stays in one shard unless it alone is larger than ``whole`` of a shard.
+own and is subdivided by a number of each record. Exact byte counts of all ranges
+and groups, a bounded number, then say which shard each goes to, the largest first.
+Records of a frequent text stay in one shard as far as the law allows: while the
+largest and the smallest shard differ by more than ``tolerance`` of the mean, texts
+of half the size, and half of that, are dealt out in slices of about a range. A
+single record is never cut.
 
 Slots number a shard's records by range, then within the range, so no task sees
 more than a range.
@@ -14,7 +17,10 @@ The sample has ``ranges * PER_RANGE`` keys or so, the counts ``3 * ranges`` rows
 at most; nothing else reaches the driver. Only DataFrame operations are used.
 
 A null text is an empty one: size 1, checksum 0. Repeated rows and null ids are
-records like any other. Of an empty table nothing is returned.
+records like any other, told apart by where they were read; which of two equal
+records gets which slot is left open. Texts of any length are sized whole. Of an
+empty table nothing is returned; other columns are not read by ``assign`` and are
+kept, whatever their names, by ``write``.
 """
 
 from __future__ import annotations
@@ -22,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surgelens.llm.common import stored
+from surgelens.llm.common import free_name, stored
 
 PER_RANGE = 32
 
@@ -80,7 +86,7 @@ def assign(
     doc_id: str = "doc_id",
     text: str = "text",
     ranges: int = 2048,
-    whole: float = 1.0,
+    tolerance: float = 0.01,
 ) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot for every row of ``docs``."""
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
@@ -89,7 +95,9 @@ def assign(
         (F.octet_length(body) + 1).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
         F.xxhash64(body).alias("key"),
-    ).withColumn("tie", F.xxhash64("doc_id", F.lit("tie")))
+        # Equal records are of one group but not of one place.
+        F.xxhash64(F.monotonically_increasing_id(), F.lit("tie")).alias("tie"),
+    )
     records = stored(records, "records")
     total = records.agg(F.sum("size")).first()[0] or 1
     bounds = splitters(records, total, ranges)
@@ -118,12 +126,19 @@ def assign(
     dealt = ranged.withColumn("unit", unit.cast("int"))
 
     found = {r["unit"]: (r["size"], r["n"]) for r in dealt.groupBy("unit").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()}
-    items = [(size, (u,)) for u, (size, _) in found.items() if u <= len(bounds)]
-    for (_, size), first, n in zip(frequent, bases, slices):
-        own = tuple(u for u in range(first, first + n) if u in found)
-        fits = size <= whole * total / n_shards
-        items += [(size, own)] if fits else [(found[u][0], (u,)) for u in own]
-    shard_of = _largest_first(items, n_shards)
+    plain = [(size, (u,)) for u, (size, _) in found.items() if u <= len(bounds)]
+    groups = [(size, tuple(u for u in range(first, first + n) if u in found)) for (_, size), first, n in zip(frequent, bases, slices)]
+    whole = total / n_shards
+    while True:
+        items = plain + [g for g in groups if g[0] <= whole]
+        items += [(found[u][0], (u,)) for size, own in groups if size > whole for u in own]
+        shard_of = _largest_first(items, n_shards)
+        loads = [0] * n_shards
+        for u, shard in shard_of.items():
+            loads[shard] += found[u][0]
+        if max(loads) - min(loads) <= tolerance * total / n_shards or not any(size <= whole for size, _ in groups):
+            break
+        whole /= 2
     filled, shift = [0] * n_shards, {}
     for u in sorted(found):
         shift[u] = filled[shard_of[u]]
@@ -142,14 +157,8 @@ def assign(
 
 def write(docs: DataFrame, path: str, n_shards: int = 8, doc_id: str = "doc_id", text: str = "text") -> None:
     """The documents as one folder of files per shard, large shards over several files."""
-    own = assign(docs, n_shards, doc_id, text)
-    places = own.select(F.col("doc_id").alias(doc_id), "text_crc32", "size", "shard", "slot")
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    keyed = docs.withColumn("text_crc32", F.crc32(body.cast("binary"))).withColumn("size", F.octet_length(body) + 1)
-    # Repeated rows are alike, so any of their places will do; each is used once.
-    turn = f"row_number() OVER (PARTITION BY `{doc_id}`, text_crc32, size ORDER BY {{}})"
-    left = keyed.withColumn("turn", F.expr(turn.format("1")))
-    right = places.withColumn("turn", F.expr(turn.format("shard, slot")))
-    match = [left[c].eqNullSafe(right[c]) for c in (doc_id, "text_crc32", "size", "turn")]
-    rows = left.join(right, match).select(*(left[c] for c in docs.columns), right["shard"], right["slot"])
+    row = free_name(docs, "row_number")
+    kept = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    places = assign(kept, n_shards, row, text).select(F.col("doc_id").alias("_row_of_place"), "shard", "slot")
+    rows = kept.join(places, kept[row] == F.col("_row_of_place")).select(*(kept[c] for c in docs.columns), "shard", "slot")
     rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

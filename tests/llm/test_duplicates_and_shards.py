@@ -1,5 +1,6 @@
 """SimHash blocks, components, sampled splitters and quotation linking."""
 
+import hashlib
 import random
 import re
 import zlib
@@ -10,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from surgelens.llm import quotes, simhash, splitters
+from surgelens.llm import queries, quotes, simhash, splitters
 from surgelens.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -118,6 +119,38 @@ def test_a_text_that_is_a_third_of_all_is_subdivided(spark):
     assert max(sizes.values()) < 1.02 * min(sizes.values())
 
 
+def test_groups_of_equal_texts_are_cut_where_the_law_asks(spark):
+    """Twelve groups of equal size can't lie whole in eight shards of equal size."""
+    rows = spark.range(1200).selectExpr("id AS doc_id", "repeat(concat('g', id % 12), 200) AS text")
+    sizes = balance(splitters.assign(rows).collect())
+    assert len(sizes) == 8 and max(sizes.values()) < 1.02 * min(sizes.values())
+
+
+def test_repeats_of_one_row_are_spread(spark):
+    same = spark.range(900).selectExpr("CAST(7 AS bigint) AS doc_id", "repeat('same ', 90) AS text")
+    nameless = spark.range(600).selectExpr("CAST(NULL AS bigint) AS doc_id", "repeat('none ', 90) AS text")
+    other = spark.range(2000).selectExpr("id AS doc_id", "concat('t', id, repeat('y', 400)) AS text")
+    found = splitters.assign(same.union(nameless).union(other)).collect()
+    sizes = balance(found)
+    assert len(found) == 3500 and max(sizes.values()) < 1.02 * min(sizes.values())
+    assert len({r.shard for r in found if r.doc_id == 7}) > 1 and len({r.shard for r in found if r.doc_id is None}) > 1
+
+
+def largest_first(sizes, shards):
+    filled = [0] * shards
+    for size in sorted(sizes, reverse=True):
+        filled[filled.index(min(filled))] += size
+    return filled
+
+
+def test_shards_are_as_even_as_records_dealt_one_by_one(spark):
+    rnd = random.Random(8)
+    texts = ["x" * rnd.randint(1, 4000) for _ in range(700)] + ["hot" * 300] * 400 + [None] * 50
+    found = splitters.assign(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(5)).collect()
+    sizes, best = balance(found), largest_first([r.size for r in found], 8)
+    assert max(sizes.values()) <= max(best) * 1.01 and min(sizes.values()) >= min(best) * 0.99
+
+
 def test_odd_rows_are_placed(odd, none):
     found = splitters.assign(odd).collect()
     balance(found)
@@ -129,9 +162,11 @@ def test_written_shards(spark, odd, fresh):
     path = fresh("shards")
     splitters.write(odd, path)
     back = spark.read.parquet(path)
-    assert back.count() == odd.count()
-    got = sorted(str((r.doc_id, r.shard, r.slot)) for r in back.collect())
-    assert got == sorted(str((r.doc_id, r.shard, r.slot)) for r in splitters.assign(odd).collect())
+    assert sorted(str(r[:2]) for r in back.select(*odd.columns).collect()) == sorted(str(r[:2]) for r in odd.collect())
+    slots = defaultdict(list)
+    for r in back.collect():
+        slots[r.shard].append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
 
 
 def mail(spark, rows):
@@ -174,3 +209,74 @@ def test_odd_messages(spark, odd, none):
     found = quotes.conversations(odd, "doc_id").collect()
     assert Counter(r.id for r in found) == Counter([1, 2, 3, 4, 5, 6, 7, 8, None, None])
     assert quotes.conversations(none, "doc_id").count() == 0
+
+
+def test_every_row_is_a_message(spark, fresh):
+    """Long conversations, null keys, shared turns and repeated rows lose nothing."""
+    rows = [(1, t, "user", f"turn {t} of it") for t in range(1030)]
+    rows += [(2, 0, "user", "hello there"), (2, 1, "user", "and again"), (None, 0, "user", "no home"), (None, None, None, None)]
+    rows += [(3, 0, "user", "one"), (3, 0, "user", "two"), (3, None, "user", "first"), (3, 0, "user", "two")]
+    folder = fresh("mail")
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    got = queries.QUERIES["op1_quotation_linking"](spark, folder).collect()
+    assert Counter((r.conv_id, r.turn) for r in got) == Counter(r[:2] for r in rows)
+    assert sorted(r.message_id for r in got) == list(range(len(rows)))
+    by_id = {r.message_id: r for r in got}
+    for r in got:
+        above = by_id.get(r.message_id - 1)
+        linked = above is not None and r.conv_id is not None and above.conv_id == r.conv_id
+        assert r.parent_id == (above.message_id if linked else None)
+    texts = Counter(r.text_sha256 for r in got)
+    assert texts == Counter(hashlib.sha256((r[3] or "").encode()).hexdigest() for r in rows)
+
+
+def test_stretches_follow_the_messages_not_the_ids(spark):
+    ids = spark.range(20_000).union(spark.createDataFrame([(1 << 60,)], "id long"))
+    bounds = quotes.stretch_bounds(ids)
+    assert len(bounds) > 3500
+    most = quotes._stretched(ids, bounds).groupBy("stretch").count().agg(F.max("count")).first()[0]
+    assert most < 20
+
+
+def brute_links(messages):
+    """Own and quoted passages by hand: the parent is the lowest linked level's target."""
+    own, parents = defaultdict(list), {}
+    for i, text in sorted(messages):
+        found, run, last = [], [], None
+        for line in [*(text or "").split("\n"), None]:
+            marks = re.match(r"^(?:>[ \t]?)+", line or "")
+            level, body = (marks[0].count(">") if marks else 0), (line or "")[marks.end() if marks else 0 :]
+            if run and (line is None or not body.strip(" ") or level != last):
+                found.append((last, " ".join(" ".join(run).split()).lower()))
+                run = []
+            if line is not None and body.strip(" "):
+                run.append(body)
+            last = level
+        votes = defaultdict(int)
+        for level, words in found:
+            if level and own[words]:
+                votes[level, own[words][-1]] += len(words)
+        parents[i] = max(votes, key=lambda k: (-k[0], votes[k], k[1]))[1] if votes else None
+        for level, words in found:
+            if level == 0:
+                own[words].append(i)
+    return parents
+
+
+def test_arbitrary_quotations_match_brute_force(spark):
+    rnd = random.Random(9)
+    phrases = [f"phrase {k} says Something" for k in range(12)]
+    rows = []
+    for i in range(400):
+        parts = []
+        for _ in range(rnd.randint(0, 5)):
+            level = rnd.choice([0, 0, 1, 1, 2, 3])
+            words = rnd.choice(phrases).split()
+            cut = rnd.randint(1, len(words))
+            for half in (words[:cut], words[cut:]):
+                if half:
+                    parts.append("> " * level + rnd.choice([" ", "  "]).join(half))
+            parts += [""] * rnd.randint(0, 1)
+        rows.append((i * rnd.choice([7]), "\n".join(parts) if rnd.random() < 0.95 else None))
+    got = {r.id: r.parent_id for r in quotes.conversations(spark.createDataFrame(rows, "id long, text string")).collect()}
+    assert got == brute_links(rows) and sum(p is not None for p in got.values()) > 150
