@@ -1,23 +1,30 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-A block is a line. A template is found in a block if the block holds at least
-``threshold`` of the template's distinct words (or the share a template names). The words of all templates are
-ordered by the number of documents that hold them, the rarest first, counted
-over the whole table. Three filters leave few pairs to verify, and lose none:
-  prefix      the block holds one of the template's first ``|T| - o + 1`` words,
-              where ``o`` is the overlap that the threshold asks for;
-  length      the block holds at least ``o`` words of any template;
+A block of a template is any run of consecutive words of a text, across line ends
+and marks between words, as long as the template is with its share of other words
+mixed in: ``words / threshold``. A template is found if one of its blocks holds at
+least ``threshold`` of its distinct words (or the share it names), so it doesn't
+matter how a notice was wrapped. The words of all templates are ordered by the
+number of documents that hold them, the rarest first, counted over the whole
+table. Three filters leave few pairs to verify, and lose none:
+  prefix      a text, and a block, holds one of the template's first ``|T| - o + 1``
+              words, where ``o`` is the overlap that the threshold asks for; only
+              blocks around such a word are looked at;
+  length      a text holds at least ``o`` words of the template;
   positional  at the common word, the words left on both sides still reach ``o``.
-Words of no template can't add to an overlap and are dropped first. Templates
-are fixed values, so their prefix index is a constant of the query plan.
+Words of no template can't add to an overlap; blocks that begin with one needn't
+be looked at. Templates are fixed values, so their prefix index is a constant of
+the query plan.
 
 Labels also come from fixed phrases, counted wherever their words stand in a row
 in the text. The score is 1 if a phrase was found, else the largest share of a
-template that a block holds, 0 if none was found.
+found template that one of its blocks holds, 0 if none was found.
 
 Only DataFrame and SQL functions are used, and one narrow pass per scan: nothing
 is joined or grouped by text. Null and empty texts have no words, no labels and
-a score of 0. Repeated rows are scanned one by one.
+a score of 0. Repeated rows are scanned one by one, null ids stay null, texts of
+any length are scanned whole, and of equal blocks the last counts. An empty
+table gives no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -91,13 +98,23 @@ def template_words(text: str) -> list[str]:
     return sorted(set(re.findall(r"[0-9a-z]+", text.lower())))
 
 
+def block_words(text: str, share: float) -> int:
+    """How long a block of a template is: all its words, with others mixed in."""
+    return math.ceil(len(re.findall(r"[0-9a-z]+", text.lower())) / share - 1e-9)
+
+
 def _texts(values: list[str]) -> str:
     return "array(" + ",".join(f"'{v}'" for v in values) + ")"
 
 
 def spelled(text: str) -> str:
-    """SQL: the words of a text, in lower case, with single spaces around each."""
-    return f"concat(' ', trim(regexp_replace(lower({text}), '{BREAKS}', ' ')), ' ')"
+    """SQL: the words of a text, A-Z in lower case, with single spaces around each.
+
+    The two letters whose lower case is an ASCII letter are kept apart from those;
+    how other letters are spelled makes no difference to words of a-z and digits.
+    """
+    kept = f"replace(replace({text}, '\\u212a', '\\ue000'), '\\u0130', '\\ue000')"
+    return f"concat(' ', trim(regexp_replace(lower({kept}), '{BREAKS}', ' ')), ' ')"
 
 
 def _rows_in(words: str) -> str:
@@ -124,6 +141,7 @@ class PrefixIndex:
         shares = [(*t, threshold)[2] for t in templates]
         self.overlaps = [max(1, math.ceil(s * len(t) - 1e-9)) for s, t in zip(shares, self.ranks)]
         self.least = min(self.overlaps)
+        self.spans = [block_words(t[1], share) for t, share in zip(templates, shares)]
         self.prefixes: dict[int, list[tuple[int, int]]] = {}
         for t, (ranks, overlap) in enumerate(zip(self.ranks, self.overlaps)):
             for i, r in enumerate(ranks[: len(ranks) - overlap + 1]):
@@ -133,7 +151,8 @@ class PrefixIndex:
         return [self.order[r - 1] for r in sorted(self.prefixes)]
 
     def found(self, ranks: str) -> str:
-        """SQL: (label, share) of the templates in a block with sorted ``ranks``."""
+        """SQL: numbers of the templates whose overlap the sorted distinct ``ranks`` of a
+        text reach."""
         probes = []
         for r in range(1, len(self.order) + 1):
             own = [
@@ -142,21 +161,30 @@ class PrefixIndex:
             ]
             probes.append(f"array({','.join(own)})" if own else "cast(array() AS array<struct<t:int,after:int,overlap:int>>)")
         index = f"array({','.join(probes)})"
-        sets = ",".join(f"array({','.join(map(str, t))})" for t in self.ranks)
-        labels = _texts(self.labels)
-        overlaps = f"array({','.join(map(str, self.overlaps))})"
         candidates = (
             f"array_distinct(flatten(transform({ranks}, (r, j) -> transform(filter(element_at({index}, r), c ->"
             f" size({ranks}) >= c.overlap AND least(c.after, size({ranks}) - j) >= c.overlap), c -> c.t))))"
         )
-        verified = (
-            f"filter(transform({candidates}, t -> struct(t AS t, size(array_intersect({ranks},"
-            f" element_at(array({sets}), t + 1))) AS held)), c -> c.held >= element_at({overlaps}, c.t + 1))"
-        )
-        return (
-            f"transform({verified}, c -> struct(element_at({labels}, c.t + 1) AS label,"
-            f" c.held / size(element_at(array({sets}), c.t + 1)) AS share))"
-        )
+        return f"filter({candidates}, t -> size(array_intersect({ranks}, {self._of('t', self.ranks)})) >= {self._of('t', self.overlaps)})"
+
+    @staticmethod
+    def _of(t: str, values: list) -> str:
+        """SQL: the value of template ``t``; lists become arrays."""
+        each = [f"array({','.join(map(str, v))})" if isinstance(v, list) else str(v) for v in values]
+        return f"element_at(array({','.join(each)}), {t} + 1)"
+
+    def best(self, t: str, ranks: str) -> str:
+        """SQL: (held, start) of the block of template ``t`` that holds most of its words,
+        the last of equals, which has the least before it; ``ranks`` has 0 for other words.
+
+        Blocks begin with a word of the template and hold one of its prefix words.
+        """
+        own, spans = self._of(t, self.ranks), self._of(t, self.spans)
+        heads = self._of(t, [r[: len(r) - o + 1] for r, o in zip(self.ranks, self.overlaps)])
+        rare = f"filter(sequence(1, size({ranks})), i -> array_contains({heads}, element_at({ranks}, i)))"
+        starts = f"filter(sequence(greatest(1, p - {spans} + 1), p), s -> array_contains({own}, element_at({ranks}, s)))"
+        held = f"struct(size(array_intersect(slice({ranks}, s, {spans}), {own})) AS held, s AS start)"
+        return f"array_max(flatten(transform({rare}, p -> transform({starts}, s -> {held}))))"
 
 
 def _places(phrase: str) -> tuple[Column, Column, Column]:
@@ -178,7 +206,8 @@ def scan(
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """A row per row of ``docs``: doc_id, n_words, n_base, first_word, last_word,
-    base_labels, labels, score, and blocks: (line, label, share) of every match."""
+    base_labels, labels, score, and blocks: (first, label, share), the word at which the
+    best block of every template that was found begins, from 0."""
     phrases, templates = phrases or PHRASES, templates or TEMPLATES
     vocabulary = sorted({w for _, t, *_ in templates for w in template_words(t)})
     index = PrefixIndex(templates, frequencies(docs, vocabulary, text), threshold)
@@ -201,19 +230,21 @@ def scan(
         )
     body = body.withColumn("places", F.filter(F.array(*each), lambda p: p["n"] > 0))
 
-    # Only texts that hold a prefix word, and enough words of templates, are cut into lines.
+    # Only texts that hold a prefix word, and enough words of a template, are cut into blocks.
     held = f"array_intersect(split(words, ' '), {_texts(vocabulary)})"
     body = body.withColumn("held", F.expr(held))
+    rank = f"int(array_position({_texts(index.order)}, w))"
     ready = f"size(held) >= {index.least} AND arrays_overlap(held, {_texts(index.prefix_words())})"
-    rank_of = f"filter(transform(array_distinct(split({spelled('l')}, ' ')), w -> int(array_position({_texts(index.order)}, w))), r -> r > 0)"
-    lines = f"transform(split(body, '\\n', -1), (l, i) -> struct(i AS line, array_sort({rank_of}) AS ranks))"
-    body = body.withColumn("lines", F.expr(f"CASE WHEN {ready} THEN filter({lines}, b -> size(b.ranks) >= {index.least}) END"))
-    matches = (
-        f"flatten(transform(lines, b -> transform({index.found('b.ranks')}, m ->"
-        " struct(b.line AS line, m.label AS label, m.share AS share))))"
-    )
-    body = body.withColumn("blocks", F.expr(f"CASE WHEN size(lines) > 0 THEN {matches} END"))
-    empty = "cast(array() AS array<struct<line:int,label:string,share:double>>)"
+    body = body.withColumn("ranks", F.expr(f"CASE WHEN {ready} THEN array_sort(transform(held, w -> {rank})) END"))
+    body = body.withColumn("near", F.expr(f"CASE WHEN ranks IS NOT NULL THEN {index.found('ranks')} END"))
+    body = body.withColumn("ranked", F.expr(f"CASE WHEN size(near) > 0 THEN transform(split(trim(words), ' '), w -> {rank}) END"))
+    best = f"transform(near, t -> struct(t, {index.best('t', 'ranked')} AS best))"
+    body = body.withColumn("best", F.expr(f"CASE WHEN ranked IS NOT NULL THEN filter({best}, b -> b.best.held >= {index._of('b.t', index.overlaps)}) END"))
+    sizes = index._of("b.t", [len(r) for r in index.ranks])
+    label = f"element_at({_texts(index.labels)}, b.t + 1)"
+    blocks = f"transform(best, b -> struct(b.best.start - 1 AS first, {label} AS label, b.best.held / {sizes} AS share))"
+    body = body.withColumn("blocks", F.expr(blocks))
+    empty = "cast(array() AS array<struct<first:int,label:string,share:double>>)"
     body = body.withColumn("blocks", F.coalesce("blocks", F.expr(empty)))
     base = F.transform("places", lambda p: p["label"])
     own = F.transform("blocks", lambda b: b["label"])

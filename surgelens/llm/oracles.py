@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from surgelens.llm.license_join import PHRASES as LICENSE_PHRASES
-from surgelens.llm.license_join import TEMPLATES, THRESHOLD, template_words
+from surgelens.llm.license_join import TEMPLATES, THRESHOLD, block_words, template_words
 from surgelens.llm.linefirst import ENDINGS, MAX_REPEAT_PERCENT, MIN_WORDS, PHRASES, SEPARATORS, UNMARKED, WINDOW
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -111,7 +111,7 @@ def _templates() -> str:
     for t, (label, text, *share) in enumerate(TEMPLATES):
         words = template_words(text)
         least = (share or [THRESHOLD])[0]
-        rows += [f"({t}, '{label}', '{w}', {len(words)}, {least})" for w in words]
+        rows += [f"({t}, '{label}', '{w}', {len(words)}, {least}, {block_words(text, least)})" for w in words]
     return ", ".join(rows)
 
 
@@ -129,10 +129,13 @@ pos AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS i
 named AS (SELECT r, i, CASE {_CASES} END AS label FROM pos WINDOW p AS (PARTITION BY r ORDER BY i)),
 base AS (SELECT r, i, label FROM named WHERE label IS NOT NULL),
 sums AS (SELECT r, count(*) AS n, min(i) AS first_word, max(i) AS last_word FROM base GROUP BY r),
-t(t, label, word, size, least) AS (VALUES {_templates()}),
-lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS n FROM d),
-tokens AS (SELECT DISTINCT r, n, unnest(regexp_extract_all({low('line')}, '{PLAIN}')) AS word FROM lines),
-held AS (SELECT r, n, t, label, size, least, count(*) AS held FROM tokens JOIN t USING (word) GROUP BY ALL),
+t(t, label, word, size, least, span) AS (VALUES {_templates()}),
+-- Texts that hold enough words of a template anywhere; then every run of ``span`` words in them.
+near AS (SELECT r, t FROM pos JOIN t USING (word) GROUP BY r, t, size, least HAVING count(DISTINCT word) >= least * size - 1e-9),
+tokens AS (SELECT r, t, i, word, label, size, least, span FROM pos JOIN t USING (word) JOIN near USING (r, t)),
+held AS (
+  SELECT a.r, a.t, a.i, a.label, a.size, a.least, count(DISTINCT b.word) AS held FROM tokens a
+  JOIN tokens b ON a.r = b.r AND a.t = b.t AND b.i BETWEEN a.i AND a.i + a.span - 1 GROUP BY ALL),
 own AS (SELECT r, label, held / size AS share FROM held WHERE held >= least * size - 1e-9),
 best AS (SELECT r, max(share) AS share FROM own GROUP BY r),
 base_list AS (SELECT r, string_agg(label, ',' ORDER BY label) AS list FROM (SELECT DISTINCT r, label FROM base) GROUP BY r),

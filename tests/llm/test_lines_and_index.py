@@ -199,13 +199,15 @@ def scanned(text, templates=L.TEMPLATES):
         at[label] = [i for i in range(len(words)) if words[i : i + len(p)] == p]
     places, base = sorted(sum(at.values(), [])), {k for k, v in at.items() if v}
     own, best = set(), 0.0
-    for line in (text or "").split("\n"):
-        block = set(WORD.findall(low(line)))
-        for label, body, *share in templates:
-            t = set(L.template_words(body))
-            if len(t & block) >= (share or [L.THRESHOLD])[0] * len(t) - 1e-9:
+    for label, body, *share in templates:
+        least, t = (share or [L.THRESHOLD])[0], set(L.template_words(body))
+        if len(t.intersection(words)) < least * len(t) - 1e-9:
+            continue
+        for i in range(len(words)):
+            held = len(t.intersection(words[i : i + L.block_words(body, least)]))
+            if held >= least * len(t) - 1e-9:
                 own.add(label)
-                best = max(best, len(t & block) / len(t))
+                best = max(best, held / len(t))
     ends = (places[0], places[-1]) if places else (None, None)
     return (len(words), len(places), *ends, ",".join(sorted(base)), ",".join(sorted(base | own)), 1.0 if places else best)
 
@@ -222,13 +224,43 @@ def test_random_blocks(spark):
 
     r = random.Random(5)
     templates = [(f"t{k}", " ".join(r.sample([f"w{i}" for i in range(30)], r.randint(3, 12)))) for k in range(12)]
+    templates += [(f"r{k}", " ".join(r.choices([f"w{i}" for i in range(9)], k=12))) for k in range(4)]
     lines = [" ".join(r.choices([f"w{i}" for i in range(40)], k=r.randint(0, 25))) for _ in range(900)]
     texts = ["\n".join(lines[i : i + 3]) for i in range(0, 900, 3)]
+    texts += [" ".join(r.choices([f"w{i}" for i in range(11)], k=40)) for _ in range(40)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     got = {x.doc_id: x["labels"] for x in L.scan(df, templates=templates).collect()}
     assert got == {i: scanned(t, templates)[5] for i, t in enumerate(texts)} and any(got.values())
 
 
+@pytest.mark.parametrize("columns", [20, 76, 10_000])
+def test_wrapped_notices_are_found(spark, columns):
+    import textwrap
+
+    prose = "The harbour was quiet that morning and the boats lay still on the water. "
+    texts = []
+    for _, body, *_ in L.TEMPLATES:
+        notice = textwrap.wrap(body, columns)
+        texts += ["\n".join([prose, *notice, prose]), "\n".join([" * " + x for x in notice]), prose * 3 + body.upper() + prose]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: r for r in L.scan(df).collect()}
+    for i, text in enumerate(texts):
+        label = L.TEMPLATES[i // 3][0]
+        assert label in got[i]["labels"].split(",") and got[i]["score"] >= 0.9
+        assert (len(WORD.findall(low(text))), got[i]["labels"]) == (scanned(text)[0], scanned(text)[5])
+    first = [b for b in got[0]["blocks"] if b["label"] == L.TEMPLATES[0][0]][0]["first"]
+    assert first == len(prose.split())
+
+
+def test_only_ascii_letters_are_folded(spark):
+    kelvin = "Released under the MIT License.".replace("L", "\u212a").replace("I", "\u0130")
+    template = [("k", "kilo under the mit license")]
+    df = spark.createDataFrame([(1, kelvin), (2, "\u212ailo under the mit license"), (3, "Kilo UNDER the MIT license")], "doc_id int, text string")
+    got = {r.doc_id: r for r in L.scan(df, templates=template, threshold=1.0).collect()}
+    assert [got[i]["base_labels"] for i in (1, 2, 3)] == ["", "mit", "mit"]
+    assert [got[i]["labels"] for i in (1, 2, 3)] == ["", "mit", "k,mit"]
+
+
 def test_plan_has_no_python(spark):
     plan = L.scan(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
