@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surgelens.functions.scalars import or_missing
 from surgelens.operators.alerts import alert_document, metric_record
 from surgelens.operators.hotspots import union_counts
 from surgelens.operators.indicators import tag_findings
@@ -70,12 +71,13 @@ def detect_and_tag(
 
 
 def saved_counts(
-    spark: SparkSession, points_path: str, as_of: dt.datetime, params: DetectionParams
+    spark: SparkSession, points_path: str, as_of: dt.datetime, params: DetectionParams, wanted: DataFrame | None = None
 ) -> DataFrame | None:
     """Counts saved by the cycles of the last ``train_days``, found by folder name.
 
     Lookbacks overlap; a group's newest count of a minute is the one that stays.
-    None if there is no such cycle.
+    ``wanted`` (``series`` structs) leaves the other series in the scan. None if
+    there is no such cycle.
     """
     root = points_path.rstrip("/")
     oldest, now = f"{as_of - dt.timedelta(days=params.train_days):{RUN_ID}}", f"{as_of:{RUN_ID}}"
@@ -84,21 +86,30 @@ def saved_counts(
         return None
     rows = spark.read.option("basePath", root).parquet(*runs)
     groups = [c for c in rows.columns if c not in ("value", "run_id")]
+    if wanted is not None:
+        series = F.struct(*[or_missing(F.col(k)).alias(k) for k in KEYS])
+        rows = rows.withColumn("series", series).join(wanted, "series", "left_semi").drop("series")
     run = F.unix_timestamp(F.col("run_id").cast("string"), RUN_ID_TIME)
     return rows.groupBy(*groups).agg(F.max_by("value", run).alias("value"))
 
 
 def refreshed(
-    stored: DataFrame, counts: DataFrame, earlier: DataFrame | None, as_of: dt.datetime, params: DetectionParams
+    stored: DataFrame, counts: DataFrame, points_path: str, as_of: dt.datetime, params: DetectionParams
 ) -> DataFrame:
     """``stored`` without stale baselines; series of ``counts`` that then lack one get
-    one trained from ``earlier`` counts."""
+    one trained from the counts of earlier cycles.
+
+    Earlier counts are opened only if there is such a series, and only for such.
+    """
     fresh = fresh_enough(stored, as_of, params.max_age_days)
+    lacking = counts.select(F.struct(*KEYS).alias("series")).distinct().join(fresh.select("series"), "series", "left_anti")
+    wanted = written(lacking, "untrained")
+    if wanted.isEmpty():
+        return fresh
+    earlier = saved_counts(counts.sparkSession, points_path, as_of, params, wanted)
     if earlier is None:
         return fresh
-    wanted = counts.select(F.struct(*KEYS).alias("series")).distinct().join(fresh.select("series"), "series", "left_anti")
-    points = to_points(earlier).withColumn("series", F.struct(*KEYS)).join(wanted, "series", "left_semi").drop("series")
-    return fresh.unionByName(keyed_rows(train_baselines(points, params, as_of)))
+    return fresh.unionByName(keyed_rows(train_baselines(to_points(earlier), params, as_of)))
 
 
 def run_cycle(
@@ -129,7 +140,7 @@ def run_cycle(
     counts = to_points(spark.read.parquet(points))
     stored = of_active_series(store.history(before=run_id), counts)
     if params.max_age_days is not None:
-        stored = refreshed(stored, counts, saved_counts(spark, points_path, as_of, params), as_of, params)
+        stored = refreshed(stored, counts, points_path, as_of, params)
     found = detect_and_tag(counts, params, indicators, stored)
     write_findings(found.findings, findings_path, run_id)
     store.append(found.baselines, run_id)

@@ -33,16 +33,15 @@ def list_partitions(spark: SparkSession, path: str, *keys: str) -> list[tuple[st
     return sorted(found)
 
 
-def file_times(spark: SparkSession, path: str, *keys: str) -> dict[tuple[str, ...], tuple[int, int]]:
-    """When the oldest and the newest data file of every partition was written."""
+def list_files(spark: SparkSession, path: str, *keys: str) -> list[tuple]:
+    """(path, size, time of writing, *partition values) of every data file below ``path``."""
     pattern = "/".join([path.rstrip("/"), *[f"{k}=*" for k in keys], "[!_.]*"])
-    found: dict[tuple[str, ...], tuple[int, int]] = {}
+    found = []
     for status in _matches(spark, pattern):
         parts = status.getPath().getParent().toString().split("/")[-len(keys):]
-        slot, time = tuple(unquote(p.split("=", 1)[1]) for p in parts), status.getModificationTime()
-        old, new = found.get(slot, (time, time))
-        found[slot] = (min(old, time), max(new, time))
-    return found
+        values = (unquote(p.split("=", 1)[1]) for p in parts)
+        found.append((status.getPath().toString(), status.getLen(), status.getModificationTime(), *values))
+    return sorted(found)
 
 
 def committed(spark: SparkSession, path: str, key: str) -> list[str]:

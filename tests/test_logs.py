@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from surgelens.functions import scalars as X
 from surgelens.operators import hotspots, slices, windows
-from surgelens.sources import logs
-from surgelens.sources.convert import convert_day, convert_new, expired_days, expired_partitions, write_partitioned
+from surgelens.sources import convert, logs
+from surgelens.sources.convert import (
+    convert_day, convert_new, converted_files, expired_days, expired_partitions, write_partitioned,
+)
 from surgelens.sources.schemas import VPC, WAF
 from surgelens.sources.sqljob import fill_places, run_sql, run_sql_file
-from surgelens.sources.storage import list_partitions
+from surgelens.sources.storage import list_files, list_partitions
 from surgelens.sources.tables import create_database, register_external
 
 AS_OF = dt.datetime(2023, 10, 27, 0, 5, tzinfo=dt.timezone.utc)
@@ -160,6 +162,56 @@ def test_a_late_file_has_its_hour_converted_again(spark, waf, fresh):
     assert logs.read_waf(spark, out, "parquet").count() == rows.count() + 1
 
 
+@pytest.mark.parametrize("seen_by_the_scan", [True, False])
+def test_a_file_that_lands_during_a_run_is_converted_once(spark, waf, fresh, seen_by_the_scan):
+    source, out = fresh("during"), fresh("during-parquet")
+    rows = logs.read_waf(spark, waf)
+    write_partitioned(rows, source, fmt="json")
+    late = rows.where("hr = '23'").limit(1)
+
+    def read(spark, path):
+        if seen_by_the_scan:
+            write_partitioned(late, source, fmt="json")
+            return logs.read_waf(spark, path)
+        before = logs.read_waf(spark, path)
+        before.count()
+        write_partitioned(late, source, fmt="json")
+        return before
+
+    assert convert_new(spark, read, source, out) == 3
+    assert logs.read_waf(spark, out, "parquet").count() == rows.count() + seen_by_the_scan
+    assert convert_new(spark, logs.read_waf, source, out) == 1
+    assert logs.read_waf(spark, out, "parquet").count() == rows.count() + 1
+    assert convert_new(spark, logs.read_waf, source, out) == 0
+    assert converted_files(spark, out).where("hr = '23'").count() >= 2
+
+
+def test_a_run_that_is_lost_before_its_manifest_is_done_again(spark, waf, fresh, monkeypatch):
+    source, out = fresh("lost"), fresh("lost-parquet")
+    rows = logs.read_waf(spark, waf)
+    write_partitioned(rows, source, fmt="json")
+    with monkeypatch.context() as patched:
+        patched.setattr(convert, "_record", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            convert_new(spark, logs.read_waf, source, out)
+    assert convert_new(spark, logs.read_waf, source, out) == 3
+    assert logs.read_waf(spark, out, "parquet").count() == rows.count()
+
+
+def test_an_hour_whose_files_are_gone_is_not_rewritten(spark, waf, fresh):
+    source, out = fresh("gone"), fresh("gone-parquet")
+    rows = logs.read_waf(spark, waf)
+    write_partitioned(rows, source, fmt="json")
+    convert_new(spark, logs.read_waf, source, out)
+    first = [f for f, *_, hr in list_files(spark, source, "dt", "hr") if hr == "23"][0]
+    local = first.removeprefix("file:")
+    os.rename(local, os.path.join(os.path.dirname(local), "_archived"))
+    write_partitioned(rows.where("hr = '23'").limit(1), source, fmt="json")
+    with pytest.raises(RuntimeError, match="gone"):
+        convert_new(spark, logs.read_waf, source, out)
+    assert logs.read_waf(spark, out, "parquet").count() == rows.count()
+
+
 def test_conversion(spark, waf, fresh):
     out = fresh("parquet")
     assert convert_day(spark, logs.read_waf, waf, out, "2023-10-26") == 2
