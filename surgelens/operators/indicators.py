@@ -1,19 +1,23 @@
 """Matching records against indicator sets.
 
 Every kind of indicator adds at most one rule to a row, and none of them
-shuffles the rows: short lists become literals, long ones broadcast joins while
-their size stays inside the bound, and plain equi-joins beyond it.
+shuffles the rows: short lists become literals, long ones broadcast joins (or, for
+networks, a flat index) while their size stays inside the bound, and plain
+equi-joins beyond it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from surgelens import session
 from surgelens.functions.addresses import hex_number, high_bits, ipv4_number, ipv6_hex, let
+from surgelens.functions.networks import NetworkIndex
 from surgelens.operators.hotspots import REQUESTS, WAF
 from surgelens.session import broadcast_within, written
 from surgelens.sources.indicators import Indicators, Network
@@ -248,37 +252,61 @@ def _of_version(found: Indicators, version: int) -> list[Network]:
     return [n for n in found.networks if n.version == version]
 
 
+def _indexed(networks: Sequence[Network], version: int) -> Callable[[Column], Column] | None:
+    """The rule of an address by one look-up in a flat index, which goes to the tasks
+    with the function; None if the index is larger than may be sent."""
+    index = NetworkIndex(networks, version)
+    if index.nbytes() > session.BROADCAST_BYTES:
+        return None
+
+    @F.pandas_udf("string")
+    def rule(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([None if x is None else f"{CIDR}:{x}" for x in index.find(texts.tolist())], dtype="object")
+
+    return rule
+
+
 def _version_rule(ip: Column, networks: Sequence[Network], version: int) -> Column:
     return let(_address(ip, version), lambda a: _first_network(a, networks, version))
 
 
 def _network_rule(ip: Column, found: Indicators) -> Column:
-    by_version = ((v, _of_version(found, v)) for v in (4, 6))
-    rules = [_version_rule(ip, networks, v) for v, networks in by_version if networks]
-    return F.coalesce(*rules) if rules else F.lit(None).cast("string")
+    networks = _of_version(found, 4)
+    return _version_rule(ip, networks, 4) if networks else F.lit(None).cast("string")
 
 
 def match_cidr(df: DataFrame, column: str, found: Indicators) -> DataFrame:
     """First network, in configuration order, that holds the address.
 
-    A short list is compared in place. In a long one, each distinct prefix
-    length is one hash lookup on the leading bits; two different networks of
-    one length never overlap, so no row is multiplied.
+    A short list of version 4 is compared in place. Any other list is a flat index
+    that each batch of addresses is looked up in, without moving a row. One that
+    is too large to send is joined: each distinct prefix length is one look-up on
+    the leading bits, and as two different networks of one length never overlap,
+    no row is multiplied.
     """
-    if len(found.networks) <= NETWORK_LITERALS:
-        return df.withColumn("cidr_rule", _network_rule(F.col(column), found))
-    rules = []
+    short, rules = len(found.networks) <= NETWORK_LITERALS, []
     for version in (4, 6):
         networks = _of_version(found, version)
-        if networks:
-            rules.append(f"_rule{version}")
+        if not networks:
+            continue
+        rules.append(f"_rule{version}")
+        if short and version == 4:
+            df = df.withColumn(rules[-1], _version_rule(F.col(column), networks, version))
+        elif look_up := _indexed(networks, version):
+            # Texts of the other version aren't sent to Python.
+            mark = F.lit(":" if version == 6 else ".")
+            df = df.withColumn(rules[-1], look_up(F.when(F.contains(F.col(column), mark), F.col(column))))
+        else:
             df = _match_version(df, column, networks, version, rules[-1])
-    return df.withColumn("cidr_rule", F.coalesce(*rules)).drop(*rules)
+    rule = F.coalesce(*rules) if rules else F.lit(None).cast("string")
+    return df.withColumn("cidr_rule", rule).drop(*rules)
 
 
 def _is_short(found: Indicators) -> bool:
     lists = (found.countries, found.user_agents, found.uris)
-    return len(found.networks) <= NETWORK_LITERALS and all(len(x) <= LITERALS for x in lists)
+    few = len(found.networks) <= NETWORK_LITERALS and not _of_version(found, 6)
+    return few and all(len(x) <= LITERALS for x in lists)
 
 
 def _all_rules(r: Column, found: Indicators) -> Column:

@@ -218,3 +218,29 @@ def test_open_minute(spark):
 def test_bad_parameters(bad):
     with pytest.raises(ValueError):
         DetectionParams(**bad)
+
+
+def test_saved_counts_are_opened_for_missing_series_only(spark, fresh, monkeypatch):
+    from surgelens.plans import detection
+    from surgelens.sources.baselines import BaselineStore, keyed_rows
+
+    as_of = dt.datetime(2023, 10, 26, 11, 0)
+    params = BASE.with_(max_age_days=1)
+    rows = frame(spark, [10, 12, 11], key="a").union(frame(spark, [20, 22, 21], key="b"))
+    root = fresh("history")
+    rows.write.parquet(root + "/run_id=20231026T103000")
+    store = BaselineStore(spark, root + "-store")
+    store.append(train_baselines(rows, params), "r1")
+    counts = to_points(rows)
+    asked = []
+    original = detection.saved_counts
+    monkeypatch.setattr(detection, "saved_counts", lambda *a: asked.append(a) or original(*a))
+    recent = keyed_rows(store.history()).withColumn("last_updated", F.lit(as_of.isoformat()).cast("timestamp"))
+    assert detection.refreshed(recent, counts, root, as_of, params).count() == 2 and not asked
+    some = recent.where("series.key = 'a'")
+    got = detection.refreshed(some, counts, root, as_of, params).select("series.key", "run_id", "mean").collect()
+    assert sorted((r["key"], r["run_id"]) for r in got) == [("a", "r1"), ("b", None)] and len(asked) == 1
+    want = {r["key"]: r["mean"] for r in train_baselines(rows, params).collect()}
+    assert next(r["mean"] for r in got if r["key"] == "b") == pytest.approx(want["b"])
+    nothing = detection.refreshed(some, counts, root + "-none", as_of, params)
+    assert nothing.count() == 1

@@ -267,3 +267,55 @@ def test_asn_lookup_keeps_rows_in_place(spark, monkeypatch):
 def test_bad_asn_raises():
     with pytest.raises(ValueError):
         Indicators.from_config({"asn": ["12345"]})
+
+
+def mixed_networks(n, seed):
+    rnd, out = random.Random(seed), []
+    for order in range(n):
+        version = rnd.choice([4, 4, 6])
+        bits = 32 if version == 4 else 128
+        prefix = rnd.choice([0, 3, 8, 9, 13, 16, 17, 20, 24, 27, 31, 32] if version == 4 else [0, 7, 32, 40, 44, 48, 63, 64, 65, 96, 127, 128])
+        number = rnd.choice([10 << 24, 172 << 24]) + rnd.getrandbits(18) if version == 4 else (0x20010DB8 << 96) + (rnd.getrandbits(30) << rnd.choice([0, 40, 70]))
+        net = ipaddress.ip_network((number >> (bits - prefix) << (bits - prefix), prefix))
+        out.append(str(net))
+    return out
+
+
+def test_flat_index_matches_brute_force(spark):
+    texts = mixed_networks(300, 1)
+    rnd = random.Random(2)
+    rows = []
+    for t in texts:
+        net = ipaddress.ip_network(t)
+        for _ in range(3):
+            rows.append(str(net[rnd.randrange(min(net.num_addresses, 1 << 60))]))
+        rows += [str(net[-1]), str(net[0])]
+        if int(net[0]):
+            rows.append(str(net[0] - 1))
+    rows += ["", None, "x", "1.2.3", "::ffff:10.0.0.1", "2001:DB8::1%eth0", "2001:db8::1%", "2001:db8::1%a%b", "10.0.0.01", " 10.0.0.1", "10.0.0.1 "]
+    nets = [ipaddress.ip_network(t) for t in texts]
+
+    def first(text):
+        try:
+            ip = ipaddress.ip_address(text or "")
+        except ValueError:
+            return None
+        return next((f"CIDR:{n}" for n in nets if n.version == ip.version and ip in n), None)
+
+    df = spark.createDataFrame(list(enumerate(rows)), "id int, ip string")
+    for config in (texts, texts[:20]):
+        nets = [ipaddress.ip_network(t) for t in config]
+        got = {r["id"]: r["cidr_rule"] for r in indicators.match_cidr(df, "ip", Indicators.from_config({"cidrs": config})).collect()}
+        assert got == {i: first(t) for i, t in enumerate(rows)}
+
+
+def test_flat_index_and_joins_agree_on_many_networks(spark, monkeypatch):
+    found = Indicators.from_config({"cidrs": list(dict.fromkeys(mixed_networks(100_000, 3)))})
+    ids = spark.range(3000)
+    four = ids.selectExpr("concat('10.', id % 4, '.', id % 251, '.', id % 17) AS ip")
+    six = ids.selectExpr("concat('2001:db8::', hex(id * 7919 % 65536), ':', hex(id)) AS ip")
+    df = four.union(six)
+    flat = sorted(map(str, indicators.match_cidr(df, "ip", found).collect()))
+    monkeypatch.setattr("surgelens.session.BROADCAST_BYTES", 1000)
+    assert sorted(map(str, indicators.match_cidr(df, "ip", found).collect())) == flat
+    assert sum("CIDR" in x for x in flat) > 3000
