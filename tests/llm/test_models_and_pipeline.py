@@ -187,15 +187,83 @@ def test_held_out_languages(spark):
     assert right[True] > 0.98 and right[False] > 0.98
 
 
-def test_filter_returns_at_least_the_languages_that_hold_a_gram():
-    grams = np.random.default_rng(0).integers(0, 2**63, 5000).astype(np.uint64)
-    table = np.zeros((2, langbits.SLOTS), np.uint64)
-    for own in langbits.slots(grams[:2000]):
-        table[0, own] |= np.uint64(1)
-        table[1, own] |= np.uint64(1 << 5)
-    model = langbits.Filter([f"l{i:02}" for i in range(70)], [1] * 70, table)
-    assert model.hits(grams[:2000])[[0, 69]].tolist() == [2000, 2000]
-    assert model.hits(grams[2000:])[0] < 30 and model.hits(grams)[1] == 0
+def learned_sets(rows):
+    """(language, n-gram): rate, by hand."""
+    counts, totals = Counter(), Counter()
+    for lang, text in rows:
+        if lang is not None and text is not None:
+            grams = langbits.ngrams(text)[0].tolist()
+            counts.update((lang, g) for g in grams)
+            totals[lang] += len(grams)
+    return {k: n / totals[k[0]] for k, n in counts.items()}, {k: n for k, n in totals.items() if n}
+
+
+def brute_verdict(text, rates, totals):
+    """The decision from exact sets: what the filter gives but for chance hits."""
+    grams, lettered = langbits.ngrams(text) if text else (None, False)
+    if not lettered or not totals:
+        return None
+    found = {}
+    for lang in sorted(totals):
+        found[lang] = sum(sum(rates[lang, g] >= band for band in langbits.BANDS) for g in grams.tolist() if (lang, g) in rates)
+    return found
+
+
+@pytest.mark.parametrize("table_bytes", [1 << 26, 20_000])
+def test_answers_match_exact_sets(spark, odd, monkeypatch, table_bytes):
+    """In one part and in several, popcounts are those of exact sets but for chance."""
+    monkeypatch.setattr(langbits, "TABLE_BYTES", table_bytes)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    rows = [(r.lang, r.text) for r in docs.collect()]
+    model = langbits.learn(docs)
+    assert (model.n_parts > 1) == (table_bytes == 20_000)
+    rates, totals = learned_sets(rows)
+    assert (model.langs, model.weights) == (sorted(totals), [totals[k] for k in sorted(totals)])
+    got = {r.doc_id: r for r in langbits.predict(docs, model).collect()}
+    for r in docs.collect():
+        want = brute_verdict(r.text, rates, totals)
+        if want is None:
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            continue
+        best, other = sorted(want.values(), reverse=True)[:2]
+        assert got[r.doc_id].score == pytest.approx(best / sum(want.values()), abs=0.12)
+        if best > 1.2 * other + 5:
+            assert want[got[r.doc_id].lang_pred] == best
+    assert langbits.predict(odd, model).count() == odd.count()
+
+
+def test_filter_returns_all_languages_that_hold_a_gram(spark):
+    """Seventy languages, each with its own n-grams and some that all share."""
+    rows = [(f"l{k:02}", g, 1 + g % 3) for k in range(70) for g in [*range(1000 * k, 1000 * k + 60), *range(500_000, 500_030)]]
+    model = langbits.from_counts(spark.createDataFrame(rows, "lang string, gram long, n long"))
+    part, n = model.part(0), len(langbits.BANDS)
+    shared = part.hits(np.arange(500_000, 500_030, dtype=np.uint64)).reshape(70, n)
+    assert (shared[:, -1] == 30).all() and model.n_words == 5
+    for k in (0, 15, 16, 69):
+        own = part.hits(np.arange(1000 * k, 1000 * k + 60, dtype=np.uint64)).reshape(70, n)
+        assert own[k, -1] == 60 and np.delete(own[:, -1], k).max() < 10
+
+
+def test_fill_is_bounded_whatever_is_learned(spark):
+    """A language with five million n-grams beside one of two short texts."""
+    big = spark.range(5_000_000).selectExpr("'big' AS lang", "xxhash64(id) AS gram", "1L AS n")
+    small = langbits.ngrams("kleine sprache mit zwei texten, sehr kurz")[0].view(np.int64)
+    few = spark.createDataFrame([("few", int(g), 1) for g in set(small.tolist())], "lang string, gram long, n long")
+    model = langbits.from_counts(big.union(few))
+    part = model.part(0)
+    assert model.n_parts == 1 and part.fill.max() <= langbits.FILL
+    assert model.verdict(part.counted(small.view(np.uint64)))[0] == "few"
+    ids = [r[0] for r in big.select("gram").limit(400).collect()]
+    assert model.verdict(part.counted(np.array(ids, np.int64).view(np.uint64)))[0] == "big"
+    assert langbits.slots_for(0) == 4096 and langbits.slots_for(10**7) == 1 << 27
+
+
+def test_a_language_of_two_documents_is_found(spark):
+    rows = [(i, "the quick brown fox jumps over the lazy dog and runs away from there", "en") for i in range(200)]
+    rows += [(900, "zwei kurze texte einer kleinen sprache", "xx"), (901, "noch ein kurzer text in dieser sprache", "xx")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in langbits.predict(docs, langbits.learn(docs)).collect()}
+    assert got[900] == got[901] == "xx" and got[0] == "en"
 
 
 def test_grams():
