@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from surgelens import session
 from surgelens.functions.addresses import hex_number, high_bits, ipv4_number, ipv6_hex, let
 from surgelens.functions.networks import NetworkIndex
+from surgelens.functions.patterns import PatternIndex
 from surgelens.operators.hotspots import REQUESTS, WAF
 from surgelens.session import broadcast_within, written
 from surgelens.sources.indicators import Indicators, Network
@@ -25,6 +26,8 @@ from surgelens.sources.indicators import Indicators, Network
 # Lists up to this long are tested as literals instead of joined.
 LITERALS = 200
 NETWORK_LITERALS = 64
+# Patterns up to this many are tried one after the other on every text.
+PATTERNS = 64
 # More distinct prefix lengths than this are widened to whole bytes.
 PREFIX_LENGTHS = 8
 # Parts that a value's rows are spread over where a list is too long to broadcast.
@@ -96,6 +99,28 @@ def match_uri_table(df: DataFrame, column: str, listed: DataFrame) -> DataFrame:
     return _match_listed(df, column, distinct, size, URI_EXACT, "uri_rule")
 
 
+def _many_patterns(df: DataFrame, column: str, patterns: Sequence[str], label: str, out: str) -> DataFrame:
+    """First pattern, in order, found anywhere, for long lists: an index of the literals
+    that patterns require names the few to try on a text, and only those are tried."""
+    index = PatternIndex(patterns)
+
+    @F.pandas_udf("array<string>")
+    def likely(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([index.candidates(t) if t else [] for t in texts.tolist()], dtype="object")
+
+    c = F.col(column)
+    found = F.filter("_likely", lambda p: F.rlike(c, F.concat(F.lit("(?idU)"), p)))
+    rule = F.concat(F.lit(label + ":"), F.get(found, F.lit(0)))
+    return df.withColumn("_likely", likely(c)).withColumn(out, rule).drop("_likely")
+
+
+def _match_patterns(df: DataFrame, column: str, patterns: Sequence[str], label: str, out: str) -> DataFrame:
+    if len(patterns) > PATTERNS:
+        return _many_patterns(df, column, patterns, label, out)
+    return df.withColumn(out, _pattern_rule(F.col(column), patterns, label))
+
+
 def _pattern_rule(c: Column, patterns: Sequence[str], label: str) -> Column:
     """First pattern, in order, found anywhere; later ones are not evaluated."""
     # Case-insensitive over all of Unicode, with newline as the only line end.
@@ -109,12 +134,12 @@ def match_country(df: DataFrame, column: str, found: Indicators) -> DataFrame:
 
 def match_user_agent(df: DataFrame, column: str, found: Indicators) -> DataFrame:
     exact = _match_exact(df, column, found.user_agents, UA_EXACT, "ua_rule")
-    return exact.withColumn("ua_regex_rule", _pattern_rule(F.col(column), found.user_agent_patterns, UA_REGEX))
+    return _match_patterns(exact, column, found.user_agent_patterns, UA_REGEX, "ua_regex_rule")
 
 
 def match_uri(df: DataFrame, column: str, found: Indicators) -> DataFrame:
     exact = _match_exact(df, column, found.uris, URI_EXACT, "uri_rule")
-    return exact.withColumn("uri_regex_rule", _pattern_rule(F.col(column), found.uri_patterns, URI_REGEX))
+    return _match_patterns(exact, column, found.uri_patterns, URI_REGEX, "uri_regex_rule")
 
 
 def match_asn(df: DataFrame, column: str, found: Indicators) -> DataFrame:
@@ -306,6 +331,7 @@ def match_cidr(df: DataFrame, column: str, found: Indicators) -> DataFrame:
 def _is_short(found: Indicators) -> bool:
     lists = (found.countries, found.user_agents, found.uris)
     few = len(found.networks) <= NETWORK_LITERALS and not _of_version(found, 6)
+    few = few and max(len(found.user_agent_patterns), len(found.uri_patterns)) <= PATTERNS
     return few and all(len(x) <= LITERALS for x in lists)
 
 

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from surgelens.functions import patterns as P
 from surgelens.functions.addresses import ipv4_number, ipv6_hex
 from surgelens.operators import indicators
 from surgelens.sources.indicators import Indicators, load_indicators
@@ -319,3 +320,66 @@ def test_flat_index_and_joins_agree_on_many_networks(spark, monkeypatch):
     monkeypatch.setattr("surgelens.session.BROADCAST_BYTES", 1000)
     assert sorted(map(str, indicators.match_cidr(df, "ip", found).collect())) == flat
     assert sum("CIDR" in x for x in flat) > 3000
+
+
+@pytest.mark.parametrize(
+    "pattern,literal",
+    [
+        ("/etc/passwd", ["/etc/passwd"]),
+        ("(?i)UNION.*SELECT", ["select"]),
+        ("a(bcd)?efgh", ["efgh"]),
+        ("(?:foo|barbaz)q", ["foo", "barbaz"]),
+        ("(?:foo|)quiz", ["quiz"]),
+        ("(login)+x", ["login"]),
+        ("[ab]cde$", ["cde"]),
+        ("^adm\\bin", ["admin"]),
+        ("x{0,3}yz", ["yz"]),
+        (".*", []),
+        ("(?!secret)abc", ["abc"]),
+        ("(?x) a b c d", []),
+        ("é{2}naïve", ["na"]),
+    ],
+)
+def test_required_literals(pattern, literal):
+    assert P.required_literals(pattern) == literal
+
+
+def test_thousands_of_patterns_match_the_ordered_scan(spark):
+    import re
+
+    rnd = random.Random(8)
+    words = [f"{a}{b}{rnd.randint(0, 99)}" for a in ("admin", "shell", "scan", "probe", "etc", "bak") for b in ("er", "-x", "/p", "_", "Q", "zz")]
+    shapes = ["{}", "(?i){}", "^/{}", "{}.*{}", "(?:{}|{})end", "[a-f]{}", "{}?x", "({})+/", "{}\\\\d{{2}}$"]
+    patterns = []
+    for i in range(5000):
+        shape = rnd.choice(shapes)
+        patterns.append(shape.format(*[f"{rnd.choice(words)}{i % 700}" for _ in range(shape.count("{}"))]))
+    patterns = list(dict.fromkeys(patterns + ["x[0-9]y", "q"]))
+    texts = []
+    for _ in range(500):
+        seed = re.sub(r"[\\^$?*+(){}\[\]|]|\(\?i\)|\\d", rnd.choice(["", "x", "12"]), rnd.choice(patterns))
+        texts.append(rnd.choice(["/", "", "b", "pre "]) + (seed.upper() if rnd.random() < 0.4 else seed) + rnd.choice(["", "end", "/", "77"]))
+    texts += ["", None, "nothing here", "b\u0130N" + words[0], "\u212aelvin"]
+    compiled = [re.compile(p, re.I) for p in patterns]
+
+    def first(text):
+        return next((f"URI_Regex:{p}" for p, c in zip(patterns, compiled) if text and c.search(text)), None)
+
+    found = Indicators.from_config({"regex": {"uri": patterns}})
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, uri string")
+    got = {r["id"]: r["uri_regex_rule"] for r in indicators.match_uri(df, "uri", found).collect()}
+    assert got == {i: first(t) for i, t in enumerate(texts)} and sum(x is not None for x in got.values()) > 100
+    index = P.PatternIndex(patterns)
+    tried = [len(index.candidates(t)) for t in texts if t]
+    assert sum(tried) / len(tried) < 40, "most patterns are ruled out"
+
+
+def test_few_and_many_patterns_agree(spark, monkeypatch):
+    found = Indicators.from_config({"regex": {"uri": ["/etc/passwd", "(?i)UNION.*SELECT", "k\u0131t", "."], "ua": ["bot"]}})
+    rows = ["/ETC/passwd", "/x?union all select", "\u212a\u0130T", "K\u0131t", "", None, "\n", "ſelect union select", "unionſelect"]
+    df = spark.createDataFrame([(r,) for r in rows], "uri string")
+    few = indicators.match_uri(df, "uri", found).collect()
+    monkeypatch.setattr(indicators, "PATTERNS", 0)
+    assert indicators.match_uri(df, "uri", found).collect() == few
+    rules = indicators.match_all(df, found, ip="uri", country="uri", user_agent="uri", uri="uri")
+    assert [r["rules"] for r in rules.collect()] == [[r["uri_regex_rule"]] if r["uri_regex_rule"] else [] for r in few]
