@@ -55,6 +55,17 @@ def advance(s: str, x: str, alpha: float) -> str:
     )
 
 
+def silent(s: str, k: str, alpha: float) -> str:
+    """State after ``k`` more points of 0, in closed form."""
+    left = f"pow({double(1.0 - alpha)}, {k})"
+    return _state(
+        f"{s}.n + {k}",
+        f"{left} * {s}.mean",
+        f"{left} * {s}.c + {left} * (1D - {left}) * {s}.mean * {s}.mean",
+        f"{left} * {left} * {s}.q + {double(alpha / (2.0 - alpha))} * (1D - {left} * {left})",
+    )
+
+
 def state_std(s: str) -> str:
     """Deviation of a state; NULL while fewer than two points were seen."""
     return f"CASE WHEN {s}.n >= 2 AND {s}.q < 1D THEN sqrt({s}.c / (1D - {s}.q)) END"
@@ -76,12 +87,34 @@ def extend_block(b: str, x: str, alpha: float) -> str:
         'q', {double((1.0 - alpha) ** 2)} * {b}.q + {double(alpha * alpha)})"""
 
 
-def block_summary(points: str, alpha: float) -> str:
+def silent_block(b: str, k: str, alpha: float) -> str:
+    """A block's summary after ``k`` more points of 0."""
+    left = f"pow({double(1.0 - alpha)}, {k})"
+    w = f"({left} * {b}.w + 1D - {left})"
+    share = f"{left} * {b}.w / greatest({w}, 1e-300D)"
+    return f"""named_struct(
+        'n', {b}.n + {k},
+        'w', {w},
+        'mean', {share} * {b}.mean,
+        'c', {left} * {b}.c + {share} * (1D - {left}) * {b}.mean * {b}.mean,
+        'q', {left} * {left} * {b}.q + {double(alpha / (2.0 - alpha))} * (1D - {left} * {left}))"""
+
+
+def after_gap(b: str, p: str, alpha: float, gaps: bool) -> str:
+    """A block's summary after point ``p`` and, with ``gaps``, the zeros before it."""
+    if not gaps:
+        return extend_block(b, f"{p}.value", alpha)
+    inner = silent_block(b, f"{p}.gap", alpha)
+    return f"aggregate(array({inner}), {EMPTY_BLOCK}, (none, g) -> {extend_block('g', f'{p}.value', alpha)})"
+
+
+def block_summary(points: str, alpha: float, gaps: bool = False) -> str:
     """Summary of consecutive points, independent of everything before them.
 
-    Points are structs with a ``value``; they are read in place.
+    Points are structs with a ``value`` and, with ``gaps``, a ``gap``: how many
+    points of 0 come before it. They are read in place.
     """
-    return f"aggregate({points}, {EMPTY_BLOCK}, (b, p) -> {extend_block('b', 'p.value', alpha)})"
+    return f"aggregate({points}, {EMPTY_BLOCK}, (b, p) -> {after_gap('b', 'p', alpha, gaps)})"
 
 
 def apply_block(s: str, block: str, alpha: float) -> str:
@@ -105,9 +138,13 @@ def final_state(points: str, alpha: float, start: str) -> str:
     return f"aggregate({points}, {start}, (s, p) -> {advance('s', 'p.value', alpha)})"
 
 
-def all_states(points: str, alpha: float, start: str) -> str:
+def all_states(points: str, alpha: float, start: str, gaps: bool = False) -> str:
     """``start`` followed by the state after each point: one more than points."""
-    grown = advance("element_at(acc, -1)", "p.value", alpha)
+    last = "element_at(acc, -1)"
+    grown = advance(last, "p.value", alpha)
+    if gaps:
+        inner = silent(last, "p.gap", alpha)
+        grown = f"aggregate(array({inner}), {start}, (none, s) -> {advance('s', 'p.value', alpha)})"
     one_chunk = f"aggregate(chunk, array(element_at(done, -1)), (acc, p) -> concat(acc, array({grown})))"
     chunks = f"""transform(
         sequence(0, greatest(CAST(ceil(size({points}) / {CHUNK}) AS INT) - 1, 0)),

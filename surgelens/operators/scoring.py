@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surgelens.functions import smoothing as S
-from surgelens.operators.series import by_series, point_states, series_tails, to_points
+from surgelens.operators.series import by_series, point_states, series_tails, to_points, with_silence
 from surgelens.params import DetectionParams
 from surgelens.sources.baselines import KEYS, newest_by_series
 
@@ -34,7 +34,7 @@ def train_baselines(points: DataFrame, params: DetectionParams, as_of: dt.dateti
         end = F.lit(moment.isoformat()).cast("timestamp")
         first = F.lit((moment - dt.timedelta(days=params.train_days)).isoformat()).cast("timestamp")
         points = points.where((F.col("minute") >= first) & (F.col("minute") <= end))
-    tails = series_tails(points, params.alpha, params.block_minutes, carried=())
+    tails = series_tails(points, params.alpha, params.block_minutes, carried=(), silent_step=params.silent_step)
     return _as_baselines(tails, F.col("post.mean"), F.expr(f"coalesce({S.state_std('post')}, 0D)"))
 
 
@@ -116,7 +116,9 @@ def _flat(rows: DataFrame, mean: Column, std: Column, score: Column) -> DataFram
 def _score_prior(rows: DataFrame, params: DetectionParams) -> DataFrame:
     std = F.expr(S.state_std("prior"))
     enough = F.col("prior.n") >= params.min_count
-    score = F.when(enough, S.zscore(F.col("point.value"), F.col("prior.mean"), std))
+    x, mean = F.col("point.value"), F.col("prior.mean")
+    spread = F.when((std == 0) & (x != mean), F.lit(STD_FLOOR)).otherwise(std) if params.flag_flat else std
+    score = F.when(enough, S.zscore(x, mean, spread))
     return _flat(rows, F.col("prior.mean"), std, score)
 
 
@@ -147,7 +149,7 @@ def score_points(points: DataFrame, params: DetectionParams, baselines: DataFram
     ready = to_points(points)
     if baselines is not None:
         ready = with_stored(ready, baselines, params.alpha)
-    rows = point_states(ready, params.alpha, params.block_minutes)
+    rows = point_states(ready, params.alpha, params.block_minutes, silent_step=params.silent_step)
     return _score_prior(rows, params)
 
 
@@ -157,25 +159,34 @@ def detect_anomalies(
     baselines: DataFrame | None = None,
     top_k: int | None = -1,
     keep: Callable[[DataFrame, str], DataFrame] | None = None,
+    until: dt.datetime | None = None,
 ) -> Detection:
     """Findings, strongest first, and the new baseline of every series seen.
 
     ``top_k`` defaults to the parameter's; None keeps all findings. Both results
     fold the points anew when they are used, unless ``keep`` (a table and a name
     to the table to go on with) writes the fold down for both.
+
+    With ``silence="zero"``, ``until`` is the newest step that is over: series of
+    ``points`` or ``baselines`` without a point there are scored on a 0.
     """
     limit = params.top_k if top_k == -1 else top_k
     ready = to_points(points)
+    if until is not None and params.silence == "zero":
+        moment = until if until.tzinfo else until.replace(tzinfo=dt.timezone.utc)
+        ready = with_silence(ready, F.lit(moment.isoformat()).cast("timestamp"), baselines)
     if baselines is not None:
         ready = with_stored(ready, baselines, params.alpha)
     if keep is not None and params.scope == "all":
-        rows = keep(point_states(ready, params.alpha, params.block_minutes), "states")
+        rows = keep(point_states(ready, params.alpha, params.block_minutes, silent_step=params.silent_step), "states")
         newest = F.max_by(F.struct("point", "post"), "point.minute").alias("newest")
         tails = rows.groupBy(*KEYS).agg(newest).select(*KEYS, "newest.*")
     else:
-        tails = series_tails(ready, params.alpha, params.block_minutes)
+        tails = series_tails(ready, params.alpha, params.block_minutes, silent_step=params.silent_step)
         tails = tails if keep is None else keep(tails, "tails")
-        rows = point_states(ready, params.alpha, params.block_minutes) if params.scope == "all" else tails
+        rows = tails
+        if params.scope == "all":
+            rows = point_states(ready, params.alpha, params.block_minutes, silent_step=params.silent_step)
     if params.mode == "post_update":
         updated = _post_update_columns(tails, params.alpha)
         mean, std = F.col("u_mean"), F.col("u_std")

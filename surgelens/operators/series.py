@@ -92,20 +92,52 @@ def by_series(points: DataFrame) -> DataFrame:
     return dealt.groupBy("series", "minute", *kept).agg(F.sum("value").alias("value"))
 
 
+def with_gaps(points: DataFrame, step_minutes: int) -> DataFrame:
+    """Adds ``gap``: silent steps before each point, since the one before it or the
+    series' saved baseline. Stays inside the partitioning by series."""
+    before = F.lag("minute").over(Window.partitionBy("series").orderBy("minute"))
+    if "stored" in points.columns:
+        before = F.coalesce(before, F.col("stored.last_minute"))
+    away = F.call_function("div", F.unix_seconds("minute") - F.unix_seconds(before), F.lit(step_minutes * 60)) - 1
+    return points.withColumn("gap", F.coalesce(F.greatest(away, F.lit(0).cast("bigint")), F.lit(0).cast("bigint")))
+
+
+def with_silence(points: DataFrame, until: Column, baselines: DataFrame | None = None) -> DataFrame:
+    """Points, and a 0 at ``until`` for every series in them or among ``baselines``:
+    a series that has a point there gets no other sum by it."""
+    source = F.any_value("source_type", True).alias("source_type")
+    known = points.groupBy(*KEYS).agg(source)
+    if baselines is not None:
+        names = "series.*" if "series" in baselines.columns else "*"
+        saved = baselines.select(names).select(*KEYS).distinct().join(known.select(*KEYS), KEYS, "left_anti")
+        known = known.unionByName(saved.withColumn("source_type", F.lit(None).cast("string")))
+    zeros = known.withColumns({"minute": until, "value": F.lit(0.0)})
+    others = [c for c in points.columns if c not in zeros.columns]
+    return points.unionByName(zeros.withColumns({c: F.lit(None).cast(points.schema[c].dataType) for c in others}))
+
+
 FIRST_VALUE = "element_at(points, 1).value"
 LAST_POINT = "element_at(points, -1)"
 BUT_LAST = "slice(points, 1, size(points) - 1)"
 
 
-def to_blocks(points: DataFrame, alpha: float, block_minutes: int, carried: Sequence[str] = KEPT) -> DataFrame:
+def to_blocks(
+    points: DataFrame, alpha: float, block_minutes: int, carried: Sequence[str] = KEPT, silent_step: int | None = None
+) -> DataFrame:
     """One row per series and block: sorted points, their summary (``summary``)
-    and the summary of all but the last (``before``)."""
+    and the summary of all but the last (``before``).
+
+    With ``silent_step`` (minutes) the steps without a point count as 0.
+    """
+    gaps = silent_step is not None
+    if gaps:
+        points, carried = with_gaps(points, silent_step), (*carried, "gap")
     block = F.floor(F.unix_seconds("minute") / F.lit(block_minutes * 60)).alias("block")
     gathered = points.groupBy("series", block).agg(
         F.sort_array(F.collect_list(_point(carried))).alias("points"), *_passed(points)
     )
-    before = gathered.withColumn("before", F.expr(S.block_summary(BUT_LAST, alpha)))
-    return before.withColumn("summary", F.expr(S.extend_block("before", f"{LAST_POINT}.value", alpha)))
+    before = gathered.withColumn("before", F.expr(S.block_summary(BUT_LAST, alpha, gaps)))
+    return before.withColumn("summary", F.expr(S.after_gap("before", LAST_POINT, alpha, gaps)))
 
 
 def _flat_keys(rows: DataFrame) -> DataFrame:
@@ -122,9 +154,10 @@ def series_tails(
     alpha: float,
     block_minutes: int,
     carried: Sequence[str] = KEPT,
+    silent_step: int | None = None,
 ) -> DataFrame:
     """Per series: the newest point, the state before it and the state after it."""
-    blocks = to_blocks(by_series(points), alpha, block_minutes, carried)
+    blocks = to_blocks(by_series(points), alpha, block_minutes, carried, silent_step)
     part = f"struct(block, {FIRST_VALUE} AS head, summary, before, {LAST_POINT} AS newest)"
     chained = blocks.groupBy("series").agg(
         F.sort_array(F.collect_list(F.expr(part))).alias("parts"), *_passed(blocks)
@@ -139,17 +172,21 @@ def series_tails(
             "post": F.expr(S.apply_block("carry", "last.summary", alpha)),
         }
     )
+    if silent_step is not None:
+        states = states.withColumn("prior", F.expr(S.silent("prior", "point.gap", alpha)))
     return _flat_keys(states.drop("parts", "carry", "last"))
 
 
-def _started_blocks(points: DataFrame, alpha: float, block_minutes: int, carried: Sequence[str]) -> DataFrame:
+def _started_blocks(
+    points: DataFrame, alpha: float, block_minutes: int, carried: Sequence[str], silent_step: int | None
+) -> DataFrame:
     """Blocks with the running state at their start, from the earlier summaries.
 
     A block gets the summaries of all blocks before it: five numbers for each
     ``block_points`` minutes, so a year in minutes has 53. Within these bounds the
     list is quadratic in the number of blocks, not in that of points.
     """
-    blocks = to_blocks(by_series(points), alpha, block_minutes, carried)
+    blocks = to_blocks(by_series(points), alpha, block_minutes, carried, silent_step)
     before = Window.partitionBy("series").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.collect_list(F.expr(f"struct({FIRST_VALUE} AS head, summary)")).over(before)
     rows = blocks.withColumn("earlier", earlier)
@@ -162,12 +199,14 @@ def point_states(
     alpha: float,
     block_minutes: int,
     carried: Sequence[str] = KEPT,
+    silent_step: int | None = None,
 ) -> DataFrame:
     """Every point with the state before it (``prior``) and after it (``post``)."""
-    started = _started_blocks(points, alpha, block_minutes, carried)
+    started = _started_blocks(points, alpha, block_minutes, carried, silent_step)
     scored = "transform(points, (p, i) -> struct(p AS point, get(states, i) AS prior, get(states, i + 1) AS post))"
-    states = started.withColumn("states", F.expr(S.all_states("points", alpha, "start")))
-    return states.select("series.*", F.inline(F.expr(scored)))
+    states = started.withColumn("states", F.expr(S.all_states("points", alpha, "start", silent_step is not None)))
+    rows = states.select("series.*", F.inline(F.expr(scored)))
+    return rows if silent_step is None else rows.withColumn("prior", F.expr(S.silent("prior", "point.gap", alpha)))
 
 
 def smoothed(points: DataFrame, alpha: float, block_minutes: int) -> DataFrame:

@@ -6,6 +6,7 @@ from dataclasses import dataclass, replace
 
 MODES = ("prior", "post_update")
 SCOPES = ("last", "all")
+SILENCES = ("skip", "zero")
 
 
 @dataclass(frozen=True)
@@ -44,6 +45,12 @@ class DetectionParams:
     # that are ever gathered into a single row. A point is a minute's sum, so the
     # second holds whatever the number of rows.
     step_minutes: int = 1
+    # Steps without a point: left out, or counted as 0, so that a series that falls
+    # silent decays and is found low.
+    silence: str = "skip"
+    # A deviation of 0 gives a score of 0; with this, any other value is scored
+    # against the least deviation, and so found.
+    flag_flat: bool = False
     block_points: int = 7 * 24 * 60
 
     def __post_init__(self) -> None:
@@ -55,6 +62,8 @@ class DetectionParams:
             raise ValueError(f"mode must be one of {MODES}")
         if self.scope not in SCOPES:
             raise ValueError(f"scope must be one of {SCOPES}")
+        if self.silence not in SILENCES:
+            raise ValueError(f"silence must be one of {SILENCES}")
         if self.mode == "post_update" and self.scope != "last":
             raise ValueError("post_update scores the newest point only")
         for name in ("lookback_minutes", "every_minutes", "train_days", "max_age_days", "top_k", "hotspot_limit", "compact_every", "step_minutes", "block_points"):
@@ -66,5 +75,9 @@ class DetectionParams:
     def block_minutes(self) -> int:
         return self.step_minutes * self.block_points
 
+    @property
+    def silent_step(self) -> int | None:
+        return self.step_minutes if self.silence == "zero" else None
+
     def with_(self, **changes) -> "DetectionParams":
         return replace(self, **changes)

@@ -59,13 +59,14 @@ def detect_and_tag(
     params: DetectionParams,
     indicators: Indicators | None = None,
     baselines: DataFrame | None = None,
+    until: dt.datetime | None = None,
 ) -> Detection:
     """Tagged findings and new baselines of saved counts, which are folded once.
 
     The fold is written down, as both results read it; so are the findings, which
     tagging reads three times. Patterns run over findings only, never over counts.
     """
-    found = detect_anomalies(counts, params, baselines, keep=written)
+    found = detect_anomalies(counts, params, baselines, keep=written, until=until)
     findings = written(found.findings, "untagged")
     return Detection(tag_findings(findings, indicators, counts), found.baselines)
 
@@ -138,10 +139,15 @@ def run_cycle(
     points = f"{points_path.rstrip('/')}/run_id={run_id}"
     cycle_points(waf, vpc, as_of, params, hotspot_limit).write.mode("overwrite").parquet(points)
     counts = to_points(spark.read.parquet(points))
-    stored = of_active_series(store.history(before=run_id), counts)
+    until, stored = None, store.history(before=run_id)
+    if params.silence == "zero":
+        # Also series that this run has no count of are scored, on the newest whole minute.
+        until = as_of.replace(second=0, microsecond=0) - dt.timedelta(minutes=1)
+    else:
+        stored = of_active_series(stored, counts)
     if params.max_age_days is not None:
         stored = refreshed(stored, counts, points_path, as_of, params)
-    found = detect_and_tag(counts, params, indicators, stored)
+    found = detect_and_tag(counts, params, indicators, stored, until)
     write_findings(found.findings, findings_path, run_id)
     store.append(found.baselines, run_id)
     if store.open_runs() >= params.compact_every:

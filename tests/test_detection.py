@@ -244,3 +244,62 @@ def test_saved_counts_are_opened_for_missing_series_only(spark, fresh, monkeypat
     assert next(r["mean"] for r in got if r["key"] == "b") == pytest.approx(want["b"])
     nothing = detection.refreshed(some, counts, root + "-none", as_of, params)
     assert nothing.count() == 1
+
+
+def sparse(seed=5):
+    rng = random.Random(seed)
+    return {m: float(rng.randint(5, 15)) for m in range(60) if rng.random() < 0.6 and not 30 <= m < 45}
+
+
+def at(values, key="1.1.1.1"):
+    return [(f"2023-10-26T10:{m:02d}", key, "/a", v, "request_count") for m, v in values.items()]
+
+
+@pytest.mark.parametrize("block", [4, 10_080])
+def test_silent_minutes_count_as_zero(spark, block):
+    values = sparse()
+    dense = {m: values.get(m, 0.0) for m in range(min(values), max(values) + 1)}
+    params = BASE.with_(scope="all", block_points=block)
+    gapped = score_points(spark.createDataFrame(at(values), POINT), params.with_(silence="zero")).orderBy("minute").collect()
+    full = score_points(spark.createDataFrame(at(dense), POINT), params).where("value > 0").orderBy("minute").collect()
+    assert [g["minute"] for g in gapped] == [f["minute"] for f in full]
+    for g, f in zip(gapped, full):
+        for name in ("score", "baseline_mean", "baseline_std"):
+            assert g[name] == (None if f[name] is None else pytest.approx(f[name], abs=1e-9))
+    a = detect_anomalies(spark.createDataFrame(at(values), POINT), params.with_(silence="zero", scope="last")).baselines.first()
+    b = detect_anomalies(spark.createDataFrame(at(dense), POINT), params.with_(scope="last")).baselines.first()
+    assert all(a[n] == pytest.approx(b[n]) for n in ("mean", "std", "n", "c", "q"))
+
+
+def test_silence_carries_over_runs(spark):
+    values = sparse(6)
+    early, late = {m: v for m, v in values.items() if m < 28}, {m: v for m, v in values.items() if m >= 28}
+    params = BASE.with_(silence="zero", scope="all")
+    saved = detect_anomalies(spark.createDataFrame(at(early), POINT), params).baselines
+    got = score_points(spark.createDataFrame(at(late), POINT), params, saved).orderBy("minute").collect()
+    want = score_points(spark.createDataFrame(at(values), POINT), params).where("minute >= '2023-10-26 10:28:00'").orderBy("minute").collect()
+    assert [g["score"] for g in got] == [pytest.approx(w["score"]) for w in want]
+
+
+def test_a_silent_series_is_found_low(spark):
+    busy = {m: 100.0 + m % 2 for m in range(20)}
+    rows = at({**busy, **{m: 100.0 for m in range(20, 30)}}, "on") + at(busy, "off")
+    params = BASE.with_(silence="zero", scope="last", sigma=3.0)
+    until = dt.datetime(2023, 10, 26, 10, 20)
+    df = spark.createDataFrame([r for r in rows if r[0] <= "2023-10-26T10:20"], POINT)
+    found = detect_anomalies(df, params, until=until).findings.collect()
+    assert [(f["key"], f["value"], f["mode"]) for f in found] == [("off", 0.0, "low")]
+    # Known from a baseline alone, without any point in the run.
+    saved = detect_anomalies(spark.createDataFrame(at(busy, "off"), POINT), params).baselines
+    alone = spark.createDataFrame(at({20: 100.0}, "on"), POINT)
+    found = detect_anomalies(alone, params, saved, until=until)
+    assert [(f["key"], f["mode"]) for f in found.findings.collect()] == [("off", "low")]
+    assert {r["key"] for r in found.baselines.collect()} == {"on", "off"}
+    assert detect_anomalies(df, params.with_(silence="skip"), until=until).findings.count() == 0
+
+
+def test_any_deviation_from_a_flat_series(spark):
+    df = frame(spark, [5, 5, 5, 5, 5.001, 5])
+    assert detect_anomalies(df, BASE.with_(scope="all")).findings.count() == 0
+    found = detect_anomalies(df, BASE.with_(scope="all", flag_flat=True)).findings.collect()
+    assert [f["value"] for f in found] == [5.001] and found[0]["mode"] == "high" and found[0]["baseline_std"] == 0
