@@ -35,6 +35,12 @@ HEADLINE = [
     "ioc_combined",
     "waf_json_scan",
     "alert_rows",
+    "cusum_alarms",
+    "ioc_asn",
+    "ioc_many_patterns",
+    "detect_silent",
+    "saved_cycle",
+    "stream_accounted",
 ]
 
 

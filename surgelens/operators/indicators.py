@@ -424,3 +424,25 @@ def _tag_from_details(findings: DataFrame, found: Indicators | None, details: Da
     # Rule names sort as kinds do: network, country, user agent, URI.
     rules = rows.select(*at, F.explode("ioc_matches").alias("rule")).groupBy(*at)
     return named.join(rules.agg(F.array_sort(F.collect_set("rule")).alias("ioc_matches")), at, "left")
+
+
+def risk(rules: Column, found: Indicators) -> Column:
+    """What the matched rules weigh together: a rule's own weight, else its kind's, else
+    1; 0 without rules."""
+    weight = F.lit(1.0)
+    if found.weights:
+        known = F.create_map(*[F.lit(x) for pair in found.weights for x in pair])
+        weight = lambda r: F.coalesce(F.element_at(known, r), F.element_at(known, F.substring_index(r, ":", 1)), F.lit(1.0))
+        total = F.aggregate(rules, F.lit(0.0), lambda s, r: s + weight(r))
+    else:
+        total = F.size(rules).cast("double")
+    return F.when(rules.isNull(), 0.0).otherwise(total)
+
+
+def ranked_by_risk(tagged: DataFrame, found: Indicators, top_k: int | None = None) -> DataFrame:
+    """Tagged findings with ``risk``, the riskiest first, then the strongest; ``top_k``
+    keeps that many, and only then are they in order."""
+    rows = tagged.withColumn("risk", risk(F.col("ioc_matches"), found))
+    if top_k is None:
+        return rows
+    return rows.orderBy(F.desc("risk"), F.abs("score").desc(), "metric", "key", "subkey", "minute").limit(top_k)

@@ -554,6 +554,40 @@ def detect_resumed(spark: SparkSession, sf: str) -> DataFrame:
     return _found(scoring.detect_anomalies(later, blocks, stored, top_k=None).findings)
 
 
+SILENT = DAILY.with_(silence="zero", scope="all", sigma=2.0, min_count=2, top_k=None)
+DENSE_SQL = f"""SELECT d.metric, d.key, d.subkey, d.minute, coalesce(p.value, 0) AS value,
+      p.value IS NOT NULL OR d.minute = TIMESTAMP '2024-01-30' AS seen
+    FROM (SELECT metric, key, subkey, unnest(generate_series(min(minute), TIMESTAMP '2024-01-30', INTERVAL 1 DAY)) AS minute
+      FROM ({T.DAILY_SQL}) GROUP BY metric, key, subkey) d
+    LEFT JOIN ({T.DAILY_SQL}) p ON p.key = d.key AND p.subkey = d.subkey AND p.minute = d.minute"""
+
+
+@query(
+    "detect_silent",
+    f"""{folded_sql(DENSE_SQL, extra="seen")}, scored AS (
+      SELECT *, pm AS baseline_mean, pstd AS baseline_std,
+        CASE WHEN rn > 2 THEN CASE WHEN pstd = 0 THEN 0 ELSE (value - pm) / pstd END END AS score FROM s)
+    SELECT {FOUND_COLUMNS} FROM (SELECT *, CASE WHEN score > 0 THEN 'high' ELSE 'low' END AS mode FROM scored) WHERE seen AND abs(score) > 2.0""",
+)
+def detect_silent(spark: SparkSession, sf: str) -> DataFrame:
+    """Days without events count as 0, and the last day of every user and type is scored."""
+    last = dt.datetime(2024, 1, 30, tzinfo=dt.timezone.utc)
+    return _found(scoring.detect_anomalies(T.daily_by_user(spark, sf), SILENT, until=last).findings)
+
+
+@query(
+    "detect_flat",
+    f"""{folded_sql(T.DAILY_SQL)}, scored AS (
+      SELECT *, pm AS baseline_mean, pstd AS baseline_std,
+        CASE WHEN rn > 2 THEN CASE WHEN pstd = 0 THEN (value - pm) / 1e-6 ELSE (value - pm) / pstd END END AS score FROM s)
+    SELECT {FOUND_COLUMNS} FROM (SELECT *, CASE WHEN score > 0 THEN 'high' ELSE 'low' END AS mode FROM scored) WHERE abs(score) > 3.0""",
+)
+def detect_flat(spark: SparkSession, sf: str) -> DataFrame:
+    """Any deviation from a series that was the same on all days before."""
+    params = DAILY.with_(flag_flat=True, scope="all", min_count=2, top_k=None)
+    return _found(scoring.detect_anomalies(T.daily_by_user(spark, sf), params).findings)
+
+
 # Hourly counts of each type against its own mean and deviation; a step is in deviations.
 CHANGES = changes.ChangeParams(drift=0.25, limit=2.0, block_minutes=7 * 24 * 60)
 
@@ -794,6 +828,22 @@ def ioc_cidr_v6(spark: SparkSession, sf: str) -> DataFrame:
     return indicators.match_cidr(rows, "ip", Indicators.from_config({"cidrs": V6_NETS})).drop("ip")
 
 
+# Two thousand page numbers as patterns, few of which a page's address can match.
+PAGE_PATTERNS = [f"/(?:en|fr)/{n}(?:[/?#]|$)" for n in range(0, 2000)] + ["ref=[a-f]$"]
+
+
+@query(
+    "ioc_many_patterns",
+    """SELECT page_id, url, CASE
+      WHEN regexp_matches(url, '/(en|fr)/(0|[1-9][0-9]{0,2}|1[0-9]{3})([/?#]|$)', 'i')
+      THEN 'URI_Regex:/(?:en|fr)/' || regexp_extract(url, '/(en|fr)/(0|[1-9][0-9]{0,2}|1[0-9]{3})([/?#]|$)', 2, 'i') || '(?:[/?#]|$)'
+      WHEN regexp_matches(url, 'ref=[a-f]$', 'i') THEN 'URI_Regex:ref=[a-f]$' END AS uri_regex_rule FROM pages""",
+)
+def ioc_many_patterns(spark: SparkSession, sf: str) -> DataFrame:
+    found = Indicators.from_config({"regex": {"uri": PAGE_PATTERNS}})
+    return indicators.match_uri(T.table(spark, sf, "pages").select("page_id", "url"), "url", found).drop("uri_rule")
+
+
 AS_CONFIG = {"asn": ["AS64515", "AS64580", "AS64600"]}
 AS_RANGES_SQL = """SELECT p_partkey * 20000 AS first, p_partkey * 20000 + 19999 - p_partkey % 7 * 1000 AS last,
     'AS' || (64512 + p_partkey % 97) AS asn FROM part"""
@@ -892,6 +942,30 @@ def detection_cycle(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+WEIGHTS = {"CIDR": 3.0, "Country": 1.0, "Country:KP": 4.0, "UA_Exact": 2.5, "URI_Regex": 0.5}
+WEIGHT_SQL = "CASE WHEN rule = 'Country:KP' THEN 4 " + " ".join(
+    f"WHEN starts_with(rule, '{k}:') THEN {v}" for k, v in WEIGHTS.items() if ":" not in k
+) + " ELSE 1 END"
+
+
+@query(
+    "weighted_findings",
+    f"""{CYCLE_FOLD}{CYCLE_FOUND_SQL}{TAGS_SQL},
+    risks AS (SELECT metric, key, subkey, minute, sum({WEIGHT_SQL}) AS risk FROM (SELECT DISTINCT * FROM hits WHERE rule IS NOT NULL)
+      GROUP BY metric, key, subkey, minute),
+    ranked AS (SELECT found.*, coalesce(risk, 0) AS risk FROM found LEFT JOIN risks USING (metric, key, subkey, minute))
+    SELECT metric, key, subkey, {TEXT_MINUTE}, round(score, 6) AS score, CAST(risk AS DOUBLE) AS risk FROM ranked
+    ORDER BY ranked.risk DESC, abs(ranked.score) DESC, metric, key, subkey, ranked.minute LIMIT 50""",
+)
+def weighted_findings(spark: SparkSession, sf: str) -> DataFrame:
+    """The fifty riskiest findings of a cycle, by what their indicators weigh."""
+    counts = hotspots.union_counts(T.waf_logs(spark, sf), T.vpc_logs(spark, sf), T.AS_OF, T.LOG_MINUTES, None, with_ua=True)
+    found = Indicators.from_config({**LOG_CONFIG, "weights": WEIGHTS})
+    tagged = detect_and_tag(series.to_points(written(counts, "counts")), CYCLE.with_(top_k=None), found).findings
+    ranked = indicators.ranked_by_risk(tagged, found, 50)
+    return ranked.select(*KEYS, when_text("minute"), rounded("score"), "risk")
+
+
 @query(
     "saved_cycle",
     f"""{CYCLE_FOLD}{CYCLE_FOUND_SQL}

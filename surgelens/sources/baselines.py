@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surgelens.sources.schemas import BASELINE
-from surgelens.sources.storage import committed, exists
+from surgelens.sources.storage import committed, exists, remove
 
 KEYS = ["metric", "key", "subkey"]
 FIELDS = [n for n in BASELINE.fieldNames() if n not in KEYS]
@@ -112,12 +112,21 @@ class BaselineStore:
         """Fold all deltas into a new base; returns its id, None if there is none.
 
         A base that covers the newest run stays as it is: it must not be written
-        over while it is read.
+        over while it is read. What the base before this one covers is removed, so
+        listings stay short; runs since that base stay, for a run that is repeated
+        reads the baselines from before itself.
         """
         runs = committed(self.spark, self.delta, "run_id")
         if not runs:
             return None
         if runs[-1] in committed(self.spark, self.base, "run_id"):
             return runs[-1]
+        bases = committed(self.spark, self.base, "run_id")
         self._save(self.load(), self.base, runs[-1])
+        if bases:
+            for old in bases[:-1]:
+                remove(self.spark, f"{self.base}/run_id={old}")
+            for run in runs:
+                if run <= bases[-1]:
+                    remove(self.spark, f"{self.delta}/run_id={run}")
         return runs[-1]

@@ -30,6 +30,8 @@ class Indicators:
     user_agent_patterns: tuple[str, ...] = ()
     uri_patterns: tuple[str, ...] = ()
     asns: tuple[str, ...] = ()
+    # Rule kinds (``CIDR``) or whole rules (``Country:KP``) and what a match counts.
+    weights: tuple[tuple[str, float], ...] = ()
 
     @classmethod
     def from_config(cls, config: Mapping) -> "Indicators":
@@ -48,7 +50,11 @@ class Indicators:
             user_agent_patterns=texts(patterns.get("ua")),
             uri_patterns=texts(patterns.get("uri")),
             asns=texts(config.get("asn")),
+            weights=tuple((str(k), float(v)) for k, v in (config.get("weights") or {}).items()),
         )
+        for name, weight in found.weights:
+            if not 0 <= weight < float("inf"):
+                raise ValueError(f"the weight of {name!r} must be a number from 0 on")
         for asn in found.asns:
             if not re.fullmatch("AS[0-9]{1,10}", asn):
                 raise ValueError(f"not an autonomous system: {asn!r}")

@@ -50,5 +50,5 @@ def run_sql(
 
 
 def run_sql_file(spark: SparkSession, path: str, **bindings) -> DataFrame:
-    with open(path, encoding="utf-8") as f:
-        return run_sql(spark, f.read(), **bindings)
+    """Run a query kept in a file, read through the file system its path belongs to."""
+    return run_sql(spark, spark.read.text(path, wholetext=True).first()["value"], **bindings)

@@ -23,6 +23,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(target))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    target = _path(spark, path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def list_partitions(spark: SparkSession, path: str, *keys: str) -> list[tuple[str, ...]]:
     """Partition values found below ``path`` for the nested ``keys``, sorted."""
     pattern = "/".join([path.rstrip("/"), *[f"{k}=*" for k in keys]])

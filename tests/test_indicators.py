@@ -383,3 +383,16 @@ def test_few_and_many_patterns_agree(spark, monkeypatch):
     assert indicators.match_uri(df, "uri", found).collect() == few
     rules = indicators.match_all(df, found, ip="uri", country="uri", user_agent="uri", uri="uri")
     assert [r["rules"] for r in rules.collect()] == [[r["uri_regex_rule"]] if r["uri_regex_rule"] else [] for r in few]
+
+
+def test_risk_weighs_rules(spark):
+    config = {"country": ["KP", "RU"], "weights": {"Country": 2, "Country:KP": 5.5, "UA_Regex": 0}}
+    found = Indicators.from_config(config)
+    rows = [("a", 4.0, ["Country:KP", "CIDR:x"]), ("b", -9.0, ["Country:RU"]), ("c", 9.5, None), ("d", 3.0, ["UA_Regex:z"]), ("e", 3.5, ["Country:RU"])]
+    df = spark.createDataFrame([(k, s, r, "m", "s", "t") for k, s, r in rows], "key string, score double, ioc_matches array<string>, metric string, subkey string, minute string")
+    got = indicators.ranked_by_risk(df, found, 10).collect()
+    assert [(r["key"], r["risk"]) for r in got] == [("a", 6.5), ("b", 2.0), ("e", 2.0), ("c", 0.0), ("d", 0.0)]
+    plain = {r["key"]: r["risk"] for r in indicators.ranked_by_risk(df, Indicators()).collect()}
+    assert plain == {"a": 2.0, "b": 1.0, "c": 0.0, "d": 1.0, "e": 1.0}
+    with pytest.raises(ValueError):
+        Indicators.from_config({"weights": {"CIDR": -1}})

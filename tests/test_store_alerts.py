@@ -46,6 +46,22 @@ def test_store(spark, fresh):
         store.append(store.load(), "../x")
 
 
+def test_compaction_removes_what_an_older_base_covers(spark, fresh):
+    from surgelens.sources.storage import committed
+
+    store = BaselineStore(spark, fresh("store"))
+    for run in range(1, 10):
+        store.append(baselines(spark, (f"k{run % 4}", "s", float(run), 1.0, "2024-01-01")), f"{run:03d}")
+        if run % 3 == 0:
+            store.compact()
+    assert committed(spark, store.base, "run_id") == ["006", "009"]
+    assert committed(spark, store.delta, "run_id") == ["007", "008", "009"]
+    assert means(store.load()) == {"k0": 8.0, "k1": 9.0, "k2": 6.0, "k3": 7.0}
+    # A run that is repeated still reads what was there before it.
+    assert means(store.load(before="008")) == {"k0": 4.0, "k1": 5.0, "k2": 6.0, "k3": 7.0}
+    assert means(store.load(before="009")) == {"k0": 8.0, "k1": 5.0, "k2": 6.0, "k3": 7.0}
+
+
 def test_only_active_series_are_read_on(spark, fresh):
     store = BaselineStore(spark, fresh("store"))
     store.append(baselines(spark, ("a", "s", 1.0, 1.0, "2024-01-01"), ("b", "s", 2.0, 1.0, "2024-01-01")), "1")
