@@ -14,7 +14,10 @@ entries as there are lengths, not documents.
 Pieces are then numbered within their length, in bounded groups, and take the
 place that the plan gives their number.
 
-Null and empty texts are the end id alone. Repeated rows are packed one by one.
+Null and empty texts are the end id alone. Repeated rows are packed one by one,
+null ids stay null, and texts of any length are cut whole. Which of several pieces
+of one length gets which place is left open. An empty table gives no rows; other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -160,12 +163,42 @@ def fillings(state: _State, room: int, width: int = WIDTH, price: float = 0.0) -
     return kept
 
 
+def best_fit(numbers: dict[int, int], capacity: int) -> list[Pattern]:
+    """Best-fit decreasing on numbers of lengths: (lengths of a bin, how many such bins).
+
+    Best fit goes on filling the bin that it has just put a piece into for as long as
+    the next one fits, so bins of one filling are treated together.
+    """
+    open_: dict[int, list[list]] = {}  # room left: [lengths, bins]
+    for n in sorted(numbers, reverse=True):
+        left = numbers[n]
+        for room in [r for r in sorted(open_) if r >= n] + [None]:
+            groups = open_.pop(room) if room is not None else [[(), left]]
+            room = capacity if room is None else room
+            each, kept = room // n, []
+            for lengths, bins in groups:
+                whole = min(bins, left // each)
+                part = left - whole * each if bins > whole else 0
+                left -= whole * each + min(part, each - 1 if part else 0)
+                for k, times in ((each, whole), (part, 1 if part else 0)):
+                    if times:
+                        open_.setdefault(room - k * n, []).append([(*lengths, *[n] * k), times])
+                if lengths and (rest := bins - whole - (1 if part else 0)):
+                    kept.append([lengths, rest])
+            if kept:
+                open_.setdefault(room, []).extend(kept)
+            if not left:
+                break
+    return [(lengths, times) for groups in open_.values() for lengths, times in groups]
+
+
 def complete(numbers: dict[int, int], capacity: int, nodes: int = NODES) -> list[Pattern]:
     """Bin completion: (lengths of a bin, how many such bins), few bins in all."""
     dives = [_search(numbers, capacity, 0, price, None) for price in PRICES]
     used = [sum(times for _, times in plan) for plan in dives]
-    best = used.index(min(used))
-    return _search(numbers, capacity, nodes, PRICES[best], dives[best])
+    price = PRICES[used.index(min(used))]
+    incumbent = min([best_fit(numbers, capacity), *dives], key=lambda plan: sum(times for _, times in plan))
+    return _search(numbers, capacity, nodes, price, incumbent)
 
 
 def _search(
@@ -178,18 +211,20 @@ def _search(
     volume, bound = int((counts * np.arange(capacity + 1)).sum()), lower_bound(counts)
     fewest = sum(times for _, times in best or [])
     state = _State(counts)
-    stack: list[tuple[list[tuple[int, ...]], Pattern | None]] = []
+    stack: list[tuple[list[tuple[tuple[int, ...], int]], Pattern | None]] = []
     plan: list[Pattern] = []
     bins = waste = spent = 0
 
-    def options() -> list[tuple[int, ...]]:
+    def options() -> list[tuple[tuple[int, ...], int]]:
+        """Fillings with the part of their possible uses to make, the last one first."""
         top = int(state.below[capacity])
         state.counts[top] -= 1
         state.refresh()
         own = [(top, *f) for f in fillings(state, capacity - top, 1 if top == capacity else WIDTH, price)]
         state.counts[top] += 1
         state.refresh()
-        return own[::-1]
+        shares = (1,) if best is None else (1, 2, 0)
+        return [(f, share) for share in shares for f in own][::-1]
 
     def put(pattern: Pattern, sign: int) -> None:
         nonlocal bins, waste
@@ -211,9 +246,12 @@ def _search(
         if not choices or (best is not None and (fewest <= bound or spent >= nodes)):
             stack.pop()
             continue
-        lengths = choices.pop()
+        lengths, share = choices.pop()
         need = Counter(lengths)
-        times = int(min(state.counts[n] // k for n, k in need.items()))
+        most = int(min(state.counts[n] // k for n, k in need.items()))
+        times = most // share if share else 1
+        if share != 1 and (times in (0, most) or share == 0 and most < 4):
+            continue
         pattern = (lengths, times)
         put(pattern, 1)
         plan.append(pattern)

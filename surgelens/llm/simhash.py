@@ -211,12 +211,15 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     id one row stays.
     """
     found = near_duplicates(docs, doc_id, text, shingle, max_bits)
-    keep = found.filter("doc_id = component_id").select("doc_id").distinct()
-    id_name, turn = free_name(docs, "kept_id"), free_name(docs, "turn")
-    named = docs.join(keep.select(F.col("doc_id").alias(id_name)), F.col(f"`{doc_id}`") == F.col(id_name), "left_semi")
-    repeats = found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1")
-    if not repeats.isEmpty():
-        named = named.withColumn(turn, F.expr(f"row_number() OVER (PARTITION BY `{doc_id}` ORDER BY `{text}`)")).filter(f"`{turn}` = 1").drop(turn)
+    least = found.filter("doc_id = component_id")
+    keep = stored(least.groupBy("doc_id").count().select(F.col("doc_id").alias("_kept_id"), (F.col("count") > 1).alias("_repeated")), "kept")
+    id_name, repeated = free_name(docs, "kept_id"), free_name(docs, "repeated")
+    keep = keep.toDF(id_name, repeated)
+    named = docs.join(keep, F.col(f"`{doc_id}`") == F.col(id_name)).drop(id_name)
+    if not keep.filter(f"`{repeated}`").isEmpty():
+        several = _one_of_each(named.filter(f"`{repeated}`"), doc_id, text)
+        named = named.filter(f"NOT `{repeated}`").unionByName(several)
+    named = named.drop(repeated)
     nameless = docs.filter(F.col(f"`{doc_id}`").isNull())
     if nameless.isEmpty():
         return named
@@ -224,6 +227,15 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     lone = found.filter("doc_id IS NULL AND component_id IS NULL")
     roots = lone.select("fp").distinct().join(classes(found.select("fp").distinct(), max_bits), "fp", "left")
     chosen = roots.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("fp").alias(id_name)).select(id_name)
-    lone_rows = marked.join(chosen, id_name, "left_semi")
-    lone_rows = lone_rows.withColumn(turn, F.expr(f"row_number() OVER (PARTITION BY `{id_name}` ORDER BY `{text}`)"))
-    return named.unionByName(lone_rows.filter(f"`{turn}` = 1").drop(turn, id_name))
+    lone_rows = _one_of_each(marked.join(chosen, id_name, "left_semi"), id_name, text)
+    return named.unionByName(lone_rows.drop(id_name))
+
+
+def _one_of_each(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """One row per key, of the least digest of its text. Only numbers are grouped, so a
+    key of very many rows is dealt like any other."""
+    row = free_name(rows, "row_number")
+    kept = stored(rows.withColumn(row, F.monotonically_increasing_id()), "repeats")
+    rank = F.struct(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")), F.col(row))
+    first = kept.groupBy(F.col(f"`{key}`").alias("_key")).agg(F.min_by(row, rank).alias("_first")).select("_first")
+    return kept.join(first, F.col(row) == F.col("_first")).drop("_first", row)

@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -250,8 +251,16 @@ def fit(graph: Graph, steps: int = 150, rate: float = 0.1, dropped: float = 0.3)
     return w
 
 
-def beliefs(graph: Graph, w: Weights, rounds: int = ROUNDS) -> np.ndarray:
-    """Sum-product messages along all links at once, damped, until they rest."""
+def beliefs(graph: Graph, w: Weights, rounds: int | None = None) -> np.ndarray:
+    """Sum-product messages along all links at once, damped, until they rest.
+
+    Every text's messages rest on their own, so its beliefs don't depend on which
+    texts it is handled with. Messages that don't come to rest are ended, by
+    default, ``ROUNDS`` rounds after they could have passed along all skip links of
+    the text that has most of them.
+    """
+    linked = Counter(graph.text[i] for i, _ in graph.skip)
+    rounds = ROUNDS + max(linked.values(), default=0) if rounds is None else rounds
     unary = w.unary[np.array(graph.features)].sum(1) + np.where(np.array(graph.possible), 0.0, -1e9)
     chain, skip = _pairs(graph.chain), _pairs(graph.skip)
     source = np.concatenate([chain[:, 0], chain[:, 1], skip[:, 0], skip[:, 1]])
@@ -260,6 +269,8 @@ def beliefs(graph: Graph, w: Weights, rounds: int = ROUNDS) -> np.ndarray:
     back = np.concatenate([np.arange(c) + c, np.arange(c), 2 * c + s + np.arange(s), 2 * c + np.arange(s)])
     score = np.concatenate([np.repeat(m[None], k, 0) for m, k in ((w.chain, c), (w.chain.T, c), (w.skip, 2 * s))])
     sent = np.zeros((len(source), LABELS))
+    of_text = np.array(graph.text, np.int64)[source] if len(source) else np.zeros(0, np.int64)
+    moving = np.ones(int(of_text.max()) + 1 if len(source) else 0, bool)
 
     def gathered() -> np.ndarray:
         b = unary.copy()
@@ -267,13 +278,16 @@ def beliefs(graph: Graph, w: Weights, rounds: int = ROUNDS) -> np.ndarray:
         return b
 
     for _ in range(rounds if len(source) else 0):
-        lacking = (gathered()[source] - sent[back])[:, :, None] + score
+        on = np.flatnonzero(moving[of_text])
+        lacking = (gathered()[source[on]] - sent[back[on]])[:, :, None] + score[on]
         top = lacking.max(1)
         new = top + np.log(np.exp(lacking - top[:, None]).sum(1))
-        new = 0.7 * (new - new.max(1, keepdims=True)) + 0.3 * sent
-        rest = np.abs(new - sent).max()
-        sent = new
-        if rest < 1e-4:
+        new = 0.7 * (new - new.max(1, keepdims=True)) + 0.3 * sent[on]
+        change = np.zeros(len(moving))
+        np.maximum.at(change, of_text[on], np.abs(new - sent[on]).max(1))
+        sent[on] = new
+        moving &= change >= 1e-4
+        if not moving.any():
             break
     b = gathered()
     p = np.exp(b - b.max(1, keepdims=True))

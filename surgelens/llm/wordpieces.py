@@ -1,9 +1,8 @@
 """Byte-level word-piece ids of a public tokenizer file.
 
-The ids are those of ``tokenizers`` with ``add_special_tokens=False`` and special
-tokens' strings read as ordinary text. Another engine with the same merges is
-used for speed; texts that it can't take (runs of a million spaces) go to
-``tokenizers`` itself.
+The ids are those of ``tokenizers`` with ``add_special_tokens=False``. Another
+engine with the same merges is used for speed; texts that it can't take (runs of a
+million spaces) and texts that spell out a special token go to ``tokenizers`` itself.
 """
 
 from __future__ import annotations
@@ -32,6 +31,7 @@ class WordPieces:
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
         added = {t["content"] for t in model["added_tokens"]}
+        self._special = tuple(added)
         byte = _byte_of()
         ranks = {bytes(byte[c] for c in t): i for t, i in model["model"]["vocab"].items() if t not in added}
         self._fast = tiktoken.Encoding(
@@ -42,10 +42,11 @@ class WordPieces:
     def plain(self, text: str) -> list[int]:
         if self._plain is None:
             self._plain = Tokenizer.from_file(self.path)
-            self._plain.encode_special_tokens = True
         return self._plain.encode(text, add_special_tokens=False).ids
 
     def ids(self, text: str) -> np.ndarray:
+        if any(x in text for x in self._special):
+            return np.array(self.plain(text), "<u4")
         try:
             found = self._fast.encode_ordinary(text)
         except BaseException as e:  # noqa: BLE001  the engine's own kind isn't an Exception

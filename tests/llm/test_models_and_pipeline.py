@@ -27,7 +27,6 @@ def docs_of(df):
 
 def cut(text, capacity=1024):
     tokenizer = cut.__dict__.setdefault("tokenizer", Tokenizer.from_file(wordpieces.BYTE_BPE))
-    tokenizer.encode_special_tokens = True
     ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
     first = len(ids) % capacity or capacity
     starts = [0, *range(first, len(ids), capacity)]
@@ -94,6 +93,34 @@ def test_dominance():
     assert binpack._dominates((7, 3), (4, 3, 3)) and not binpack._dominates((5, 5), (6, 4))
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_best_fit_on_numbers_is_best_fit(seed):
+    r = random.Random(seed)
+    low, high, n = [(1, 1024, 300), (1, 40, 2000), (300, 520, 500), (100, 110, 1000), (1, 3, 5000), (513, 1024, 50), (200, 260, 999), (1, 1024, 3)][seed]
+    items = [r.randint(low, high) for _ in range(n)]
+    plan, used = binpack.best_fit(Counter(items), 1024), Counter()
+    for lengths, times in plan:
+        assert sum(lengths) <= 1024 and times > 0
+        for k in lengths:
+            used[k] += times
+    assert used == Counter(items) and sum(t for _, t in plan) == best_fit(items, 1024)
+
+
+def test_fewer_uses_of_a_filling_are_reached():
+    """Sixes and fours of ten: using 4+6 for all leaves nothing to gain; 3s and 7s need a mix."""
+    numbers = {7: 4, 6: 3, 4: 5, 3: 6, 2: 3}
+    plan = binpack.complete(numbers, 10)
+    assert sum(t for _, t in plan) == binpack.lower_bound(np.bincount(list(Counter(numbers).elements()), minlength=11))
+
+
+def test_special_tokens_are_those_of_the_tokenizer(spark):
+    plain = Tokenizer.from_file(wordpieces.BYTE_BPE)
+    made = wordpieces.word_pieces(wordpieces.BYTE_BPE)
+    for text in ("x <|endoftext|> y", "<|endoftext|><|endoftext|>", "<|endoftext|", "plain words"):
+        assert made.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert len(made.ids("<|endoftext|>")) == 1
+
+
 def test_runs_of_spaces_are_encoded():
     made = wordpieces.word_pieces(wordpieces.BYTE_BPE)
     text = "a" + " " * 200_000 + "<|endoftext|> b"
@@ -170,6 +197,12 @@ def test_messages_give_exact_beliefs_on_a_tree():
     assert np.allclose(skipchain.beliefs(graph, w, 200), exact / exact.sum(1, keepdims=True), atol=1e-3)
 
 
+def test_beliefs_of_a_text_do_not_depend_on_its_batch(weights):
+    texts = ["Call +1 (988) 555-2485 now. " + "word " * 20 + "or 9885552485 again. " * 30, "mail a.b@c.example.org", "10.2.3.4 and 10.2.3.4 " * 40, None, ""]
+    alone = [skipchain.find([t], weights)[0] for t in texts]
+    assert skipchain.find(texts, weights) == alone == skipchain.find(texts[::-1], weights)[::-1]
+
+
 def test_redaction(weights, odd, none):
     row = skipchain.redact(odd.filter("doc_id = 8"), weights).first()
     assert row.text == "Write to <EMAIL> or <PHONE>. MIT License\nmit license <IP>"
