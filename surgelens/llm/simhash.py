@@ -215,7 +215,8 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     keep = stored(least.groupBy("doc_id").count().select(F.col("doc_id").alias("_kept_id"), (F.col("count") > 1).alias("_repeated")), "kept")
     id_name, repeated = free_name(docs, "kept_id"), free_name(docs, "repeated")
     keep = keep.toDF(id_name, repeated)
-    named = docs.join(keep, F.col(f"`{doc_id}`") == F.col(id_name)).drop(id_name)
+    # The kept ids grow with the documents: both sides are shuffled at every size.
+    named = docs.join(keep.hint("merge"), F.col(f"`{doc_id}`") == F.col(id_name)).drop(id_name)
     if not keep.filter(f"`{repeated}`").isEmpty():
         several = _one_of_each(named.filter(f"`{repeated}`"), doc_id, text)
         named = named.filter(f"NOT `{repeated}`").unionByName(several)
