@@ -20,7 +20,7 @@ from surgelens.registry import tables as T
 from surgelens.session import broadcast_within, scratch_path, written
 from surgelens.sources import convert, logs, sqljob
 from surgelens.sources import tables as catalog
-from surgelens.sources.baselines import KEYS, BaselineStore, upsert
+from surgelens.sources.baselines import KEYS, BaselineStore, newest_per_series, of_active_series, upsert
 from surgelens.sources.indicators import Indicators, load_indicators
 from surgelens.sources.schemas import VPC, WAF
 from surgelens.sources.sinks import read_findings
@@ -174,6 +174,37 @@ def malformed_records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "unknown_fields",
+    f"""WITH {T.LOG_SQL} SELECT 'h-' || uri AS hint, 'rule-' || (k % 3) AS note, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_changed
+    FROM log GROUP BY ALL""",
+)
+def unknown_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields outside the schema, by way of Parquet; records that don't come back whole."""
+    path = scratch_path(spark, "unknown")
+    request = F.col("httpRequest")
+    told = request.withField("httpMethod", request["method"]).dropFields("method")
+    at = F.timestamp_millis("timestamp")
+    records = T.waf_logs(spark, sf).withColumns({
+        "httpRequest": told.withField("hint", F.concat(F.lit("h-"), request["uri"])),
+        "httpResponse": F.struct(F.lit(200).alias("status")),
+        "note": F.struct(F.col("terminatingRule.ruleId").alias("rule"), F.array(F.lit(1.5)).alias("rates")),
+        "dt": X.day_label(at),
+        "hr": X.hour_label(at),
+    })
+    convert.write_partitioned(records, path + "/json", fmt="json")
+    logs.read_waf(spark, path + "/json", keep_unknown=True).write.parquet(path + "/parquet")
+    rows = spark.read.parquet(path + "/parquet")
+    lines = spark.read.text(path + "/json").select(F.to_json(F.parse_json("value")).alias("line"), F.lit(1).alias("known")).distinct()
+    rebuilt = rows.select(
+        F.variant_get("unknown_fields", "$.httpRequest.hint", "string").alias("hint"),
+        F.variant_get("unknown_fields", "$.note.rule", "string").alias("note"),
+        F.to_json(logs.whole_record(rows)).alias("line"),
+    )
+    changed = F.count_if(F.col("known").isNull()).alias("n_changed")
+    return rebuilt.join(lines, "line", "left").groupBy("hint", "note").agg(F.count(F.lit(1)).alias("n_rows"), changed)
+
+
 def _broken_lines(spark: SparkSession, sf: str) -> DataFrame:
     record = F.to_json(
         F.struct(
@@ -464,6 +495,23 @@ def baseline_store(spark: SparkSession, sf: str) -> DataFrame:
     return store.load().select(*KEYS, rounded("mean"), rounded("std"))
 
 
+@query(
+    "baseline_bucketed",
+    f"""SELECT * FROM ({UPSERT_SQL}) WHERE (key, subkey) IN
+    (SELECT (CAST(user_id AS VARCHAR), event_type) FROM events WHERE ts < TIMESTAMP '2024-01-02 00:00:00')""",
+)
+def baseline_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs of a bucketed store, the first compacted; series of the first day."""
+    before, after = (scoring.train_baselines(half, DAILY) for half in _halves(spark, sf))
+    store = BaselineStore(spark, scratch_path(spark, "bucketed"), buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    store.append(before, "001")
+    store.compact()
+    store.append(after, "002")
+    first_day = T.daily_by_user(spark, sf).where(F.col("minute") < F.lit("2024-01-02 00:00:00").cast("timestamp"))
+    rows = newest_per_series(of_active_series(store.history(), first_day))
+    return rows.select(*KEYS, rounded("mean"), rounded("std"))
+
+
 # ---------------------------------------------------------------- detection
 
 HOURLY = DetectionParams(

@@ -22,6 +22,7 @@ from pyspark.sql.types import (
 )
 
 CORRUPT = "_corrupt_record"
+UNKNOWN = "unknown_fields"
 
 STRING, INT, LONG, DOUBLE, TIME = StringType(), IntegerType(), LongType(), DoubleType(), TimestampType()
 

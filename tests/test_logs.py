@@ -91,6 +91,49 @@ def test_broken_lines_do_not_stop_the_scan(spark, waf):
     assert slices.slice_waf(logs.read_waf(spark, waf), AS_OF, 60 * 24 * 2).count() == 7
 
 
+def without_nulls(x):
+    if isinstance(x, dict):
+        return {k: without_nulls(v) for k, v in x.items() if v is not None}
+    return [without_nulls(v) for v in x] if isinstance(x, list) else x
+
+
+@pytest.mark.parametrize("kind", ["waf", "vpc"])
+def test_records_come_back_whole(spark, fresh, kind):
+    """Unknown fields at every depth, through Parquet."""
+    root, odd = fresh("whole"), {"a": [1, {"b": 2.5}], "c": {"d": True}, "e": "x'y.z"}
+    if kind == "waf":
+        deep = request(3, labels=["l"], httpMethod="PUT", weird=odd, host="h")
+        deep["httpRequest"]["headers"][1]["seen"] = 3
+        deep["terminatingRule"]["ruleMatchDetails"] = [{"location": "A", "matchedData": ["x", "y"], "more": odd}, {"conditionType": "B"}]
+        only = {"httpRequest": {"new": 1}, "dt": "in the record", "labels": []}
+        lines = [request(1), deep, {**request(2), "top": odd, "many": [odd, 7]}, only, {"other": {}}, {}]
+    else:
+        lines = [flow(1, False), {**flow(2, False, 22), "ecs-task": "t", "odd": odd, "traffic_path": [1, 2]}, {"x": "y"}]
+    write_lines(root, "2023-10-27", "00", [*lines, ""])
+    read = logs.read_waf if kind == "waf" else logs.read_vpc
+    stored = fresh("whole-stored")
+    read(spark, root, keep_unknown=True).write.parquet(stored)
+    rows = spark.read.parquet(stored)
+    got = [json.loads(r[0]) for r in rows.select(F.to_json(logs.whole_record(rows))).collect()]
+    key = lambda x: json.dumps(x, sort_keys=True)
+    assert sorted(got, key=key) == sorted((without_nulls(x) for x in lines), key=key)
+    plain = read(spark, root)
+    assert rows.select(plain.columns).where("dt IS NOT NULL").exceptAll(plain).count() == 0 and rows.count() == len(lines)
+    assert rows.where(F.col("unknown_fields").isNotNull()).count() == (4 if kind == "waf" else 2)
+
+
+def test_lines_that_cannot_be_kept_by_field_are_kept_as_text(spark, fresh):
+    root = fresh("odd-lines")
+    lines = ['{"timestamp": 1, "bro', '{"timestamp": "soon", "z": 1}', '{"z": 1, "z": 2, "timestamp": 3}', "[1]", "null", '{"timestamp": 4}']
+    write_lines(root, "2023-10-27", "00", lines)
+    df = logs.read_waf(spark, root, keep_unknown=True)
+    assert sorted(r[0] for r in df.where("_corrupt_record IS NOT NULL").select("_corrupt_record").collect()) == sorted(lines[:-1])
+    assert [r["timestamp"] for r in df.where("_corrupt_record IS NULL").collect()] == [4]
+    assert df.where("_corrupt_record IS NOT NULL AND (timestamp IS NOT NULL OR unknown_fields IS NOT NULL)").count() == 0
+    write_lines(fresh("no"), "2023-10-27", "00", [])
+    assert "PartitionFilters: [isnotnull(hr" in df.where("hr = '00'")._jdf.queryExecution().executedPlan().toString()
+
+
 def test_lookback_across_midnight(spark, waf, vpc):
     df = logs.read_waf(spark, waf)
     counts = hotspots.waf_counts(df, AS_OF, 15)

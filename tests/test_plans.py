@@ -10,6 +10,7 @@ from surgelens.operators import hotspots, indicators, series, slices, windows
 from surgelens.operators.scoring import detect_anomalies
 from surgelens.params import DetectionParams
 from surgelens.plans.detection import detect_and_tag
+from surgelens.sources.baselines import BaselineStore, of_active_series
 from surgelens.sources.indicators import Indicators
 
 AS_OF = dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)
@@ -101,6 +102,48 @@ def test_stored_baselines_join_on_the_fold_partitioning(spark, events):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def above(text, what):
+    """The operators between the scan that ``what`` names and the next join."""
+    lines = text.splitlines()
+    at = next(i for i, line in enumerate(lines) if what in line)
+    depth, found = len(re.match(r"[\s:|+-]*", lines[at])[0]), []
+    for line in reversed(lines[:at]):
+        own = len(re.match(r"[\s:|+-]*", line)[0])
+        if own < depth:
+            depth = own
+            found.append(line)
+    return found
+
+
+def test_bucketed_baselines_are_not_shuffled(spark, events, fresh):
+    """Not for the series of a cycle, their newest rows, the join with its points, or compaction."""
+    store = BaselineStore(spark, fresh("bucketed"), buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    early = detect_anomalies(points(events).where("minute < '2024-01-30'"), LONG).baselines
+    store.append(early, "001")
+    store.compact()
+    store.append(early, "002")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        late = points(events).where("minute >= '2024-01-30'")
+        active = of_active_series(store.history(), series.to_points(late))
+        found = detect_anomalies(late, LONG, active, top_k=None)
+        for df in (*found, store.load()):
+            p = plan(df)
+            way = above(p, "Bucketed: true")
+            joined = next((i for i, line in enumerate(way) if "LeftOuter" in line), len(way))
+            assert p.count("FileScan parquet spark_catalog") >= 1 and not any("Exchange" in line for line in way[:joined]), p
+        plainly = BaselineStore(spark, fresh("plain"))
+        for run in ("001", "002"):
+            plainly.append(early, run)
+        same = detect_anomalies(late, LONG, of_active_series(plainly.history(), series.to_points(late)), top_k=None)
+        for a, b in zip(found, same):
+            kept = [c for c in a.columns if c != "last_updated"]
+            assert a.select(kept).exceptAll(b.select(kept)).count() == 0 and a.count() == b.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_blocks_bound_the_rows(events):
     blocks = series.to_blocks(series.by_series(series.to_points(points(events))), 0.3, 600)
     assert blocks.agg(F.max(F.size("points"))).first()[0] <= 10

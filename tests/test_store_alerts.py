@@ -27,8 +27,9 @@ def means(df):
     return {r["key"]: r["mean"] for r in df.collect()}
 
 
-def test_store(spark, fresh):
-    store = BaselineStore(spark, fresh("store"))
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_store(spark, fresh, buckets):
+    store = BaselineStore(spark, fresh("store"), buckets)
     assert store.load().count() == 0 and store.compact() is None
     store.append(baselines(spark, ("a/b", "s", 100.5, 10.2, "2024-01-01"), ("b", "s", 1.0, 1.0, "2024-01-01")), "1")
     store.append(baselines(spark, ("a/b", "s", 105.0, 11.0, "2024-01-02")), "2")
@@ -46,24 +47,55 @@ def test_store(spark, fresh):
         store.append(store.load(), "../x")
 
 
-def test_compaction_removes_what_an_older_base_covers(spark, fresh):
+def test_buckets_belong_to_the_store(spark, fresh):
+    path = fresh("store")
+    BaselineStore(spark, path, 3).append(baselines(spark, ("a", "s", 1.0, 1.0, "2024-01-01")), "1")
+    again = BaselineStore(spark, path)
+    assert again.buckets == 3 and means(again.load()) == {"a": 1.0}
+    again.append(baselines(spark, ("a", "s", 2.0, 1.0, "2024-01-02"), (None, "s", 3.0, 1.0, "2024-01-02")), "2")
+    assert means(BaselineStore(spark, path, 3).load()) == {"a": 2.0, None: 3.0}
+    assert means(BaselineStore(spark, path).load(before="2")) == {"a": 1.0}
+    with pytest.raises(ValueError):
+        BaselineStore(spark, path, 4)
+    plain = fresh("store")
+    BaselineStore(spark, plain).append(baselines(spark, ("a", "s", 1.0, 1.0, "2024-01-01")), "1")
+    with pytest.raises(ValueError):
+        BaselineStore(spark, plain, 4)
+    # Tables made to write a run are gone; the store's own stays.
+    left = [t.name for t in spark.catalog.listTables() if t.name.startswith("baselines_")]
+    assert len(left) == len(set(left)) and not any(spark.table(t).columns[-1] != "run" for t in left)
+
+
+def test_a_run_without_its_marker_is_not_read(spark, fresh):
+    from surgelens.sources.storage import remove
+
+    store = BaselineStore(spark, fresh("store"), 2)
+    store.append(baselines(spark, ("a", "s", 1.0, 1.0, "2024-01-01")), "1")
+    store.append(baselines(spark, ("a", "s", 2.0, 1.0, "2024-01-02")), "2")
+    remove(spark, f"{store.delta}/run=2/_SUCCESS")
+    assert means(store.load()) == {"a": 1.0}
+
+
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_compaction_removes_what_an_older_base_covers(spark, fresh, buckets):
     from surgelens.sources.storage import committed
 
-    store = BaselineStore(spark, fresh("store"))
+    store = BaselineStore(spark, fresh("store"), buckets)
     for run in range(1, 10):
         store.append(baselines(spark, (f"k{run % 4}", "s", float(run), 1.0, "2024-01-01")), f"{run:03d}")
         if run % 3 == 0:
             store.compact()
-    assert committed(spark, store.base, "run_id") == ["006", "009"]
-    assert committed(spark, store.delta, "run_id") == ["007", "008", "009"]
+    assert committed(spark, store.base, store.key) == ["006", "009"]
+    assert committed(spark, store.delta, store.key) == ["007", "008", "009"]
     assert means(store.load()) == {"k0": 8.0, "k1": 9.0, "k2": 6.0, "k3": 7.0}
     # A run that is repeated still reads what was there before it.
     assert means(store.load(before="008")) == {"k0": 4.0, "k1": 5.0, "k2": 6.0, "k3": 7.0}
     assert means(store.load(before="009")) == {"k0": 8.0, "k1": 5.0, "k2": 6.0, "k3": 7.0}
 
 
-def test_only_active_series_are_read_on(spark, fresh):
-    store = BaselineStore(spark, fresh("store"))
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_only_active_series_are_read_on(spark, fresh, buckets):
+    store = BaselineStore(spark, fresh("store"), buckets)
     store.append(baselines(spark, ("a", "s", 1.0, 1.0, "2024-01-01"), ("b", "s", 2.0, 1.0, "2024-01-01")), "1")
     store.append(baselines(spark, ("b", "s", 3.0, 1.0, "2024-01-02")), "2")
     active = baselines(spark, ("b", "s", 0.0, 0.0, "2024-01-01"), ("c", "s", 0.0, 0.0, "2024-01-01"))
