@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from surgelens.functions import smoothing as S
 from surgelens.functions.scalars import number_or_zero, or_missing
-from surgelens.sources.baselines import KEYS
+from surgelens.sources.baselines import KEYS, series_of
 
 CARRIED = ("country", "ua", "rule_label", "source_type")
 # What stays with a point once a minute's counts are summed: a metric has one source.
@@ -75,7 +75,7 @@ def keyed(points: DataFrame) -> DataFrame:
     """
     if "series" in points.columns:
         return points
-    return points.withColumn("series", F.struct(*KEYS)).drop(*KEYS)
+    return points.withColumn("series", series_of(*KEYS)).drop(*KEYS)
 
 
 def by_series(points: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ from surgelens.sources.sinks import read_findings
 from surgelens.streaming import baseline as stream_baseline
 from surgelens.streaming import counts as stream_counts
 from surgelens.streaming import ingest as stream_ingest
+from surgelens.streaming import landing as stream_landings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1351,6 +1352,33 @@ def stream_land(spark: SparkSession, sf: str) -> DataFrame:
     return whole.join(known, "value", "left").groupBy("landed").agg(F.count(F.lit(1)).alias("n_rows"), changed)
 
 
+CLOSED_COUNTS_SQL = f"""SELECT * FROM ({COUNTS_SQL})
+    WHERE minute + INTERVAL 1 MINUTE <= (SELECT max(log_time) FROM log) - INTERVAL 15 MINUTE"""
+
+
+@query(
+    "stream_landing",
+    f"""{folded_sql(CLOSED_COUNTS_SQL, extra="source_type", lead=T.LOG_SQL + ",")}{CYCLE_FOUND_SQL}
+    SELECT metric, key, subkey, {TEXT_MINUTE}, value, round(score, 6) AS score, mode FROM found""",
+)
+def stream_landing(spark: SparkSession, sf: str) -> DataFrame:
+    """Log files that land in two deliveries, scored by one stream over both tables."""
+    path = scratch_path(spark, "stream-landing")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    store, params = BaselineStore(spark, path + "/baselines", buckets), CYCLE.with_(top_k=None)
+    for early in (True, False):
+        for kind in ("waf", "vpc"):
+            lines = spark.read.schema("value string, dt string, hr string").text(T.landed(spark, sf, kind))
+            due = lines.where((F.col("hr") < "18") == early)
+            due.write.mode("append").partitionBy("dt", "hr").text(f"{path}/{kind}")
+        stream_landings.landing_cycles(
+            spark, path + "/waf", path + "/vpc", params, store, path + "/counts", path + "/findings", path + "/checkpoint",
+            LOG_INDICATORS, once=True,
+        ).awaitTermination()
+    saved = read_findings(spark, path + "/findings")
+    return saved.select(*KEYS, when_text("minute"), "value", rounded("score"), "mode")
+
+
 # Every seventh event is delivered a week late; deliveries come in batches of a week.
 ARRIVAL_SQL = "ts + CASE WHEN event_id % 7 = 0 THEN INTERVAL 7 DAY ELSE INTERVAL 0 DAY END"
 BATCH_SQL = f"(epoch_us({ARRIVAL_SQL}) - {T.MONTH_MS} * 1000) // 604800000000"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType, VariantType
 
 from surgelens.sources.schemas import CORRUPT, UNKNOWN, VPC, WAF
 
@@ -124,6 +124,11 @@ def canonical_vpc(raw: DataFrame) -> DataFrame:
     return raw.select(*out)
 
 
+def _stored(schema: StructType, keep_unknown: bool) -> StructType:
+    """The columns of converted files."""
+    return StructType(list(schema.fields)).add(UNKNOWN, VariantType()).add(CORRUPT, StringType()) if keep_unknown else schema
+
+
 def read_waf(
     spark: SparkSession, path: str, fmt: str = "json", keep_corrupt: bool = False, keep_unknown: bool = False
 ) -> DataFrame:
@@ -131,13 +136,14 @@ def read_waf(
 
     Converted files (``fmt="parquet"``) already hold the merged columns.
     ``keep_unknown`` adds a VARIANT column of the fields that the schema lacks, and
-    the corrupt column; ``whole_record`` puts a record together again.
+    the corrupt column, and conversion keeps both; ``whole_record`` puts a record
+    together again.
     """
     if fmt == "json" and keep_unknown:
         return canonical_waf(_whole_scan(spark, path, WAF))
     if fmt == "json":
         return canonical_waf(_scan(spark, path, WAF, fmt, keep_corrupt))
-    return _scan(spark, path, canonical_waf(empty(spark, WAF)).schema, fmt, False)
+    return _scan(spark, path, _stored(canonical_waf(empty(spark, WAF)).schema, keep_unknown), fmt, False)
 
 
 def read_vpc(
@@ -148,7 +154,7 @@ def read_vpc(
         return canonical_vpc(_whole_scan(spark, path, VPC))
     if fmt == "json":
         return canonical_vpc(_scan(spark, path, VPC, fmt, keep_corrupt))
-    return _scan(spark, path, canonical_vpc(empty(spark, VPC)).schema, fmt, False)
+    return _scan(spark, path, _stored(canonical_vpc(empty(spark, VPC)).schema, keep_unknown), fmt, False)
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:

@@ -111,6 +111,16 @@ def first_start(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.text(path).first()["value"]
 
 
+def resume(
+    points: DataFrame, run_id: str, params: DetectionParams, store: BaselineStore, findings_path: str, indicators: Indicators | None
+) -> None:
+    """Detection on one batch of points and the baselines saved before it."""
+    stored = of_active_series(store.history(before=run_id), points)
+    found = detect_and_tag(points, params, indicators, stored)
+    write_findings(found.findings, findings_path, run_id)
+    store.append(found.baselines, run_id)
+
+
 def scheduled_cycles(
     points: DataFrame,
     params: DetectionParams,
@@ -131,11 +141,8 @@ def scheduled_cycles(
     def cycle(batch: DataFrame, number: int) -> None:
         run_id = f"{since}-{number:012d}"
         points = to_points(batch).persist()
-        stored = of_active_series(store.history(before=run_id), points)
         try:
-            found = detect_and_tag(points, params, indicators, stored)
-            write_findings(found.findings, findings_path, run_id)
-            store.append(found.baselines, run_id)
+            resume(points, run_id, params, store, findings_path, indicators)
         finally:
             points.unpersist()
 

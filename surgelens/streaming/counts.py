@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +57,7 @@ def accounted_counts(
     width: str = "1 minute",
     late_minutes: int = 15,
     every: str | None = None,
+    then: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Tumbling counts that account for every row of a stream.
 
@@ -71,6 +72,10 @@ def accounted_counts(
     and ``marks`` (newest time, cutoff, rows and refused rows, as observed while
     the batch was written). A batch reads the open windows of the one before it,
     so what is carried on is as large as the open windows are many.
+
+    ``then`` is called with the windows that a batch closed and its number, and again
+    with the same ones if the batch is repeated. Over batches, closed windows come in
+    the order of time.
     """
     spark, root = stream.sparkSession, path.rstrip("/")
     late_us = late_minutes * 60_000_000
@@ -100,6 +105,8 @@ def accounted_counts(
             total.withColumn("closed", closed).write.mode("overwrite").partitionBy("closed").parquet(f"{root}/state/batch={number}")
             marks = [(top, cutoff, found["n_rows"], found["n_late"])]
             spark.createDataFrame(marks, MARK).coalesce(1).write.mode("overwrite").parquet(f"{root}/marks/batch={number}")
+            if then is not None:
+                then(_state(spark, [f"{root}/state/batch={number}"], root, True, total.schema), number)
         finally:
             rows.unpersist()
 

@@ -2,6 +2,7 @@ import datetime as dt
 import gzip
 import json
 import os
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,6 +123,17 @@ def test_records_come_back_whole(spark, fresh, kind):
     assert rows.where(F.col("unknown_fields").isNotNull()).count() == (4 if kind == "waf" else 2)
 
 
+def test_conversion_keeps_unknown_fields(spark, fresh):
+    root, target = fresh("unknown"), fresh("unknown-converted")
+    write_lines(root, "2023-10-27", "00", [request(1), {**request(2), "top": [1]}, '{"bro'])
+    read = partial(logs.read_waf, keep_unknown=True)
+    assert convert_new(spark, read, root, target) == 1
+    kept = logs.read_waf(spark, target, fmt="parquet", keep_unknown=True)
+    assert [r[0] for r in kept.select(F.to_json("unknown_fields")).where("unknown_fields IS NOT NULL").collect()] == ['{"top":[1]}']
+    assert [r["_corrupt_record"] for r in logs.quarantined(kept).collect()] == ['{"bro']
+    assert logs.read_waf(spark, target, fmt="parquet").where("httpRequest IS NOT NULL").count() == 2
+
+
 def test_lines_that_cannot_be_kept_by_field_are_kept_as_text(spark, fresh):
     root = fresh("odd-lines")
     lines = ['{"timestamp": 1, "bro', '{"timestamp": "soon", "z": 1}', '{"z": 1, "z": 2, "timestamp": 3}', "[1]", "null", '{"timestamp": 4}']

@@ -14,6 +14,7 @@ from surgelens.streaming.baseline import scheduled_cycles, scored_stream
 from surgelens.sources.storage import committed
 from surgelens.streaming.counts import MARK, accounted_counts, closed_counts, late_rows, open_counts, to_parquet, windowed_counts
 from surgelens.streaming.ingest import by_arrival, ingest_text
+from surgelens.streaming.landing import landing_cycles
 
 PARAMS = DetectionParams(min_count=2, sigma=1.0, scope="all")
 SCHEMA = "minute timestamp, key string, subkey string, value double, metric string"
@@ -135,6 +136,42 @@ def test_a_repeated_batch_counts_once(spark, fresh):
     assert late_rows(spark, root).count() == 2
 
 
+def test_landed_files_are_scored_by_closed_minutes(spark, fresh):
+    """Two deliveries with a broken line, a late row and a batch that is repeated."""
+    root, start = fresh("landing"), 1706659200
+    store = BaselineStore(spark, root + "/baselines", 2)
+
+    def land(name, requests, flows, extra=()):
+        for kind, lines in (
+            ("waf", [json.dumps({"timestamp": (start + 60 * m) * 1000, "httpRequest": {"clientIp": "1.1.1.1", "uri": "/a"}}) for m in requests]),
+            ("vpc", [json.dumps({"start": start + 60 * m, "srcaddr": "2.2.2.2", "dstport": 22}) for m in flows]),
+        ):
+            folder = f"{root}/{kind}/dt=2024-01-31/hr=00"
+            os.makedirs(folder, exist_ok=True)
+            with open(f"{folder}/{name}.json", "w") as f:
+                f.write("\n".join([*lines, *extra]) + "\n")
+        run()
+
+    def run():
+        landing_cycles(spark, root + "/waf", root + "/vpc", PARAMS, store, root + "/counts", root + "/findings", root + "/check", once=True).awaitTermination()
+
+    land("a", [0, 1, 1, 2, 20], [0, 1, 1, 2], ['{"timestamp": 17066, "bro'])
+    land("b", [3, 9, 9, 9, 9, 9, 9, 9, 9, 9, 40], [9])
+    rows = late_rows(spark, root + "/counts").collect()
+    # Minute 3 comes behind the cutoff of minute 5; the broken line is in both logs.
+    assert sorted((r["source_type"], r["key"] or "") for r in rows) == [("VPC", ""), ("WAF", ""), ("WAF", "1.1.1.1")]
+    found = {(r["key"], r["minute"].minute, r["value"], r["mode"]) for r in read_findings(spark, root + "/findings").collect()}
+    assert ("1.1.1.1", 9, 9.0, "high") in found
+    saved = {r["key"]: r["n"] for r in store.load().collect()}
+    assert saved == {"1.1.1.1": 5, "2.2.2.2": 4}
+    want = {r["key"]: r["mean"] for r in store.load().collect()}
+    for name in ("1", ".1.crc"):
+        os.rename(f"{root}/check/commits/{name}", f"{root}/lost{name}")
+    run()
+    assert {r["key"]: r["mean"] for r in store.load().collect()} == want
+    assert {(r["key"], r["minute"].minute, r["value"], r["mode"]) for r in read_findings(spark, root + "/findings").collect()} == found
+
+
 def test_ingest_by_arrival(spark, fresh):
     root = fresh("ingest")
     os.makedirs(root + "/lines")
