@@ -32,19 +32,24 @@ def _object(nested: Column) -> Column:
     return F.call_function("to_variant_object", nested)
 
 
+def _object_if(nested: Column, holds) -> Column:
+    """The nested value as a VARIANT if ``holds`` says so, else NULL; worked out once."""
+    return F.get(F.transform(F.filter(F.array(nested), holds), _object), 0)
+
+
 def unknown_fields(value: Column, kind: DataType) -> Column:
     """What a VARIANT holds beyond the fields of ``kind``, nested as it came; NULL if
     nothing. A list with such elements has NULL in the place of the others."""
     if isinstance(kind, ArrayType):
         parts = F.transform(F.try_variant_get(value, "$", ITEMS_OF), lambda x: unknown_fields(x, kind.elementType))
-        return F.when(F.exists(parts, lambda x: x.isNotNull()), _object(parts))
-    fields = F.try_variant_get(value, "$", FIELDS_OF)
-    found = F.map_filter(fields, lambda name, _: ~name.isin(kind.fieldNames()))
-    inner = [(f.name, unknown_fields(fields[f.name], f.dataType)) for f in kind.fields if _holds_records(f.dataType)]
+        return _object_if(parts, lambda items: F.exists(items, lambda x: x.isNotNull()))
+    found = F.map_filter(F.try_variant_get(value, "$", FIELDS_OF), lambda name, _: ~name.isin(kind.fieldNames()))
+    part = lambda name: F.try_variant_get(value, f"$['{name}']", "variant")
+    inner = [(f.name, unknown_fields(part(f.name), f.dataType)) for f in kind.fields if _holds_records(f.dataType)]
     if inner:
         pairs = [part for name, rest in inner for part in (F.lit(name), rest)]
         found = F.map_concat(found, F.map_filter(F.create_map(*pairs), lambda _, rest: rest.isNotNull()))
-    return F.when(F.size(found) > 0, _object(found))
+    return _object_if(found, lambda names: F.size(names) > 0)
 
 
 def _whole(value: Column, rest: Column, kind: DataType) -> Column:
