@@ -88,7 +88,9 @@ def _whole_scan(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     parsed = lines.select(
         "value", "dt", "hr", F.from_json("value", with_text, options).alias("r"), F.try_parse_json("value").alias("v")
     )
-    whole = F.col(f"r.{CORRUPT}").isNull() & F.try_variant_get("v", "$", FIELDS_OF).isNotNull()
+    # A column of its own, or every field of the result would ask again.
+    parsed = parsed.withColumn("whole", F.try_variant_get("v", "$", FIELDS_OF).isNotNull() & F.col(f"r.{CORRUPT}").isNull())
+    whole = F.col("whole")
     return parsed.select(
         *[F.when(whole, F.col(f"r.`{n}`")).alias(n) for n in kind.fieldNames()],
         "dt",
