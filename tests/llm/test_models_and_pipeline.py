@@ -349,11 +349,11 @@ def test_probabilities_sum_to_one():
     one = lambda n: np.bincount([c for _, c in pairs], n, pitman_yor.START + 1).astype(np.int64)
     held = (count > 0).astype(np.int64)
     g = pitman_yor.Counts(one(count), b.by_head(count).astype(np.int64), 8, int(count.sum()), 0.7, 0.6, one(held), b.by_head(held).astype(np.int64), (b.by_head(held) > 0).astype(np.int64), int(held.sum()), 8)
-    seated, sent, laid = b.seated(g, 1)
+    (seated, sent, laid), = b.chain([g])
     head = b.by_head(seated).astype(np.int64)
     head_laid = (head > 0).astype(np.int64)
     after = pitman_yor.Counts(g.customers, g.learned, 8, g.whole, 0.7, 0.6, one(seated), head, head_laid, int(head.sum() + sent.sum()), int(head_laid.sum() + laid.sum()))
-    p = pitman_yor.probabilities(b, [g, after], [1])
+    p = pitman_yor.probabilities(b, [g, after], samples=1)
     unknown = after.parent(np.zeros(1), np.zeros(1))[0]
     learned = np.concatenate((head, sent)) > 0
     for c in contexts:
@@ -364,18 +364,50 @@ def test_probabilities_sum_to_one():
     assert ((seated >= 1) == (count >= 1)).all() and (seated <= count).all()
 
 
-def test_gibbs_moves_keep_the_seating_law():
-    """The mean number of tables of the process: for c customers and no discount,
-    the sum of a / (a + i)."""
-    rng = np.random.default_rng(0)
-    for c, a in ((2, 1.0), (20, 2.0), (400, 1.5)):
-        want = sum(a / (a + i) for i in range(c))
-        s = pitman_yor.seat(rng, np.full(4000, c), np.full(4000, a), 0.0)
-        for _ in range(3):
-            pitman_yor.move(rng, s, np.full(4000, a), 0.0)
-            first = s.first[:, None] + np.arange(c)
-            assert (s.size[first].sum(1) == c).all() and ((s.size[first] > 0).sum(1) == s.tables).all()
-        assert s.tables.mean() == pytest.approx(want, rel=0.03)
+def seating_law(c, weight, discount):
+    """Chance of each number of tables for ``c`` customers of one dish, by listing
+    how tables can be joined and opened."""
+    law = {1: 1.0}
+    for seated in range(1, c):
+        step = {}
+        for t, p in law.items():
+            step[t] = step.get(t, 0.0) + p * (seated - discount * t)
+            step[t + 1] = step.get(t + 1, 0.0) + p * weight
+        whole = sum(step.values())
+        law = {t: p / whole for t, p in step.items()}
+    return law
+
+
+@pytest.mark.parametrize("c, weight, discount, error", [(2, 0.7, 0.3, 0.02), (6, 1.5, 0.6, 0.02), (8, 0.2, 0.0, 0.02), (60, 1.5, 0.4, 0.05), (900, 3.0, 0.7, 0.05)])
+def test_gibbs_chain_keeps_the_seating_law(c, weight, discount, error):
+    """The chain forgets its first seating, all at one table or near the law."""
+    rng, n = np.random.default_rng(5), 4000
+    count, weights = np.full(n, c), np.full(n, weight)
+    want = seating_law(c, weight, discount)
+    first = pitman_yor.opened(rng, count, weights, discount)
+    assert (np.bincount(first.owner, first.size, n) == c).all()
+    for s, sweeps in ((pitman_yor.Seating(np.arange(n), count), 120), (first, 20)):
+        for _ in range(sweeps):
+            s = pitman_yor.sweep(rng, s, count, weights, discount)
+            assert (np.bincount(s.owner, s.size, n) == c).all() and (s.size > 0).all() and (np.diff(s.owner) >= 0).all()
+        tables = s.tables(n)
+        assert tables.mean() == pytest.approx(sum(t * p for t, p in want.items()), rel=error)
+        assert all(abs((tables == t).mean() - p) < 0.04 for t, p in want.items())
+
+
+def test_a_round_goes_on_from_the_seating_before():
+    rng = np.random.default_rng(7)
+    count = rng.integers(0, 3000, 500)
+    weight = np.full(500, 2.0)
+    s = pitman_yor.opened(rng, count, weight, 0.5)
+    after = np.maximum(count + rng.integers(-400, 400, 500), 0)
+    t = pitman_yor.follow(rng, s, count, after, weight, 0.5)
+    assert (np.bincount(t.owner, t.size, 500) == after).all()
+    assert pitman_yor.follow(rng, s, count, np.zeros(500, int), weight, 0.5).size.sum() == 0
+    # One customer more or less leaves the other tables as they were.
+    big = pitman_yor.Seating(np.zeros(3, int), np.array([5, 9, 2]))
+    one = pitman_yor.follow(rng, big, np.array([16]), np.array([15]), np.array([1.0]), 0.5)
+    assert sum(abs(np.sort(one.size)[::-1][:2] - np.array([9, 5]))) <= 1 and one.size.sum() == 15
 
 
 def test_odd_texts_are_scored(spark, odd, none):
