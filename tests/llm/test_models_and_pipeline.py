@@ -395,6 +395,14 @@ def test_gibbs_chain_keeps_the_seating_law(c, weight, discount, error):
         assert all(abs((tables == t).mean() - p) < 0.04 for t, p in want.items())
 
 
+def test_first_seatings_of_single_customers():
+    rng = np.random.default_rng(3)
+    for discount in (0.05, 0.5, 0.95):
+        for n in (0, 40):
+            s = pitman_yor.opened(rng, np.arange(n) % 4, np.full(n, 9.0), discount)
+            assert (np.bincount(s.owner, s.size, n) == np.arange(n) % 4).all()
+
+
 def test_a_round_goes_on_from_the_seating_before():
     rng = np.random.default_rng(7)
     count = rng.integers(0, 3000, 500)
