@@ -3,21 +3,23 @@
 Every context is a restaurant whose tables send their dishes, as customers, to
 the parent restaurant that all contexts share; the parent's own tables are laid
 from a uniform base over the learned tokens and one for all others. A context is
-the word before. The most frequent words, the head, have a restaurant each; other
-words share ``TAIL_CONTEXTS`` restaurants by their hash; a text's start has one.
-
-Tokens are dealt to buckets: a frequent token together with its context, any
-other by itself, so a bucket has all that a rare token needs, and no bucket
-grows with a token's frequency. A bucket is one row of a written table, packed
-in arrays, and holds about ``BUCKET_TOKENS`` tokens; the number of buckets grows
-with the input. The chain begins with a seating close to its law; a
+the word before, or a text's start, and every context has a restaurant of its own.
+
+The most frequent words are the head, all others are rare. Tokens are dealt to
+buckets: a rare token by itself, its home; a head token with its context, in the
+context's home if that is rare. So a bucket has all that a rare token needs, and no
+bucket grows with a head word's frequency. A bucket is one row of a bucketed table,
+packed in arrays, and holds about ``BUCKET_TOKENS`` tokens; the number of buckets
+grows with the input. Rare contexts of rare tokens lie in several buckets. What
+these have in them is summed by context once a round, and listed for the buckets
+it came from, which don't move. The chain begins with a seating close to its law; a
 round lifts half the customers of every restaurant by Gibbs steps, seats them
 anew by the Chinese restaurant process, and goes on from the seating the round
 before left. A pair's new and closed tables are customers that enter and leave
 the parent's seating. Seatings are kept as table sizes, so they grow with tables,
 not with customers. Buckets take the number of tables in each context, and the
-parent's counts, from the round before; the sums for the next round are a group-by
-with a fixed number of keys. Predictive probabilities
+parent's counts, from the round before; the sums over start and head words for the
+next round are a group-by with a fixed number of keys. Predictive probabilities
 of the last ``SAMPLES`` rounds are averaged, and their logarithms summed by
 document. Draws are seeded by round and bucket: a lost task repeats them exactly.
 
@@ -34,9 +36,11 @@ names, are not read. Equal counts need no order, so ties change nothing.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -44,14 +48,15 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from surgelens.llm.common import raw, small_batches, stored
+from surgelens.session import scratch_path
 
 HEAD = 32_768
-TAIL_CONTEXTS = 1024
-START = HEAD + TAIL_CONTEXTS
+START = HEAD  # the number of a text's start among contexts
+RARE = HEAD + 1  # rare contexts of a bucket are numbered from here on
 END = 0  # the number of the end token; head words follow
 BUCKET_TOKENS = 1_200_000
 CHUNK_BYTES = 4 * 1024 * 1024
@@ -66,6 +71,7 @@ SINGLY = 8
 SHARE = 16
 
 _TRAIN = 1 << 15
+_DOC_BITS = 15
 
 
 # ---------------------------------------------------------------- seating
@@ -327,28 +333,30 @@ def packed(docs: DataFrame, head: list[bytes], buckets: int) -> DataFrame:
             word = np.concatenate(tokens).astype(np.int64)
             doc = np.repeat(np.arange(len(ids)), lengths)
             before = np.empty_like(word)
-            before[1:] = word[:-1]
-            starts = np.cumsum(lengths) - lengths
-            rare = before >= HEAD
-            before[0] = 0
-            rare[0] = False
-            before[rare] = HEAD + (hashes[before[rare] - HEAD] % np.uint64(TAIL_CONTEXTS)).astype(np.int64)
-            before[starts] = START
-            key = np.sort(word << 36 | before << 16 | doc)
-            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-            times = np.diff(np.append(first, len(key)))
-            key = key[first]
+            before[1:] = np.where(word[:-1] < HEAD, word[:-1], word[:-1] - HEAD + RARE)
+            before[np.cumsum(lengths) - lengths] = START
+            bits = (RARE + len(tail)).bit_length()
+            if 2 * bits + _DOC_BITS < 64:
+                key = np.sort(word << bits + _DOC_BITS | before << _DOC_BITS | doc)
+                word, context, doc = key >> bits + _DOC_BITS, key >> _DOC_BITS & (1 << bits) - 1, key & (1 << _DOC_BITS) - 1
+            else:
+                order = np.lexsort((doc, before, word))
+                word, context, doc = word[order], before[order], doc[order]
+            new = (np.diff(word) != 0) | (np.diff(context) != 0) | (np.diff(doc) != 0)
+            first = np.flatnonzero(np.concatenate(([True], new)))
+            times = np.diff(np.append(first, len(word)))
             # A count has one byte; larger ones take several rows.
             times_of = -(-times // 255)
-            key = np.repeat(key, times_of)
+            word, context, doc = (np.repeat(v[first], times_of) for v in (word, context, doc))
             last = np.cumsum(times_of) - 1
-            cut = np.full(len(key), 255, np.int64)
+            cut = np.full(len(word), 255, np.int64)
             cut[last] = times - 255 * (times_of - 1)
-            word, context, doc = key >> 36, key >> 16 & 0xFFFF, key & 0xFFFF
             doc = doc | np.where(np.array(train)[doc], _TRAIN, 0)
-            is_head = word < HEAD
+            is_head, is_rare = word < HEAD, context >= RARE
             own = np.where(is_head, word << 16 | context, 0).astype(np.uint64)
+            own[is_rare] = hashes[context[is_rare] - RARE]
             own[~is_head] = hashes[word[~is_head] - HEAD]
+            mark = np.minimum(context, RARE)
             bucket = (_mixed(own) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -358,17 +366,20 @@ def packed(docs: DataFrame, head: list[bytes], buckets: int) -> DataFrame:
                 h = i[is_head[i]]
                 t = i[~is_head[i]]
                 local, rows_of = np.unique(word[t], return_counts=True)
+                rare_h, rare_t = h[is_rare[h]], t[is_rare[t]]
                 parts = [
-                    np.array([len(h), len(local), len(t)], "<u4"),
+                    np.array([len(h), len(local), len(t), len(rare_h), len(rare_t)], "<u4"),
                     word[h].astype("<u2"),
-                    context[h].astype("<u2"),
+                    mark[h].astype("<u2"),
                     doc[h].astype("<u2"),
                     cut[h].astype("u1"),
                     hashes[local - HEAD].astype("<u8"),
                     rows_of.astype("<u4"),
-                    context[t].astype("<u2"),
+                    mark[t].astype("<u2"),
                     doc[t].astype("<u2"),
                     cut[t].astype("u1"),
+                    hashes[context[rare_h] - RARE].astype("<u8"),
+                    hashes[context[rare_t] - RARE].astype("<u8"),
                 ]
                 found.append(int(b))
                 blobs.append(squeeze.compress(b"".join(p.tobytes() for p in parts)))
@@ -404,22 +415,42 @@ def packed(docs: DataFrame, head: list[bytes], buckets: int) -> DataFrame:
     return docs.select("doc_id", "train", "text").mapInArrow(pack, schema)
 
 
-_TYPES = {"word": "<u4", "context": "<u2", "count": "<u4", "rows": "<u4", "chunk": "<u4", "doc": "<u2", "times": "u1"}
+_TYPES = {"word": "<u4", "context": "<u4", "count": "<u4", "rows": "<u4", "chunk": "<u4", "doc": "<u2", "times": "u1", "keys": "<u8"}
+
+
+def _numbered(names: np.ndarray, words: np.ndarray, contexts: np.ndarray, word_times: np.ndarray, times: np.ndarray):
+    """Numbers of a bucket's rare contexts, and the hashes of those, numbered first and
+    rising, that may have places in other buckets too. ``contexts`` has the hash of every
+    place with a rare context, ``times`` its weight. A context that is at home (``names``:
+    the rare tokens; ``words``: the token of every place, ``word_times`` its weight) and
+    precedes as many places here as it has itself has none elsewhere."""
+    keys, at = np.unique(contexts, return_inverse=True)
+    if not len(keys):
+        return at, keys
+    here = np.bincount(at, times, len(keys))
+    occurs = np.append(np.bincount(words, word_times, len(names)), np.inf)
+    home = np.searchsorted(names, keys)
+    home[~np.isin(keys, names)] = len(names)
+    apart = occurs[home] > here
+    number = np.empty(len(keys), np.int64)
+    number[np.argsort(~apart, kind="stable")] = np.arange(len(keys))
+    return number[at], keys[apart]
 
 
 def bucketed(rows: DataFrame, buckets: int) -> DataFrame:
     """A row for each bucket: its pairs (token, context), how often each was learned,
-    and all their places, sorted by pair. Rare tokens are numbered from ``HEAD`` on.
+    and all their places, sorted by pair. Rare tokens are numbered from ``HEAD`` on, rare
+    contexts from ``RARE`` on, first those with ``keys``: they may be in other buckets too.
     The rows of chunks' documents pass through."""
     lists = {c: rows.schema[c].dataType.simpleString() for c in ("doc_ids", "train", "n_tokens")}
 
     def merged(bucket: int, chunks: list[str], blobs: list[bytes]) -> pa.RecordBatch:
         parts: dict[str, list[np.ndarray]] = {c: [] for c in ("word", "context", "doc", "times", "chunk")}
-        keys, key_rows, tails = [], [], []
+        keys, key_rows, tails, head_contexts, tail_contexts = [], [], [], [], []
         for c, squeezed in enumerate(blobs):
             blob = zstandard.decompress(squeezed)
-            h, k, t = np.frombuffer(blob, "<u4", 3).tolist()
-            at = 12
+            h, k, t, rare_h, rare_t = np.frombuffer(blob, "<u4", 5).tolist()
+            at = 20
 
             def take(kind: str, n: int) -> np.ndarray:
                 nonlocal at
@@ -431,29 +462,36 @@ def bucketed(rows: DataFrame, buckets: int) -> DataFrame:
             keys.append(take("<u8", k))
             key_rows.append(take("<u4", k))
             tails.append([take("<u2", t), take("<u2", t), take("u1", t)])
+            head_contexts.append(take("<u8", rare_h))
+            tail_contexts.append(take("<u8", rare_t))
             for name, values in zip(("word", "context", "doc", "times"), own):
                 parts[name].append(values.astype(np.uint32))
             parts["chunk"].append(np.full(h, c, np.uint32))
-        _, local = np.unique(np.concatenate(keys), return_inverse=True)
+        names, local = np.unique(np.concatenate(keys), return_inverse=True)
         parts["word"].append((HEAD + np.repeat(local, np.concatenate(key_rows))).astype(np.uint32))
         for c, (context, doc, times) in enumerate(tails):
             parts["chunk"].append(np.full(len(context), c, np.uint32))
             for name, values in (("context", context), ("doc", doc), ("times", times)):
                 parts[name].append(values.astype(np.uint32))
         flat = {name: np.concatenate(values) for name, values in parts.items()}
-        pair = flat["word"].astype(np.uint64) << np.uint64(16) | flat["context"]
+        rare, away = flat["word"] >= HEAD, np.flatnonzero(flat["context"] == RARE)
+        contexts = np.concatenate(head_contexts + tail_contexts)
+        number, shared = _numbered(names, flat["word"][rare] - HEAD, contexts, flat["times"][rare], flat["times"][away])
+        flat["context"][away] += number.astype(np.uint32)
+        pair = flat["word"].astype(np.uint64) << np.uint64(32) | flat["context"]
         order = np.argsort(pair, kind="stable")
         pair = pair[order]
         first = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
         learned = np.where(flat["doc"] & _TRAIN, flat["times"], 0)[order]
         columns = {
-            "word": pair[first] >> np.uint64(16),
-            "context": pair[first] & np.uint64(0xFFFF),
+            "word": pair[first] >> np.uint64(32),
+            "context": pair[first] & np.uint64(0xFFFFFFFF),
             "count": np.add.reduceat(learned, first),
             "rows": np.diff(np.append(first, len(pair))),
             "chunk": flat["chunk"][order],
             "doc": (flat["doc"] & (_TRAIN - 1))[order],
             "times": flat["times"][order],
+            "keys": shared,
         }
         values = [pa.array([bucket], pa.int32()), pa.array([chunks], pa.list_(pa.string()))]
         values += [pa.array([columns[c].astype(k).tobytes()], pa.binary()) for c, k in _TYPES.items()]
@@ -491,6 +529,22 @@ def bucketed(rows: DataFrame, buckets: int) -> DataFrame:
     return dealt.sortWithinPartitions("bucket", "chunk").mapInArrow(merge, schema)
 
 
+def dealt_table(rows: DataFrame, buckets: int, name: str = "buckets") -> DataFrame:
+    """The rows written as a table that Spark knows to be dealt by ``bucket``: joins of
+    such tables move no row."""
+    spark, table = rows.sparkSession, f"op3_{name}_{uuid.uuid4().hex}"
+    writer = rows.write.format("parquet").option("compression", "zstd").bucketBy(buckets, "bucket")
+    # A task has one bucket, or few: open files take less than a sort of such long rows.
+    writers = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(writers)
+    spark.conf.set(writers, "4")
+    try:
+        writer.option("path", scratch_path(spark, name)).saveAsTable(table)
+    finally:
+        spark.conf.set(writers, before)
+    return spark.table(table)
+
+
 # ---------------------------------------------------------------- rounds
 
 
@@ -498,13 +552,13 @@ def bucketed(rows: DataFrame, buckets: int) -> DataFrame:
 class Counts:
     """What buckets share: customers and tables, by context, by head word, in all."""
 
-    customers: np.ndarray  # by context, fixed
+    customers: np.ndarray  # by context that isn't rare, fixed
     learned: np.ndarray  # head words, fixed: how often they were learned
     distinct: int  # learned tokens
     whole: int  # tokens learned from
     discount: float
     parent_discount: float
-    tables: np.ndarray  # by context
+    tables: np.ndarray  # by context that isn't rare
     sent: np.ndarray  # head words: customers in the parent restaurant
     laid: np.ndarray  # head words: tables there
     all_sent: int
@@ -528,10 +582,36 @@ class Bucket:
     word: np.ndarray
     context: np.ndarray
     count: np.ndarray
+    # Hashes of the rare contexts that may be in other buckets; which of them are and
+    # have a pair, anywhere, whose tables can change; their customers in other buckets,
+    # and their tables there after each round.
+    keys: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
+    moving: np.ndarray | None = None
+    guests: np.ndarray | None = None
+    elsewhere: list[np.ndarray] = field(default_factory=list)
     tail: int = field(init=False)
+    rare: int = field(init=False)
 
     def __post_init__(self):
-        self.tail = int(self.word.max()) + 1 - HEAD if len(self.word) and self.word.max() >= HEAD else 0
+        self.tail = max(0, int(self.word.max(initial=0)) + 1 - HEAD)
+        self.rare = max(0, int(self.context.max(initial=0)) + 1 - RARE)
+
+    def by_rare(self, values: np.ndarray, other: np.ndarray | None = None) -> np.ndarray:
+        """Sums over the pairs of each rare context, here and in other buckets."""
+        own = self.context >= RARE
+        sums = np.bincount(self.context[own] - RARE, values[own], self.rare).astype(np.int64)
+        if other is not None:
+            sums[: len(other)] += other
+        return sums
+
+    def by_context(self, values: np.ndarray) -> np.ndarray:
+        """Sums over the pairs of each context that isn't rare."""
+        own = self.context < RARE
+        return np.bincount(self.context[own], values[own], START + 1)
+
+    def tables(self, g: Counts, turn: int, found: np.ndarray) -> np.ndarray:
+        """Tables of every context after a round, ``found`` of each pair here."""
+        return np.concatenate((g.tables, self.by_rare(found, self.elsewhere[turn] if self.elsewhere else None)))
 
     def by_tail(self, values: np.ndarray) -> np.ndarray:
         """Sums over the pairs of each rare token."""
@@ -558,7 +638,7 @@ class Bucket:
         s = above = None
         for turn, g in enumerate(rounds, 1):
             rng = np.random.default_rng([turn, self.number])
-            opening = STRENGTH + g.discount * g.tables[self.context[many]]
+            opening = STRENGTH + g.discount * self.tables(g, turn - 1, found)[self.context[many]]
             opening = opening * self.prior(g, sent, laid)[many]
             s = sweep(rng, s or opened(rng, count, opening, g.discount), count, opening, g.discount)
             found = found.copy()
@@ -575,31 +655,72 @@ class Bucket:
 
 
 def _bucket(row: pa.RecordBatch) -> Bucket:
-    own = {c: np.frombuffer(row.column(c)[0].as_py(), _TYPES[c]) for c in ("word", "context", "count")}
-    return Bucket(row.column("bucket")[0].as_py(), own["word"].astype(np.int64), own["context"].astype(np.int64), own["count"])
+    own = {c: np.frombuffer(row.column(c)[0].as_py(), _TYPES[c]) for c in ("word", "context", "count", "keys")}
+    b = Bucket(row.column("bucket")[0].as_py(), own["word"].astype(np.int64), own["context"].astype(np.int64), own["count"], own["keys"])
+    told = lambda name: row.column(name).flatten().to_numpy(zero_copy_only=False)
+    while f"ids{len(b.elsewhere)}" in row.schema.names:
+        turn = len(b.elsewhere)
+        at = np.searchsorted(b.keys, told(f"ids{turn}").view(np.uint64))
+        b.elsewhere.append(b.elsewhere[0].copy() if turn else np.zeros(len(b.keys), np.int64))
+        b.elsewhere[turn][at] = told(f"n{turn}")
+        if not turn:
+            b.guests, b.moving = np.zeros(len(b.keys), np.int64), np.zeros(len(b.keys), bool)
+            b.guests[at], b.moving[at] = told("m0"), told("q0") > 0
+    return b
+
 
+def told(table: DataFrame, exchanged: list[DataFrame]) -> DataFrame:
+    """The table, with what its buckets were told after each round."""
+    return reduce(lambda t, e: t.join(e.hint("shuffle_hash"), "bucket", "left"), exchanged, table)
 
-# Kinds of sums that buckets pass on.
-_BY_CONTEXT, _BY_HEAD, _HEAD_LEARNED, _TOTALS = range(4)
 
+# Kinds of sums that buckets pass on. Shared are rare contexts, by their hash.
+_BY_CONTEXT, _BY_HEAD, _HEAD_LEARNED, _TOTALS, _SHARED = range(5)
 
-def _sums(table: DataFrame, of) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+
+def _sums(table: DataFrame, buckets: int, turn: int, of) -> tuple[dict[int, tuple[np.ndarray, np.ndarray]], DataFrame]:
     """Sums over all buckets of what ``of`` gives for each ({kind: array}), as
-    {kind: (ids, sums)}. The number of keys is fixed: contexts, head words, totals."""
+    {kind: (ids, sums)}; the number of keys is fixed: contexts, head words, totals.
+
+    ``of`` also gives, for every rare context, its tables, customers and pairs of several
+    customers. A row for each bucket lists the contexts that other buckets have too, with
+    the tables and customers there, and such pairs anywhere. After the first round, only
+    contexts with such pairs are listed again: the others keep one table for each pair.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                for kind, values in of(_bucket(batch.slice(k, 1))).items():
+                b = _bucket(batch.slice(k, 1))
+                found, shared = of(b)
+                at = np.arange(len(b.keys)) if b.moving is None else np.flatnonzero(b.moving)
+                yield rows(b, _SHARED, b.keys[at].view(np.int64), *(v[at] for v in shared))
+                for kind, values in found.items():
                     values = np.asarray(values)
                     at = np.flatnonzero(values)
-                    columns = [pa.array(np.full(len(at), kind, np.int32)), pa.array(at.astype(np.int32)), pa.array(values[at].astype(np.int64))]
-                    yield pa.RecordBatch.from_arrays(columns, ["kind", "id", "n"])
+                    yield rows(b, kind, at, values[at], *[np.zeros(len(at))] * 2)
 
-    rows = table.select("bucket", "word", "context", "count").mapInArrow(emit, "kind int, id int, n long")
-    summed = rows.groupBy("kind", "id").agg(F.sum("n").alias("n")).toArrow()
+    def rows(b: Bucket, kind: int, *values: np.ndarray) -> pa.RecordBatch:
+        n = len(values[0])
+        columns = [np.full(n, kind, np.int32), np.full(n, b.number, np.int32), *(v.astype(np.int64) for v in values)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kind", "bucket", "id", "n", "m", "q"])
+
+    passed = table.drop("chunks", "rows", "chunk", "doc", "times")
+    passed = stored(passed.mapInArrow(emit, "kind int, bucket int, id long, n long, m long, q long"), "sums", "zstd")
+    summed = passed.filter(F.col("kind") != _SHARED).groupBy("kind", "id").agg(F.sum("n").alias("n")).toArrow()
     kind, at, n = (summed.column(c).to_numpy() for c in ("kind", "id", "n"))
-    return {int(k): (at[kind == k], n[kind == k]) for k in np.unique(kind)}
+    own = Window.partitionBy("id")
+    shared = passed.filter(F.col("kind") == _SHARED).repartition(buckets, "id").select(
+        "bucket",
+        "id",
+        *((F.sum(c).over(own) - F.col(c)).alias(c) for c in ("n", "m")),
+        F.sum("q").over(own).alias("q"),
+        F.count("id").over(own).alias("buckets"),
+    )
+    names = {"ids": "id", "n": "n"} if turn else {"ids": "id", "n": "n", "m": "m", "q": "q"}
+    lists = [F.collect_list(c).alias(f"{name}{turn}") for name, c in names.items()]
+    shared = shared.filter("buckets > 1").repartition(buckets, "bucket").groupBy("bucket").agg(*lists)
+    return {int(k): (at[kind == k], n[kind == k]) for k in np.unique(kind)}, dealt_table(shared, buckets, "shared")
 
 
 def _dense(found: tuple[np.ndarray, np.ndarray] | None, n: int) -> np.ndarray:
@@ -613,23 +734,25 @@ def _discount(ones: int, twos: int) -> float:
     return min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.5
 
 
-def first_counts(table: DataFrame) -> Counts:
-    """Everything with one table for each pair, and one for each token."""
+def first_counts(table: DataFrame, buckets: int) -> tuple[Counts, DataFrame]:
+    """Everything with one table for each pair, and one for each token; and what
+    buckets are to be told of other buckets."""
 
-    def of(b: Bucket) -> dict[int, np.ndarray]:
+    def of(b: Bucket) -> tuple[dict[int, np.ndarray], list[np.ndarray]]:
         pairs = (b.count > 0).astype(np.int64)
         sent, learned = b.by_tail(pairs), b.by_tail(b.count)
         totals = [int(sent.sum()), int((sent > 0).sum()), int((b.count == 1).sum()), int((b.count == 2).sum())]
         totals += [int((sent == 1).sum()), int((sent == 2).sum()), int(learned.sum())]
-        by_context = np.concatenate((np.bincount(b.context, b.count, START + 1), np.bincount(b.context, pairs, START + 1)))
-        return {_BY_CONTEXT: by_context, _BY_HEAD: b.by_head(pairs), _HEAD_LEARNED: b.by_head(b.count), _TOTALS: totals}
+        by_context = np.concatenate((b.by_context(b.count), b.by_context(pairs)))
+        sums = {_BY_CONTEXT: by_context, _BY_HEAD: b.by_head(pairs), _HEAD_LEARNED: b.by_head(b.count), _TOTALS: totals}
+        return sums, [b.by_rare(v) for v in (pairs, b.count, b.count > 1)]
 
-    found = _sums(table, of)
+    found, shared = _sums(table, buckets, 0, of)
     contexts = _dense(found.get(_BY_CONTEXT), 2 * (START + 1))
     sent, learned = _dense(found.get(_BY_HEAD), HEAD), _dense(found.get(_HEAD_LEARNED), HEAD)
     tail_sent, tail_words, ones, twos, parent_ones, parent_twos, tail_learned = _dense(found.get(_TOTALS), 7).tolist()
     laid = (sent > 0).astype(np.int64)
-    return Counts(
+    first = Counts(
         customers=contexts[: START + 1],
         learned=learned,
         distinct=int(laid.sum()) + tail_words,
@@ -642,20 +765,21 @@ def first_counts(table: DataFrame) -> Counts:
         all_sent=int(sent.sum()) + tail_sent,
         all_laid=int(laid.sum()) + tail_words,
     )
+    return first, shared
 
 
-def next_counts(table: DataFrame, rounds: list[Counts], head: Seating | None) -> tuple[Counts, Seating]:
-    """One more round in all buckets, given the counts of the rounds before, and in
-    the parent's seating of head words."""
+def next_counts(table: DataFrame, buckets: int, rounds: list[Counts], head: Seating | None) -> tuple[Counts, Seating, DataFrame]:
+    """One more round in all buckets, given the counts of the rounds before and what
+    buckets were ``told``, and in the parent's seating of head words."""
     g, turn = rounds[-1], len(rounds)
 
-    def of(b: Bucket) -> dict[int, np.ndarray]:
+    def of(b: Bucket) -> tuple[dict[int, np.ndarray], list[np.ndarray]]:
         for found, sent, laid in b.chain(rounds):
             pass
-        by_context = np.bincount(b.context, found, START + 1)
-        return {_BY_CONTEXT: by_context, _BY_HEAD: b.by_head(found), _TOTALS: [int(sent.sum()), int(laid.sum())]}
+        sums = {_BY_CONTEXT: b.by_context(found), _BY_HEAD: b.by_head(found), _TOTALS: [int(sent.sum()), int(laid.sum())]}
+        return sums, [b.by_rare(found), *[np.zeros(b.rare)] * 2]
 
-    found = _sums(table, of)
+    found, shared = _sums(table, buckets, turn, of)
     sent = _dense(found.get(_BY_HEAD), HEAD)
     tail_sent, tail_laid = _dense(found.get(_TOTALS), 2).tolist()
     rng = np.random.default_rng([turn, 1 << 40])
@@ -674,20 +798,21 @@ def next_counts(table: DataFrame, rounds: list[Counts], head: Seating | None) ->
         all_sent=int(sent.sum()) + tail_sent,
         all_laid=int(laid.sum()) + tail_laid,
     )
-    return after, head
+    return after, head, shared
 
 
 def probabilities(b: Bucket, rounds: list[Counts], samples: int = SAMPLES) -> np.ndarray:
     """Predictive probability of each pair, averaged over the last ``samples`` rounds."""
     whole = np.zeros(len(b.word))
+    customers = np.concatenate((rounds[0].customers, b.by_rare(b.count, b.guests)))[b.context]
     for turn, (seated, sent, laid) in enumerate(b.chain(rounds[:-1]), 1):
         if turn + samples < len(rounds):
             continue
         g = rounds[turn]
         prior = b.prior(g, sent, laid)
         own = b.count - g.discount * seated
-        back = STRENGTH + g.discount * g.tables[b.context]
-        whole += (own + back * prior) / (STRENGTH + g.customers[b.context])
+        back = STRENGTH + g.discount * b.tables(g, turn, seated)[b.context]
+        whole += (own + back * prior) / (STRENGTH + customers)
     return whole / samples
 
 
@@ -740,15 +865,16 @@ def score(docs: DataFrame, train: str = "train", doc_id: str = "doc_id", text: s
     size = own.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     buckets = max(1, -(-size // (6 * BUCKET_TOKENS)))
     head = head_words(own)
-    both = stored(bucketed(packed(own, head, buckets), buckets), "buckets", "zstd")
+    both = dealt_table(bucketed(packed(own, head, buckets), buckets), buckets)
     kept = both.filter("bucket < 0").select(F.col("chunks")[0].alias("chunk"), "doc_ids", "train", "n_tokens")
     table = both.filter("bucket >= 0").drop("doc_ids", "train", "n_tokens")
 
-    rounds = [first_counts(table)]
-    head_seating = None
+    first, shared = first_counts(table, buckets)
+    rounds, exchanged, head_seating = [first], [shared], None
     for _ in range(ROUNDS):
-        after, head_seating = next_counts(table, rounds, head_seating)
+        after, head_seating, shared = next_counts(told(table, exchanged), buckets, rounds, head_seating)
         rounds.append(after)
+        exchanged.append(shared)
     whole, distinct = rounds[0].whole, rounds[0].distinct
     floor = float(np.log10(whole + 0.1 * (distinct + 1)))
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -790,7 +916,7 @@ def score(docs: DataFrame, train: str = "train", doc_id: str = "doc_id", text: s
         if ids is not None:
             yield done()
 
-    parts = _partial(table, rounds)
+    parts = _partial(told(table, exchanged), rounds)
     nothing = [F.lit(None).cast(kept.schema[c].dataType).alias(c) for c in ("doc_ids", "train", "n_tokens")]
     both = kept.select("chunk", F.lit(0).alias("kind"), F.lit(None).cast("binary").alias("blob"), "doc_ids", "train", "n_tokens")
     both = both.unionAll(parts.select("chunk", F.lit(1).alias("kind"), "blob", *nothing))

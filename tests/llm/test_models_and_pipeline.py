@@ -418,6 +418,50 @@ def test_a_round_goes_on_from_the_seating_before():
     assert sum(abs(np.sort(one.size)[::-1][:2] - np.array([9, 5]))) <= 1 and one.size.sum() == 15
 
 
+def test_every_context_has_a_restaurant_of_its_own(spark, monkeypatch):
+    """More words than the head takes, all as frequent: all are rare. Each pair is
+    learned once, so all texts have equal probability if no two contexts share."""
+    monkeypatch.setattr(pitman_yor, "BUCKET_TOKENS", 40_000)  # several buckets
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.expr("concat('a', id, ' b', id)").alias("text"), F.lit(True).alias("train"))
+    got = [r.score for r in pitman_yor.score(docs).collect()]
+    assert len(got) == 40_000 and max(got) - min(got) < 1e-9
+
+
+def test_buckets_know_all_of_their_contexts(spark, monkeypatch):
+    """Tables and customers of contexts whose pairs lie in several buckets."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.6, 40) % 300) for _ in range(400)]
+    rows = [(i, t.encode(), i % 5 != 0) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text binary, train boolean").repartition(3)
+    monkeypatch.setattr(pitman_yor, "CHUNK_DOCS", 50)
+    table = pitman_yor.dealt_table(pitman_yor.bucketed(pitman_yor.packed(docs, [b"w1"], 7), 7), 7).filter("bucket >= 0")
+    first, shared = pitman_yor.first_counts(table, 7)
+    after, _, later = pitman_yor.next_counts(pitman_yor.told(table, [shared]), 7, [first], None)
+    whole = pitman_yor.told(table, [shared, later])
+    assert "Exchange" not in whole._jdf.queryExecution().executedPlan().toString()
+    pairs = Counter()
+    for _, t, learned in rows:
+        words = t.split() if learned else []
+        pairs.update(zip(words, [*words[1:], None]))
+    customers, tables = Counter(), Counter()
+    for (c, _), n in pairs.items():
+        customers[c], tables[c] = customers[c] + n, tables[c] + 1
+    names = {pitman_yor.xxhash.xxh64_intdigest(w): w for w in {w for _, t, _ in rows for w in t.split()}}
+    seated, several = {}, 0
+    for batch in whole.toArrow().to_batches():
+        for k in range(batch.num_rows):
+            b = pitman_yor._bucket(batch.slice(k, 1))
+            learned = b.count > 0
+            one = b.tables(first, 0, learned)[pitman_yor.RARE :]
+            two = b.tables(after, 1, next(b.chain([first]))[0])[pitman_yor.RARE :]
+            crowd = b.by_rare(b.count, b.guests)
+            for key, x, y, n in zip(b.keys.tolist(), one, two, crowd):
+                assert (x, n) == (tables[names[key]], customers[names[key]])
+                assert seated.setdefault(key, y) == y >= x
+            several += int(b.moving.sum())
+    assert several > 100
+
+
 def test_odd_texts_are_scored(spark, odd, none):
     marked = odd.withColumn("train", F.when(F.col("doc_id") != 4, F.col("doc_id") % 3 != 0))
     got = pitman_yor.score(marked).collect()
