@@ -196,14 +196,17 @@ def unknown_fields(spark: SparkSession, sf: str) -> DataFrame:
     convert.write_partitioned(records, path + "/json", fmt="json")
     logs.read_waf(spark, path + "/json", keep_unknown=True).write.parquet(path + "/parquet")
     rows = spark.read.parquet(path + "/parquet")
-    lines = spark.read.text(path + "/json").select(F.to_json(F.parse_json("value")).alias("line"), F.lit(1).alias("known")).distinct()
+    lines = spark.read.text(path + "/json").select(F.to_json(F.parse_json("value")).alias("line"), F.lit(1).alias("known"))
+    # Lines begin alike, so sorting them compares long texts; their hashes go first.
+    lines = lines.select(F.xxhash64("line").alias("hash"), "line", "known").distinct()
     rebuilt = rows.select(
         F.variant_get("unknown_fields", "$.httpRequest.hint", "string").alias("hint"),
         F.variant_get("unknown_fields", "$.note.rule", "string").alias("note"),
         F.to_json(logs.whole_record(rows)).alias("line"),
     )
+    rebuilt = rebuilt.withColumn("hash", F.xxhash64("line"))
     changed = F.count_if(F.col("known").isNull()).alias("n_changed")
-    return rebuilt.join(lines, "line", "left").groupBy("hint", "note").agg(F.count(F.lit(1)).alias("n_rows"), changed)
+    return rebuilt.join(lines, ["hash", "line"], "left").groupBy("hint", "note").agg(F.count(F.lit(1)).alias("n_rows"), changed)
 
 
 def _broken_lines(spark: SparkSession, sf: str) -> DataFrame:

@@ -61,9 +61,12 @@ def _whole(value: Column, rest: Column, kind: DataType) -> Column:
     if not isinstance(kind, StructType):
         return _object(value) if isinstance(kind, ArrayType) else value.cast("variant")
     more = F.try_variant_get(rest, "$", FIELDS_OF)
-    pairs = [part for f in kind.fields for part in (F.lit(f.name), _whole(value[f.name], more[f.name], f.dataType))]
+    # By its path: a look into ``more`` would take all fields apart again for each one.
+    inner = lambda name: F.try_variant_get(rest, f"$['{name}']", "variant")
+    pairs = [part for f in kind.fields for part in (F.lit(f.name), _whole(value[f.name], inner(f.name), f.dataType))]
     known = F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
-    added = F.coalesce(F.map_filter(more, lambda name, _: ~name.isin(kind.fieldNames())), F.map_filter(known, lambda _, __: F.lit(False)))
+    added = F.map_filter(more, lambda name, _: ~name.isin(kind.fieldNames()))
+    added = F.coalesce(added, F.create_map().cast(FIELDS_OF))
     return F.when(value.isNotNull() | more.isNotNull(), _object(F.map_concat(known, added)))
 
 

@@ -338,3 +338,12 @@ def test_sql_job(spark, tmp_path):
     for bad in ("1; DROP TABLE x", "a`b", "", "a b", "x\n"):
         with pytest.raises(ValueError):
             fill_places("${x}", {"x": bad})
+
+
+def test_records_are_taken_apart_once_per_level(spark):
+    """Rebuilding looks into a level's unknown fields by path, not by one map of all of
+    them per field: seven levels, at most two looks each."""
+    schema = logs._stored(logs.canonical_waf(logs.empty(spark, WAF)).schema, True)
+    rows = logs.empty(spark, schema)
+    plan = rows.select(logs.whole_record(rows))._jdf.queryExecution().analyzed().toString()
+    assert 7 <= plan.count("MapType(StringType,VariantType") <= 14
