@@ -37,21 +37,20 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 from functools import reduce
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surgelens.llm.common import raw, small_batches, stored
+from surgelens.llm.common import BATCH_ROWS, raw, small_batches, stored
 from surgelens.session import scratch_path
 
 HEAD = 32_768
@@ -90,6 +89,20 @@ class Seating:
         return np.bincount(self.owner, minlength=n).astype(np.int64)
 
 
+def _order(key: np.ndarray) -> np.ndarray:
+    """Places of the keys, none negative, in stable order. Numbers sort faster than
+    places by number, so each key is sorted with its place in the low bits, if both fit."""
+    bits = len(key).bit_length()
+    if int(key.max(initial=0)) >> 63 - bits:
+        return np.argsort(key, kind="stable")
+    key = key.astype(np.int64)
+    key <<= bits
+    key |= np.arange(len(key))
+    key.sort()
+    key &= (1 << bits) - 1
+    return key
+
+
 def _ranked(owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Where each restaurant's tables begin, and how many there are."""
     tables = np.bincount(owner, minlength=n)
@@ -153,7 +166,7 @@ def seat(rng, s: Seating, more: np.ndarray, weight: np.ndarray, discount: float)
         return Seating(owner, size)
     owner = np.concatenate((owner, np.repeat(np.arange(n), fresh)))
     size = np.concatenate((size, np.ones(int(fresh.sum()), np.int64)))
-    order = np.argsort(owner, kind="stable")
+    order = _order(owner)
     return Seating(owner[order], size[order])
 
 
@@ -193,7 +206,7 @@ def opened(rng, count: np.ndarray, weight: np.ndarray, discount: float) -> Seati
     rest = crowd - np.bincount(owner, size, len(own)).astype(np.int64)
     owner = np.concatenate((np.arange(len(own)), owner))
     size = np.concatenate((rest, size))
-    order = np.argsort(owner, kind="stable")
+    order = _order(owner)
     return Seating(own[owner[order]], size[order])
 
 
@@ -256,30 +269,43 @@ def sweep(rng, s: Seating, count: np.ndarray, weight: np.ndarray, discount: floa
     if not owners:
         return s
     owner, size = np.concatenate(owners), np.concatenate(sizes)
-    order = np.argsort(owner, kind="stable")
+    order = _order(owner)
     return Seating(owner[order], size[order])
 
 
 # ---------------------------------------------------------------- packing
 
 
+def _words(text: pa.Array) -> pa.Array:
+    """Lists of the lower-cased words of texts; white space around a text leaves empty
+    ones. As bytes: Arrow's functions for ASCII leave all other bytes alone."""
+    return pc.ascii_split_whitespace(pc.ascii_lower(text.cast(pa.binary()).view(pa.string())))
+
+
 def head_words(docs: DataFrame) -> list[bytes]:
     """The most frequent words of the learned texts, ``HEAD - 1`` at most: all words
     above a count, which a histogram of counts gives."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
+        parts: list[pa.Table] = []
 
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
+        def rows() -> Iterator[pa.RecordBatch]:
+            for part in parts:
+                for own in part.to_batches(max_chunksize=BATCH_ROWS):
+                    yield pa.RecordBatch.from_arrays([own.column("word").view(pa.binary()), own.column("n")], ["word", "n"])
 
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                held.update((text or b"").lower().split())
-                if len(held) > WORDS_HELD:
-                    yield rows()
-                    held.clear()
-        yield rows()
+            found = pc.value_counts(_words(batch.column("text")).flatten())
+            found = pa.table({"word": found.field(0), "n": found.field(1)})
+            parts.append(found.filter(pc.not_equal(found["word"], "")))
+            if sum(map(len, parts)) > WORDS_HELD:
+                whole = pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+                parts = [whole.select(["word", "n_sum"]).rename_columns(["word", "n"])]
+                if len(whole) > WORDS_HELD:
+                    yield from rows()
+                    parts = []
+        yield from rows()
+        pa.default_memory_pool().release_unused()
 
     counted = docs.filter("train").select("text").mapInArrow(count, "word binary, n long")
     words = stored(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
@@ -304,18 +330,15 @@ def packed(docs: DataFrame, head: list[bytes], buckets: int) -> DataFrame:
     """A chunk's documents, as a row with a number below 0 for its bucket, and a
     chunk's tokens of each bucket."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    number = {w: i + 1 for i, w in enumerate(head)}
-
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
         squeeze = zstandard.ZstdCompressor(level=1)
         ids: list = []
         train: list[bool] = []
-        lengths: list[int] = []
-        tokens: list[np.ndarray] = []
-        tail: dict[bytes, int] = {}
+        texts: list[pa.Array] = []
         size = 0
         id_type = None
+        known = pa.array(head, pa.binary())
 
         def rows(bucket, blob, doc_ids, trains, ns) -> pa.RecordBatch:
             values = [
@@ -329,8 +352,23 @@ def packed(docs: DataFrame, head: list[bytes], buckets: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(values, ["chunk", "bucket", "blob", "doc_ids", "train", "n_tokens"])
 
         def chunk() -> Iterator[pa.RecordBatch]:
-            hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in tail), np.uint64, len(tail))
-            word = np.concatenate(tokens).astype(np.int64)
+            words = _words(pa.concat_arrays(texts))
+            lengths = pc.list_value_length(words).fill_null(0).to_numpy()
+            coded = words.flatten().dictionary_encode()
+            code, names = coded.indices.to_numpy(), coded.dictionary.view(pa.binary())
+            number = pc.index_in(names, value_set=known).fill_null(-1).to_numpy() + 1
+            blank = pc.equal(names, b"").to_numpy(zero_copy_only=False)
+            tail = np.flatnonzero((number == 0) & ~blank)
+            number = number.astype(np.int64)
+            number[tail] = HEAD + np.arange(len(tail))
+            rare = names.take(pa.array(tail)).to_numpy(zero_copy_only=False)
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, rare), np.uint64, len(tail))
+            real = ~blank[code]
+            lengths = np.bincount(np.repeat(np.arange(len(ids)), lengths)[real], minlength=len(ids)) + 1
+            word = np.full(lengths.sum(), END)
+            inner = np.ones(len(word), bool)
+            inner[np.cumsum(lengths) - 1] = False
+            word[inner] = number[code[real]]
             doc = np.repeat(np.arange(len(ids)), lengths)
             before = np.empty_like(word)
             before[1:] = np.where(word[:-1] < HEAD, word[:-1], word[:-1] - HEAD + RARE)
@@ -358,7 +396,7 @@ def packed(docs: DataFrame, head: list[bytes], buckets: int) -> DataFrame:
             own[~is_head] = hashes[word[~is_head] - HEAD]
             mark = np.minimum(context, RARE)
             bucket = (_mixed(own) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
+            order = _order(bucket)
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
             found, blobs = [], []
             for b in np.flatnonzero(np.diff(edges)):
@@ -384,29 +422,31 @@ def packed(docs: DataFrame, head: list[bytes], buckets: int) -> DataFrame:
                 found.append(int(b))
                 blobs.append(squeeze.compress(b"".join(p.tobytes() for p in parts)))
             spread = xxhash.xxh32_intdigest(f"{part}-{made}") % buckets
-            yield rows([-1 - spread], [None], [ids], [train], [lengths])
+            yield rows([-1 - spread], [None], [ids], [train], [lengths.tolist()])
             for i in range(0, len(found), 64):
                 n = len(found[i : i + 64])
                 yield rows(found[i : i + 64], blobs[i : i + 64], [None] * n, [None] * n, [None] * n)
 
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
-            for doc_id, learned, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "train", "text"))):
-                words = (text or b"").lower().split()
-                own = np.fromiter(map(number.get, words, repeat(-1)), np.int32, len(words))
-                rare = np.flatnonzero(own < 0)
-                own[rare] = [HEAD + tail.setdefault(words[i], len(tail)) for i in rare.tolist()]
-                tokens.append(np.append(own, np.int32(END)))
+            text = batch.column("text")
+            sizes = pc.binary_length(text).fill_null(0).to_pylist()
+            first = 0
+            for i, (doc_id, learned) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "train")))):
                 ids.append(doc_id)
                 train.append(learned)
-                lengths.append(len(words) + 1)
-                size += len(text or b"") + 1
+                size += sizes[i] + 1
                 if size >= CHUNK_BYTES or len(ids) >= CHUNK_DOCS:
+                    texts.append(text[first : i + 1])
                     yield from chunk()
                     made += 1
-                    ids, train, lengths, tokens, tail, size = [], [], [], [], {}, 0
+                    first = i + 1
+                    ids, train, texts, size = [], [], [], 0
+            if first < len(text):
+                texts.append(text[first:])
         if ids:
             yield from chunk()
+        pa.default_memory_pool().release_unused()
 
     schema = (
         f"chunk string, bucket int, blob binary, doc_ids array<{kind}>, train array<boolean>,"
@@ -439,7 +479,7 @@ def _numbered(names: np.ndarray, words: np.ndarray, contexts: np.ndarray, word_t
 
 def bucketed(rows: DataFrame, buckets: int) -> DataFrame:
     """A row for each bucket: its pairs (token, context), how often each was learned,
-    and all their places, sorted by pair. Rare tokens are numbered from ``HEAD`` on, rare
+    and all their places, sorted by pair, each array squeezed. Rare tokens are numbered from ``HEAD`` on, rare
     contexts from ``RARE`` on, first those with ``keys``: they may be in other buckets too.
     The rows of chunks' documents pass through."""
     lists = {c: rows.schema[c].dataType.simpleString() for c in ("doc_ids", "train", "n_tokens")}
@@ -465,27 +505,29 @@ def bucketed(rows: DataFrame, buckets: int) -> DataFrame:
             head_contexts.append(take("<u8", rare_h))
             tail_contexts.append(take("<u8", rare_t))
             for name, values in zip(("word", "context", "doc", "times"), own):
-                parts[name].append(values.astype(np.uint32))
+                parts[name].append(values.astype(_TYPES[name]))
             parts["chunk"].append(np.full(h, c, np.uint32))
         names, local = np.unique(np.concatenate(keys), return_inverse=True)
         parts["word"].append((HEAD + np.repeat(local, np.concatenate(key_rows))).astype(np.uint32))
         for c, (context, doc, times) in enumerate(tails):
             parts["chunk"].append(np.full(len(context), c, np.uint32))
             for name, values in (("context", context), ("doc", doc), ("times", times)):
-                parts[name].append(values.astype(np.uint32))
-        flat = {name: np.concatenate(values) for name, values in parts.items()}
+                parts[name].append(values.astype(_TYPES[name]))
+        flat = {name: np.concatenate(parts.pop(name)) for name in list(parts)}
         rare, away = flat["word"] >= HEAD, np.flatnonzero(flat["context"] == RARE)
         contexts = np.concatenate(head_contexts + tail_contexts)
         number, shared = _numbered(names, flat["word"][rare] - HEAD, contexts, flat["times"][rare], flat["times"][away])
         flat["context"][away] += number.astype(np.uint32)
-        pair = flat["word"].astype(np.uint64) << np.uint64(32) | flat["context"]
-        order = np.argsort(pair, kind="stable")
+        bits = int(flat["context"].max(initial=0)).bit_length()
+        pair = flat["word"].astype(np.int64) << bits | flat["context"]
+        del flat["word"], flat["context"]
+        order = _order(pair)
         pair = pair[order]
         first = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
-        learned = np.where(flat["doc"] & _TRAIN, flat["times"], 0)[order]
+        learned = np.where(flat["doc"] & _TRAIN, flat["times"], np.uint32(0))[order]
         columns = {
-            "word": pair[first] >> np.uint64(32),
-            "context": pair[first] & np.uint64(0xFFFFFFFF),
+            "word": pair[first] >> bits,
+            "context": pair[first] & (1 << bits) - 1,
             "count": np.add.reduceat(learned, first),
             "rows": np.diff(np.append(first, len(pair))),
             "chunk": flat["chunk"][order],
@@ -493,8 +535,9 @@ def bucketed(rows: DataFrame, buckets: int) -> DataFrame:
             "times": flat["times"][order],
             "keys": shared,
         }
+        squeeze = zstandard.ZstdCompressor(level=3)
         values = [pa.array([bucket], pa.int32()), pa.array([chunks], pa.list_(pa.string()))]
-        values += [pa.array([columns[c].astype(k).tobytes()], pa.binary()) for c, k in _TYPES.items()]
+        values += [pa.array([squeeze.compress(columns[c].astype(k).tobytes())], pa.binary()) for c, k in _TYPES.items()]
         values += [pa.nulls(1, t) for t in list_types]
         return pa.RecordBatch.from_arrays(values, ["bucket", "chunks", *_TYPES, *lists])
 
@@ -589,6 +632,9 @@ class Bucket:
     moving: np.ndarray | None = None
     guests: np.ndarray | None = None
     elsewhere: list[np.ndarray] = field(default_factory=list)
+    # The seatings that rounds left, packed; and those of the last round worked out.
+    seatings: list[bytes] = field(default_factory=list)
+    left: tuple[Seating, Seating] | None = None
     tail: int = field(init=False)
     rare: int = field(init=False)
 
@@ -629,7 +675,7 @@ class Bucket:
     def chain(self, rounds: list[Counts]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """After each round: tables of every pair, and the rare tokens' customers and
         tables in the parent. A round goes on from the seating that the one before
-        left; earlier rounds are replayed from their counts, not stored."""
+        left. Rounds whose ``seatings`` are kept are read, not worked out again."""
         many = np.flatnonzero(self.count > 1)
         count = self.count[many].astype(np.int64)
         found = (self.count > 0).astype(np.int64)
@@ -637,35 +683,63 @@ class Bucket:
         laid = (sent > 0).astype(np.int64)
         s = above = None
         for turn, g in enumerate(rounds, 1):
+            kept = turn <= len(self.seatings)
             rng = np.random.default_rng([turn, self.number])
-            opening = STRENGTH + g.discount * self.tables(g, turn - 1, found)[self.context[many]]
-            opening = opening * self.prior(g, sent, laid)[many]
-            s = sweep(rng, s or opened(rng, count, opening, g.discount), count, opening, g.discount)
+            if kept:
+                s, above = _unpacked(self.seatings[turn - 1], len(many), self.tail)
+            else:
+                opening = STRENGTH + g.discount * self.tables(g, turn - 1, found)[self.context[many]]
+                opening = opening * self.prior(g, sent, laid)[many]
+                s = sweep(rng, s or opened(rng, count, opening, g.discount), count, opening, g.discount)
             found = found.copy()
             found[many] = s.tables(len(many))
             before, sent = sent, self.by_tail(found)
-            weight = np.full(self.tail, g.new_parent_table())
-            if above is None:
-                above = opened(rng, sent, weight, g.parent_discount)
-            else:
-                above = follow(rng, above, before, sent, weight, g.parent_discount)
-            above = sweep(rng, above, sent, weight, g.parent_discount)
+            if not kept:
+                weight = np.full(self.tail, g.new_parent_table())
+                if above is None:
+                    above = opened(rng, sent, weight, g.parent_discount)
+                else:
+                    above = follow(rng, above, before, sent, weight, g.parent_discount)
+                above = sweep(rng, above, sent, weight, g.parent_discount)
             laid = above.tables(self.tail)
+            self.left = s, above
             yield found, sent, laid
 
 
+def _packed(seatings: tuple[Seating, Seating], pairs: int, tail: int) -> bytes:
+    """The seatings of the pairs with several customers, and of the rare tokens in the
+    parent: tables of each restaurant, then the customers of each table."""
+    values = (v for s, n in zip(seatings, (pairs, tail)) for v in (s.tables(n), s.size))
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(v.astype("<u4").tobytes() for v in values))
+
+
+def _unpacked(blob: bytes, pairs: int, tail: int) -> Iterator[Seating]:
+    values, at = np.frombuffer(zstandard.decompress(blob), "<u4").astype(np.int64), 0
+    for n in (pairs, tail):
+        owner = np.repeat(np.arange(n), values[at : at + n])
+        yield Seating(owner, values[at + n : at + n + len(owner)])
+        at += n + len(owner)
+
+
+def _column(row: pa.RecordBatch, name: str) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(row.column(name)[0].as_py()), _TYPES[name])
+
+
 def _bucket(row: pa.RecordBatch) -> Bucket:
-    own = {c: np.frombuffer(row.column(c)[0].as_py(), _TYPES[c]) for c in ("word", "context", "count", "keys")}
+    own = {c: _column(row, c) for c in ("word", "context", "count", "keys")}
     b = Bucket(row.column("bucket")[0].as_py(), own["word"].astype(np.int64), own["context"].astype(np.int64), own["count"], own["keys"])
-    told = lambda name: row.column(name).flatten().to_numpy(zero_copy_only=False)
-    while f"ids{len(b.elsewhere)}" in row.schema.names:
+    while f"shared{len(b.elsewhere)}" in row.schema.names:
         turn = len(b.elsewhere)
-        at = np.searchsorted(b.keys, told(f"ids{turn}").view(np.uint64))
+        blobs = row.column(f"shared{turn}")[0].as_py() or []
+        told = np.frombuffer(b"".join(blobs), _TOLD[min(turn, 1)])
+        at = np.searchsorted(b.keys, told["id"])
         b.elsewhere.append(b.elsewhere[0].copy() if turn else np.zeros(len(b.keys), np.int64))
-        b.elsewhere[turn][at] = told(f"n{turn}")
-        if not turn:
+        b.elsewhere[turn][at] = told["n"]
+        if turn:
+            b.seatings.append(row.column(f"seated{turn}")[0].as_py())
+        else:
             b.guests, b.moving = np.zeros(len(b.keys), np.int64), np.zeros(len(b.keys), bool)
-            b.guests[at], b.moving[at] = told("m0"), told("q0") > 0
+            b.guests[at], b.moving[at] = told["m"], told["q"] > 0
     return b
 
 
@@ -674,59 +748,114 @@ def told(table: DataFrame, exchanged: list[DataFrame]) -> DataFrame:
     return reduce(lambda t, e: t.join(e.hint("shuffle_hash"), "bucket", "left"), exchanged, table)
 
 
-# Kinds of sums that buckets pass on. Shared are rare contexts, by their hash.
-_BY_CONTEXT, _BY_HEAD, _HEAD_LEARNED, _TOTALS, _SHARED = range(5)
+# Kinds of rows that buckets pass on: sums, rare contexts, and seatings.
+_BY_CONTEXT, _BY_HEAD, _HEAD_LEARNED, _TOTALS, _SHARED, _SEATED = range(6)
+# Sums are added up in blocks of so many ids.
+BLOCK = 1024
+# Rare contexts are dealt, by their hash, to a part for so many buckets.
+PART_BUCKETS = 8
+# What buckets tell, and are told, of a rare context: its hash, tables, customers, and
+# whether any pair of it has several; after the first round, the first two. A rare
+# context has fewer customers than each of the head words, so 32 bits are enough.
+_TOLD = (
+    np.dtype([("id", "<u8"), ("n", "<u4"), ("m", "<u4"), ("q", "u1")]),
+    np.dtype([("id", "<u8"), ("n", "<u4")]),
+)
 
 
-def _sums(table: DataFrame, buckets: int, turn: int, of) -> tuple[dict[int, tuple[np.ndarray, np.ndarray]], DataFrame]:
+def _sums(table: DataFrame, buckets: int, turn: int, of) -> tuple[dict[int, list[tuple[int, bytes]]], DataFrame]:
     """Sums over all buckets of what ``of`` gives for each ({kind: array}), as
-    {kind: (ids, sums)}; the number of keys is fixed: contexts, head words, totals.
+    {kind: [(block, sums)]}; the number of blocks is fixed: contexts, head words, totals.
 
     ``of`` also gives, for every rare context, its tables, customers and pairs of several
-    customers. A row for each bucket lists the contexts that other buckets have too, with
-    the tables and customers there, and such pairs anywhere. After the first round, only
-    contexts with such pairs are listed again: the others keep one table for each pair.
+    customers, and the seatings its round left. A row for each bucket lists the contexts
+    that other buckets have too, with the tables and customers there, and such pairs
+    anywhere. After the first round, only contexts with such pairs are listed again: the
+    others keep one table for each pair. Everything travels packed: a row for a bucket
+    and block of sums, or part of the contexts.
     """
+    parts, record = max(1, -(-buckets // PART_BUCKETS)), _TOLD[min(turn, 1)]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 b = _bucket(batch.slice(k, 1))
-                found, shared = of(b)
+                found, shared, seated = of(b)
                 at = np.arange(len(b.keys)) if b.moving is None else np.flatnonzero(b.moving)
-                yield rows(b, _SHARED, b.keys[at].view(np.int64), *(v[at] for v in shared))
+                part = (b.keys[at] % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                listed = np.empty(len(at), record)
+                for name, values in zip(record.names, (b.keys, *shared)):
+                    listed[name] = values[at[order]]
+                edges = np.searchsorted(part[order], np.arange(parts + 1))
+                own = [(_SHARED, i, listed[edges[i] : edges[i + 1]]) for i in np.flatnonzero(np.diff(edges)).tolist()]
                 for kind, values in found.items():
-                    values = np.asarray(values)
-                    at = np.flatnonzero(values)
-                    yield rows(b, kind, at, values[at], *[np.zeros(len(at))] * 2)
-
-    def rows(b: Bucket, kind: int, *values: np.ndarray) -> pa.RecordBatch:
-        n = len(values[0])
-        columns = [np.full(n, kind, np.int32), np.full(n, b.number, np.int32), *(v.astype(np.int64) for v in values)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kind", "bucket", "id", "n", "m", "q"])
+                    values = np.asarray(values).astype("<i8")
+                    blocks = (values[i : i + BLOCK] for i in range(0, len(values), BLOCK))
+                    own += [(kind, i, v) for i, v in enumerate(blocks) if v.any()]
+                rows = [(kind, i, b.number, v.tobytes()) for kind, i, v in own]
+                if seated is not None:
+                    rows.append((_SEATED, 0, b.number, seated))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    types, names = (pa.int32(), pa.int32(), pa.int32(), pa.binary()), ["kind", "part", "bucket", "blob"]
+    schema = "kind int, part int, bucket int, blob binary"
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for kind, part, blob in zip(*(batch.column(c).to_pylist() for c in ("kind", "part", "blob"))):
+                whole[kind, part] = whole.get((kind, part), 0) + np.frombuffer(blob, "<i8")
+        for (kind, part), values in whole.items():
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((kind, part, 0, values.tobytes()), types)], names)
+
+    def met(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        """What each bucket is told of a part's contexts: sums without its own."""
+        own = [np.frombuffer(blob, record) for _, blob in rows]
+        listed = np.concatenate(own)
+        _, at, several = np.unique(listed["id"], return_inverse=True, return_counts=True)
+        told = listed.copy()
+        for name in record.names[1:]:
+            sums = np.bincount(at, listed[name]).astype(np.int64)[at]
+            told[name] = sums > 0 if name == "q" else sums - listed[name]
+        edges = np.cumsum([0, *map(len, own)])
+        cut = (slice(*e) for e in zip(edges, edges[1:]))
+        blobs = [told[i][several[at[i]] > 1].tobytes() for i in cut]
+        values = ([_SHARED] * len(rows), [0] * len(rows), [bucket for bucket, _ in rows], blobs)
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, rows = None, []
+        for batch in batches:
+            for part, bucket, blob in zip(*(batch.column(c).to_pylist() for c in ("part", "bucket", "blob"))):
+                if part != current and rows:
+                    yield met(rows)
+                    rows = []
+                current = part
+                rows.append((bucket, blob))
+        if rows:
+            yield met(rows)
 
     passed = table.drop("chunks", "rows", "chunk", "doc", "times")
-    passed = stored(passed.mapInArrow(emit, "kind int, bucket int, id long, n long, m long, q long"), "sums", "zstd")
-    summed = passed.filter(F.col("kind") != _SHARED).groupBy("kind", "id").agg(F.sum("n").alias("n")).toArrow()
-    kind, at, n = (summed.column(c).to_numpy() for c in ("kind", "id", "n"))
-    own = Window.partitionBy("id")
-    shared = passed.filter(F.col("kind") == _SHARED).repartition(buckets, "id").select(
-        "bucket",
-        "id",
-        *((F.sum(c).over(own) - F.col(c)).alias(c) for c in ("n", "m")),
-        F.sum("q").over(own).alias("q"),
-        F.count("id").over(own).alias("buckets"),
+    passed = stored(passed.mapInArrow(emit, schema), "sums", "zstd")
+    kind, blob = F.col("kind"), F.col("blob")
+    summed = passed.filter(kind < _SHARED).repartition("kind", "part").mapInArrow(add, schema).toArrow()
+    found: dict[int, list[tuple[int, bytes]]] = {}
+    for k, part, values in zip(*(summed.column(c).to_pylist() for c in ("kind", "part", "blob"))):
+        found.setdefault(k, []).append((part, values))
+    shared = passed.filter(kind == _SHARED).repartition(parts, "part").sortWithinPartitions("part").mapInArrow(meet, schema)
+    dealt = shared.unionAll(passed.filter(kind == _SEATED)).repartition(buckets, "bucket").groupBy("bucket").agg(
+        F.collect_list(F.when(kind == _SHARED, blob)).alias(f"shared{turn}"),
+        F.first(F.when(kind == _SEATED, blob), ignorenulls=True).alias(f"seated{turn}"),
     )
-    names = {"ids": "id", "n": "n"} if turn else {"ids": "id", "n": "n", "m": "m", "q": "q"}
-    lists = [F.collect_list(c).alias(f"{name}{turn}") for name, c in names.items()]
-    shared = shared.filter("buckets > 1").repartition(buckets, "bucket").groupBy("bucket").agg(*lists)
-    return {int(k): (at[kind == k], n[kind == k]) for k in np.unique(kind)}, dealt_table(shared, buckets, "shared")
+    return found, dealt_table(dealt, buckets, "shared")
 
 
-def _dense(found: tuple[np.ndarray, np.ndarray] | None, n: int) -> np.ndarray:
+def _dense(found: list[tuple[int, bytes]] | None, n: int) -> np.ndarray:
     values = np.zeros(n, np.int64)
-    if found is not None:
-        values[found[0]] = found[1]
+    for block, sums in found or []:
+        values[block * BLOCK : (block + 1) * BLOCK] = np.frombuffer(sums, "<i8")
     return values
 
 
@@ -738,14 +867,14 @@ def first_counts(table: DataFrame, buckets: int) -> tuple[Counts, DataFrame]:
     """Everything with one table for each pair, and one for each token; and what
     buckets are to be told of other buckets."""
 
-    def of(b: Bucket) -> tuple[dict[int, np.ndarray], list[np.ndarray]]:
+    def of(b: Bucket) -> tuple[dict[int, np.ndarray], list[np.ndarray], None]:
         pairs = (b.count > 0).astype(np.int64)
         sent, learned = b.by_tail(pairs), b.by_tail(b.count)
         totals = [int(sent.sum()), int((sent > 0).sum()), int((b.count == 1).sum()), int((b.count == 2).sum())]
         totals += [int((sent == 1).sum()), int((sent == 2).sum()), int(learned.sum())]
         by_context = np.concatenate((b.by_context(b.count), b.by_context(pairs)))
         sums = {_BY_CONTEXT: by_context, _BY_HEAD: b.by_head(pairs), _HEAD_LEARNED: b.by_head(b.count), _TOTALS: totals}
-        return sums, [b.by_rare(v) for v in (pairs, b.count, b.count > 1)]
+        return sums, [b.by_rare(pairs), b.by_rare(b.count), b.by_rare(b.count > 1) > 0], None
 
     found, shared = _sums(table, buckets, 0, of)
     contexts = _dense(found.get(_BY_CONTEXT), 2 * (START + 1))
@@ -773,11 +902,11 @@ def next_counts(table: DataFrame, buckets: int, rounds: list[Counts], head: Seat
     buckets were ``told``, and in the parent's seating of head words."""
     g, turn = rounds[-1], len(rounds)
 
-    def of(b: Bucket) -> tuple[dict[int, np.ndarray], list[np.ndarray]]:
+    def of(b: Bucket) -> tuple[dict[int, np.ndarray], list[np.ndarray], bytes]:
         for found, sent, laid in b.chain(rounds):
             pass
         sums = {_BY_CONTEXT: b.by_context(found), _BY_HEAD: b.by_head(found), _TOTALS: [int(sent.sum()), int(laid.sum())]}
-        return sums, [b.by_rare(found), *[np.zeros(b.rare)] * 2]
+        return sums, [b.by_rare(found)], _packed(b.left, int((b.count > 1).sum()), b.tail)
 
     found, shared = _sums(table, buckets, turn, of)
     sent = _dense(found.get(_BY_HEAD), HEAD)
@@ -834,12 +963,14 @@ def _partial(table: DataFrame, rounds: list[Counts]) -> DataFrame:
         logs = np.log10(probabilities(b, rounds))
         learned = np.concatenate((rounds[0].learned, b.by_tail(b.count)))[b.word]
         plain = np.log10(learned + 0.1)
-        rows, chunk, doc, times = (np.frombuffer(row.column(c)[0].as_py(), _TYPES[c]) for c in ("rows", "chunk", "doc", "times"))
+        del b
+        rows, chunk, doc, times = (_column(row, c) for c in ("rows", "chunk", "doc", "times"))
         key = chunk.astype(np.int64) << 16 | doc
-        order = np.argsort(key, kind="stable").astype(np.int32)
+        del chunk, doc
+        order = _order(key).astype(np.int32)
         key, times = key[order], times[order]
         pair = np.repeat(np.arange(len(rows), dtype=np.int32), rows)[order]
-        del order
+        del order, rows
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         sums = [np.add.reduceat(v[pair] * times, first) for v in (logs, plain, (learned > 0).astype(np.float64))]
         key = key[first]

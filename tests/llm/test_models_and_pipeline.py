@@ -8,6 +8,7 @@ from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -462,6 +463,37 @@ def test_buckets_know_all_of_their_contexts(spark, monkeypatch):
     assert several > 100
 
 
+def test_rounds_go_on_from_kept_seatings(spark, monkeypatch):
+    """A round that is over is read, not worked out again, and gives the same."""
+    texts = [" ".join(f"w{x}" for x in np.random.default_rng(i).zipf(1.6, 40) % 300) for i in range(120)]
+    docs = spark.createDataFrame([(i, t.encode(), True) for i, t in enumerate(texts)], "doc_id long, text binary, train boolean")
+    table = pitman_yor.dealt_table(pitman_yor.bucketed(pitman_yor.packed(docs, [b"w1"], 3), 3), 3).filter("bucket >= 0")
+    first, shared = pitman_yor.first_counts(table, 3)
+    after, _, later = pitman_yor.next_counts(pitman_yor.told(table, [shared]), 3, [first], None)
+    rows = [b.slice(k, 1) for b in pitman_yor.told(table, [shared, later]).toArrow().to_batches() for k in range(b.num_rows)]
+    assert len(rows) == 3
+    plain = [pitman_yor._bucket(row) for row in rows]
+    for b in plain:
+        assert len(b.seatings) == 1
+        b.seatings = []
+    want = [list(b.chain([first, after])) for b in plain]
+    assert all((seated[0][0] > 1).any() for seated in want)
+    swept = []
+    sweep = pitman_yor.sweep
+    monkeypatch.setattr(pitman_yor, "sweep", lambda *a: swept.append(1) or sweep(*a))
+    for row, both in zip(rows, want):
+        got = pitman_yor._bucket(row).chain([first, after])
+        assert all(np.array_equal(x, y) for x, y in zip(next(got), both[0])) and not swept
+        assert all(np.array_equal(x, y) for x, y in zip(next(got), both[1])) and swept
+        swept.clear()
+
+
+def test_words_end_at_ascii_white_space():
+    texts = [None, b"", b" a\x0bB\x1cc\xc2\x85 \xff\xe2\x80\x83D\n\n", b"\xc3\x84"]
+    words = pitman_yor._words(pa.array(texts, pa.binary())).flatten().view(pa.binary()).to_pylist()
+    assert [w for w in words if w] == [w for t in texts if t for w in t.lower().split()]
+
+
 def test_odd_texts_are_scored(spark, odd, none):
     marked = odd.withColumn("train", F.when(F.col("doc_id") != 4, F.col("doc_id") % 3 != 0))
     got = pitman_yor.score(marked).collect()
