@@ -19,7 +19,7 @@ before left. A pair's new and closed tables are customers that enter and leave
 the parent's seating. Seatings are kept as table sizes, so they grow with tables,
 not with customers. Buckets take the number of tables in each context, and the
 parent's counts, from the round before; the sums over start and head words for the
-next round are a group-by with a fixed number of keys. Predictive probabilities
+next round travel as packed blocks, of which there is a fixed number. Predictive probabilities
 of the last ``SAMPLES`` rounds are averaged, and their logarithms summed by
 document. Draws are seeded by round and bucket: a lost task repeats them exactly.
 
